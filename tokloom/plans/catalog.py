@@ -112,3 +112,175 @@ def d2_word_frequency(spark, d):
 SELECT count(DISTINCT word) AS n_words FROM words"""))
 def d4_distinct_words(spark, d):
     return W.distinct_word_count(W.word_frequency(W.words(_lines(spark, d))))
+
+
+# ---- BPE training and vocabulary (D3, F1, H1, H2, G1, A5, A6) ---------------
+
+from tokloom.operators import bpe, codec  # noqa: E402
+from tokloom.sources import tokenizer_io  # noqa: E402
+from tokloom.functions.symbols import ids_csv, sym_to_ids_csv  # noqa: E402
+
+_TRAINED: dict[tuple, list] = {}
+
+
+def _freq(spark, d):
+    return W.word_frequency(W.words(_lines(spark, d)))
+
+
+def _merges(spark, d, k: int = K) -> list[tuple[int, int, int, int]]:
+    """Trained merges (a, b, new_id, c); memoised per session and input folder."""
+    key = (spark.sparkContext.applicationId, d, k)
+    if key not in _TRAINED:
+        _TRAINED[key] = bpe.train(bpe.training_state(_freq(spark, d)), num_merges=k).merges
+    return _TRAINED[key]
+
+
+def _merge_df(spark, d, k: int = K):
+    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(_merges(spark, d, k))]
+    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+
+
+_PAIR = """CAST(('0x' || substring(p, 1, 4)) AS INTEGER) AS "left",
+       CAST(('0x' || substring(p, 6, 4)) AS INTEGER) AS "right\""""
+
+
+@register("d3_pair_stats", S.with_(S.bpe_ctes(0), f"""
+SELECT {_PAIR}, CAST(sum(n) AS BIGINT) AS c
+FROM (SELECT substring(sym, 5 * i + 1, 10) AS p, n
+      FROM st0, unnest(range(0, len(sym) // 5 - 1)) AS t(i))
+GROUP BY p"""))
+def d3_pair_stats(spark, d):
+    return bpe.pair_stats(bpe.training_state(_freq(spark, d))).select("left", "right", "c")
+
+
+@register("f1_best_pair", S.with_(S.bpe_ctes(1), f"""
+SELECT {_PAIR}, c FROM best0"""))
+def f1_best_pair(spark, d):
+    st = bpe.pair_stats(bpe.training_state(_freq(spark, d)))
+    return bpe.best_pairs(st, 1).select("left", "right", "c")
+
+
+@register("h1_bpe_merges", S.with_(S.bpe_ctes(K), """
+SELECT rank, "left", "right", new_id, c FROM merges"""))
+def h1_bpe_merges(spark, d):
+    return _merge_df(spark, d)
+
+
+@register("h2_merged_words", S.with_(S.bpe_ctes(1), f"""
+SELECT word, {S.sym_ids_csv('sym')} AS ids FROM st1"""))
+def h2_merged_words(spark, d):
+    a, b, new, _ = _merges(spark, d)[0]
+    st = bpe.training_state(_freq(spark, d))
+    return st.select("word", sym_to_ids_csv(bpe.apply_merges(F.col("sym"), [(a, b, new)]))
+                     .alias("ids"))
+
+
+def _vocab_sql(k: int) -> str:
+    steps = ["v0 AS (SELECT CAST(i AS INTEGER) AS id, printf('%02X', i) AS h FROM range(0, 256) t(i))"]
+    for r in range(k):
+        steps.append(
+            f"v{r + 1} AS (SELECT id, h FROM v{r} UNION ALL "
+            f"SELECT m.new_id, (SELECT h FROM v{r} WHERE id = m.\"left\") || "
+            f"(SELECT h FROM v{r} WHERE id = m.\"right\") FROM merges m WHERE m.rank = {r})")
+    ctes = S.bpe_ctes(k) + ",\n" + ",\n".join(steps)
+    return S.with_(ctes, f"""
+SELECT id, h AS bytes_hex FROM v{k}
+UNION ALL SELECT 32000, hex(encode('<HUMAN>'))
+UNION ALL SELECT 32001, hex(encode('<GPT>'))
+UNION ALL SELECT 32002, hex(encode('<|endoftext|>'))""")
+
+
+@register("g1_vocabulary", _vocab_sql(K))
+def g1_vocabulary(spark, d):
+    return bpe.vocabulary(spark, _merges(spark, d)).select(
+        "id", F.hex("bytes").alias("bytes_hex"))
+
+
+_JSON_SQL = S.with_(S.bpe_ctes(K), """
+SELECT '{"vocab_size":32000,"merges":[' ||
+       string_agg('[' || "left" || ',' || "right" || ',' || new_id || ']', ',' ORDER BY rank)
+       || ']}' AS json
+FROM merges""")
+
+
+@register("a5_merges_json", _JSON_SQL)
+def a5_merges_json(spark, d):
+    return tokenizer_io.merges_to_json(_merge_df(spark, d), vocab_size=32000)
+
+
+@register("a6_merges_loaded", S.with_(S.bpe_ctes(K), """
+SELECT rank, "left", "right", new_id FROM merges"""))
+def a6_merges_loaded(spark, d):
+    js = tokenizer_io.merges_to_json(_merge_df(spark, d), vocab_size=32000)
+    return tokenizer_io.merges_from_json(js, "json").select("rank", "left", "right", "new_id")
+
+
+# ---- encode / decode (H4, H5, H8, C1, C2, B6) --------------------------------
+
+def _encoded(spark, d):
+    return codec.encode(_blocks(spark, d), "block", _merges(spark, d))
+
+
+_ENC_CTE = S.bpe_ctes(K) + f""",
+enc AS (SELECT conv_id, {S.encode_sym_expr(S.FOLDED_BLOCK, K)} AS s FROM blocks)"""
+
+
+@register("h4_encode", S.with_(_ENC_CTE, f"""
+SELECT conv_id, {S.sym_ids_csv('s')} AS ids FROM enc"""))
+def h4_encode(spark, d):
+    return _encoded(spark, d).select("conv_id", ids_csv(F.col("ids")).alias("ids"))
+
+
+@register("h5_decode", S.with_(S.BLOCKS_CTE, f"""
+SELECT conv_id, {S.FOLDED_BLOCK} AS text FROM blocks"""))
+def h5_decode(spark, d):
+    vocab = bpe.vocabulary(spark, _merges(spark, d))
+    return codec.decode(_encoded(spark, d), "ids", vocab).select("conv_id", "text")
+
+
+@register("h8_roundtrip_bad", S.with_(S.BLOCKS_CTE, """
+SELECT count(*) AS n_blocks, CAST(0 AS BIGINT) AS n_bad FROM blocks"""))
+def h8_roundtrip_bad(spark, d):
+    vocab = bpe.vocabulary(spark, _merges(spark, d))
+    dec = codec.decode(_encoded(spark, d), "ids", vocab)
+    back = dec.join(_blocks(spark, d), "conv_id")
+    return back.agg(F.count(F.lit(1)).alias("n_blocks"),
+                    F.sum(F.when(F.col("text") != flatten.fold_newlines(F.col("block")), 1)
+                          .otherwise(0)).cast("bigint").alias("n_bad"))
+
+
+@register("c1_unknown_ids", S.with_(_ENC_CTE, f"""
+SELECT conv_id, CAST(t.k - 1 AS INTEGER) AS pos, CAST(t.x AS INTEGER) AS id
+FROM (SELECT conv_id, string_split({S.sym_ids_csv('s')}, ',') AS xs FROM enc),
+     unnest(xs) WITH ORDINALITY AS t(x, k)
+WHERE CAST(t.x AS INTEGER) >= {256 + K // 2} AND CAST(t.x AS INTEGER) < 32000"""))
+def c1_unknown_ids(spark, d):
+    """Corpus encoded with all K merges, checked against a stale K/2-merge vocabulary."""
+    stale = bpe.vocabulary(spark, _merges(spark, d)[:K // 2])
+    return codec.unknown_ids(_encoded(spark, d), "ids", stale)
+
+
+@register("c2_word_dictionary", S.with_(S.bpe_ctes(K) + f""",
+dw AS (SELECT DISTINCT unnest(regexp_extract_all({S.FOLDED_BLOCK},
+                                                 '{W.PRETOKEN_PATTERN}')) AS word FROM blocks),
+dws AS (SELECT word, {S.encode_sym_expr('word', K)} AS s FROM dw)""",
+f"""
+SELECT word, {S.sym_ids_csv('s')} AS ids FROM dws"""))
+def c2_word_dictionary(spark, d):
+    occ = _blocks(spark, d).select(F.explode(W.pretokens(flatten.fold_newlines(F.col("block"))))
+                                   .alias("word"))
+    dw = occ.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return codec.word_dictionary(dw, _merges(spark, d)).select(
+        "word", ids_csv(F.col("ids")).alias("ids"))
+
+
+@register("b6_bad_ids", S.with_(_ENC_CTE, f"""
+SELECT conv_id, CAST(len(bad) AS INTEGER) AS n_bad,
+       array_to_string(list_sort(list_distinct(bad)), ',') AS bad_ids,
+       CAST(len(xs) AS INTEGER) AS n_ids
+FROM (SELECT conv_id, xs, list_filter(xs, lambda i: i < 0 OR i >= 32000) AS bad
+      FROM (SELECT conv_id, list_transform(string_split({S.sym_ids_csv('s')}, ','),
+                                           lambda x: CAST(x AS INTEGER)) AS xs FROM enc))
+WHERE len(bad) > 0"""))
+def b6_bad_ids(spark, d):
+    return codec.range_violations(_encoded(spark, d), "ids", 32000)

@@ -39,3 +39,66 @@ words AS (
 
 def with_(cte: str, body: str) -> str:
     return f"WITH {cte}\n{body}"
+
+
+# ---- BPE in SQL ------------------------------------------------------------
+# A symbol is written as four upper-case hex digits and a dot ("0061."), so a
+# pair is ten characters and ``replace`` can only match on symbol boundaries.
+
+def sym_of(word_expr: str) -> str:
+    return f"regexp_replace(hex(encode({word_expr})), '(..)', '00\\1.', 'g')"
+
+
+def sym_ids_csv(sym_expr: str) -> str:
+    return (f"array_to_string(list_transform(range(0, len({sym_expr}) // 5), "
+            f"lambda j: CAST(CAST(('0x' || substring({sym_expr}, 5 * j + 1, 4)) AS INTEGER) "
+            f"AS VARCHAR)), ',')")
+
+
+def bpe_ctes(k: int) -> str:
+    """Strict BPE for ``k`` rounds as unrolled CTEs ``st0..stk``, ``best0..``, ``merges``."""
+    out = [WORDS_CTE, f""",
+freq AS (
+  SELECT word, count(*) AS n, min({{'c': conv_id, 'l': line_no, 'w': word_no}}) AS fp
+  FROM words GROUP BY word),
+st0 AS (SELECT word, n, fp, {sym_of('word')} AS sym FROM freq)"""]
+    for r in range(k):
+        out.append(f""",
+pr{r} AS (
+  SELECT substring(sym, 5 * i + 1, 10) AS p, n, {{'fp': fp, 'i': i}} AS pk
+  FROM st{r}, unnest(range(0, len(sym) // 5 - 1)) AS t(i)),
+best{r} AS (
+  SELECT p, CAST(sum(n) AS BIGINT) AS c, min(pk) AS fst FROM pr{r}
+  GROUP BY p ORDER BY c DESC, fst LIMIT 1),
+st{r + 1} AS (
+  SELECT word, n, fp, replace(sym, (SELECT p FROM best{r}), printf('%04X.', {256 + r})) AS sym
+  FROM st{r})""")
+    if k == 0:
+        return "".join(out)
+    union = " UNION ALL ".join(
+        f"SELECT {r} AS rank, p, c FROM best{r}" for r in range(k))
+    out.append(f""",
+merges AS (
+  SELECT CAST(rank AS INTEGER) AS rank,
+         CAST(('0x' || substring(p, 1, 4)) AS INTEGER) AS "left",
+         CAST(('0x' || substring(p, 6, 4)) AS INTEGER) AS "right",
+         CAST(256 + rank AS INTEGER) AS new_id, c
+  FROM ({union}))""")
+    return "".join(out)
+
+
+def encode_sym_expr(text_expr: str, k: int) -> str:
+    """Encoded symbol string of a text: words joined by '|', merges 0..k-1 replaced."""
+    words = f"regexp_extract_all({text_expr}, '{PRETOKEN_PATTERN}')"
+    per_word = (f"list_transform({words}, lambda w: CASE w "
+                f"WHEN '<HUMAN>' THEN printf('%04X.', 32000) "
+                f"WHEN '<GPT>' THEN printf('%04X.', 32001) "
+                f"WHEN '<|endoftext|>' THEN printf('%04X.', 32002) "
+                f"ELSE {sym_of('w')} END)")
+    s = f"array_to_string({per_word}, '|')"
+    for r in range(k):
+        s = f"replace({s}, (SELECT p FROM best{r}), printf('%04X.', {256 + r}))"
+    return f"replace({s}, '|', '')"
+
+
+FOLDED_BLOCK = f"replace(replace(block, chr(13) || {NL}, {NL}), chr(13), {NL})"
