@@ -50,31 +50,38 @@ def hash_prefix_bucket(hex_hash: Column, digits: int = 3) -> Column:
     return F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("int")
 
 
-def _bucket_bases(df: DataFrame, value: Column | None) -> DataFrame:
+def _bucket_bases(df: DataFrame, value: Column | None, group: list[str]) -> DataFrame:
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    totals = df.groupBy(BUCKET).agg(agg.cast("bigint").alias("_bt"))
-    w = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(BUCKET, F.coalesce(F.sum("_bt").over(w), F.lit(0)).cast("bigint")
-                         .alias("_base"))
+    totals = df.groupBy(*group, BUCKET).agg(agg.cast("bigint").alias("_bt"))
+    spec = Window.partitionBy(*group) if group else Window
+    w = spec.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*group, BUCKET,
+                         F.coalesce(F.sum("_bt").over(w), F.lit(0)).cast("bigint").alias("_base"))
 
 
 def prefix_sum(df: DataFrame, order_cols: list[str], value: str, out: str,
-               inclusive: bool = False) -> DataFrame:
-    """Global running sum of ``value`` in ``order_cols`` order; needs ``_bucket``."""
-    bases = _bucket_bases(df, F.col(value))
+               inclusive: bool = False, group: list[str] | None = None) -> DataFrame:
+    """Running sum of ``value`` in ``order_cols`` order (per ``group``); needs ``_bucket``.
+
+    The bucket-base table has at most groups x buckets rows and is broadcast.
+    """
+    g = list(group or [])
+    bases = _bucket_bases(df, F.col(value), g)
     end = 0 if inclusive else -1
-    w = (Window.partitionBy(BUCKET).orderBy(*order_cols)
+    w = (Window.partitionBy(*g, BUCKET).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, end))
-    return (df.join(F.broadcast(bases), BUCKET)
+    return (df.join(F.broadcast(bases), [*g, BUCKET])
             .withColumn(out, (F.col("_base") + F.coalesce(F.sum(value).over(w), F.lit(0)))
                         .cast("bigint"))
             .drop("_base", BUCKET))
 
 
-def global_row_number(df: DataFrame, order_cols: list[str], out: str) -> DataFrame:
-    """0-based global rank in ``order_cols`` order; needs ``_bucket``."""
-    bases = _bucket_bases(df, None)
-    w = Window.partitionBy(BUCKET).orderBy(*order_cols)
-    return (df.join(F.broadcast(bases), BUCKET)
+def global_row_number(df: DataFrame, order_cols: list[str], out: str,
+                      group: list[str] | None = None) -> DataFrame:
+    """0-based rank in ``order_cols`` order (per ``group``); needs ``_bucket``."""
+    g = list(group or [])
+    bases = _bucket_bases(df, None, g)
+    w = Window.partitionBy(*g, BUCKET).orderBy(*order_cols)
+    return (df.join(F.broadcast(bases), [*g, BUCKET])
             .withColumn(out, (F.col("_base") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_base", BUCKET))

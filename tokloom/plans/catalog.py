@@ -284,3 +284,233 @@ FROM (SELECT conv_id, xs, list_filter(xs, lambda i: i < 0 OR i >= 32000) AS bad
 WHERE len(bad) > 0"""))
 def b6_bad_ids(spark, d):
     return codec.range_violations(_encoded(spark, d), "ids", 32000)
+
+
+# ---- packing (E2, E3, P1-P6, F3, D7, A8) -------------------------------------
+
+from tokloom.operators import pack  # noqa: E402
+
+EPOCHS = 10
+
+_STREAM_CTE = _ENC_CTE + f""",
+tok AS (
+  SELECT conv_id, list_transform(range(0, len(s) // 5),
+           lambda j: CAST(('0x' || substring(s, 5 * j + 1, 4)) AS INTEGER)) AS xs
+  FROM enc),
+offs AS (
+  SELECT conv_id, xs, CAST(len(xs) AS BIGINT) AS n,
+         CAST(coalesce(sum(len(xs)) OVER (ORDER BY conv_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM tok),
+stream AS (
+  SELECT start + t.k - 1 AS g, t.x AS id FROM offs, unnest(xs) WITH ORDINALITY AS t(x, k)),
+win AS (
+  SELECT CAST(w AS BIGINT) AS example_id,
+         string_agg(CAST(id AS VARCHAR), ',' ORDER BY g) AS ids,
+         list(id ORDER BY g) AS xs
+  FROM (SELECT g // {L} AS w, g, id FROM stream
+        UNION ALL SELECT g // {L} - 1 AS w, g, id FROM stream WHERE g % {L} = 0 AND g > 0)
+  GROUP BY w HAVING count(*) = {L + 1})"""
+
+
+def _offsets(spark, d):
+    return pack.token_offsets(_encoded(spark, d))
+
+
+def _windows(spark, d):
+    return pack.windows(_offsets(spark, d), L)
+
+
+@register("e2_token_offsets", S.with_(_STREAM_CTE, "SELECT conv_id, n, start FROM offs"))
+def e2_token_offsets(spark, d):
+    return _offsets(spark, d).select("conv_id", "n", "start")
+
+
+@register("p1_windows", S.with_(_STREAM_CTE, "SELECT example_id, ids FROM win"))
+def p1_windows(spark, d):
+    return _windows(spark, d).select("example_id", ids_csv(F.col("ids")).alias("ids"))
+
+
+@register("p2_xy", S.with_(_STREAM_CTE, f"""
+SELECT example_id, array_to_string(xs[1:{L}], ',') AS x, array_to_string(xs[2:{L + 1}], ',') AS y
+FROM win"""))
+def p2_xy(spark, d):
+    e = pack.xy(_windows(spark, d), L)
+    return e.select("example_id", ids_csv(F.col("x")).alias("x"), ids_csv(F.col("y")).alias("y"))
+
+
+@register("p3_window_count", S.with_(_STREAM_CTE, f"""
+SELECT CAST(sum(n) AS BIGINT) AS n_tokens,
+       CAST(CASE WHEN sum(n) > {L} THEN (sum(n) - 1) // {L} ELSE 0 END AS BIGINT) AS n_examples
+FROM offs"""))
+def p3_window_count(spark, d):
+    return pack.window_count(_offsets(spark, d), L)
+
+
+def _rank_sql(epochs: int) -> str:
+    return f"""
+SELECT CAST(e.epoch AS INTEGER) AS epoch, w.example_id,
+       CAST(row_number() OVER (PARTITION BY e.epoch
+            ORDER BY md5('{SEED}:' || e.epoch || ':' || w.example_id), w.example_id) - 1 AS BIGINT) AS r
+FROM win w, range(0, {epochs}) e(epoch)"""
+
+
+@register("f3_shuffle", S.with_(_STREAM_CTE, f"""
+SELECT example_id, r FROM ({_rank_sql(1)})"""))
+def f3_shuffle(spark, d):
+    return pack.shuffled(_windows(spark, d), SEED).select("example_id", "r")
+
+
+@register("p4_batches", S.with_(_STREAM_CTE, f"""
+SELECT CAST(r // {BATCH} AS BIGINT) AS step, CAST(r % {BATCH} AS INTEGER) AS slot, example_id
+FROM ({_rank_sql(1)})"""))
+def p4_batches(spark, d):
+    ranked = pack.shuffled(_windows(spark, d), SEED)
+    return pack.batches(ranked, BATCH).select("step", "slot", "example_id")
+
+
+@register("p5_epochs", S.with_(_STREAM_CTE, f"""
+SELECT epoch, CAST(r // {BATCH} AS BIGINT) AS step, CAST(r % {BATCH} AS INTEGER) AS slot,
+       example_id
+FROM ({_rank_sql(EPOCHS)})"""))
+def p5_epochs(spark, d):
+    ranked = pack.shuffled(_windows(spark, d), SEED, epochs=EPOCHS)
+    return pack.batches(ranked, BATCH).select(F.col("epoch").cast("int").alias("epoch"),
+                                              "step", "slot", "example_id")
+
+
+@register("p6_example", S.with_(_STREAM_CTE, """
+SELECT example_id, ids FROM win WHERE example_id = 3"""))
+def p6_example(spark, d):
+    return pack.example_at(_windows(spark, d), 3).select(
+        "example_id", ids_csv(F.col("ids")).alias("ids"))
+
+
+@register("d7_steps", S.with_(_STREAM_CTE, f"""
+SELECT count(*) AS n_examples, CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS steps_per_epoch,
+       CAST(ceil(count(*) / {BATCH}) * {EPOCHS} AS BIGINT) AS total_steps
+FROM win"""))
+def d7_steps(spark, d):
+    return pack.steps(_windows(spark, d), BATCH, EPOCHS)
+
+
+@register("a8_token_bytes", S.with_(_STREAM_CTE, """
+SELECT CAST(sum(n) AS BIGINT) AS n_tokens, round(sum(n) * 8 / pow(1024, 3), 9) AS gb FROM offs"""))
+def a8_token_bytes(spark, d):
+    return pack.token_bytes(_encoded(spark, d))
+
+
+@register("e3_next_token", S.with_(_STREAM_CTE, """
+SELECT conv_id, CAST(t.k - 1 AS INTEGER) AS pos, t.x AS x, xs[t.k + 1] AS y
+FROM offs, unnest(xs[1:len(xs) - 1]) WITH ORDINALITY AS t(x, k)"""))
+def e3_next_token(spark, d):
+    return pack.next_token_pairs(_encoded(spark, d))
+
+
+# ---- next-token statistics (M1-M7) ------------------------------------------
+
+from tokloom.operators import lmstats as M  # noqa: E402
+from tokloom.operators import checks  # noqa: E402
+
+_BIGRAM_CTE = _STREAM_CTE + """,
+pairs AS (
+  SELECT xs[t.k] AS x, xs[t.k + 1] AS y FROM win, unnest(range(1, len(xs))) AS t(k)),
+bigram AS (SELECT x, y, count(*) AS c FROM pairs GROUP BY x, y),
+ctx AS (SELECT x, CAST(sum(c) AS BIGINT) AS c_x FROM bigram GROUP BY x)"""
+
+
+def _bigrams(spark, d):
+    return M.bigram_counts(M.window_pairs(pack.xy(_windows(spark, d), L)))
+
+
+@register("m1_bigrams", S.with_(_BIGRAM_CTE, f"""
+SELECT b.x, b.y, b.c, round((b.c + 1.0) / (ctx.c_x + 1.0 * {M.MODEL_VOCAB}), 9) AS p
+FROM bigram b JOIN ctx USING (x)"""))
+def m1_bigrams(spark, d):
+    return M.bigram_probs(_bigrams(spark, d)).select(
+        "x", "y", "c", F.round("p", 9).alias("p"))
+
+
+@register("m2_perplexity", S.with_(_BIGRAM_CTE + f""",
+cp AS (
+  SELECT conv_id, xs[t.k] AS x, xs[t.k + 1] AS y
+  FROM offs, unnest(range(1, len(xs))) AS t(k)),
+sc AS (
+  SELECT cp.conv_id,
+         -ln((coalesce(b.c, 0) + 1.0) / (coalesce(ctx.c_x, 0) + 1.0 * {M.MODEL_VOCAB})) AS nll
+  FROM cp LEFT JOIN bigram b ON cp.x = b.x AND cp.y = b.y LEFT JOIN ctx ON cp.x = ctx.x)""", """
+SELECT conv_id, count(*) AS n, round(avg(nll), 6) AS ce, round(exp(avg(nll)), 6) AS ppl
+FROM sc GROUP BY conv_id"""))
+def m2_perplexity(spark, d):
+    pairs = pack.next_token_pairs(_encoded(spark, d))
+    ce = M.cross_entropy(pairs, _bigrams(spark, d))
+    return ce.select("conv_id", "n", F.round("ce", 6).alias("ce"), F.round("ppl", 6).alias("ppl"))
+
+
+_SRC_CTE = """src AS (SELECT lang, source, ln(count(*)) AS s FROM documents GROUP BY lang, source)"""
+
+
+@register("m3_temperature_weights", S.with_(_SRC_CTE + """,
+ex AS (SELECT lang, source, exp((s - max(s) OVER (PARTITION BY lang)) / 0.8) AS e FROM src)""", """
+SELECT lang, source, round(e / sum(e) OVER (PARTITION BY lang), 9) AS w FROM ex"""))
+def m3_temperature_weights(spark, d):
+    docs = read_table(spark, d, "documents")
+    src = docs.groupBy("lang", "source").agg(F.log(F.count(F.lit(1))).alias("s"))
+    return M.temperature_softmax(src, "s", ["lang"], 0.8).select(
+        "lang", "source", F.round("w", 9).alias("w"))
+
+
+@register("m4_sampled_item", S.with_(_SRC_CTE, f"""
+SELECT lang, arg_max(source, s / 0.8 - ln(-ln(
+         (CAST(('0x' || substring(md5(lang || ':' || source || ':{SEED}'), 1, 8)) AS BIGINT) + 0.5)
+         / 4294967296.0))) AS source
+FROM src GROUP BY lang"""))
+def m4_sampled_item(spark, d):
+    docs = read_table(spark, d, "documents")
+    src = docs.groupBy("lang", "source").agg(F.log(F.count(F.lit(1))).alias("s"))
+    return M.gumbel_sample(src, "source", "s", ["lang"], 0.8, SEED)
+
+
+_VALID_SQL = f"""
+SELECT conv_id, turn, text FROM conversations
+WHERE role = 'user' AND lower(text) NOT IN ('quit', 'exit')
+  AND regexp_matches(text, '{checks.NON_SPACE_PATTERN}')"""
+
+
+@register("b5_valid_inputs", _VALID_SQL)
+def b5_valid_inputs(spark, d):
+    t = _turns(spark, d).filter(F.col("role") == "user")
+    return checks.valid_inputs(t).select("conv_id", "turn", "text")
+
+
+@register("m5_prompts", f"""
+SELECT conv_id, turn, '<HUMAN> ' || text || chr(10) || '<GPT> ' AS prompt,
+       '<HUMAN>' || chr(10) || text || chr(10) || '<GPT>' || chr(10) AS prompt_train
+FROM ({_VALID_SQL})""")
+def m5_prompts(spark, d):
+    t = checks.valid_inputs(_turns(spark, d).filter(F.col("role") == "user"))
+    return t.select("conv_id", "turn", M.chat_prompt(F.col("text")).alias("prompt"),
+                    M.train_prompt(F.col("text")).alias("prompt_train"))
+
+
+@register("m6_cropped", S.with_(_STREAM_CTE, """
+SELECT conv_id, array_to_string(xs[greatest(1, len(xs) - 32 + 1):], ',') AS ids FROM offs"""))
+def m6_cropped(spark, d):
+    e = _encoded(spark, d)
+    return e.select("conv_id", ids_csv(M.crop(F.col("ids"), 32)).alias("ids"))
+
+
+@register("m7_completion", S.with_(S.BLOCKS_CTE + """,
+first_seg AS (SELECT conv_id, arg_min(seg, turn) AS s0 FROM seg GROUP BY conv_id)""", f"""
+SELECT b.conv_id, substring({S.FOLDED_BLOCK}, length(replace(replace(f.s0, chr(13) || chr(10),
+       chr(10)), chr(13), chr(10))) + 1) AS text
+FROM blocks b JOIN first_seg f USING (conv_id)"""))
+def m7_completion(spark, d):
+    merges = _merges(spark, d)
+    segs = flatten.segments(_turns(spark, d))
+    first = segs.groupBy("conv_id").agg(F.min_by("seg", "turn").alias("s0"))
+    e = _encoded(spark, d).join(
+        first.select("conv_id", codec.encode_native(F.col("s0"), merges).alias("pids")), "conv_id")
+    tail = e.select("conv_id", M.completion(F.col("ids"), F.col("pids")).alias("tail"))
+    vocab = bpe.vocabulary(spark, merges)
+    return codec.decode(tail, "tail", vocab).select("conv_id", "text")
