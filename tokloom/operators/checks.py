@@ -24,7 +24,7 @@ def metric_rows(**aggs: DataFrame) -> DataFrame:
     """Stack one-row, one-column aggregates as ``(metric, value)`` rows (no join)."""
     out = None
     for name, df in aggs.items():
-        row = df.select(F.lit(name).alias("metric"),
-                        F.round(F.col(df.columns[0]).cast("double"), 6).alias("value"))
+        row = df.toDF("v").select(F.lit(name).alias("metric"),
+                                  F.round(F.col("v").cast("double"), 6).alias("value"))
         out = row if out is None else out.unionByName(row)
     return out

@@ -514,3 +514,170 @@ def m7_completion(spark, d):
     tail = e.select("conv_id", M.completion(F.col("ids"), F.col("pids")).alias("tail"))
     vocab = bpe.vocabulary(spark, merges)
     return codec.decode(tail, "tail", vocab).select("conv_id", "text")
+
+
+# ---- vectors, matrices, regression (V1-V6, C5, F5, R1, R2) -------------------
+
+from tokloom.operators import regress as R  # noqa: E402
+from tokloom.operators import vectors as V  # noqa: E402
+
+_EMB_CTE = """
+ec AS (
+  SELECT e.vec_id, e.label, CAST(t.k - 1 AS INTEGER) AS pos, CAST(t.v AS DOUBLE) AS v
+  FROM embeddings e, unnest(e.embedding) WITH ORDINALITY AS t(v, k)),
+cent AS (SELECT label, pos, avg(v) AS mean FROM ec GROUP BY label, pos),
+centv AS (SELECT label, list(mean ORDER BY pos) AS c FROM cent GROUP BY label)"""
+
+
+def _emb(spark, d):
+    return read_table(spark, d, "embeddings")
+
+
+def _centroids(spark, d):
+    return V.column_means(_emb(spark, d), "embedding", ["label"])
+
+
+def _centroid_arrays(spark, d):
+    c = _centroids(spark, d)
+    return c.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "mean"))),
+                    lambda x: x["mean"]).alias("c"))
+
+
+@register("v1_product", S.with_(_EMB_CTE, """
+SELECT e.vec_id,
+       round(list_sum(list_transform(range(1, len(e.embedding) + 1),
+             lambda i: CAST(e.embedding[i] AS DOUBLE) * c.c[i])), 6) AS dot,
+       round(list_max(list_transform(range(1, len(e.embedding) + 1),
+             lambda i: CAST(e.embedding[i] AS DOUBLE) * c.c[i])), 6) AS pmax
+FROM embeddings e JOIN centv c USING (label)"""))
+def v1_product(spark, d):
+    cent = _centroid_arrays(spark, d)
+    j = V.lookup(_emb(spark, d), cent.withColumnRenamed("label", "clabel"), "label", "clabel")
+    prod = V.elementwise_product(F.col("embedding"), F.col("c"))
+    return j.select("vec_id", F.round(V.array_sum(prod), 6).alias("dot"),
+                    F.round(F.array_max(prod), 6).alias("pmax"))
+
+
+@register("v2_matmul", S.with_(_EMB_CTE, """
+SELECT ec.vec_id, cent.label AS label, round(sum(ec.v * cent.mean), 6) AS score
+FROM ec JOIN cent ON ec.pos = cent.pos GROUP BY ec.vec_id, cent.label"""))
+def v2_matmul(spark, d):
+    coords = V.coordinates(_emb(spark, d), "vec_id", "embedding")
+    b = _centroids(spark, d).select("pos", F.col("label").alias("j"), F.col("mean").alias("w"))
+    return V.matmul_small(coords, b, "vec_id").select(
+        "vec_id", F.col("j").alias("label"), F.round("score", 6).alias("score"))
+
+
+@register("v3_column_means", S.with_(_EMB_CTE, """
+SELECT label, pos, round(mean, 6) AS mean FROM cent"""))
+def v3_column_means(spark, d):
+    return _centroids(spark, d).select("label", F.col("pos").cast("int").alias("pos"),
+                                       F.round("mean", 6).alias("mean"))
+
+
+@register("v3_row_stats", S.with_(_EMB_CTE, """
+SELECT vec_id, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std FROM ec GROUP BY vec_id"""))
+def v3_row_stats(spark, d):
+    e = F.col("embedding")
+    return _emb(spark, d).select("vec_id", F.round(V.row_mean(e), 6).alias("mean"),
+                                 F.round(V.row_std(e), 6).alias("std"))
+
+
+@register("v3_global_mean", S.with_(_EMB_CTE, "SELECT round(avg(v), 6) AS mean FROM ec"))
+def v3_global_mean(spark, d):
+    return V.global_mean(_emb(spark, d), "embedding").select(F.round("mean", 6).alias("mean"))
+
+
+@register("v4_gather", """
+SELECT vec_id, label, round(CAST(embedding[label + 1] AS DOUBLE), 6) AS value FROM embeddings""")
+def v4_gather(spark, d):
+    return _emb(spark, d).select("vec_id", "label", F.round(
+        V.gather(F.col("embedding"), F.col("label")).cast("double"), 6).alias("value"))
+
+
+@register("v5_standardize", S.with_(_EMB_CTE + """,
+rs AS (SELECT vec_id, avg(v) AS m, var_pop(v) AS var FROM ec GROUP BY vec_id)""", """
+SELECT ec.vec_id, round(max((v - m) / sqrt(var + 1e-5)), 6) AS n_max,
+       round(sum(((v - m) / sqrt(var + 1e-5)) * ((v - m) / sqrt(var + 1e-5))), 6) AS n_sq
+FROM ec JOIN rs USING (vec_id) GROUP BY ec.vec_id"""))
+def v5_standardize(spark, d):
+    z = V.standardize(F.col("embedding"))
+    return _emb(spark, d).select(
+        "vec_id", F.round(F.array_max(z), 6).alias("n_max"),
+        F.round(V.array_sum(F.transform(z, lambda x: x * x)), 6).alias("n_sq"))
+
+
+@register("v6_shape", """
+SELECT CAST(len(embedding) AS INTEGER) AS dim, count(*) AS n_vectors FROM embeddings GROUP BY 1""")
+def v6_shape(spark, d):
+    return _emb(spark, d).groupBy(F.size("embedding").alias("dim")).agg(
+        F.count(F.lit(1)).alias("n_vectors"))
+
+
+@register("f5_argmax", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS idx
+FROM embeddings""")
+def f5_argmax(spark, d):
+    return _emb(spark, d).select("vec_id", V.argmax_index(F.col("embedding")).alias("idx"))
+
+
+@register("c5_embedding_lookup", S.with_(_STREAM_CTE, """
+SELECT o.conv_id, CAST(t.k - 1 AS INTEGER) AS pos, e.vec_id, e.label
+FROM offs o, unnest(o.xs) WITH ORDINALITY AS t(x, k) JOIN embeddings e ON e.vec_id = t.x"""))
+def c5_embedding_lookup(spark, d):
+    occ = _encoded(spark, d).select("conv_id", F.posexplode("ids").alias("pos", "id"))
+    j = V.lookup(occ, _emb(spark, d).select("vec_id", "label"), "id", "vec_id")
+    return j.select("conv_id", F.col("pos").cast("int").alias("pos"), "vec_id", "label")
+
+
+@register("r1_fit", """
+SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, count(*) AS n
+FROM lineitem GROUP BY l_returnflag""")
+def r1_fit(spark, d):
+    fit = R.linear_fit(read_table(spark, d, "lineitem"), "l_extendedprice", "l_quantity",
+                       ["l_returnflag"])
+    return fit.select("l_returnflag", F.round("slope", 6).alias("slope"),
+                      F.round("intercept", 6).alias("intercept"), "n")
+
+
+@register("r2_mse", """
+WITH fit AS (
+  SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope,
+         regr_intercept(l_extendedprice, l_quantity) AS intercept
+  FROM lineitem GROUP BY l_returnflag)
+SELECT l_returnflag, round(avg(pow(slope * l_quantity + intercept - l_extendedprice, 2)), 4) AS mse
+FROM lineitem JOIN fit USING (l_returnflag) GROUP BY l_returnflag""")
+def r2_mse(spark, d):
+    li = read_table(spark, d, "lineitem")
+    fit = R.linear_fit(li, "l_extendedprice", "l_quantity", ["l_returnflag"])
+    return R.mse(li, fit, "l_extendedprice", "l_quantity", ["l_returnflag"]).select(
+        "l_returnflag", F.round("mse", 4).alias("mse"))
+
+
+# ---- corpus report (D5) ------------------------------------------------------
+
+@register("d5_corpus_report", S.with_(_STREAM_CTE + """,
+w2 AS (SELECT count(*) AS n FROM words)""", f"""
+SELECT 'n_chats' AS metric, round(CAST(count(*) AS DOUBLE), 6) AS value FROM blocks
+UNION ALL SELECT 'n_bytes', round(CAST(sum(strlen(block)) AS DOUBLE), 6) FROM blocks
+UNION ALL SELECT 'mb', round(sum(strlen(block)) / 1048576.0, 6) FROM blocks
+UNION ALL SELECT 'n_lines', round(CAST(count(*) AS DOUBLE), 6) FROM lines
+UNION ALL SELECT 'n_words', round(CAST(n AS DOUBLE), 6) FROM w2
+UNION ALL SELECT 'n_tokens', round(CAST(sum(n) AS DOUBLE), 6) FROM offs
+UNION ALL SELECT 'n_examples', round(CAST(count(*) AS DOUBLE), 6) FROM win
+UNION ALL SELECT 'n_tag_turns', round(CAST(count(*) AS DOUBLE), 6) FROM conversations
+  WHERE regexp_matches(text, '{checks.special_alternation()}')"""))
+def d5_corpus_report(spark, d):
+    blocks = _blocks(spark, d)
+    lines = W.lines(blocks)
+    return checks.metric_rows(
+        n_chats=blocks.agg(F.count(F.lit(1))),
+        n_bytes=blocks.agg(F.sum(F.octet_length("block"))),
+        mb=blocks.agg(F.sum(F.octet_length("block")) / 1048576.0),
+        n_lines=lines.agg(F.count(F.lit(1))),
+        n_words=W.words(lines).agg(F.count(F.lit(1))),
+        n_tokens=pack.token_bytes(_encoded(spark, d)).select("n_tokens"),
+        n_examples=_windows(spark, d).agg(F.count(F.lit(1))),
+        n_tag_turns=_turns(spark, d).filter(checks.has_literal_tag()).agg(F.count(F.lit(1))))
