@@ -681,3 +681,115 @@ def d5_corpus_report(spark, d):
         n_tokens=pack.token_bytes(_encoded(spark, d)).select("n_tokens"),
         n_examples=_windows(spark, d).agg(F.count(F.lit(1))),
         n_tag_turns=_turns(spark, d).filter(checks.has_literal_tag()).agg(F.count(F.lit(1))))
+
+
+# ---- sinks, caches, stages, streaming, variants (A3, A7, A9, S1-S3, H6, H7) --
+
+from tokloom.operators import variant  # noqa: E402
+from tokloom.sources import corpus as C  # noqa: E402
+from tokloom.streaming import incremental as STR  # noqa: E402
+
+_H4_SQL = S.with_(_ENC_CTE, f"SELECT conv_id, {S.sym_ids_csv('s')} AS ids FROM enc")
+
+
+def _csv_ids(df):
+    return df.select("conv_id", ids_csv(F.col("ids")).alias("ids"))
+
+
+@register("h4_encode_dictionary", _H4_SQL)
+def h4_encode_dictionary(spark, d):
+    """Plan B (distinct-word dictionary + salted join) on the same merges."""
+    return _csv_ids(codec.encode_words(_blocks(spark, d), "block", _merges(spark, d)))
+
+
+@register("h1_bpe_merges_strict", S.with_(S.bpe_ctes(K), """
+SELECT rank, "left", "right", new_id, c FROM merges"""))
+def h1_bpe_merges_strict(spark, d):
+    res = bpe.train(bpe.training_state(_freq(spark, d)), num_merges=K, batched=False)
+    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(res.merges)]
+    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+
+
+@register("h7_tokenizer_contract", _H4_SQL)
+def h7_tokenizer_contract(spark, d):
+    tok: codec.Tokenizer = codec.MergeTableTokenizer(_merges(spark, d), vocab_size=32000)
+    return _csv_ids(tok.encode_df(_blocks(spark, d), "block"))
+
+
+@register("h6_byte_level_merges", None)
+def h6_byte_level_merges(spark, d):
+    ms = variant.train_byte_level(_lines(spark, d), K)
+    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(ms)]
+    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+
+
+@register("a3_corpus_size", S.with_(S.BLOCKS_CTE, """
+SELECT CAST(sum(strlen(block)) AS BIGINT) AS n_bytes, round(sum(strlen(block)) / 1048576.0, 6) AS mb
+FROM blocks"""))
+def a3_corpus_size(spark, d):
+    out = STR.scratch_dir(spark, "corpus")
+    C.write_corpus(_blocks(spark, d), out)
+    files = spark.read.text(out, wholetext=True)
+    return files.agg(F.sum(F.octet_length("value")).cast("bigint").alias("n_bytes")).select(
+        "n_bytes", F.round(F.col("n_bytes") / 1048576.0, 6).alias("mb"))
+
+
+@register("a7_token_cache", _H4_SQL)
+def a7_token_cache(spark, d):
+    root = STR.scratch_dir(spark, "token-cache")
+    blocks = _blocks(spark, d)
+    build = lambda: codec.encode(blocks, "block", _merges(spark, d))
+    C.cached_tokens(spark, root, blocks, _merges(spark, d), build, window=L)
+    return _csv_ids(C.cached_tokens(spark, root, blocks, _merges(spark, d), build, window=L))
+
+
+@register("a9_stages", _H4_SQL)
+def a9_stages(spark, d):
+    root = STR.scratch_dir(spark, "stages")
+    blocks = C.materialized(spark, f"{root}/blocks", lambda: _blocks(spark, d))
+    merges = C.materialized(spark, f"{root}/tokenizer", lambda: _merge_df(spark, d))
+    toks = C.materialized(spark, f"{root}/tokens",
+                          lambda: codec.encode(blocks, "block", merges))
+    return _csv_ids(toks)
+
+
+def _landing_chats(spark, d, parts: int = 4) -> str:
+    path = STR.scratch_dir(spark, "landing-chats")
+    chats.nest_turns(_turns(spark, d)).repartitionByRange(parts, "conv_id") \
+        .write.parquet(path)
+    return path
+
+
+@register("s1_incremental_encode", _H4_SQL)
+def s1_incremental_encode(spark, d):
+    src = _landing_chats(spark, d)
+    out = STR.scratch_dir(spark, "s1-sink")
+    res = STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d))
+    return _csv_ids(res)
+
+
+@register("s2_running_word_counts", f"""
+WITH parts AS (
+  SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)),
+                              chr(10)) AS ps FROM documents),
+lines AS (
+  SELECT CASE WHEN t.n < len(ps) THEN t.p || chr(10) ELSE t.p END AS line
+  FROM parts, unnest(ps) WITH ORDINALITY AS t(p, n)
+  WHERE CASE WHEN t.n < len(ps) THEN t.p || chr(10) ELSE t.p END <> '')
+SELECT word, count(*) AS n
+FROM (SELECT unnest(regexp_extract_all(line, '{W.PRETOKEN_PATTERN}')) AS word FROM lines)
+GROUP BY word""")
+def s2_running_word_counts(spark, d):
+    src = STR.scratch_dir(spark, "landing-docs")
+    read_table(spark, d, "documents").repartitionByRange(4, "doc_id").write.parquet(src)
+    out = STR.scratch_dir(spark, "s2-out")
+    return STR.run_word_counts(spark, src, out, out + "-ckpt")
+
+
+@register("s3_progress", None)
+def s3_progress(spark, d):
+    src = _landing_chats(spark, d)
+    out = STR.scratch_dir(spark, "s3-sink")
+    rec = STR.ProgressRecorder()
+    STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d), listener=rec)
+    return rec.to_df(spark)

@@ -41,5 +41,5 @@ def save_tokenizer(merges: DataFrame, path: str, vocab_size: int = 32000) -> Non
 
 def load_tokenizer(spark: SparkSession, path: str) -> DataFrame:
     """Read a tokenizer document (ours, or a pretty-printed multi-line one)."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return merges_from_json(raw.select(F.col("value").alias("json")))
