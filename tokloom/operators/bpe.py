@@ -13,7 +13,10 @@ pair seen first -- earliest word by first occurrence, then leftmost position.
 Batched rounds (exact): after taking the best pair ``(a, b)``, the next pair in
 order is also final if it shares no symbol with any accepted pair and its count
 is strictly above every count a new symbol could reach, which is at most the
-largest count of a pair ending in ``a`` or starting with ``b``.
+largest count of a pair ending in ``a`` or starting with ``b``. Every pair that
+could block candidate ``j`` has a count >= ``c_j`` and so is inside the sorted
+top-``k`` list (unless the list ends in a tie at ``c_j``, which stops the
+round) -- one aggregation and one top-k per round decide the whole batch.
 """
 
 from __future__ import annotations
@@ -74,6 +77,43 @@ def training_state(freq: DataFrame, exclude_special: bool = False,
     return st.select("word", "sym", "n", "first_pos")
 
 
+def choose_batch(rows, room: int, complete: bool) -> list:
+    """Longest prefix of the sorted candidates that strict rounds would also pick.
+
+    ``rows`` are the top pairs in (count desc, first asc) order; ``complete``
+    says the list holds every pair. Candidate ``j`` is accepted when it shares
+    no symbol with an accepted pair, and no listed pair with count >= ``c_j``
+    ends in an accepted left symbol or starts with an accepted right symbol.
+    """
+    chosen, used, lefts, rights = [], set(), set(), set()
+    for j, r in enumerate(rows):
+        if len(chosen) >= room:
+            break
+        if chosen:
+            c = r["c"]
+            if r["left"] in used or r["right"] in used:
+                break
+            if not complete and rows[-1]["c"] >= c:
+                break
+            if any(p["c"] >= c and (p["right"] in lefts or p["left"] in rights)
+                   for p in rows):
+                break
+        chosen.append(r)
+        used.update((r["left"], r["right"]))
+        lefts.add(r["left"])
+        rights.add(r["right"])
+    return chosen
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (lineage cut in ``spark.checkpoint.dir``), computed once."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 @dataclass
 class TrainResult:
     merges: list[tuple[int, int, int, int]] = field(default_factory=list)   # (a, b, new, c)
@@ -99,35 +139,16 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     if BASE_BYTES + limit - 1 > MAX_SYMBOL_ID:
         raise ValueError("vocabulary too large for one-character symbols")
     res = TrainResult()
-    cur = state.select("word", "sym", "n", "first_pos").checkpoint(eager=True)
+    cur = checkpointed(state.select("word", "sym", "n", "first_pos"))
     pending = 0
     while len(res.merges) < limit:
-        stats = pair_stats(cur).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            k = candidates if batched else 1
-            top = best_pairs(stats, k)
-            if batched:
-                ends = stats.groupBy(F.col("right").alias("s")).agg(F.max("c").alias("end_max"))
-                starts = stats.groupBy(F.col("left").alias("s")).agg(F.max("c").alias("start_max"))
-                top = (top.join(ends, top["left"] == ends["s"], "left").drop("s")
-                       .join(starts, top["right"] == starts["s"], "left").drop("s"))
-            rows = top.select("left", "right", "c", "first",
-                              *(["end_max", "start_max"] if batched else [])).collect()
-        finally:
-            stats.unpersist()
+        k = candidates if batched else 1
+        rows = (best_pairs(pair_stats(cur), k)
+                .select("left", "right", "c", "first").collect())
         if not rows:
             break
         rows.sort(key=lambda r: (-r["c"], r["first"]))
-        chosen, used, bound = [], set(), -1
-        for r in rows:
-            if len(res.merges) + len(chosen) >= limit:
-                break
-            if chosen and (r["left"] in used or r["right"] in used or r["c"] <= bound):
-                break
-            chosen.append(r)
-            used.update((r["left"], r["right"]))
-            if batched:
-                bound = max(bound, r["end_max"] or 0, r["start_max"] or 0)
+        chosen = choose_batch(rows, limit - len(res.merges), complete=len(rows) < k)
         step = []
         for r in chosen:
             new_id = BASE_BYTES + len(res.merges)
@@ -137,7 +158,7 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
         cur = cur.withColumn("sym", apply_merges(F.col("sym"), step))
         pending += len(step)
         if pending >= checkpoint_every:
-            cur = cur.checkpoint(eager=True)
+            cur = checkpointed(cur)
             pending = 0
         if progress is not None:
             progress(res.rounds, len(res.merges))
