@@ -27,10 +27,13 @@ def test_encode_plans_match_python(spark, sf_small):
     a = {r["conv_id"]: r["ids"] for r in codec.encode(blocks, "block", merges).collect()}
     b = {r["conv_id"]: r["ids"] for r in
          codec.encode_words(blocks, "block", merges, hot_words=5).collect()}
+    c = {r["conv_id"]: r["ids"] for r in
+         codec.encode(blocks, "block", merges, plan="arrow").collect()}
     for cid, t in texts.items():
         expect = py_encode(t, merges)
         assert a[cid] == expect
         assert b[cid] == expect
+        assert c[cid] == expect
     vocab = bpe.vocabulary(spark, merges)
     dec = codec.decode(codec.encode(blocks, "block", merges), "ids", vocab)
     assert {r["conv_id"]: r["text"] for r in dec.collect()} == texts

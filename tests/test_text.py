@@ -66,7 +66,8 @@ def test_lines_keep_newline_and_fold_cr(spark):
 
 def test_word_frequency_first_position(spark):
     lines = _lines_df(spark, ["b a\n", "a b a\n"])
-    fq = {r["word"]: (r["n"], tuple(r["first_pos"])) for r in
-          W.word_frequency(W.words(lines)).collect()}
+    fq = {r["word"]: (r["n"], tuple(r["fp"])) for r in
+          W.word_frequency(W.words(lines)).select(
+              "word", "n", W.position_struct(F.col("first_pos")).alias("fp")).collect()}
     assert fq["a"] == (3, (1, 0, 2))
     assert fq["b"] == (2, (1, 0, 0))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tokloom.functions.pattern import BASE_BYTES, DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
 from tokloom.functions.symbols import MAX_SYMBOL_ID, id_char
+from tokloom.operators.scan import global_row_number, quantile_buckets
 from tokloom.session import ensure_checkpoint_dir
 
 MERGE_SCHEMA = T.StructType([
@@ -43,13 +44,16 @@ def pair_stats(state: DataFrame) -> DataFrame:
     """D3: ``(p, c, first, left, right)`` over adjacent symbol pairs.
 
     Overlaps count (``aaa`` has two ``aa``). Words of one symbol are filtered
-    before ``sequence`` (which would otherwise count down).
+    before ``sequence`` (which would otherwise count down). ``first`` is the
+    exact key ``wrank * 2^31 + i`` (first word, then leftmost position) as a
+    decimal, so both aggregates stay hash-based with map-side combine.
     """
+    d = "decimal(38,0)"
     multi = state.filter(F.length("sym") > 1)
-    occ = multi.select("n", "first_pos", "sym",
+    occ = multi.select("n", "wrank", "sym",
                        F.explode(F.sequence(F.lit(1), F.length("sym") - 1)).alias("i"))
-    occ = occ.select(F.substring("sym", F.col("i"), 2).alias("p"), "n",
-                     F.struct("first_pos", "i").alias("at"))
+    at = (F.col("wrank").cast(d) * F.lit(1 << 31).cast(d) + F.col("i").cast(d)).cast(d)
+    occ = occ.select(F.substring("sym", F.col("i"), 2).alias("p"), "n", at.alias("at"))
     return (occ.groupBy("p")
             .agg(F.sum("n").cast("bigint").alias("c"), F.min("at").alias("first"))
             .withColumn("left", F.ascii(F.substring("p", 1, 1)))
@@ -70,11 +74,17 @@ def apply_merges(sym, merges: list[tuple[int, int, int]]):
 
 def training_state(freq: DataFrame, exclude_special: bool = False,
                    specials: dict[str, int] | None = None) -> DataFrame:
-    """Frequency table -> BPE state; specials count as words unless excluded."""
+    """Frequency table -> BPE state ``(word, sym, n, first_pos, wrank)``.
+
+    ``wrank`` is the dense first-occurrence rank of each distinct word (a
+    two-phase global row number, no single-task sort). Specials count as
+    ordinary words unless excluded.
+    """
     st = freq
     if exclude_special:
         st = st.filter(~F.col("word").isin(list((specials or SPECIAL_TOKENS).keys())))
-    return st.select("word", "sym", "n", "first_pos")
+    st = st.select("word", "sym", "n", "first_pos")
+    return global_row_number(quantile_buckets(st, "first_pos"), ["first_pos"], "wrank")
 
 
 def choose_batch(rows, room: int, complete: bool) -> list:
@@ -139,7 +149,7 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     if BASE_BYTES + limit - 1 > MAX_SYMBOL_ID:
         raise ValueError("vocabulary too large for one-character symbols")
     res = TrainResult()
-    cur = checkpointed(state.select("word", "sym", "n", "first_pos"))
+    cur = checkpointed(state.select("word", "sym", "n", "first_pos", "wrank"))
     pending = 0
     while len(res.merges) < limit:
         k = candidates if batched else 1

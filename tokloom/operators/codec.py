@@ -6,7 +6,7 @@ table to every other word in rank order -- equivalent to the repeated
 "lowest-rank pair first" loop, because a pair that contains a merged symbol
 always ranks after that symbol's own merge.
 
-Two physical plans:
+Three physical plans:
 
 * plan A (<= ``NATIVE_MERGE_LIMIT`` merges): one narrow projection per block --
   word symbols joined with a separator that belongs to no pair, a chain of
@@ -18,6 +18,10 @@ Two physical plans:
   almost half of all words) are broadcast from a size-capped dictionary of the
   most frequent words; the long tail is shuffle-joined, where no key can be
   larger than the cap's cut-off count.
+* plan C (any size, the default beyond a few merges): pre-tokenise in the JVM,
+  then one Arrow-batched pandas function maps each word list to ids with a
+  per-task memo. Narrow like plan A, linear in the text whatever the merge
+  count, and without plan B's two shuffles of the token stream.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from tokloom.operators.flatten import fold_newlines
 from tokloom.operators.words import pretokens
 
 NATIVE_MERGE_LIMIT = 256
+AUTO_NATIVE_MERGES = 16
 HOT_WORDS = 20_000          # rows in the broadcast part of the word dictionary
 
 
@@ -69,12 +74,69 @@ def encode_native(text: Column, merges, specials: dict[str, int] | None = None,
 
 
 def encode(df: DataFrame, text_col: str, merges, key: str = "conv_id",
-           specials: dict[str, int] | None = None, out: str = "ids") -> DataFrame:
-    """H4: ``(key, ids)``; picks plan A or plan B by merge count."""
+           specials: dict[str, int] | None = None, out: str = "ids", plan: str = "auto"
+           ) -> DataFrame:
+    """H4: ``(key, ids)``.
+
+    ``plan``: ``native`` (A), ``dictionary`` (B), ``arrow`` (C) or ``auto`` --
+    A for short merge tables (each merge is one pass over the text), else C.
+    """
     ms = _merge_list(merges)
-    if len(ms) <= NATIVE_MERGE_LIMIT:
+    if plan == "auto":
+        plan = "native" if len(ms) <= AUTO_NATIVE_MERGES else "arrow"
+    if plan == "native":
         return df.select(key, encode_native(F.col(text_col), ms, specials).alias(out))
-    return encode_words(df, text_col, ms, key, specials, out)
+    if plan == "dictionary":
+        return encode_words(df, text_col, ms, key, specials, out)
+    return spread(df).select(key, encode_arrow(F.col(text_col), ms, specials).alias(out))
+
+
+def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
+                 pattern: str = PRETOKEN_PATTERN) -> Column:
+    """H4 plan C: JVM pre-tokenisation, then an Arrow-batched word -> ids map.
+
+    Narrow (no shuffle, no explode). Each Python worker keeps a memo of the
+    words it has encoded, so a word is run through BPE once per task however
+    often it occurs; the merge table in the closure is bounded by the
+    vocabulary size. Cost is linear in the text and independent of the number
+    of merges, unlike plan A.
+    """
+    ms = _merge_list(merges)
+    sp = dict(specials or SPECIAL_TOKENS)
+    ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
+    new_ids = {(a, b): n for a, b, n in ms}
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def _enc(word_lists: pd.Series) -> pd.Series:
+        enc = _bpe_word_encoder(ranks, new_ids)
+        memo: dict[str, list[int]] = {}
+
+        def one(ws):
+            if ws is None:
+                return None
+            out: list[int] = []
+            for w in ws:
+                r = memo.get(w)
+                if r is None:
+                    r = [sp[w]] if w in sp else enc(w.encode("utf-8"))
+                    memo[w] = r
+                out.extend(r)
+            return out
+        return word_lists.map(one)
+
+    return _enc(pretokens(fold_newlines(text), pattern))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work at least one partition per core.
+
+    A no-op whenever the input already has that many partitions (any large
+    table); small inputs stored in few row groups get a round-robin split.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 # ---- plan B: distinct-word dictionary ---------------------------------------

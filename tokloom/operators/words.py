@@ -22,17 +22,15 @@ def pretokens(text: Column, pattern: str = PRETOKEN_PATTERN) -> Column:
 def lines(blocks_df: DataFrame, key: str = "conv_id", text: str = "block") -> DataFrame:
     """A4: ``(key, line_no, line)``; every line keeps its ``\\n``.
 
-    A block that ends in ``\\n`` yields no trailing empty line; an unterminated
-    last line is kept as is. Newlines are folded first, as text-mode reading does.
+    Split after each newline (zero-width look-behind), so every piece already
+    ends in its ``\\n`` and only the empty piece after a final newline is
+    dropped; an unterminated last line is kept as is. Newlines are folded
+    first, as text-mode reading does.
     """
-    parts = F.split(fold_newlines(F.col(text)), "\n")
-    exploded = blocks_df.select(key, F.size(parts).alias("_n"),
-                                F.posexplode(parts).alias("line_no", "_p"))
-    line = F.when(F.col("line_no") < F.col("_n") - 1,
-                  F.concat(F.col("_p"), F.lit("\n"))).otherwise(F.col("_p"))
-    return (exploded.select(key, F.col("line_no").cast("int").alias("line_no"),
-                            line.alias("line"))
-            .filter(F.col("line") != ""))
+    parts = F.split(fold_newlines(F.col(text)), "(?<=\n)")
+    return (blocks_df.select(key, F.posexplode(parts).alias("line_no", "line"))
+            .filter(F.col("line") != "")
+            .select(key, F.col("line_no").cast("int").alias("line_no"), "line"))
 
 
 def words(lines_df: DataFrame, key: str = "conv_id", pattern: str = PRETOKEN_PATTERN
@@ -43,17 +41,40 @@ def words(lines_df: DataFrame, key: str = "conv_id", pattern: str = PRETOKEN_PAT
                            .alias("word_no", "word"))
 
 
+def position_key(key: Column, line_no: Column, word_no: Column) -> Column:
+    """Exact order key of (key, line_no, word_no) as one ``DECIMAL(38,0)``.
+
+    ``key * 2^62 + line_no * 2^31 + word_no`` is monotone in the triple for any
+    bigint key and non-negative int positions, and -- unlike a struct -- keeps
+    ``min`` on the hash-aggregate path (a struct minimum falls back to a sort).
+    """
+    d = "decimal(38,0)"
+    return (key.cast(d) * F.lit(1 << 62).cast(d) + line_no.cast(d) * F.lit(1 << 31).cast(d)
+            + word_no.cast(d)).cast(d)
+
+
+def position_struct(pos: Column) -> Column:
+    """Inverse of ``position_key`` for display: ``struct(k, line_no, word_no)``."""
+    d = "decimal(38,0)"
+    k = F.floor(pos / F.lit(1 << 62).cast(d))
+    rest = pos - k.cast(d) * F.lit(1 << 62).cast(d)
+    line = F.floor(rest / F.lit(1 << 31).cast(d))
+    word = rest - line.cast(d) * F.lit(1 << 31).cast(d)
+    return F.struct(k.cast("bigint").alias("k"), line.cast("int").alias("line_no"),
+                    word.cast("int").alias("word_no"))
+
+
 def word_frequency(words_df: DataFrame, key: str = "conv_id") -> DataFrame:
     """``(word, sym, n, first_pos)``.
 
     Hash aggregate with map-side partial counts, so a hot word (a single space
     is almost half of all words) is pre-combined in every task before the
-    shuffle. ``first_pos`` (earliest occurrence) reproduces the insertion order
-    the reference's dictionary uses to break ties.
+    shuffle. ``first_pos`` (earliest occurrence, see ``position_key``)
+    reproduces the insertion order the reference's dictionary uses to break ties.
     """
+    pos = position_key(F.col(key), F.col("line_no"), F.col("word_no"))
     return (words_df.groupBy("word")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.min(F.struct(F.col(key).alias("k"), "line_no", "word_no")).alias("first_pos"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first_pos"))
             .withColumn("sym", word_to_sym(F.col("word"))))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -59,3 +61,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tokloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tokloom`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by the Arrow/pandas operators; done once per application. On a
+    cluster where the package is installed on executors this is harmless.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tokloom-pkg-"), "tokloom.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
