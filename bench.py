@@ -66,8 +66,6 @@ def main() -> None:
     timed("h4_encode_chats", lambda: force(enc))
     enc_docs = codec.encode(doc_blocks, "block", merges, key="doc_id")
     timed("h4_encode_documents", lambda: force(enc_docs))
-    enc_b = codec.encode_words(doc_blocks, "block", merges, key="doc_id")
-    timed("h4_encode_documents_dictionary", lambda: force(enc_b))
 
     # token table materialised once, as the pipeline's cache stage would
     tokens = timed("a7_token_table", lambda: bpe.checkpointed(

@@ -141,7 +141,9 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     """H1: learn up to ``num_merges`` merges (default ``vocab_size - 256 - n_special``).
 
     Stops early when no pair is left. Lineage is cut with a reliable
-    ``checkpoint()`` once ``checkpoint_every`` replacements have been chained.
+    ``checkpoint()`` once ``checkpoint_every`` replacements have been chained;
+    at each cut, words already reduced to one symbol leave the working state
+    (``TrainResult.state`` therefore holds only the still-divisible words).
     """
     spark = state.sparkSession
     ensure_checkpoint_dir(spark)
@@ -149,7 +151,8 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     if BASE_BYTES + limit - 1 > MAX_SYMBOL_ID:
         raise ValueError("vocabulary too large for one-character symbols")
     res = TrainResult()
-    cur = checkpointed(state.select("word", "sym", "n", "first_pos", "wrank"))
+    cur = checkpointed(state.select("word", "sym", "n", "first_pos", "wrank")
+                       .filter(F.length("sym") > 1))
     pending = 0
     while len(res.merges) < limit:
         k = candidates if batched else 1
@@ -168,7 +171,8 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
         cur = cur.withColumn("sym", apply_merges(F.col("sym"), step))
         pending += len(step)
         if pending >= checkpoint_every:
-            cur = checkpointed(cur)
+            # words that became one symbol can never form a pair again
+            cur = checkpointed(cur.filter(F.length("sym") > 1))
             pending = 0
         if progress is not None:
             progress(res.rounds, len(res.merges))

@@ -793,3 +793,16 @@ def s3_progress(spark, d):
     rec = STR.ProgressRecorder()
     STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d), listener=rec)
     return rec.to_df(spark)
+
+
+@register("b2_special_tokens", S.with_(S.BLOCKS_CTE + f""",
+ew AS (SELECT unnest(regexp_extract_all({S.FOLDED_BLOCK}, '{W.PRETOKEN_PATTERN}')) AS word
+       FROM blocks)""", """
+SELECT word, count(*) AS n FROM ew WHERE word IN ('<HUMAN>', '<GPT>', '<|endoftext|>')
+GROUP BY word"""))
+def b2_special_tokens(spark, d):
+    """B2: encode-time pre-tokens that are special tokens (bypass BPE)."""
+    occ = _blocks(spark, d).select(F.explode(W.pretokens(flatten.fold_newlines(F.col("block"))))
+                                   .alias("word"))
+    return (occ.filter(F.col("word").isin(*M.SPECIAL_WORDS))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
