@@ -25,23 +25,31 @@ ROWS_PER_BUCKET = 1 << 20
 
 
 def quantile_buckets(df: DataFrame, key: str, n_buckets: int | None = None,
-                     rel_err: float = 1e-3) -> DataFrame:
+                     accuracy: int = 10_000, max_buckets: int = 4096) -> DataFrame:
     """Add ``_bucket`` (int) monotone in numeric ``key`` from approx quantiles.
 
-    Only the ``n_buckets - 1`` split points reach the driver. Binary search over
-    them runs in the JVM (``Bucketizer``).
+    One aggregation pass returns the row count and a fixed grid of approximate
+    quantiles; only those ``<= max_buckets`` split points reach the driver.
+    Binary search over them runs in the JVM (``Bucketizer``). There are always
+    at least two data-derived buckets, so the bucket-base join stays an
+    equi-join (a literal bucket would be folded into a cross join).
     """
+    grid = max_buckets if n_buckets is None else max(2, n_buckets)
+    probs = [i / grid for i in range(1, grid)]
+    kd = F.col(key).cast("double")
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(kd, probs, accuracy).alias("q")).first()
+    n, qs = row["n"], list(row["q"] or [])
     if n_buckets is None:
-        n = df.select(key).count()
-        n_buckets = max(1, min(1 << 14, math.ceil(n / ROWS_PER_BUCKET)))
-    if n_buckets <= 1:
-        return df.withColumn(BUCKET, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, probs, rel_err)
+        want = max(2, min(grid, math.ceil(n / ROWS_PER_BUCKET)))
+        step = grid / want
+        qs = [qs[min(len(qs) - 1, int(round(step * i)) - 1)] for i in range(1, want)] if qs else []
     splits = [-math.inf] + sorted(set(q for q in qs if q is not None)) + [math.inf]
+    if len(splits) < 3:
+        splits = [-math.inf, 0.0, math.inf]
     tmp = f"{key}__d"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
-    out = b.transform(df.withColumn(tmp, F.col(key).cast("double")))
+    out = b.transform(df.withColumn(tmp, kd))
     return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
 
 
