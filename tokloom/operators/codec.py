@@ -39,6 +39,7 @@ from tokloom.operators.words import pretokens
 
 NATIVE_MERGE_LIMIT = 256
 AUTO_NATIVE_MERGES = 16
+MEMO_WORDS = 500_000        # per-task word -> ids cache entries (plan C)
 HOT_WORDS = 20_000          # rows in the broadcast part of the word dictionary
 
 
@@ -119,6 +120,8 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
                 r = memo.get(w)
                 if r is None:
                     r = [sp[w]] if w in sp else enc(w.encode("utf-8"))
+                    if len(memo) >= MEMO_WORDS:      # bounded cache, results unchanged
+                        memo.clear()
                     memo[w] = r
                 out.extend(r)
             return out

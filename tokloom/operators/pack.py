@@ -22,10 +22,13 @@ from tokloom.operators.scan import (BUCKET, global_row_number, hash_prefix_bucke
 def token_offsets(tokens: DataFrame, key: str = "conv_id", ids: str = "ids") -> DataFrame:
     """``(key, ids, n, start)``; ``start`` = tokens of all earlier chats.
 
-    Two-phase exclusive prefix sum over quantile buckets of ``key``.
+    The two-phase exclusive prefix sum (quantile buckets of ``key``) runs on
+    the narrow ``(key, n)`` projection and is joined back on the unique
+    ``key``, so id arrays are never buffered in a bucket-wide window.
     """
-    with_n = tokens.withColumn("n", F.size(ids).cast("bigint"))
-    return prefix_sum(quantile_buckets(with_n, key), [key], "n", "start")
+    narrow = tokens.select(key, F.size(ids).cast("bigint").alias("n"))
+    offs = prefix_sum(quantile_buckets(narrow, key), [key], "n", "start")
+    return tokens.select(key, ids).join(offs, key)
 
 
 def window_count(offsets: DataFrame, L: int) -> DataFrame:

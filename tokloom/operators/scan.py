@@ -28,22 +28,20 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int | None = None,
                      accuracy: int = 10_000, max_buckets: int = 4096) -> DataFrame:
     """Add ``_bucket`` (int) monotone in numeric ``key`` from approx quantiles.
 
-    One aggregation pass returns the row count and a fixed grid of approximate
-    quantiles; only those ``<= max_buckets`` split points reach the driver.
-    Binary search over them runs in the JVM (``Bucketizer``). There are always
-    at least two data-derived buckets, so the bucket-base join stays an
-    equi-join (a literal bucket would be folded into a cross join).
+    The bucket count follows the row count (about ``ROWS_PER_BUCKET`` rows each,
+    at most ``max_buckets``); one more aggregation returns that many approximate
+    quantiles, and only those split points reach the driver. Binary search over
+    them runs in the JVM (``Bucketizer``). There are always at least two
+    data-derived buckets, so the bucket-base join stays an equi-join (a literal
+    bucket would be folded into a cross join).
     """
-    grid = max_buckets if n_buckets is None else max(2, n_buckets)
-    probs = [i / grid for i in range(1, grid)]
-    kd = F.col(key).cast("double")
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(kd, probs, accuracy).alias("q")).first()
-    n, qs = row["n"], list(row["q"] or [])
     if n_buckets is None:
-        want = max(2, min(grid, math.ceil(n / ROWS_PER_BUCKET)))
-        step = grid / want
-        qs = [qs[min(len(qs) - 1, int(round(step * i)) - 1)] for i in range(1, want)] if qs else []
+        n = df.select(key).count()
+        n_buckets = min(max_buckets, math.ceil(n / ROWS_PER_BUCKET))
+    n_buckets = max(2, n_buckets)
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    kd = F.col(key).cast("double")
+    qs = df.agg(F.percentile_approx(kd, probs, accuracy).alias("q")).first()["q"] or []
     splits = [-math.inf] + sorted(set(q for q in qs if q is not None)) + [math.inf]
     if len(splits) < 3:
         splits = [-math.inf, 0.0, math.inf]

@@ -67,13 +67,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tokloom`` importable in Python workers (``addPyFile`` of a zip).
+    """Make ``tokloom`` importable in local-mode Python workers (``addPyFile``).
 
     Needed by the Arrow/pandas operators; done once per application. On a
-    cluster where the package is installed on executors this is harmless.
+    cluster the package is deployed the standard way (``--py-files`` or
+    installed on executors), so nothing is written to a machine-local folder.
     """
     app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not spark.sparkContext.master.startswith("local"):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="tokloom-pkg-"), "tokloom.zip")
