@@ -49,11 +49,12 @@ def main() -> None:
     force(read_table(spark, SF_DIR, "region"))
 
     turns = read_table(spark, SF_DIR, "conversations")
-    docs = read_table(spark, SF_DIR, "documents")
+    docs = read_table(spark, SF_DIR, "documents", text_work=True)
     blocks = flatten.blocks(turns)
 
-    freq_chat = W.word_frequency(W.words(W.lines(blocks)))
-    timed("d2_word_frequency_chats", lambda: force(freq_chat))
+    # the D2 stage output is materialised once and feeds training, as in the pipeline
+    freq_chat = timed("d2_word_frequency_chats", lambda: bpe.checkpointed(
+        W.word_frequency(W.words(W.lines(blocks)))))
     doc_blocks = docs.select("doc_id", F.col("text").alias("block"))
     freq_docs = W.word_frequency(W.words(W.lines(doc_blocks, "doc_id"), "doc_id"), "doc_id")
     timed("d2_word_frequency_documents", lambda: force(freq_docs))

@@ -137,7 +137,7 @@ class TrainResult:
 
 def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEFAULT_VOCAB_SIZE,
           n_special: int = len(SPECIAL_TOKENS), batched: bool = True, candidates: int = 64,
-          checkpoint_every: int = 48, progress=None) -> TrainResult:
+          checkpoint_every: int = 16, progress=None) -> TrainResult:
     """H1: learn up to ``num_merges`` merges (default ``vocab_size - 256 - n_special``).
 
     Stops early when no pair is left. Lineage is cut with a reliable

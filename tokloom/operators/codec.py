@@ -36,6 +36,7 @@ from tokloom.functions.symbols import WORD_SEPARATOR, id_char, ids_csv, word_to_
 from tokloom.operators.bpe import apply_merges
 from tokloom.operators.flatten import fold_newlines
 from tokloom.operators.words import pretokens
+from tokloom.sources.tables import spread
 
 NATIVE_MERGE_LIMIT = 256
 AUTO_NATIVE_MERGES = 16
@@ -130,16 +131,6 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
     return _enc(pretokens(fold_newlines(text), pattern))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy text work at least one partition per core.
-
-    A no-op whenever the input already has that many partitions (any large
-    table); small inputs stored in few row groups get a round-robin split.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
 
 
 # ---- plan B: distinct-word dictionary ---------------------------------------

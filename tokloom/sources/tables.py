@@ -5,6 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """``<base_dir>/<name>.parquet`` (a file or a folder of part files)."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work at least one partition per core.
+
+    A no-op whenever the input already has that many partitions (any large
+    table); a small table stored in few row groups gets a round-robin split
+    (deterministic on recompute: Spark sorts before round-robin repartitioning).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, base_dir: str, name: str, text_work: bool = False
+               ) -> DataFrame:
+    """``<base_dir>/<name>.parquet`` (a file or a folder of part files).
+
+    ``text_work=True`` spreads a table that will feed regex/BPE work.
+    """
+    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if text_work else df
