@@ -63,3 +63,12 @@ def test_tokenizer_json_roundtrip(spark, tmp_path):
     one = io.load_tokenizer(spark, str(p)).collect()
     assert [(r["rank"], r["left"], r["right"], r["new_id"], r["vocab_size"]) for r in one] == \
         [(0, 97, 98, 256, 32000)]
+
+
+def test_byte_level_variant_splits_at_specials(spark):
+    from tokloom.operators import variant, words as W
+    lines = W.lines(spark.createDataFrame([(1, "a<GPT>b can't\n")], "conv_id long, block string"))
+    got = [r["word"] for r in variant.variant_words(lines).orderBy("word_no").collect()]
+    assert got == ["a", "b", " can", "'t", "\n"]
+    ms = variant.train_byte_level(lines, 2)
+    assert all(a >= 3 and b >= 3 and n >= 259 for a, b, n, _ in ms)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tokloom.functions.pattern import SPACE_CLASS, SPECIAL_TOKENS
 from tokloom.operators import bpe
-from tokloom.operators.words import word_frequency, words
+from tokloom.operators.words import word_frequency
 
 # Published GPT-2 pre-tokenizer pattern, with ``\s`` spelled as the Unicode class.
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
@@ -26,16 +26,23 @@ def variant_specials(specials: dict[str, int] | None = None) -> dict[str, int]:
     return {tok: i for i, tok in enumerate(specials or SPECIAL_TOKENS)}
 
 
-def split_specials(lines_df: DataFrame) -> DataFrame:
-    """Remove special tags from the text before pre-tokenisation."""
+def variant_words(lines_df: DataFrame, key: str = "conv_id") -> DataFrame:
+    """``(key, line_no, word_no, word)`` with specials cut out as boundaries.
+
+    Text is split at every special tag first (a tag is never merged and never
+    glues its neighbours together); each piece is pre-tokenised on its own.
+    """
     alt = "|".join(t.replace("|", r"\|") for t in SPECIAL_TOKENS)
-    return lines_df.withColumn("line", F.regexp_replace("line", alt, ""))
+    pieces = F.split(F.col("line"), alt)
+    ws = F.flatten(F.transform(pieces, lambda p: F.regexp_extract_all(
+        p, F.lit(BYTE_LEVEL_PATTERN), 0)))
+    return lines_df.select(key, "line_no", F.posexplode(ws).alias("word_no", "word"))
 
 
 def train_byte_level(lines_df: DataFrame, num_merges: int, key: str = "conv_id",
                      batched: bool = True) -> list[tuple[int, int, int, int]]:
     """Merges ``(left, right, new_id, c)`` in the variant's id space."""
-    freq = word_frequency(words(split_specials(lines_df), key, BYTE_LEVEL_PATTERN), key)
+    freq = word_frequency(variant_words(lines_df, key), key)
     res = bpe.train(bpe.training_state(freq), num_merges=num_merges, batched=batched)
     s = len(SPECIAL_TOKENS)
     return [(a + s, b + s, n + s, c) for a, b, n, c in res.merges]
