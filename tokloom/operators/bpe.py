@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tokloom.functions.pattern import BASE_BYTES, DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
 from tokloom.functions.symbols import MAX_SYMBOL_ID, id_char
 from tokloom.operators.scan import global_row_number, quantile_buckets
-from tokloom.session import ensure_checkpoint_dir
+from tokloom.session import checkpointed, ensure_checkpoint_dir
 
 MERGE_SCHEMA = T.StructType([
     T.StructField("rank", T.IntegerType()),
@@ -115,15 +115,6 @@ def choose_batch(rows, room: int, complete: bool) -> list:
     return chosen
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (lineage cut in ``spark.checkpoint.dir``), computed once."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
 @dataclass
 class TrainResult:
     merges: list[tuple[int, int, int, int]] = field(default_factory=list)   # (a, b, new, c)

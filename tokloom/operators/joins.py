@@ -1,0 +1,23 @@
+"""Equi-joins whose broadcast side is size-checked first.
+
+``sized_join`` counts the small side and broadcasts it only at or below
+``max_rows``; beyond that the join is an ordinary shuffle join, where AQE's
+skew handling splits oversized partitions of the large side. Use it when the
+small side is a table scan or already materialised (counting is then cheap);
+for a side computed by an aggregation in the same plan, a plain join lets AQE
+decide at run time from the measured size of that side instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1 << 20
+
+
+def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``big.join(small, on, how)`` broadcasting ``small`` only if it is small."""
+    if small.count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

@@ -7,9 +7,11 @@ templates, context crop and completion slicing -- all as table operators.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tokloom.functions.pattern import SPECIAL_TOKENS
+from tokloom.operators.joins import sized_join
+from tokloom.session import checkpointed
 
 MODEL_VOCAB = 32003          # 32,000 + 3 specials: the model's output width
 
@@ -45,12 +47,16 @@ def cross_entropy(pairs: DataFrame, bigrams: DataFrame, key: str = "conv_id",
     """M2: ``(key, n, ce, ppl)`` -- mean ``-ln p`` of each chat's next-token pairs.
 
     Pairs are first counted per (key, x, y), so repeated pairs travel once; an
-    unseen pair or context falls back to the add-alpha floor.
+    unseen pair or context falls back to the add-alpha floor. The bigram table
+    is materialised (reliable checkpoint) and broadcast only after a size
+    check, a shuffle join beyond it; the context table is bounded by the
+    vocabulary.
     """
     per = pairs.groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("m"))
+    bigrams = checkpointed(bigrams.select("x", "y", "c"))      # the M1 table, built once
     ctx = context_totals(bigrams)
-    j = (per.join(bigrams.select("x", "y", "c"), ["x", "y"], "left")
-         .join(F.broadcast(ctx), "x", "left"))
+    j = sized_join(per, bigrams, ["x", "y"], "left")
+    j = j.join(F.broadcast(ctx), "x", "left")
     p = (F.coalesce(F.col("c"), F.lit(0)) + alpha) / (F.coalesce(F.col("c_x"), F.lit(0)) + alpha * vocab)
     return (j.groupBy(key)
             .agg(F.sum("m").cast("bigint").alias("n"),
@@ -60,10 +66,18 @@ def cross_entropy(pairs: DataFrame, bigrams: DataFrame, key: str = "conv_id",
 
 def temperature_softmax(df: DataFrame, score: str, group: list[str], T: float = 0.8,
                         out: str = "w") -> DataFrame:
-    """M3: ``exp((s - max) / T) / sum(exp((s - max) / T))`` within each group."""
-    w = Window.partitionBy(*group)
-    e = F.exp((F.col(score) - F.max(score).over(w)) / T)
-    return df.withColumn("_e", e).withColumn(out, F.col("_e") / F.sum("_e").over(w)).drop("_e")
+    """M3: ``exp((s - max) / T) / sum(exp((s - max) / T))`` within each group.
+
+    Two grouped aggregates joined back (max, then the sum of exponentials)
+    instead of a window, so a group of any size is reduced by partial
+    aggregation rather than gathered into one task. The per-group tables are
+    joined plainly: AQE broadcasts them from their measured size.
+    """
+    mx = df.groupBy(*group).agg(F.max(score).alias("_mx"))
+    e = df.join(mx, group).withColumn("_e", F.exp((F.col(score) - F.col("_mx")) / T))
+    tot = e.groupBy(*group).agg(F.sum("_e").alias("_se"))
+    return (e.join(tot, group).withColumn(out, F.col("_e") / F.col("_se"))
+            .drop("_mx", "_e", "_se"))
 
 
 def uniform_from_hash(key: Column, seed: int) -> Column:

@@ -21,7 +21,8 @@ def mse(df: DataFrame, fit: DataFrame, y: str, x: str, group: list[str] | None =
         ) -> DataFrame:
     """R2: predictions ``slope * x + intercept`` and their mean squared error.
 
-    The fit has one row per group (a categorical key); it is broadcast.
+    The fit has one row per group, computed in the same plan: a plain join
+    lets AQE broadcast it from its measured size.
     """
     g = list(group or [])
     if not g:                       # a single fitted line: two numbers, used as literals
@@ -29,7 +30,7 @@ def mse(df: DataFrame, fit: DataFrame, y: str, x: str, group: list[str] | None =
         pred = F.lit(row["slope"]) * F.col(x) + F.lit(row["intercept"])
         return df.agg(F.avg(F.pow(pred - F.col(y), 2)).alias("mse"))
     pred = F.col("slope") * F.col(x) + F.col("intercept")
-    joined = df.join(F.broadcast(fit.select(*g, "slope", "intercept")), g)
+    joined = df.join(fit.select(*g, "slope", "intercept"), g)
     return joined.groupBy(*g).agg(F.avg(F.pow(pred - F.col(y), 2)).alias("mse"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tokloom.operators.joins import sized_join
+
 SMALL_MATRIX_ROWS = 1 << 16
 
 
@@ -70,9 +72,7 @@ def matmul_small(coords: DataFrame, matrix: DataFrame, key: str) -> DataFrame:
     B's size is checked before it is broadcast; a larger B falls back to a
     shuffle join on the inner index.
     """
-    n = matrix.count()
-    b = F.broadcast(matrix) if n <= SMALL_MATRIX_ROWS else matrix
-    return (coords.join(b, "pos")
+    return (sized_join(coords, matrix, "pos", max_rows=SMALL_MATRIX_ROWS)
             .groupBy(key, "j").agg(F.sum(F.col("v") * F.col("w")).alias("score")))
 
 
@@ -89,6 +89,6 @@ def gather(v: Column, idx: Column) -> Column:
 def lookup(ids_df: DataFrame, table: DataFrame, id_col: str, table_key: str,
            max_broadcast_rows: int = 1 << 20) -> DataFrame:
     """token/vector id -> table row; broadcast only a table of checked size."""
-    n = table.count()
-    t = F.broadcast(table) if n <= max_broadcast_rows else table
-    return ids_df.join(t, ids_df[id_col] == t[table_key])
+    if table.count() <= max_broadcast_rows:
+        table = F.broadcast(table)
+    return ids_df.join(table, ids_df[id_col] == table[table_key])

@@ -12,7 +12,8 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -86,3 +87,14 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     spark.sparkContext.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor
+    loss, cuts lineage), computed once: persisted while it is written."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
