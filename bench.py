@@ -47,9 +47,9 @@ def main() -> None:
 
     # warm-up (JVM JIT/codegen, Python worker start) on the tiny region table -- not timed
     region = read_table(spark, SF_DIR, "region").select(
-        F.col("r_regionkey").alias("conv_id"), F.col("r_comment").alias("block"))
+        F.col("r_regionkey").cast("bigint").alias("conv_id"), F.col("r_name").alias("block"))
     force(W.word_frequency(W.words(W.lines(region))))
-    force(codec.encode(region, "block", [(101, 32, 256)] * 1 + [(116, 104, 257)] * 0, plan="arrow"))
+    force(codec.encode(region, "block", [(69, 85, 256)], plan="arrow"))
 
     turns = read_table(spark, SF_DIR, "conversations")
     docs = read_table(spark, SF_DIR, "documents", text_work=True)
