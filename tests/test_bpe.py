@@ -72,3 +72,26 @@ def test_byte_level_variant_splits_at_specials(spark):
     assert got == ["a", "b", " can", "'t", "\n"]
     ms = variant.train_byte_level(lines, 2)
     assert all(a >= 3 and b >= 3 and n >= 259 for a, b, n, _ in ms)
+
+
+def test_training_is_partition_invariant(spark, sf_small):
+    lines = _corpus_lines(spark, sf_small)
+    out = []
+    for parts in (1, 17):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            st = bpe.training_state(W.word_frequency(W.words(lines.repartition(parts))))
+            out.append(bpe.train(st, num_merges=20).merges)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert out[0] == out[1]
+
+
+def test_exclude_special_option(spark):
+    text = "<HUMAN>\n<HUMAN>\n<HUMAN>\nab ab\n"
+    with_sp = bpe.train(_state(spark, text), num_merges=1).merges
+    st = bpe.training_state(W.word_frequency(W.words(W.lines(
+        spark.createDataFrame([(1, text)], "conv_id long, block string")))), exclude_special=True)
+    without = bpe.train(st, num_merges=1).merges
+    assert with_sp[0][:2] != (97, 98)      # specials count as ordinary words by default
+    assert without[0][:2] == (97, 98)

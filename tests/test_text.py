@@ -71,3 +71,32 @@ def test_word_frequency_first_position(spark):
               "word", "n", W.position_struct(F.col("first_pos")).alias("fp")).collect()}
     assert fq["a"] == (3, (1, 0, 2))
     assert fq["b"] == (2, (1, 0, 0))
+
+
+def test_json_chat_source_roundtrip(spark, tmp_path, sf_small):
+    import json
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    recs = {}
+    for r in turns.orderBy("conv_id", "turn").collect():
+        recs.setdefault(r["conv_id"], []).append({"from": r["role"], "value": r["text"]})
+    p = tmp_path / "chats.jsonl"
+    with open(p, "w", encoding="utf-8") as f:
+        for cid, conv in recs.items():
+            f.write(json.dumps({"conv_id": cid, "conversations": conv, "source": "x"}) + "\n")
+    nested = chats.read_chat_records(spark, str(p))
+    a = {r["conv_id"]: r["block"] for r in flatten.blocks_from_nested(nested).collect()}
+    b = {r["conv_id"]: r["block"] for r in flatten.blocks(turns).collect()}
+    assert a == b
+
+
+def test_corpus_sink_concatenates_in_order(spark, tmp_path, sf_small):
+    import glob
+    from tokloom.sources import corpus
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    blocks = flatten.blocks(turns)
+    out = str(tmp_path / "corpus")
+    corpus.write_corpus(blocks, out, num_files=3)
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*")))
+    expect = "".join(r["block"] for r in blocks.orderBy("conv_id").collect())
+    assert text == expect
+    assert corpus.corpus_size(blocks).first()["n_bytes"] == len(expect.encode("utf-8"))

@@ -136,27 +136,24 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
 # ---- plan B: distinct-word dictionary ---------------------------------------
 
 def _bpe_word_encoder(ranks: dict[tuple[int, int], int], new_ids: dict[tuple[int, int], int]):
-    """Per-word BPE: repeatedly merge the lowest-ranked adjacent pair."""
+    """Per-word BPE on a symbol string (one character per id).
+
+    Repeatedly takes the lowest-ranked pair present and rewrites every
+    occurrence with ``str.replace`` -- greedy, left to right, non-overlapping,
+    the same rule Spark's ``replace`` applies in plan A.
+    """
+    rank_of = {chr(a) + chr(b): r for (a, b), r in ranks.items()}
+    new_of = {chr(a) + chr(b): chr(new_ids[(a, b)]) for (a, b) in ranks}
+
     def enc(bs: bytes) -> list[int]:
-        ids = list(bs)
-        while len(ids) > 1:
-            best, best_rank = None, None
-            for p in zip(ids, ids[1:]):
-                r = ranks.get(p)
-                if r is not None and (best_rank is None or r < best_rank):
-                    best, best_rank = p, r
-            if best is None:
+        s = bs.decode("latin-1")
+        while len(s) > 1:
+            present = {s[i:i + 2] for i in range(len(s) - 1)} & rank_of.keys()
+            if not present:
                 break
-            nid, out, i = new_ids[best], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == best[0] and ids[i + 1] == best[1]:
-                    out.append(nid)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
+            pair = min(present, key=rank_of.__getitem__)
+            s = s.replace(pair, new_of[pair])
+        return [ord(c) for c in s]
     return enc
 
 
