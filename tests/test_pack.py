@@ -74,3 +74,21 @@ def test_steps_and_token_bytes(spark):
     assert (r["steps_per_epoch"], r["total_steps"]) == (3, 30)
     tb = pack.token_bytes(_tokens(spark, [[1, 2, 3]])).first()
     assert tb["n_tokens"] == 3
+
+
+def test_pipeline_end_to_end(spark, sf_small, tmp_path):
+    from tests.bruteforce import encode as py_encode, windows as py_windows
+    from tokloom.operators import flatten
+    from tokloom.plans import pipeline
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    tok = pipeline.train_tokenizer(turns, num_merges=24)
+    assert len(tok.merges) == 24
+    out = pipeline.corpus_to_batches(turns, tok.merges, window=32, epochs=2,
+                                     cache_root=str(tmp_path / "cache"))
+    texts = [r["block"] for r in flatten.blocks(turns).orderBy("conv_id").collect()]
+    stream = [t for b in texts for t in py_encode(b, tok.merges)]
+    expect = py_windows(stream, 32)
+    got = out.examples.orderBy("example_id").collect()
+    assert [r["x"] + r["y"][-1:] for r in got] == expect
+    per_epoch = out.batches.groupBy("epoch").count().collect()
+    assert sorted(r["count"] for r in per_epoch) == [len(expect)] * 2

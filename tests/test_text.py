@@ -100,3 +100,13 @@ def test_corpus_sink_concatenates_in_order(spark, tmp_path, sf_small):
     expect = "".join(r["block"] for r in blocks.orderBy("conv_id").collect())
     assert text == expect
     assert corpus.corpus_size(blocks).first()["n_bytes"] == len(expect.encode("utf-8"))
+
+
+def test_budget_blocks_prefilter_keeps_same_lines(spark, sf_small):
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    blocks = flatten.blocks(turns)
+    for budget in (0, 5000, 20000):
+        a = W.budget_lines(W.lines(blocks), budget)
+        b = W.budget_lines(W.lines(W.budget_blocks(blocks, budget)), budget)
+        key = lambda df: sorted((r["conv_id"], r["line_no"]) for r in df.collect())
+        assert key(a) == key(b)

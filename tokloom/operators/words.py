@@ -116,3 +116,21 @@ def budget_lines(lines_df: DataFrame, max_bytes: int | None, key: str = "conv_id
     if max_bytes is None:
         return lines_df
     return running_bytes(lines_df, key, max_bytes).filter(F.col("bytes_before") <= F.lit(max_bytes))
+
+
+def budget_blocks(blocks_df: DataFrame, max_bytes: int | None, key: str = "conv_id",
+                  text: str = "block") -> DataFrame:
+    """Chats that can hold lines kept by ``budget_lines`` (start <= budget).
+
+    Chat sizes come from ``octet_length`` of the folded block (no explode); the
+    kept chats are a prefix in ``key`` order, so line offsets computed on them
+    alone are the same as on the whole corpus. Use before ``lines`` so a small
+    training budget never explodes the rest of the corpus.
+    """
+    if max_bytes is None:
+        return blocks_df
+    sizes = blocks_df.select(key, F.octet_length(fold_newlines(F.col(text))).cast("bigint")
+                             .alias("_kb"))
+    starts = prefix_sum(quantile_buckets(sizes, key), [key], "_kb", "_kbase")
+    keep = starts.filter(F.col("_kbase") <= F.lit(max_bytes)).select(key)
+    return blocks_df.join(keep, key, "left_semi")

@@ -99,7 +99,8 @@ SELECT conv_id, line_no, line FROM (
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM lines) WHERE before <= {BUDGET}"""))
 def b3_budget_lines(spark, d):
-    return W.budget_lines(_lines(spark, d), BUDGET).select("conv_id", "line_no", "line")
+    kept = W.budget_blocks(_blocks(spark, d), BUDGET)      # whole chats past the budget dropped first
+    return W.budget_lines(W.lines(kept), BUDGET).select("conv_id", "line_no", "line")
 
 
 @register("d2_word_frequency", S.with_(S.WORDS_CTE, """
