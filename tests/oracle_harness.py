@@ -33,6 +33,10 @@ def _cell(v) -> str:
     return str(v)
 
 
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def rows_of(records) -> list[tuple]:
     return sorted(tuple(_cell(x) for x in r) for r in records)
 
@@ -59,6 +63,12 @@ def compare(spark, sf_dir: str, name: str, build, sql: str | None, con) -> dict:
         return res
     rel = con.sql(sql)
     dcols = list(rel.columns)
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    bad_types = {c: (stypes[c], dtypes.get(c)) for c in stypes
+                 if _TYPE_MAP.get(stypes[c], stypes[c]) != dtypes.get(c)}
+    if bad_types:
+        res["types"] = bad_types
     drows = rel.fetchall()
     res["duck_rows"] = len(drows)
     if sorted(scols) != sorted(dcols):

@@ -45,7 +45,7 @@ def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
 
 @dataclass
 class Batches:
-    tokens: DataFrame        # (conv_id, ids)
+    tokens: DataFrame        # (conv_id, ids, n, start)
     examples: DataFrame      # (example_id, x, y)
     batches: DataFrame       # (epoch, step, slot, example_id)
 
@@ -55,20 +55,22 @@ def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: i
                       role_map: dict | None = None) -> Batches:
     """Entry 1: encode the corpus and cut it into shuffled training batches.
 
-    With ``cache_root`` the token table is written under a fingerprint of the
-    input files, the merge table and the window length and reused while that
-    folder is complete; otherwise it is a reliable checkpoint.
+    With ``cache_root`` the token table (ids plus global offsets) is written
+    under a fingerprint of the input files and the merge table and reused while
+    that folder is complete; otherwise it is a reliable checkpoint.
     """
     blocks = flatten.blocks(turns, role_map)
 
     def build() -> DataFrame:
-        return codec.encode(blocks, "block", merges)
+        # offsets are stored with the ids: the join that attaches them is paid
+        # once per cache, and re-windowing only shuffles window slices
+        return pack.token_offsets(codec.encode(blocks, "block", merges))
 
     if cache_root:
-        tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build, window)
+        tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build)
     else:
         tokens = checkpointed(build())
-    win = checkpointed(pack.windows(pack.token_offsets(tokens), window))
+    win = checkpointed(pack.windows(tokens, window))
     examples = pack.xy(win, window)
     ranked = pack.shuffled(win, seed, epochs=epochs)
     out = pack.batches(ranked, batch_size).select(
