@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tests.bruteforce import encode as py_encode, train as py_train
 from tokloom.operators import bpe, codec, flatten, words as W
 

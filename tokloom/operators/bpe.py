@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tokloom.functions.pattern import BASE_BYTES, DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
