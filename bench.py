@@ -85,9 +85,14 @@ def main() -> None:
     timed("m2_perplexity", lambda: force(M.cross_entropy(pairs, bigrams)))
 
     total = round(sum(times.values()), 3)
+    name = os.path.basename(SF_DIR.rstrip("/"))
+    try:
+        sf: float | str = float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        sf = name
     print(json.dumps({"metric": "corpus_pipeline_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")),
-                      "merge_rounds": res.rounds, "cpus": int(CPUS)}))
+                      "queries": times, "sf": sf, "merge_rounds": res.rounds,
+                      "cpus": int(CPUS)}))
 
 
 if __name__ == "__main__":
