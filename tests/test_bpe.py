@@ -95,3 +95,9 @@ def test_exclude_special_option(spark):
     without = bpe.train(st, num_merges=1).merges
     assert with_sp[0][:2] != (97, 98)      # specials count as ordinary words by default
     assert without[0][:2] == (97, 98)
+
+
+def test_merge_limit_follows_vocab_size(spark, sf_small):
+    # vocab_size - 256 bytes - 3 specials merges at most (Q8)
+    st = bpe.training_state(W.word_frequency(W.words(_corpus_lines(spark, sf_small))))
+    assert len(bpe.train(st, vocab_size=262).merges) == 3

@@ -42,3 +42,11 @@ def test_range_violations(spark):
     bad = codec.range_violations(df, "ids", 32000).collect()
     assert [(r["conv_id"], r["n_bad"], r["bad_ids"]) for r in bad] == [(1, 1, "32000")]
     assert codec.range_violations(df, "ids", 40000, max_len=2).count() == 1
+
+
+def test_decode_unknown_id_fails(spark):
+    import pytest
+    vocab = bpe.vocabulary(spark, [])
+    df = spark.createDataFrame([(1, [104, 31998])], "conv_id long, ids array<int>")
+    with pytest.raises(Exception):
+        codec.decode(df, "ids", vocab).collect()

@@ -110,3 +110,13 @@ def test_budget_blocks_prefilter_keeps_same_lines(spark, sf_small):
         b = W.budget_lines(W.lines(W.budget_blocks(blocks, budget)), budget)
         key = lambda df: sorted((r["conv_id"], r["line_no"]) for r in df.collect())
         assert key(a) == key(b)
+
+
+def test_head_subset_sizes(spark, sf_small):
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    n_chats = turns.select("conv_id").distinct().count()
+    assert chats.head_subset(turns, 0).count() == 0
+    assert chats.head_subset(turns, n_chats + 5).count() == turns.count()
+    first3 = sorted(r["conv_id"] for r in turns.select("conv_id").distinct().collect())[:3]
+    got = sorted({r["conv_id"] for r in chats.head_subset(turns, 3).collect()})
+    assert got == first3
