@@ -101,3 +101,12 @@ def test_merge_limit_follows_vocab_size(spark, sf_small):
     # vocab_size - 256 bytes - 3 specials merges at most (Q8)
     st = bpe.training_state(W.word_frequency(W.words(_corpus_lines(spark, sf_small))))
     assert len(bpe.train(st, vocab_size=262).merges) == 3
+
+
+def test_narrow_and_wide_position_keys_agree(spark, sf_small):
+    st = bpe.training_state(W.word_frequency(W.words(_corpus_lines(spark, sf_small))))
+    a = [tuple(r) for r in bpe.best_pairs(bpe.pair_stats(st, wide=True), 50)
+         .select("left", "right", "c").collect()]
+    b = [tuple(r) for r in bpe.best_pairs(bpe.pair_stats(st, wide=False), 50)
+         .select("left", "right", "c").collect()]
+    assert a == b

@@ -39,19 +39,24 @@ MERGE_SCHEMA = T.StructType([
 ])
 
 
-def pair_stats(state: DataFrame) -> DataFrame:
+def pair_stats(state: DataFrame, wide: bool = True) -> DataFrame:
     """D3: ``(p, c, first, left, right)`` over adjacent symbol pairs.
 
     Overlaps count (``aaa`` has two ``aa``). Words of one symbol are filtered
     before ``sequence`` (which would otherwise count down). ``first`` is the
-    exact key ``wrank * 2^31 + i`` (first word, then leftmost position) as a
-    decimal, so both aggregates stay hash-based with map-side combine.
+    exact key ``wrank * 2^31 + i`` (first word, then leftmost position), so
+    both aggregates stay hash-based with map-side combine. It is a ``bigint``
+    when ``wide`` is false (valid while ``wrank < 2^32``), else a
+    ``DECIMAL(38,0)``.
     """
-    d = "decimal(38,0)"
     multi = state.filter(F.length("sym") > 1)
     occ = multi.select("n", "wrank", "sym",
                        F.explode(F.sequence(F.lit(1), F.length("sym") - 1)).alias("i"))
-    at = (F.col("wrank").cast(d) * F.lit(1 << 31).cast(d) + F.col("i").cast(d)).cast(d)
+    if wide:
+        d = "decimal(38,0)"
+        at = (F.col("wrank").cast(d) * F.lit(1 << 31).cast(d) + F.col("i").cast(d)).cast(d)
+    else:
+        at = F.col("wrank").cast("bigint") * F.lit(1 << 31) + F.col("i")
     occ = occ.select(F.substring("sym", F.col("i"), 2).alias("p"), "n", at.alias("at"))
     return (occ.groupBy("p")
             .agg(F.sum("n").cast("bigint").alias("c"), F.min("at").alias("first"))
@@ -143,10 +148,12 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     res = TrainResult()
     cur = checkpointed(state.select("word", "sym", "n", "first_pos", "wrank")
                        .filter(F.length("sym") > 1))
+    max_rank = cur.agg(F.max("wrank")).first()[0] or 0
+    wide = max_rank >= (1 << 32)          # bigint position keys while they fit
     pending = 0
     while len(res.merges) < limit:
         k = candidates if batched else 1
-        rows = (best_pairs(pair_stats(cur), k)
+        rows = (best_pairs(pair_stats(cur, wide), k)
                 .select("left", "right", "c", "first").collect())
         if not rows:
             break
