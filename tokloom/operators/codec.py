@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tokloom.functions.pattern import PRETOKEN_PATTERN, SPECIAL_TOKENS
-from tokloom.functions.symbols import WORD_SEPARATOR, id_char, ids_csv, word_to_sym
+from tokloom.functions.symbols import MAX_SYMBOL_ID, WORD_SEPARATOR, id_char, ids_csv, word_to_sym
 from tokloom.operators.bpe import apply_merges
 from tokloom.operators.flatten import fold_newlines
 from tokloom.operators.words import pretokens
@@ -55,9 +55,13 @@ def special_symbol(word: Column, specials: dict[str, int] | None = None) -> Colu
 
 
 def _merge_list(merges) -> list[tuple[int, int, int]]:
+    """Merge table as a driver list; refuses anything beyond the symbol id space."""
     if isinstance(merges, DataFrame):
-        return [(r["left"], r["right"], r["new_id"])
-                for r in merges.select("rank", "left", "right", "new_id").orderBy("rank").collect()]
+        rows = (merges.select("rank", "left", "right", "new_id").orderBy("rank")
+                .limit(MAX_SYMBOL_ID + 2).collect())
+        if len(rows) > MAX_SYMBOL_ID + 1:
+            raise ValueError("merge table larger than the symbol id space")
+        return [(r["left"], r["right"], r["new_id"]) for r in rows]
     return [tuple(m[:3]) for m in merges]
 
 
@@ -218,8 +222,8 @@ def encode_words(df: DataFrame, text_col: str, merges, key: str = "conv_id",
 # ---- decode -------------------------------------------------------------------
 
 def _vocab_dict(vocab: DataFrame) -> dict[int, bytes]:
-    rows = vocab.select("id", "bytes").collect()
-    if len(rows) > 0xD800:
+    rows = vocab.select("id", "bytes").limit(MAX_SYMBOL_ID + 2).collect()
+    if len(rows) > MAX_SYMBOL_ID + 1:
         raise ValueError("vocabulary larger than the symbol id space")
     return {r["id"]: bytes(r["bytes"]) for r in rows}
 
