@@ -65,10 +65,11 @@ def main() -> None:
     res = timed("h1_bpe_train_64", lambda: bpe.train(bpe.training_state(freq_chat),
                                                      num_merges=MERGES))
     merges = res.merges
+    hot = timed("c2_hot_word_ids", lambda: codec.hot_word_ids(freq_chat, merges))
 
-    enc = codec.encode(blocks, "block", merges)
+    enc = codec.encode(blocks, "block", merges, hot=hot)
     timed("h4_encode_chats", lambda: force(enc))
-    enc_docs = codec.encode(doc_blocks, "block", merges, key="doc_id")
+    enc_docs = codec.encode(doc_blocks, "block", merges, key="doc_id", hot=hot)
     timed("h4_encode_documents", lambda: force(enc_docs))
 
     # token table materialised once, as the pipeline's cache stage would

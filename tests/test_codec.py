@@ -27,6 +27,12 @@ def test_encode_plans_match_python(spark, sf_small):
          codec.encode_words(blocks, "block", merges, hot_words=5).collect()}
     c = {r["conv_id"]: r["ids"] for r in
          codec.encode(blocks, "block", merges, plan="arrow").collect()}
+    fq = W.word_frequency(W.words(W.lines(blocks))).select("word", "n")
+    hot = codec.hot_word_ids(fq, merges, n=300)
+    assert len(hot) == 300 and hot[" "] == py_encode(" ", merges)
+    d = {r["conv_id"]: r["ids"] for r in
+         codec.encode(blocks, "block", merges, plan="arrow", hot=hot).collect()}
+    assert d == c
     for cid, t in texts.items():
         expect = py_encode(t, merges)
         assert a[cid] == expect

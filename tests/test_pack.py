@@ -83,8 +83,9 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
     tok = pipeline.train_tokenizer(turns, num_merges=24)
     assert len(tok.merges) == 24
+    assert 0 < len(tok.hot) <= 20_000
     out = pipeline.corpus_to_batches(turns, tok.merges, window=32, epochs=2,
-                                     cache_root=str(tmp_path / "cache"))
+                                     cache_root=str(tmp_path / "cache"), hot=tok.hot)
     texts = [r["block"] for r in flatten.blocks(turns).orderBy("conv_id").collect()]
     stream = [t for b in texts for t in py_encode(b, tok.merges)]
     expect = py_windows(stream, 32)

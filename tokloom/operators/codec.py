@@ -80,8 +80,8 @@ def encode_native(text: Column, merges, specials: dict[str, int] | None = None,
 
 
 def encode(df: DataFrame, text_col: str, merges, key: str = "conv_id",
-           specials: dict[str, int] | None = None, out: str = "ids", plan: str = "auto"
-           ) -> DataFrame:
+           specials: dict[str, int] | None = None, out: str = "ids", plan: str = "auto",
+           hot: dict[str, list[int]] | None = None) -> DataFrame:
     """H4: ``(key, ids)``.
 
     ``plan``: ``native`` (A), ``dictionary`` (B), ``arrow`` (C) or ``auto`` --
@@ -94,28 +94,36 @@ def encode(df: DataFrame, text_col: str, merges, key: str = "conv_id",
         return df.select(key, encode_native(F.col(text_col), ms, specials).alias(out))
     if plan == "dictionary":
         return encode_words(df, text_col, ms, key, specials, out)
-    return spread(df).select(key, encode_arrow(F.col(text_col), ms, specials).alias(out))
+    return spread(df).select(key, encode_arrow(F.col(text_col), ms, specials, hot=hot,
+                                               spark=df.sparkSession).alias(out))
 
 
 def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
-                 pattern: str = PRETOKEN_PATTERN) -> Column:
+                 pattern: str = PRETOKEN_PATTERN, hot: dict[str, list[int]] | None = None,
+                 spark=None) -> Column:
     """H4 plan C: JVM pre-tokenisation, then an Arrow-batched word -> ids map.
 
-    Narrow (no shuffle, no explode). Each Python worker keeps a memo of the
-    words it has encoded, so a word is run through BPE once per task however
-    often it occurs; the merge table in the closure is bounded by the
-    vocabulary size. Cost is linear in the text and independent of the number
-    of merges, unlike plan A.
+    Narrow (no shuffle, no explode). The merge table and an optional dictionary
+    of hot words (see ``hot_word_ids``) travel as one broadcast variable --
+    fetched once per executor, both bounded (vocabulary size, row cap). Each
+    Python worker keeps a memo seeded with the hot words, so a word is run
+    through BPE at most once per task however often it occurs. Cost is linear
+    in the text and independent of the number of merges, unlike plan A.
     """
+    from pyspark.sql import SparkSession
+
     ms = _merge_list(merges)
     sp = dict(specials or SPECIAL_TOKENS)
     ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
     new_ids = {(a, b): n for a, b, n in ms}
+    sc = (spark or SparkSession.getActiveSession()).sparkContext
+    shared = sc.broadcast((ranks, new_ids, sp, dict(hot or {})))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _enc(word_lists: pd.Series) -> pd.Series:
-        enc = _bpe_word_encoder(ranks, new_ids)
-        memo: dict[str, list[int]] = {}
+        rk, nid, spc, seed = shared.value
+        enc = _bpe_word_encoder(rk, nid)
+        memo: dict[str, list[int]] = dict(seed)
 
         def one(ws):
             if ws is None:
@@ -124,9 +132,10 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
             for w in ws:
                 r = memo.get(w)
                 if r is None:
-                    r = [sp[w]] if w in sp else enc(w.encode("utf-8"))
+                    r = [spc[w]] if w in spc else enc(w.encode("utf-8"))
                     if len(memo) >= MEMO_WORDS:      # bounded cache, results unchanged
                         memo.clear()
+                        memo.update(seed)
                     memo[w] = r
                 out.extend(r)
             return out
@@ -135,6 +144,14 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
     return _enc(pretokens(fold_newlines(text), pattern))
 
 
+def hot_word_ids(freq: DataFrame, merges, n: int = HOT_WORDS,
+                 specials: dict[str, int] | None = None) -> dict[str, list[int]]:
+    """The ``n`` most frequent words of a frequency table ``(word, n)`` with
+    their ids: encoded in parallel (``word_dictionary``), then collected --
+    a row-capped dictionary for ``encode_arrow``'s broadcast."""
+    top = freq.select("word", F.col("n").alias("cnt")).orderBy(F.desc("cnt"), F.asc("word")).limit(n)
+    rows = word_dictionary(top, merges, specials).select("word", "ids").collect()
+    return {r["word"]: list(r["ids"]) for r in rows}
 
 
 # ---- plan B: distinct-word dictionary ---------------------------------------

@@ -28,6 +28,7 @@ class Tokenizer:
     merges: list[tuple[int, int, int, int]]
     rounds: int
     vocab_size: int = DEFAULT_VOCAB_SIZE
+    hot: dict | None = None          # most frequent training words -> ids (bounded)
 
 
 def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
@@ -40,7 +41,8 @@ def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
     freq = checkpointed(W.word_frequency(W.words(lines)))
     res = bpe.train(bpe.training_state(freq, exclude_special), num_merges=num_merges,
                     vocab_size=vocab_size, progress=progress)
-    return Tokenizer(res.merges, res.rounds, vocab_size)
+    hot = codec.hot_word_ids(freq, res.merges)
+    return Tokenizer(res.merges, res.rounds, vocab_size, hot)
 
 
 @dataclass
@@ -52,7 +54,7 @@ class Batches:
 
 def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: int = 32,
                       epochs: int = 10, seed: int = 7, cache_root: str | None = None,
-                      role_map: dict | None = None) -> Batches:
+                      role_map: dict | None = None, hot: dict | None = None) -> Batches:
     """Entry 1: encode the corpus and cut it into shuffled training batches.
 
     With ``cache_root`` the token table (ids plus global offsets) is written
@@ -64,7 +66,7 @@ def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: i
     def build() -> DataFrame:
         # offsets are stored with the ids: the join that attaches them is paid
         # once per cache, and re-windowing only shuffles window slices
-        return pack.token_offsets(codec.encode(blocks, "block", merges))
+        return pack.token_offsets(codec.encode(blocks, "block", merges, hot=hot))
 
     if cache_root:
         tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build)
