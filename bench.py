@@ -49,6 +49,9 @@ def main() -> None:
     region = read_table(spark, SF_DIR, "region").select(
         F.col("r_regionkey").cast("bigint").alias("conv_id"), F.col("r_name").alias("block"))
     force(W.word_frequency(W.words(W.lines(region))))
+    region_turns = region.select("conv_id", F.lit(0).cast("bigint").alias("turn"),
+                                 F.lit("user").alias("role"), F.col("block").alias("text"))
+    force(checkpointed(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns))))))
     force(codec.encode(region, "block", [(69, 85, 256)], plan="arrow"))
 
     turns = read_table(spark, SF_DIR, "conversations")

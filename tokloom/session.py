@@ -20,6 +20,10 @@ _DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # AQE aims at total shuffle size / parallelism; a 64 KB floor (instead of
+    # 1 MB) keeps small-but-CPU-heavy text stages (regex, BPE) on every core.
+    # Large shuffles are still sized by the 64 MB advisory partition size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
