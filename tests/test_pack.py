@@ -93,3 +93,14 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     assert [r["x"] + r["y"][-1:] for r in got] == expect
     per_epoch = out.batches.groupBy("epoch").count().collect()
     assert sorted(r["count"] for r in per_epoch) == [len(expect)] * 2
+
+
+def test_grouped_two_phase_rank_equals_naive(spark):
+    df = spark.range(3000).select(
+        (F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("h"),
+        F.col("id").alias("k"))
+    got = scan.global_row_number(df.withColumn(scan.BUCKET, scan.hash_prefix_bucket(F.col("h"), 2)),
+                                 ["h", "k"], "r", group=["g"])
+    naive = df.withColumn("r2", F.row_number().over(Window.partitionBy("g").orderBy("h", "k")) - 1)
+    j = got.join(naive, ["g", "k"])
+    assert j.count() == 3000 and j.filter(F.col("r") != F.col("r2")).count() == 0
