@@ -24,7 +24,8 @@ def token_offsets(tokens: DataFrame, key: str = "conv_id", ids: str = "ids") ->
 
     The two-phase exclusive prefix sum (quantile buckets of ``key``) runs on
     the narrow ``(key, n)`` projection and is joined back on the unique
-    ``key``, so id arrays are never buffered in a bucket-wide window.
+    ``key``, so id arrays are never buffered in a bucket-wide window. The
+    input is read several times: pass a materialised token table.
     """
     narrow = tokens.select(key, F.size(ids).cast("bigint").alias("n"))
     offs = prefix_sum(quantile_buckets(narrow, key), [key], "n", "start")

@@ -64,9 +64,11 @@ def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: i
     blocks = flatten.blocks(turns, role_map)
 
     def build() -> DataFrame:
-        # offsets are stored with the ids: the join that attaches them is paid
-        # once per cache, and re-windowing only shuffles window slices
-        return pack.token_offsets(codec.encode(blocks, "block", merges, hot=hot))
+        # encode once (the offset scan reads its input three times), then store
+        # the offsets with the ids: the join that attaches them is paid once per
+        # cache, and re-windowing only shuffles window slices
+        encoded = checkpointed(codec.encode(blocks, "block", merges, hot=hot))
+        return pack.token_offsets(encoded)
 
     if cache_root:
         tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build)
