@@ -51,7 +51,8 @@ def main() -> None:
     force(W.word_frequency(W.words(W.lines(region))))
     region_turns = region.select("conv_id", F.lit(0).cast("bigint").alias("turn"),
                                  F.lit("user").alias("role"), F.col("block").alias("text"))
-    force(checkpointed(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns))))))
+    region_freq = checkpointed(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns)))))
+    bpe.train(bpe.training_state(region_freq), num_merges=4)
     force(codec.encode(region, "block", [(69, 85, 256)], plan="arrow"))
 
     turns = read_table(spark, SF_DIR, "conversations")
