@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import lang_id
+from tokloom.llm import lang_id, pii_offsets
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(f):
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.op6_language_id(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_offsets.spans(table(spark, sf_dir, "documents"))
