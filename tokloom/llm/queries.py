@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import lang_id, pii_offsets
+from tokloom.llm import bbit_minhash, lang_id, pii_offsets
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,39 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_offsets.spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op2_bbit_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5
+      THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+digest AS (SELECT doc_id, sum(hash(s)::HUGEINT) AS d, count(*) AS n FROM sh GROUP BY doc_id),
+class AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY d, n) AS rep FROM digest),
+rsh AS (SELECT doc_id, s FROM sh WHERE doc_id IN (SELECT rep FROM class)),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM rsh a JOIN rsh b
+    ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (
+  SELECT DISTINCT rep AS x, rep AS y FROM class
+  UNION SELECT reach.x, edge.y FROM reach JOIN edge ON reach.y = edge.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id,
+  w.doc_id = coalesce(comp.c, w.doc_id) AS kept
+FROM words w LEFT JOIN size USING (doc_id) LEFT JOIN class USING (doc_id)
+LEFT JOIN comp ON comp.x = class.rep
+"""
