@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import bbit_minhash, lang_id, pii_offsets
+from tokloom.llm import bbit_minhash, decontam, lang_id, pii_offsets
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,22 @@ SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) A
 FROM words w LEFT JOIN size USING (doc_id) LEFT JOIN class USING (doc_id)
 LEFT JOIN comp ON comp.x = class.rep
 """
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op1_decontamination"] = """
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM dw WHERE len(w) >= 5),
+s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw WHERE len(w) >= 5),
+n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared
+FROM ds JOIN s USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
+"""
