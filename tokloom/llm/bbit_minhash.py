@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, stored
@@ -246,3 +246,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             .select("doc_id", "n_shingles",
                     F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One row, with all its columns, of each group of near-duplicates: the one with the least id.
+
+    Of rows that repeat that id, the one with the least text stays. Rows without an id stay.
+    """
+    judged = near_duplicates(docs, percent)
+    gone = stored(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(),
+                  "dropped")
+    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    again = stored(docs.groupBy(F.col("doc_id").alias("again_id")).agg(F.count("*").alias("rows"))
+                   .filter("rows > 1 and again_id is not null").select("again_id"), "repeated-ids")
+    if again.isEmpty():
+        return left
+    repeated = left.join(again, left["doc_id"] == again["again_id"], "left_semi")
+    first = (repeated.withColumn("__row", F.row_number().over(
+                 Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in
+                                                        ["text", *sorted(docs.columns)]])))
+             .filter("__row = 1").drop("__row"))
+    return left.join(again, left["doc_id"] == again["again_id"], "left_anti").unionByName(first)
