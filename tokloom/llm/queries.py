@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets
+from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets,
+                         training_order)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,8 @@ GROUP BY doc_id, item_id, n_item HAVING count(*) * 100 >= n_item * 80
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(table(spark, sf_dir, "documents"))

@@ -61,3 +61,7 @@ def id_bytes(text: pa.Array, source: str, end_id: int | None = END_ID) -> Iterat
     look = memo.__getitem__
     for row in words:
         yield b"".join(map(look, row)) + tail
+
+
+def largest_id(source: str) -> int:
+    return max(_loaded(source)[0].get_vocab(with_added_tokens=True).values(), default=0)
