@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets,
-                         training_order)
+                         training_order, warc_normalise)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_normalise.page_archives(spark, table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op4_warc_normalise"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+             sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+      FROM g)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM r
+"""

@@ -22,7 +22,6 @@ no shard. Extra columns are never read.
 
 from __future__ import annotations
 
-import posixpath
 import zlib
 from dataclasses import dataclass
 
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, shared_folder
+from tokloom.llm.files import Folder
 from tokloom.llm.tokens import id_bytes, largest_id, tokenizer_file
 
 LENGTH = 512
@@ -89,8 +89,8 @@ class Shards:
     def stride(self) -> int:
         return 16 + 2 * self.length
 
-    def path(self, shard: int) -> str:
-        return posixpath.join(self.folder, f"shard-{shard:07d}.bin")
+    def name(self, shard: int) -> str:
+        return f"shard-{shard:07d}.bin"
 
     @property
     def count(self) -> int:
@@ -103,12 +103,6 @@ def _sequences(part: pa.RecordBatch, source: str, length: int):
         yield NO_ID if doc is None else doc, np.frombuffer(ids, "<u4").astype("<u2")
 
 
-def _filesystem(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
-
-
 def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, length: int = LENGTH,
                 per_shard: int = PER_SHARD, key: int = KEY) -> Shards:
     """Write the shards of a stored table into ``folder``, which all executors share."""
@@ -157,33 +151,25 @@ def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, leng
             raise RuntimeError("the input's partitions changed between the two passes")
 
     def write(batches):
-        files, target = _filesystem(folder)
-        task = TaskContext.get()
-        out, open_shard, temporary = None, None, ""
-
-        def close():
-            out.close()
-            files.move(temporary, posixpath.join(target, posixpath.basename(shards.path(open_shard))))
-
+        target, attempt = Folder(folder), TaskContext.get().taskAttemptId()
+        out, open_shard = None, None
         for batch in batches:
             slots = batch.column("slot").to_numpy()
             for slot, doc, piece, ids in zip(slots.tolist(), *(batch.column(c).to_pylist()
                                                                for c in ("doc_id", "piece", "ids"))):
                 if slot // per_shard != open_shard:
                     if out is not None:
-                        close()
+                        out.done()
                     open_shard = slot // per_shard
-                    temporary = posixpath.join(target, f".{open_shard}-{task.taskAttemptId()}.part")
-                    out = files.open_output_stream(temporary, buffer_size=1 << 20)
+                    out = target.write(shards.name(open_shard), attempt)
                 head = (doc.to_bytes(8, "little", signed=True) + piece.to_bytes(4, "little")
                         + (len(ids) // 2).to_bytes(4, "little"))
-                out.write(head + ids + bytes(2 * length - len(ids)))
+                out.put(head + ids + bytes(2 * length - len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array([len(slots)], pa.int64())], ["n"])
         if out is not None:
-            close()
+            out.done()
 
-    files, target = _filesystem(folder)
-    files.create_dir(target, recursive=True)
+    Folder(folder).make()
     (rows.mapInArrow(number, "slot long, shard int, doc_id long, piece int, ids binary")
      .repartitionById(shards.count, F.col("shard")).sortWithinPartitions("slot")
      .mapInArrow(write, "n long").agg(F.sum("n")).collect())
@@ -196,12 +182,11 @@ def read(spark: SparkSession, shards: Shards, first_slot: int = 0) -> DataFrame:
     first = first_slot // shards.per_shard
 
     def run(batches):
-        files, target = _filesystem(shards.folder)
+        folder = Folder(shards.folder)
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 at = shard * shards.per_shard
-                path = posixpath.join(target, posixpath.basename(shards.path(shard)))
-                with files.open_input_file(path) as f:
+                with folder.read(shards.name(shard)) as f:
                     skip = max(0, first_slot - at)
                     f.seek(skip * shards.stride)
                     at += skip
