@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets,
-                         training_order, warc_normalise)
+                         toxicity_fm, training_order, warc_normalise)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM top
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM r
 """
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_fm.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
