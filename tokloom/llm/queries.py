@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets,
-                         toxicity_fm, training_order, warc_normalise)
+                         quality_gbt, toxicity_fm, training_order, warc_normalise)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ SELECT page_id, payload_bytes, payload_digest,
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.op5_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gbt.op7_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
