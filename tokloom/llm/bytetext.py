@@ -95,15 +95,24 @@ def runs(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, end, np.searchsorted(begin, starts, "left")
 
 
+class RunHasher:
+    """64-bit hashes of any runs of bytes of one buffer, from sums over the buffer's beginnings."""
+
+    def __init__(self, raw: np.ndarray):
+        with np.errstate(over="ignore"):
+            self.total = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(_BYTE[raw] * powers(_STEP, len(raw)), out=self.total[1:], dtype=np.uint64)
+            self.back = powers(_STEP_INV, len(raw) + 1)
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.total[end] - self.total[begin]) * self.back[begin]
+                       + (end - begin).astype(np.uint64))
+
+
 def run_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of every run."""
-    if not len(begin):
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * powers(_STEP, len(raw)), out=total[1:], dtype=np.uint64)
-        back = powers(_STEP_INV, len(raw) + 1)
-        return mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    return RunHasher(raw)(begin, end) if len(begin) else np.zeros(0, np.uint64)
 
 
 def words(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray,

@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its lower-cased letter runs, hashed. The score is the logistic of a bias, a weight per
+A text is a set of hashed terms: its lower-cased letter runs, their beginnings (a stem may have
+many endings), and either again when it occurs often. The score is the logistic of a bias, a weight per
 term, and for each two terms that occur together the product of their factor vectors, so a pair such as an
 insult and the mention of a group counts beyond its two words; additive weights cannot say that. The pair sum
 costs one pass: half of (sum of vectors)^2 - sum of squared vectors.
@@ -27,8 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import crc32_of_id, named_rows
 
-SAMPLE_DOCS = 20_000
-BITS = 18
+SAMPLE_DOCS = 8_000
+BITS = 20
+PREFIXES = (5, 6, 7, 8)
+OFTEN = (2, 4)
 TERMS = 4096
 FACTORS = 8
 LEAST_DOCS = 4
@@ -50,26 +53,38 @@ class Model:
 
 
 def hashed_terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, term hash) of each letter run of a column of texts, in text order."""
+    """(text number, term hash), distinct and ascending: letter runs, their beginnings of PREFIXES
+    bytes, and both again as terms of their own where they occur at least OFTEN times in the text."""
     raw, starts = B.flat(text)
     raw = B.LOWER[raw]
     capital = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)) + 1
     raw[capital] += 32  # À to Þ
     begin, end, first = B.runs(_LETTER[raw], starts)
-    h = (B.run_hashes(raw, begin, end) >> np.uint64(64 - BITS)).astype(np.int64)
-    return np.repeat(np.arange(len(text)), np.diff(first)), h
+    doc = np.repeat(np.arange(len(text)), np.diff(first))
+    if not len(doc):
+        return doc, doc
+    hashed = B.RunHasher(raw)
+    docs, hashes = [doc], [hashed(begin, end)]
+    for k in PREFIXES:
+        longer = end - begin > k
+        docs.append(doc[longer])
+        hashes.append(hashed(begin[longer], begin[longer] + k) ^ np.uint64(k << 40))
+    h = (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64)
+    both, n = np.unique(np.concatenate(docs) << BITS | h, return_counts=True)
+    often = [((both[n >= k] & (1 << BITS) - 1) * 40503 + k) % (1 << BITS) | both[n >= k] >> BITS << BITS
+             for k in OFTEN]
+    both = np.unique(np.concatenate([both, *often]))
+    return both >> BITS, both & (1 << BITS) - 1
 
 
 def _term_lists(batches):
     for batch in batches:
         for part in B.slices(batch, "text"):
             doc, h = hashed_terms(part.column("text"))
-            both = np.unique(doc << BITS | h)
-            ends = np.searchsorted(both >> BITS, np.arange(part.num_rows + 1))
+            ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
                 [part.column("label"), pa.ListArray.from_arrays(
-                    pa.array(ends.astype(np.int32)),
-                    pa.array((both & ((1 << BITS) - 1)).astype(np.int32)))], ["label", "terms"])
+                    pa.array(ends.astype(np.int32)), pa.array(h.astype(np.int32)))], ["label", "terms"])
 
 
 def _chosen(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -78,7 +93,7 @@ def _chosen(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     hit = np.bincount(h, weights=y[doc], minlength=1 << BITS)
     n, pos = len(y), y.sum()
     expected = seen * pos / n
-    chi = (hit - expected) ** 2 / np.maximum(expected * (1 - pos / n), 1e-9)
+    chi = ((hit - expected) ** 2 * n / np.maximum(expected * (1 - pos / n) * (n - seen), 1e-9))
     chi[seen < LEAST_DOCS] = -1
     best = np.lexsort((np.arange(len(chi)), -chi))[:TERMS]
     best = np.sort(best[chi[best] >= LEAST_CHI])
@@ -99,8 +114,9 @@ def raw_scores(bias, weight, factors, term: np.ndarray, ends: np.ndarray) -> np.
     return bias + _sums(weight[term], ends) + pairs
 
 
-def train(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> Model:
-    """Full-batch Adam on the logistic loss with weight decay; ``doc`` ascends."""
+def train(doc: np.ndarray, h: np.ndarray, y: np.ndarray, share: np.ndarray) -> Model:
+    """Full-batch Adam on the logistic loss with weight decay; ``doc`` ascends, and ``share`` is the
+    weight of each row, which makes up for the rate at which its class was drawn."""
     term_of = _chosen(doc, h, y)
     keep = term_of[h] >= 0
     doc, term = doc[keep], term_of[h[keep]].astype(np.int64)
@@ -110,7 +126,8 @@ def train(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> Model:
     term_ends = np.searchsorted(term[by_term], np.arange(m + 1))
     doc_by_term = doc[by_term]
     rng = np.random.default_rng(SEED)
-    rate = y.mean()
+    share = share / share.sum()
+    rate = (y * share).sum()
     w = np.zeros((m, FACTORS + 1))
     w[:, 1:] = rng.normal(0, 0.02, (m, FACTORS))
     bias = float(np.log(rate / (1 - rate)))
@@ -121,7 +138,7 @@ def train(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> Model:
         v = w[term, 1:]
         s = _sums(v, ends)
         score = bias + _sums(w[term, 0], ends) + (s ** 2 - _sums(v * v, ends)).sum(axis=1) / 2
-        gap = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y) / n
+        gap = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y) * share
         g = np.empty_like(w)
         of = gap[doc_by_term]
         g[:, 0] = _sums(of, term_ends)
@@ -145,9 +162,12 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, sample_docs: int = SAMPLE
     """Fit on at most ``sample_docs`` of the labelled rows that meet ``learnable`` (on doc_id)."""
     marks = (named_rows(labels, doc_id="long", toxic="int").dropna().filter(learnable)
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
-    total = marks.count()
+    counts = {r["label"]: r["n"] for r in
+              marks.filter("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chance = {k: min(1.0, sample_docs / 2 / n) for k, n in counts.items()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
-    marks = marks.filter(draw < min(1.0, sample_docs / max(1, total)))
+    marks = marks.filter(draw < F.when(F.col("label") == 1, chance.get(1, 0.0)).otherwise(
+        chance.get(0, 0.0))).filter("label in (0, 1)")
     # a twentieth is room for the draw's own spread
     got = (named_rows(docs, doc_id="long", text="string").join(marks, "doc_id").select("label", "text")
            .mapInArrow(_term_lists, "label int, terms array<int>")
@@ -162,7 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, sample_docs: int = SAMPLE
     starts = lists.offsets.to_numpy()[:-1]
     order = np.lexsort((y, [zlib.crc32(h[a:a + k].tobytes()) for a, k in zip(starts, size)]))
     h = np.concatenate([h[starts[i]:starts[i] + size[i]] for i in order])
-    return train(np.repeat(np.arange(len(y)), size[order]), h, y[order])
+    y = y[order]
+    return train(np.repeat(np.arange(len(y)), size[order]), h, y,
+                 np.where(y == 1, 1 / chance[1], 1 / chance[0]))
 
 
 def score_texts(text: pa.Array, model: Model) -> np.ndarray:
@@ -170,10 +192,8 @@ def score_texts(text: pa.Array, model: Model) -> np.ndarray:
     doc, h = hashed_terms(text)
     term = model.term_of[h]
     keep = term >= 0
-    m = len(model.weight)
-    both = np.unique(doc[keep] * m + term[keep])
-    ends = np.searchsorted(both, np.arange(len(text) + 1) * m)
-    raw = raw_scores(model.bias, model.weight, model.factors, both % m, ends)
+    ends = np.searchsorted(doc[keep], np.arange(len(text) + 1))
+    raw = raw_scores(model.bias, model.weight, model.factors, term[keep], ends)
     return 1 / (1 + np.exp(-np.clip(raw, -700, 700)))
 
 
