@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, pii_offsets,
+from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, license_scan, pii_offsets,
                          quality_gbt, toxicity_fm, training_order, warc_normalise)
 from tokloom.llm.common import table
 
@@ -118,3 +118,57 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.op7_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op3_licenses(table(spark, sf_dir, "documents"))
+
+
+_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''"))
+                           for i, (k, t) in enumerate(license_scan.TEMPLATES))
+ORACLE_SQL["op3_license_scan"] = f"""
+WITH doc AS (
+  SELECT doc_id, text, array_to_string(list_concat([coalesce(source, 'unknown')],
+      regexp_extract_all(doc_id::VARCHAR, '[0-9]')[1:-2]), '/') AS dir,
+    CASE WHEN regexp_matches(text, '(?i)licen[cs]e') THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END
+      AS name
+  FROM documents),
+file AS (SELECT *, dir || '/' || name AS path, regexp_matches(name, '^LICENSE-') AS is_licence FROM doc),
+template(t, license, said) AS (VALUES {_TEMPLATE_ROWS}),
+tt AS (SELECT t, license, term, count(*) AS tf FROM
+    (SELECT t, license, unnest(regexp_extract_all(lower(said), '[\\p{{L}}\\p{{N}}]+')) AS term FROM template)
+  GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM file),
+held AS (SELECT term, count(*) AS df FROM
+    (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS term FROM file)
+  WHERE term IN (SELECT term FROM tt) GROUP BY term),
+idf AS (SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT term FROM tt) LEFT JOIN held USING (term), total),
+tw AS (SELECT t, license, term, tf * idf AS w FROM tt JOIN idf USING (term)),
+tn AS (SELECT t, sqrt(sum(w * w)) AS norm FROM tw GROUP BY t),
+said AS (
+  SELECT path, line, unnest(regexp_extract_all(lower(s), '[\\p{{L}}\\p{{N}}]+')) AS term FROM (
+    SELECT path, generate_subscripts(string_split(text, chr(10)), 1) AS line,
+      unnest(string_split(text, chr(10))) AS s FROM file
+    UNION ALL SELECT path, -1, text FROM file WHERE is_licence)),
+v AS (SELECT path, line, term, count(*) AS n FROM said GROUP BY ALL),
+x AS (SELECT path, line, term, v.n * coalesce(idf, ln(1.0 + total.n) + 1) AS x
+  FROM v LEFT JOIN idf USING (term), total),
+vn AS (SELECT path, line, sqrt(sum(x * x)) AS size FROM x GROUP BY ALL),
+score AS (SELECT path, license, round(sum(x * w) / (any_value(size) * any_value(norm)), 6) AS cosine
+  FROM x JOIN tw USING (term) JOIN tn USING (t) JOIN vn USING (path, line)
+  GROUP BY path, line, t, license),
+own AS (SELECT path, first(license ORDER BY cosine DESC, license) AS license, max(cosine) AS cosine
+  FROM score WHERE cosine >= 0.6 GROUP BY path),
+granted AS (SELECT dir, first(own.license ORDER BY cosine DESC, path) AS license
+  FROM own JOIN file USING (path) WHERE is_licence GROUP BY dir),
+up AS (SELECT DISTINCT f.dir, g.dir AS above, g.license FROM (SELECT DISTINCT dir FROM file) f JOIN granted g
+  ON f.dir = g.dir OR starts_with(f.dir, g.dir || '/')),
+near AS (SELECT dir, arg_max(license, length(above)) AS dir_license, arg_max(above, length(above)) AS from_dir
+  FROM up GROUP BY dir)
+SELECT doc_id, path, coalesce(own.license, dir_license) AS license, cosine,
+  CASE WHEN own.license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN own.license IS NULL THEN from_dir END AS from_dir
+FROM file LEFT JOIN own USING (path) LEFT JOIN near USING (dir)
+"""
