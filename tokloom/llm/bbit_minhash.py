@@ -3,12 +3,13 @@
 1. Each text gives its set of distinct word shingles, the minima of it under 384 hash functions, 48 band
    keys of 8 minima each, and the lowest two bits of every minimum, packed as two bit planes.
 2. Texts with equal sets form one class with one representative; only representatives go on.
-3. Representatives that share a band key are candidates. In each bucket they are first paired with
-   the bucket's least representative only; a representative keeps the leader with the most equal
-   bits. Buckets whose members then lie in one component are finished, however large they are.
+3. Representatives that share a band key are candidates. In each bucket they are first paired with the
+   bucket's leader only, the member that meets most others; a representative keeps the leader with the
+   most equal bits. Buckets whose members then lie in one component are finished, however large they are.
 4. In the other buckets, members of different components are paired when the bit counts, corrected for
-   chance collisions, allow the similarity; large buckets are cut into blocks. The most similar
-   pairs of two components are confirmed first; the rest only while the components stay apart.
+   chance collisions, allow the similarity, and so do the numbers of shingles that no other such text
+   has; large buckets are cut into blocks. The most similar pair of two components is confirmed
+   first; the rest only while the components stay apart.
 5. A link counts only when the full sets confirm it; components come from links alone.
 
 A pair at similarity 0.85 shares no band with probability (1 - 0.85^8)^48 = 2e-7 and is lost by the bit
@@ -136,40 +137,40 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("n_both") * 100 >= F.col("n_union") * percent).select("a", "b"))
 
 
-def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
-    """(node, component) of the representatives that have links; None when no bucket has two."""
+def links(docs: DataFrame, reps: DataFrame, ties: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the representatives that have links; ``ties`` are links known before."""
     limit = most_mismatches(percent)
     bands = reps.select(F.explode("bands").alias("band"), F.col("rep"))
-    buckets = (bands.groupBy("band").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
-               .filter("leader < last").select("band", "leader"))
+    buckets = bands.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
     live = stored(bands.join(buckets, "band"), "buckets")
-    if live.isEmpty():
-        return None
-    needed = live.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(docs.join(needed, "doc_id"), "texts")
+    texts = stored(docs.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"), "texts")
     sigs = reps.select("rep", "sig", F.col("n_shingles").alias("n"))
     side = lambda c: sigs.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"),
                                  F.col("n").alias(f"n_{c}"))
     alike = ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-             & (F.col("off") <= limit))
-    stars = (live.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b"))
-             .distinct().join(side("a"), "a").join(side("b"), "b")
-             .withColumn("off", mismatches("sig_a", "sig_b")).filter(alike)
-             .groupBy("a").agg(F.min_by("b", F.struct("off", "b")).alias("b")))
-    found = stored(confirmed(stars, texts, percent), "confirmed")
+             & (mismatches("sig_a", "sig_b") <= limit))
+    middle = live.groupBy("rep").agg(F.sum("members").alias("met"))
+    leaders = (live.select("band", "rep").join(middle, "rep").groupBy("band")
+               .agg(F.min(F.struct(-F.col("met"), F.col("rep"))).alias("first"))
+               .select("band", F.col("first.rep").alias("b")))
+    stars = (live.select("band", F.col("rep").alias("a")).join(leaders, "band").filter("a <> b")
+             .select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").filter(alike)
+             .groupBy("a").agg(F.min_by("b", F.struct(mismatches("sig_a", "sig_b"), F.col("b")))
+                               .alias("b")))
+    found = stored(confirmed(stars, texts, percent).unionByName(ties), "confirmed")
     groups, pairs = stored(components(found), "groups"), None
-    for cells in (1, 64, None):
+    for best_only in (True, False):
         if pairs is None:
-            pairs = _apart(_grouped(live, groups, "rep"), sigs, alike, percent)
+            pairs = _apart(_grouped(live, groups, "rep"), sigs, texts, alike, percent)
         apart = _grouped(_grouped(pairs, groups, "a"), groups, "b").filter("g_a <> g_b")
-        pairs = stored(apart.select("a", "b", "off"), "pairs")
-        chosen = stored(_nearest(apart, cells), "chosen") if cells else pairs
+        chosen = stored(_nearest(apart) if best_only else apart.select("a", "b"), "chosen")
         if chosen.isEmpty():
             break
         more = stored(confirmed(chosen, texts, percent), "confirmed")
-        found = found.unionByName(more)
-        pairs = pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
-        groups = stored(components(found), "groups")
+        pairs = stored(apart.select("a", "b", "off").join(chosen, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            found = found.unionByName(more)
+            groups = stored(components(found), "groups")
     return groups
 
 
@@ -179,40 +180,57 @@ def _grouped(rows: DataFrame, groups: DataFrame, node: str) -> DataFrame:
     return rows.join(of, node, "left").withColumn(f"g_{node}", F.coalesce(f"g_{node}", node))
 
 
-def _nearest(apart: DataFrame, cells: int) -> DataFrame:
-    """The most similar pair of each two components in each of ``cells`` hash cells of pairs, so that
-    no task holds all pairs of two components."""
-    return (apart.groupBy(F.least("g_a", "g_b").alias("g"), F.greatest("g_a", "g_b").alias("h"),
-                          F.pmod(F.xxhash64("a", "b"), F.lit(cells)).alias("cell"))
+def _nearest(apart: DataFrame) -> DataFrame:
+    """The most similar pair (a, b) of each two components."""
+    return (apart.groupBy(F.least("g_a", "g_b").alias("g"), F.greatest("g_a", "g_b").alias("h"))
             .agg(F.min(F.struct("off", "a", "b")).alias("p")).select("p.a", "p.b"))
 
 
-def _apart(rows: DataFrame, sigs: DataFrame, alike, percent: int) -> DataFrame:
-    """Pairs (a, b, off) of one bucket, in different components, that the bit counts allow.
+def _own_shingles(batches):
+    for batch in batches:
+        for part in B.slices(batch, "text"):
+            _, _, _, h, first = B.words(part.column("text"))
+            sets = [B.shingles(h[first[i]:first[i + 1]], WIDTH) for i in range(part.num_rows)]
+            node = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets).view(np.int64)), pa.array(node)], ["h", "rep"])
+
+
+def _apart(rows: DataFrame, sigs: DataFrame, texts: DataFrame, alike, percent: int) -> DataFrame:
+    """Pairs (a, b, off) of one bucket, in different components, that can reach the similarity.
 
-    A bucket of n members is cut into n / BLOCK hash blocks and joined block by block.
+    A shingle that only one of these texts has is shared with nobody, so two texts share no more than the
+    smaller number of other shingles. With that bound, copies that were edited beyond the threshold
+    drop out before they meet the members of a large group. A bucket of n members is cut into
+    n / BLOCK hash blocks and joined block by block.
     """
     mixed = (rows.groupBy("band").agg(F.min("g_rep").alias("lo"), F.max("g_rep").alias("hi"),
-                                      F.count("*").alias("members"))
+                                      F.count("*").alias("size"))
              .filter("lo < hi")
-             .select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    members = stored(rows.select("band", "rep", "g_rep").join(mixed, "band").join(sigs, "rep"),
-                     "mixed")
+             .select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    members = stored(rows.select("band", "rep", "g_rep").join(mixed, "band"), "mixed")
+    single = (texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+              .mapInArrow(_own_shingles, "h long, rep long").groupBy("h")
+              .agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
+              .groupBy("rep").agg(F.count("*").alias("single")))
+    members = stored(members.join(sigs, "rep").join(single, "rep", "left")
+                     .withColumn("common", F.col("n") - F.coalesce("single", F.lit(0))), "mixed")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
 
     def side(c: str, mine: str, other: str) -> DataFrame:
         return members.select(F.col("band"), own.alias(mine), every.alias(other),
-                              F.col("rep").alias(c), F.col("g_rep").alias(f"g_{c}"),
-                              F.col("sig").alias(f"sig_{c}"), F.col("n").alias(f"n_{c}"))
+                              *[F.col(x).alias(f"{y}_{c}") for x, y in
+                                (("g_rep", "g"), ("sig", "sig"), ("n", "n"), ("common", "common"))],
+                              F.col("rep").alias(c))
 
+    shared = F.least("common_a", "common_b")
     both = side("a", "i", "j").alias("x").join(
         side("b", "j", "i").alias("y"),
         (F.col("x.band") == F.col("y.band")) & (F.col("x.i") == F.col("y.i"))
         & (F.col("x.j") == F.col("y.j")) & (F.col("a") > F.col("b")) & (F.col("g_a") != F.col("g_b"))
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent))
-    return (both.withColumn("off", mismatches("sig_a", "sig_b")).filter(alike)
-            .select("a", "b", "off").distinct())
+        & (shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * percent) & alike)
+    return both.groupBy("a", "b").agg(F.min(mismatches("sig_a", "sig_b")).alias("off"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -222,30 +240,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     docs = named_rows(docs, doc_id="long", text="string")
     rows = stored(docs.mapInArrow(_features, _FEATURES), "features")
-    sets = rows.filter("n_shingles > 0 and doc_id is not null")
+    linkable = F.col("n_shingles") > 0
+    sets = rows.filter(linkable & F.col("doc_id").isNotNull())
     key = ["set_a", "set_b", "n_shingles"]
-    classes = sets.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    member = stored(sets.select("doc_id", *key).join(classes, key)
-                    .select("doc_id", "rep").distinct(), "members")
-    reps = stored(sets.join(member.filter("doc_id = rep").select("doc_id"), "doc_id")
-                  .withColumnRenamed("doc_id", "rep").drop("set_a", "set_b").distinct(), "reps")
-    groups = links(docs, reps, percent)
-    # ids seen with several sets tie the classes together
-    label = member if groups is None else member.join(
-        groups.withColumnRenamed("node", "rep"), "rep", "left")
-    label = label.select("doc_id", F.col("rep") if groups is None else
-                         F.coalesce("component", "rep").alias("rep"))
-    twice = stored(label.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-                   .filter("a < b").select("a", "b"), "repeated")
-    label = label.groupBy("doc_id").agg(F.min("rep").alias("component"))
-    if not twice.isEmpty():
-        tied = components(twice).withColumnRenamed("component", "tied")
-        label = label.join(tied, F.col("component") == F.col("node"), "left").select(
-            "doc_id", F.coalesce("tied", "component").alias("component"))
-    return (rows.select("doc_id", "n_shingles").join(label, "doc_id", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    classes = stored(sets.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"),
+                                            F.first("bands").alias("bands")), "classes")
+    member = stored(sets.select("doc_id", *key).join(classes.select("rep", *key), key)
+                    .select("doc_id", "n_shingles", "rep"), "members")
+    # an id seen with several sets ties their classes together
+    ties = (member.groupBy("doc_id").agg(F.max("rep").alias("a"), F.min("rep").alias("b"))
+            .filter("a > b").select("a", "b"))
+    groups = links(docs, classes, ties, percent).withColumnRenamed("node", "rep")
+    linked = member.join(groups, "rep", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    alone = rows.filter(~linkable | F.col("doc_id").isNull()).select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -263,7 +274,7 @@ def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
         return left
     repeated = left.join(again, left["doc_id"] == again["again_id"], "left_semi")
     first = (repeated.withColumn("__row", F.row_number().over(
-                 Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in
-                                                        ["text", *sorted(docs.columns)]])))
+                 Window.partitionBy("doc_id").orderBy(
+                     "text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))))
              .filter("__row = 1").drop("__row"))
     return left.join(again, left["doc_id"] == again["again_id"], "left_anti").unionByName(first)

@@ -12,31 +12,27 @@ def _mark(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node with a link; the component is its smallest node.
+    """(node, component) of every node of the links (a, b); the component is its smallest node.
 
     Each round hangs every neighbour larger than a node on the least of the node's
     neighbourhood, then does the same for the smaller ones; the number of rounds grows with the logarithm
     of the longest path. Only minima per node are grouped, never neighbour lists. A round's links are
     written to the shared folder, which cuts the lineage.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .filter("a <> b").distinct(), "links")
-    mark = _mark(edges)
-    while mark[0]:
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
+    mark = (-1, None)
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = (both.filter("b > a").join(least, F.col("a") == F.col("u"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        large = stored(large, "links")
-        root = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        small = (large.join(root, F.col("a") == F.col("u"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(root.select(F.col("u").alias("a"), F.col("m").alias("b")))
-                 .filter("a <> b").distinct())
-        edges, before = stored(small, "links"), mark
-        mark = _mark(edges)
-        if mark == before:
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = stored(both.filter("b > a").join(least, "a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")), "links")
+        root = large.groupBy("a").agg(F.min("b").alias("m"))
+        edges = stored(large.join(root, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                       .unionByName(root.select("a", F.col("m").alias("b")))
+                       .filter("a <> b").distinct(), "links")
+        before, mark = mark, _mark(edges)
+        if mark == before or not mark[0]:
             break
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    # now a star a component: every node but the centre has one link, to the centre
+    return (edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), "b"))
+            .groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node"))
