@@ -26,9 +26,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tokloom.functions.pattern import BASE_BYTES, DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
-from tokloom.functions.symbols import MAX_SYMBOL_ID, id_char
+from tokloom.functions.symbols import MAX_SYMBOL_ID, char_id, id_char
 from tokloom.operators.scan import global_row_number, quantile_buckets
-from tokloom.session import checkpointed, ensure_checkpoint_dir
+from tokloom.session import drop_stored, stored
 
 MERGE_SCHEMA = T.StructType([
     T.StructField("rank", T.IntegerType()),
@@ -60,8 +60,8 @@ def pair_stats(state: DataFrame, wide: bool = True) -> DataFrame:
     occ = occ.select(F.substring("sym", F.col("i"), 2).alias("p"), "n", at.alias("at"))
     return (occ.groupBy("p")
             .agg(F.sum("n").cast("bigint").alias("c"), F.min("at").alias("first"))
-            .withColumn("left", F.ascii(F.substring("p", 1, 1)))
-            .withColumn("right", F.ascii(F.substring("p", 2, 1))))
+            .withColumn("left", char_id(F.substring("p", 1, 1)))
+            .withColumn("right", char_id(F.substring("p", 2, 1))))
 
 
 def best_pairs(stats: DataFrame, k: int = 1) -> DataFrame:
@@ -135,19 +135,19 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
           checkpoint_every: int = 16, progress=None) -> TrainResult:
     """H1: learn up to ``num_merges`` merges (default ``vocab_size - 256 - n_special``).
 
-    Stops early when no pair is left. Lineage is cut with a reliable
-    ``checkpoint()`` once ``checkpoint_every`` replacements have been chained;
-    at each cut, words already reduced to one symbol leave the working state
+    Stops early when no pair is left. Lineage is cut by writing the state to
+    the checkpoint folder once ``checkpoint_every`` replacements have been
+    chained, and the state before it is deleted, so at most two are alive; at
+    each cut, words already reduced to one symbol leave the working state
     (``TrainResult.state`` therefore holds only the still-divisible words).
     """
     spark = state.sparkSession
-    ensure_checkpoint_dir(spark)
     limit = vocab_size - BASE_BYTES - n_special if num_merges is None else num_merges
     if BASE_BYTES + limit - 1 > MAX_SYMBOL_ID:
         raise ValueError("vocabulary too large for one-character symbols")
     res = TrainResult()
-    cur = checkpointed(state.select("word", "sym", "n", "first_pos", "wrank")
-                       .filter(F.length("sym") > 1))
+    cur, path = stored(state.select("word", "sym", "n", "first_pos", "wrank")
+                       .filter(F.length("sym") > 1), "bpe-state")
     max_rank = cur.agg(F.max("wrank")).first()[0] or 0
     wide = max_rank >= (1 << 32)          # bigint position keys while they fit
     pending = 0
@@ -169,7 +169,9 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
         pending += len(step)
         if pending >= checkpoint_every:
             # words that became one symbol can never form a pair again
-            cur = checkpointed(cur.filter(F.length("sym") > 1))
+            old = path
+            cur, path = stored(cur.filter(F.length("sym") > 1), "bpe-state")
+            drop_stored(spark, old)
             pending = 0
         if progress is not None:
             progress(res.rounds, len(res.merges))
@@ -177,20 +179,29 @@ def train(state: DataFrame, num_merges: int | None = None, vocab_size: int = DEF
     return res
 
 
+def merge_list(merges) -> list[tuple[int, int, int]]:
+    """Merge table as a driver list; refuses anything beyond the symbol id space."""
+    if isinstance(merges, DataFrame):
+        rows = (merges.select("rank", "left", "right", "new_id").orderBy("rank")
+                .limit(MAX_SYMBOL_ID + 2).collect())
+        if len(rows) > MAX_SYMBOL_ID + 1:
+            raise ValueError("merge table larger than the symbol id space")
+        return [(r["left"], r["right"], r["new_id"]) for r in rows]
+    return [tuple(m[:3]) for m in merges]
+
+
 def vocabulary(spark: SparkSession, merges: DataFrame | list[tuple[int, int, int]],
-               specials: dict[str, int] | None = None) -> DataFrame:
+               specials: dict[str, int] | None = None, first_byte: int = 0) -> DataFrame:
     """G1/H3: ``(id, bytes)`` = 256 single bytes + merged byte strings + specials.
 
+    ``first_byte`` is the id of byte 0 (the byte-level variant has its specials first).
+
     The byte string of merge ``new = a + b`` is built by one ordered pass over
     the merge list on the driver: the merge table is model metadata bounded by
-    the vocabulary size (at most 55,296 rows), not corpus data.
+    the symbol id space, not corpus data.
     """
-    if isinstance(merges, DataFrame):
-        ms = [(r["left"], r["right"], r["new_id"])
-              for r in merges.select("rank", "left", "right", "new_id").orderBy("rank").collect()]
-    else:
-        ms = [tuple(m[:3]) for m in merges]
-    vocab = {i: bytes([i]) for i in range(BASE_BYTES)}
+    ms = merge_list(merges)
+    vocab = {first_byte + i: bytes([i]) for i in range(BASE_BYTES)}
     for a, b, new in ms:
         vocab[new] = vocab[a] + vocab[b]
     for tok, i in (specials or SPECIAL_TOKENS).items():

@@ -19,24 +19,26 @@ Three physical plans:
   most frequent words; the long tail is shuffle-joined, where no key can be
   larger than the cap's cut-off count.
 * plan C (any size, the default beyond a few merges): pre-tokenise in the JVM,
-  then one Arrow-batched pandas function maps each word list to ids with a
-  per-task memo. Narrow like plan A, linear in the text whatever the merge
-  count, and without plan B's two shuffles of the token stream.
+  then one Arrow-batched pandas iterator function maps each word list to ids
+  with a memo that lives as long as the task. Narrow like plan A, linear in the
+  text whatever the merge count, without plan B's two shuffles of the token
+  stream, and the same in batch and streaming plans.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tokloom.functions.pattern import PRETOKEN_PATTERN, SPECIAL_TOKENS
-from tokloom.functions.symbols import MAX_SYMBOL_ID, WORD_SEPARATOR, id_char, ids_csv, word_to_sym
-from tokloom.operators.bpe import apply_merges
+from tokloom.functions.pattern import SPECIAL_TOKENS, pretoken_pattern
+from tokloom.functions.symbols import (MAX_SYMBOL_ID, WORD_SEPARATOR, char_id, id_char, ids_csv,
+                                       word_to_sym)
+from tokloom.operators.bpe import apply_merges, merge_list
 from tokloom.operators.flatten import fold_newlines
 from tokloom.operators.words import pretokens
-from tokloom.sources.tables import spread
 
 NATIVE_MERGE_LIMIT = 256
 AUTO_NATIVE_MERGES = 16
@@ -54,21 +56,14 @@ def special_symbol(word: Column, specials: dict[str, int] | None = None) -> Colu
     return out.otherwise(word_to_sym(word))
 
 
-def _merge_list(merges) -> list[tuple[int, int, int]]:
-    """Merge table as a driver list; refuses anything beyond the symbol id space."""
-    if isinstance(merges, DataFrame):
-        rows = (merges.select("rank", "left", "right", "new_id").orderBy("rank")
-                .limit(MAX_SYMBOL_ID + 2).collect())
-        if len(rows) > MAX_SYMBOL_ID + 1:
-            raise ValueError("merge table larger than the symbol id space")
-        return [(r["left"], r["right"], r["new_id"]) for r in rows]
-    return [tuple(m[:3]) for m in merges]
-
-
 def encode_native(text: Column, merges, specials: dict[str, int] | None = None,
-                  pattern: str = PRETOKEN_PATTERN) -> Column:
-    """H4 plan A: text -> array<int> ids as one native expression."""
-    ms = _merge_list(merges)
+                  pattern: str | None = None) -> Column:
+    """H4 plan A: text -> array<int> ids as one native expression.
+
+    ``pattern`` is derived from ``specials`` unless it is given.
+    """
+    pattern = pattern or pretoken_pattern(specials)
+    ms = merge_list(merges)
     if len(ms) > NATIVE_MERGE_LIMIT:
         raise ValueError(f"plan A handles at most {NATIVE_MERGE_LIMIT} merges; use encode_words")
     sym = F.array_join(F.transform(pretokens(fold_newlines(text), pattern),
@@ -76,7 +71,7 @@ def encode_native(text: Column, merges, specials: dict[str, int] | None = None,
     merged = apply_merges(sym, ms)
     chars = F.filter(F.split(merged, ""),
                      lambda c: (c != F.lit("")) & (c != F.lit(WORD_SEPARATOR)))
-    return F.transform(chars, lambda c: F.ascii(c))
+    return F.transform(chars, char_id)
 
 
 def encode(df: DataFrame, text_col: str, merges, key: str = "conv_id",
@@ -87,32 +82,41 @@ def encode(df: DataFrame, text_col: str, merges, key: str = "conv_id",
     ``plan``: ``native`` (A), ``dictionary`` (B), ``arrow`` (C) or ``auto`` --
     A for short merge tables (each merge is one pass over the text), else C.
     """
-    ms = _merge_list(merges)
+    ms = merge_list(merges)
     if plan == "auto":
         plan = "native" if len(ms) <= AUTO_NATIVE_MERGES else "arrow"
     if plan == "native":
         return df.select(key, encode_native(F.col(text_col), ms, specials).alias(out))
     if plan == "dictionary":
         return encode_words(df, text_col, ms, key, specials, out)
-    return spread(df).select(key, encode_arrow(F.col(text_col), ms, specials, hot=hot,
-                                               spark=df.sparkSession).alias(out))
+    return df.select(key, encode_arrow(F.col(text_col), ms, specials, hot=hot,
+                                       spark=df.sparkSession).alias(out))
 
 
 def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
-                 pattern: str = PRETOKEN_PATTERN, hot: dict[str, list[int]] | None = None,
+                 pattern: str | None = None, hot: dict[str, list[int]] | None = None,
                  spark=None) -> Column:
-    """H4 plan C: JVM pre-tokenisation, then an Arrow-batched word -> ids map.
+    """H4 plan C: JVM pre-tokenisation, then ``words_to_ids``. Null texts stay null."""
+    return words_to_ids(pretokens(fold_newlines(text), pattern or pretoken_pattern(specials)),
+                        merges, specials, hot, spark)
+
+
+def words_to_ids(words: Column, merges, specials: dict[str, int] | None = None,
+                 hot: dict[str, list[int]] | None = None, spark=None, first_byte: int = 0
+                 ) -> Column:
+    """Arrow-batched array of words -> array of ids.
 
     Narrow (no shuffle, no explode). The merge table and an optional dictionary
     of hot words (see ``hot_word_ids``) travel as one broadcast variable --
-    fetched once per executor, both bounded (vocabulary size, row cap). Each
-    Python worker keeps a memo seeded with the hot words, so a word is run
-    through BPE at most once per task however often it occurs. Cost is linear
-    in the text and independent of the number of merges, unlike plan A.
+    fetched once per executor, both bounded (vocabulary size, row cap). The
+    encoder and its memo, seeded with the hot words, are built once per task;
+    a batch looks each of its distinct words up once. Cost is linear in the
+    text and independent of the number of merges, unlike plan A. ``first_byte``
+    is the id of byte 0.
     """
     from pyspark.sql import SparkSession
 
-    ms = _merge_list(merges)
+    ms = merge_list(merges)
     sp = dict(specials or SPECIAL_TOKENS)
     ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
     new_ids = {(a, b): n for a, b, n in ms}
@@ -120,28 +124,23 @@ def encode_arrow(text: Column, merges, specials: dict[str, int] | None = None,
     shared = sc.broadcast((ranks, new_ids, sp, dict(hot or {})))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _enc(word_lists: pd.Series) -> pd.Series:
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         rk, nid, spc, seed = shared.value
-        enc = _bpe_word_encoder(rk, nid)
+        enc = _bpe_word_encoder(rk, nid, first_byte)
         memo: dict[str, list[int]] = dict(seed)
+        for word_lists in batches:
+            distinct = {w for ws in word_lists if ws is not None for w in ws}
+            new = [w for w in distinct if w not in memo]
+            if len(memo) + len(new) > MEMO_WORDS:        # bounded cache, results unchanged
+                memo = dict(seed)
+                new = [w for w in distinct if w not in memo]
+            for w in new:
+                memo[w] = [spc[w]] if w in spc else enc(w.encode("utf-8"))
+            look = memo.__getitem__
+            yield word_lists.map(lambda ws: None if ws is None else
+                                 [i for r in map(look, ws) for i in r])
 
-        def one(ws):
-            if ws is None:
-                return None
-            out: list[int] = []
-            for w in ws:
-                r = memo.get(w)
-                if r is None:
-                    r = [spc[w]] if w in spc else enc(w.encode("utf-8"))
-                    if len(memo) >= MEMO_WORDS:      # bounded cache, results unchanged
-                        memo.clear()
-                        memo.update(seed)
-                    memo[w] = r
-                out.extend(r)
-            return out
-        return word_lists.map(one)
-
-    return _enc(pretokens(fold_newlines(text), pattern))
+    return _enc(words)
 
 
 def hot_word_ids(freq: DataFrame, merges, n: int = HOT_WORDS,
@@ -156,7 +155,8 @@ def hot_word_ids(freq: DataFrame, merges, n: int = HOT_WORDS,
 
 # ---- plan B: distinct-word dictionary ---------------------------------------
 
-def _bpe_word_encoder(ranks: dict[tuple[int, int], int], new_ids: dict[tuple[int, int], int]):
+def _bpe_word_encoder(ranks: dict[tuple[int, int], int], new_ids: dict[tuple[int, int], int],
+                      first_byte: int = 0):
     """Per-word BPE on a symbol string (one character per id).
 
     Repeatedly takes the lowest-ranked pair present and rewrites every
@@ -167,7 +167,7 @@ def _bpe_word_encoder(ranks: dict[tuple[int, int], int], new_ids: dict[tuple[int
     new_of = {chr(a) + chr(b): chr(new_ids[(a, b)]) for (a, b) in ranks}
 
     def enc(bs: bytes) -> list[int]:
-        s = bs.decode("latin-1")
+        s = bs.decode("latin-1") if not first_byte else "".join(chr(b + first_byte) for b in bs)
         while len(s) > 1:
             present = {s[i:i + 2] for i in range(len(s) - 1)} & rank_of.keys()
             if not present:
@@ -183,9 +183,9 @@ def word_dictionary(distinct_words: DataFrame, merges, specials: dict[str, int]
     """``(word, ids)`` for each distinct word, via ``mapInPandas``.
 
     The merge list travels in the task closure; it is bounded by the vocabulary
-    size (checked against 55,296 ids), never by the corpus.
+    size (checked), never by the corpus.
     """
-    ms = _merge_list(merges)
+    ms = merge_list(merges)
     sp = dict(specials or SPECIAL_TOKENS)
     ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
     new_ids = {(a, b): n for a, b, n in ms}
@@ -213,27 +213,29 @@ def encode_words(df: DataFrame, text_col: str, merges, key: str = "conv_id",
     3. remaining occurrences shuffle-join the cold dictionary. Occurrences the
        hot side already resolved get a unique salted key that matches nothing,
        so the hottest word is spread over all partitions instead of one;
-    4. ids are regrouped per block in position order.
+    4. ids are regrouped per block in position order. Every key keeps its row:
+       an empty text gives no ids, a null text null. ``key`` must be unique.
     """
-    from tokloom.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    occ = df.select(key, F.posexplode(pretokens(fold_newlines(F.col(text_col))))
-                    .alias("pos", "word"))
-    counts = occ.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    dictionary = word_dictionary(counts, merges, specials).checkpoint(eager=True)
+    from tokloom.session import stored
+    occ = df.select(key, F.col(text_col).isNotNull().alias("some"),
+                    F.posexplode_outer(pretokens(fold_newlines(F.col(text_col)),
+                                                 pretoken_pattern(specials))).alias("pos", "word"))
+    counts = (occ.filter("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    dictionary, _ = stored(word_dictionary(counts, merges, specials), "dictionary")
     hot = (dictionary.orderBy(F.desc("n"), F.asc("word")).limit(hot_words)
            .select("word", F.col("ids").alias("hot_ids")))
     cold = dictionary.select(F.col("word").alias("jk"), F.col("ids").alias("cold_ids"))
-    salted = F.when(F.col("hot_ids").isNull(), F.col("word")).otherwise(
+    salted = F.when(F.col("hot_ids").isNull() & F.col("word").isNotNull(), F.col("word")).otherwise(
         F.concat(F.lit(WORD_SEPARATOR + "hot:"), F.col(key).cast("string"), F.lit(":"),
                  F.col("pos").cast("string")))
     resolved = (occ.join(F.broadcast(hot), "word", "left")
                 .withColumn("jk", salted)
                 .join(cold, "jk", "left")
-                .select(key, "pos", F.coalesce("hot_ids", "cold_ids").alias("ids")))
-    return (resolved.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
-            .select(key, F.flatten(F.transform("_p", lambda s: s["ids"])).alias(out)))
+                .select(key, "some", "pos", F.coalesce("hot_ids", "cold_ids").alias("ids")))
+    parts = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "ids"))))
+    ids = F.flatten(F.transform("_p", lambda s: s["ids"]))
+    return (resolved.groupBy(key).agg(F.max("some").alias("some"), parts.alias("_p"))
+            .select(key, F.when(F.col("some"), ids).alias(out)))
 
 
 # ---- decode -------------------------------------------------------------------
@@ -295,7 +297,7 @@ class MergeTableTokenizer:
     """H7 implementation backed by a merge table (list or DataFrame)."""
 
     def __init__(self, merges, vocab_size: int = 32000, specials: dict[str, int] | None = None):
-        self.merges = _merge_list(merges)
+        self.merges = merge_list(merges)
         self.vocab_size = vocab_size
         self.specials = specials or SPECIAL_TOKENS
 

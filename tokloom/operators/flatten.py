@@ -25,9 +25,9 @@ def mapped_role(role: Column, role_map: dict[str, str] | None = None) -> Column:
 
 
 def segment_expr(role: Column, text: Column, role_map: dict[str, str] | None = None) -> Column:
-    """B1: ``<ROLE>\\n{text}\\n``."""
-    return F.concat(F.lit("<"), F.upper(mapped_role(role, role_map)), F.lit(">\n"),
-                    text, F.lit("\n"))
+    """B1: ``<ROLE>\\n{text}\\n``; a null role or text counts as empty, so no turn is lost."""
+    return F.concat(F.lit("<"), F.upper(F.coalesce(mapped_role(role, role_map), F.lit(""))),
+                    F.lit(">\n"), F.coalesce(text, F.lit("")), F.lit("\n"))
 
 
 def segments(turns: DataFrame, role_map: dict[str, str] | None = None) -> DataFrame:

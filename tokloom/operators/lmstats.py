@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tokloom.functions.pattern import SPECIAL_TOKENS
-from tokloom.operators.joins import sized_join
-from tokloom.session import checkpointed
+from tokloom.session import stored
 
 MODEL_VOCAB = 32003          # 32,000 + 3 specials: the model's output width
 
@@ -37,6 +36,7 @@ def bigram_probs(bigrams: DataFrame, alpha: float = 1.0, vocab: int = MODEL_VOCA
 
     The context table is bounded by the vocabulary, so it is broadcast.
     """
+    bigrams, _ = stored(bigrams, "bigrams")
     ctx = context_totals(bigrams)
     return (bigrams.join(F.broadcast(ctx), "x")
             .withColumn("p", (F.col("c") + alpha) / (F.col("c_x") + alpha * vocab)))
@@ -48,14 +48,13 @@ def cross_entropy(pairs: DataFrame, bigrams: DataFrame, key: str = "conv_id",
 
     Pairs are first counted per (key, x, y), so repeated pairs travel once; an
     unseen pair or context falls back to the add-alpha floor. The bigram table
-    is materialised (reliable checkpoint) and broadcast only after a size
-    check, a shuffle join beyond it; the context table is bounded by the
-    vocabulary.
+    is stored once and its size decides between a broadcast and a shuffle join,
+    whose hot pairs AQE splits; the context table is bounded by the vocabulary.
     """
     per = pairs.groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("m"))
-    bigrams = checkpointed(bigrams.select("x", "y", "c"))      # the M1 table, built once
+    bigrams, _ = stored(bigrams.select("x", "y", "c"), "bigrams")      # the M1 table, built once
     ctx = context_totals(bigrams)
-    j = sized_join(per, bigrams, ["x", "y"], "left")
+    j = per.join(bigrams, ["x", "y"], "left")
     j = j.join(F.broadcast(ctx), "x", "left")
     p = (F.coalesce(F.col("c"), F.lit(0)) + alpha) / (F.coalesce(F.col("c_x"), F.lit(0)) + alpha * vocab)
     return (j.groupBy(key)
@@ -68,16 +67,16 @@ def temperature_softmax(df: DataFrame, score: str, group: list[str], T: float =
                         out: str = "w") -> DataFrame:
     """M3: ``exp((s - max) / T) / sum(exp((s - max) / T))`` within each group.
 
-    Two grouped aggregates joined back (max, then the sum of exponentials)
-    instead of a window, so a group of any size is reduced by partial
-    aggregation rather than gathered into one task. The per-group tables are
-    joined plainly: AQE broadcasts them from their measured size.
+    Two grouped aggregates (max, then the sum of exponentials) instead of a
+    window, so a group of any size is reduced by partial aggregation rather than
+    gathered into one task. The per-group table is stored, so its size decides
+    the joins: while it is small enough to broadcast, the rows never move.
     """
-    mx = df.groupBy(*group).agg(F.max(score).alias("_mx"))
-    e = df.join(mx, group).withColumn("_e", F.exp((F.col(score) - F.col("_mx")) / T))
-    tot = e.groupBy(*group).agg(F.sum("_e").alias("_se"))
-    return (e.join(tot, group).withColumn(out, F.col("_e") / F.col("_se"))
-            .drop("_mx", "_e", "_se"))
+    mx, _ = stored(df.groupBy(*group).agg(F.max(score).alias("_mx")), "group-max")
+    each = F.exp((F.col(score) - F.col("_mx")) / T)
+    tot, _ = stored(df.join(mx, group).groupBy(*group).agg(
+        F.max("_mx").alias("_mx"), F.sum(each).alias("_se")), "group-sum")
+    return (df.join(tot, group).withColumn(out, each / F.col("_se")).drop("_mx", "_se"))
 
 
 def uniform_from_hash(key: Column, seed: int) -> Column:

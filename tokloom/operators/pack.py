@@ -15,27 +15,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tokloom.operators.scan import (BUCKET, global_row_number, hash_prefix_bucket,
+from tokloom.operators.scan import (BUCKET, global_row_number, hash_digits, hash_prefix_bucket,
                                     prefix_sum, quantile_buckets)
+from tokloom.session import stored
 
 
 def token_offsets(tokens: DataFrame, key: str = "conv_id", ids: str = "ids") -> DataFrame:
     """``(key, ids, n, start)``; ``start`` = tokens of all earlier chats.
 
-    The two-phase exclusive prefix sum (quantile buckets of ``key``) runs on
-    the narrow ``(key, n)`` projection and is joined back on the unique
-    ``key``, so id arrays are never buffered in a bucket-wide window. The
-    input is read several times: pass a materialised token table.
+    The tokens are encoded once and stored with a row number of their own. The
+    two-phase exclusive prefix sum (quantile buckets of ``key``) reads only the
+    narrow columns of that table and is joined back on the row number, so id
+    arrays are never buffered in a bucket-wide window and a repeated key
+    multiplies nothing.
     """
-    narrow = tokens.select(key, F.size(ids).cast("bigint").alias("n"))
-    offs = prefix_sum(quantile_buckets(narrow, key), [key], "n", "start")
-    return tokens.select(key, ids).join(offs, key)
-
-
-def window_count(offsets: DataFrame, L: int) -> DataFrame:
-    """One row ``(n_tokens, n_examples)``."""
-    total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")
-    return offsets.agg(total.alias("n_tokens")).select(
+    table, _ = stored(tokens.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias(ids))
+                      .select(key, ids, F.size(ids).cast("bigint").alias("n"),
+                              F.monotonically_increasing_id().alias("_row")), "tokens")
+    offs = prefix_sum(quantile_buckets(table.select(key, "_row", "n"), key), [key, "_row"], "n", "start")
+    return (table.select(key, ids, "_row").join(offs.drop(key), "_row").drop("_row")
+            .select(key, ids, "n", "start"))
+
+
+def window_count(tokens: DataFrame, L: int, ids: str = "ids") -> DataFrame:
+    """One row ``(n_tokens, n_examples)`` from the tokens' sizes; no offsets needed."""
+    total = F.coalesce(F.sum(F.greatest(F.size(ids), F.lit(0))), F.lit(0)).cast("bigint")
+    return tokens.agg(total.alias("n_tokens")).select(
         "n_tokens",
         F.when(F.col("n_tokens") > L, F.floor((F.col("n_tokens") - 1) / L))
         .otherwise(F.lit(0)).cast("bigint").alias("n_examples"))
@@ -95,16 +100,18 @@ def shuffled(examples: DataFrame, seed: int, epochs: int | None = None) -> DataF
     """``(epoch, example_id, h, r)`` -- rank ``r`` in hash order per epoch.
 
     Epochs are a generator (``explode(sequence)``), not a join. Ranks are
-    two-phase: counts per (epoch, 3-hex-digit hash prefix) -- 4,096 evenly
-    filled buckets per epoch -- then a row number inside each bucket.
+    two-phase: counts per (epoch, hash prefix), with as many hex digits as the
+    number of examples asks for, then a row number inside each bucket. Pass a
+    stored table: its ids are read three times.
     """
     ex = examples.select("example_id")
+    digits = hash_digits(ex.count())
     if epochs is None:
         ex = ex.withColumn("epoch", F.lit(0))
     else:
         ex = ex.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     ex = ex.withColumn("h", shuffle_key(F.col("example_id"), seed, F.col("epoch")))
-    ex = ex.withColumn(BUCKET, hash_prefix_bucket(F.col("h")))
+    ex = ex.withColumn(BUCKET, hash_prefix_bucket(F.col("h"), digits))
     return global_row_number(ex, ["h", "example_id"], "r", group=["epoch"])
 
 
@@ -114,10 +121,14 @@ def batches(ranked: DataFrame, batch_size: int) -> DataFrame:
                  .withColumn("slot", (F.col("r") % batch_size).cast("int"))
 
 
-def steps(examples: DataFrame, batch_size: int, epochs: int = 1) -> DataFrame:
-    """One row ``(n_examples, steps_per_epoch, total_steps)``."""
-    n = F.count(F.lit(1)).cast("bigint")
-    return examples.agg(n.alias("n_examples")).select(
+def with_xy(batch: DataFrame, win: DataFrame, L: int) -> DataFrame:
+    """Batch rows with the ``x`` and ``y`` of their example."""
+    return batch.join(xy(win, L), "example_id")
+
+
+def steps(counts: DataFrame, batch_size: int, epochs: int = 1) -> DataFrame:
+    """One row ``(n_examples, steps_per_epoch, total_steps)`` from ``window_count``."""
+    return counts.select(
         "n_examples",
         F.ceil(F.col("n_examples") / batch_size).cast("bigint").alias("steps_per_epoch"),
         (F.ceil(F.col("n_examples") / batch_size) * epochs).cast("bigint").alias("total_steps"))
@@ -131,6 +142,14 @@ def token_bytes(tokens: DataFrame, ids: str = "ids", width: int = 8) -> DataFram
 
 
 def example_at(win: DataFrame, idx: int) -> DataFrame:
-    """Random access ``dataset[idx]`` (a pushed-down equality filter when the
-    examples table is stored sorted/bucketed by ``example_id``)."""
+    """Random access ``dataset[idx]``: on a table from ``store_windows`` the filter
+    is pushed to the scan and skips every file and row group but one."""
     return win.filter(F.col("example_id") == F.lit(idx))
+
+
+def store_windows(win: DataFrame, partitions: int | None = None) -> tuple[DataFrame, str]:
+    """Windows as a stored table in ``example_id`` order, for random access and sequential reads."""
+    n = partitions or int(win.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table, path = stored(win, "windows")
+    return stored(table.repartitionByRange(n, "example_id").sortWithinPartitions("example_id"),
+                  "windows-sorted")

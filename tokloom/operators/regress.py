@@ -17,21 +17,16 @@ def linear_fit(df: DataFrame, y: str, x: str, group: list[str] | None = None) ->
                               F.count(F.lit(1)).alias("n"))
 
 
-def mse(df: DataFrame, fit: DataFrame, y: str, x: str, group: list[str] | None = None
-        ) -> DataFrame:
-    """R2: predictions ``slope * x + intercept`` and their mean squared error.
+def mse(df: DataFrame, y: str, x: str, group: list[str] | None = None) -> DataFrame:
+    """R2: mean squared error of the least-squares line, per group, in one aggregate.
 
-    The fit has one row per group, computed in the same plan: a plain join
-    lets AQE broadcast it from its measured size.
+    The residuals of the fitted line have the variance
+    ``var(y) - cov(x, y)^2 / var(x)``, so no row is predicted or joined; with a
+    constant ``x`` there is no line and the result is null, as in R1.
     """
-    g = list(group or [])
-    if not g:                       # a single fitted line: two numbers, used as literals
-        row = fit.select("slope", "intercept").first()
-        pred = F.lit(row["slope"]) * F.col(x) + F.lit(row["intercept"])
-        return df.agg(F.avg(F.pow(pred - F.col(y), 2)).alias("mse"))
-    pred = F.col("slope") * F.col(x) + F.col("intercept")
-    joined = df.join(fit.select(*g, "slope", "intercept"), g)
-    return joined.groupBy(*g).agg(F.avg(F.pow(pred - F.col(y), 2)).alias("mse"))
+    left = F.var_pop(y) - F.pow(F.covar_pop(x, y), 2) / F.nullif(F.var_pop(x), F.lit(0.0))
+    return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*(group or [])).agg(
+        F.greatest(left, F.lit(0.0)).alias("mse"))
 
 
 def synthetic_line(spark: SparkSession, n: int, seed: int = 42, slope: float = 2.0,

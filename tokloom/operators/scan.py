@@ -25,20 +25,22 @@ ROWS_PER_BUCKET = 1 << 20
 
 
 def quantile_buckets(df: DataFrame, key: str, n_buckets: int | None = None,
-                     accuracy: int = 10_000, max_buckets: int = 4096) -> DataFrame:
+                     accuracy: int = 10_000) -> DataFrame:
     """Add ``_bucket`` (int) monotone in numeric ``key`` from approx quantiles.
 
-    The bucket count follows the row count (about ``ROWS_PER_BUCKET`` rows each,
-    at most ``max_buckets``); one more aggregation returns that many approximate
-    quantiles, and only those split points reach the driver. Binary search over
+    The bucket count follows the row count (about ``ROWS_PER_BUCKET`` rows each:
+    a hundred thousand split points for 10^11 rows); one more aggregation returns
+    that many approximate quantiles, and only those reach the driver. Pass a
+    stored table: it is read three times. Binary search over
     them runs in the JVM (``Bucketizer``). There are always at least two
     data-derived buckets, so the bucket-base join stays an equi-join (a literal
     bucket would be folded into a cross join).
     """
     if n_buckets is None:
         n = df.select(key).count()
-        n_buckets = min(max_buckets, math.ceil(n / ROWS_PER_BUCKET))
+        n_buckets = math.ceil(n / ROWS_PER_BUCKET)
     n_buckets = max(2, n_buckets)
+    accuracy = max(accuracy, 20 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     kd = F.col(key).cast("double")
     qs = df.agg(F.percentile_approx(kd, probs, accuracy).alias("q")).first()["q"] or []
@@ -51,6 +53,11 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int | None = None,
     return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
 
 
+def hash_digits(n: int) -> int:
+    """Hex digits that cut ``n`` hashes into buckets of at most ``ROWS_PER_BUCKET`` on average."""
+    return max(2, math.ceil(math.log(max(1, n / ROWS_PER_BUCKET), 16)))
+
+
 def hash_prefix_bucket(hex_hash: Column, digits: int = 3) -> Column:
     """Bucket = leading hex digits of a hash; monotone in the hash order."""
     return F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("int")

@@ -2,17 +2,17 @@
 
 Row-wise operators are higher-order functions on the array (no explode).
 Per-dimension statistics explode to ``(pos, value)`` and aggregate with
-map-side combine; matrix products use the coordinate form with the small
-matrix broadcast behind a size check.
+map-side combine; a matrix product is one narrow pass over the vectors with
+the small matrix, whose size is checked, as a literal.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tokloom.operators.joins import sized_join
+from tokloom.session import stored
 
-SMALL_MATRIX_ROWS = 1 << 16
+SMALL_MATRIX_CELLS = 1 << 20
 
 
 def as_double(v: Column) -> Column:
@@ -66,14 +66,27 @@ def global_mean(df: DataFrame, vec: str) -> DataFrame:
     return df.agg((F.sum(array_sum(as_double(F.col(vec)))) / F.sum(F.size(vec))).alias("mean"))
 
 
-def matmul_small(coords: DataFrame, matrix: DataFrame, key: str) -> DataFrame:
-    """V2: ``A @ B`` with A as ``(key, pos, v)`` and a small B as ``(pos, j, w)``.
+def matmul_small(vectors: DataFrame, matrix: DataFrame, key: str, vec: str) -> DataFrame:
+    """V2: ``A @ B`` with A as rows ``(key, vec)`` and a small B as rows ``(j, column)``: ``(key, j, score)``.
 
-    B's size is checked before it is broadcast; a larger B falls back to a
-    shuffle join on the inner index.
+    B's columns (at most ``SMALL_MATRIX_CELLS`` numbers, else an error) come to
+    the driver and go into the plan as a literal: each vector meets them in
+    place, without a shuffle or a join. For a B without such a bound use ``matmul``.
     """
-    return (sized_join(coords, matrix, "pos", max_rows=SMALL_MATRIX_ROWS)
-            .groupBy(key, "j").agg(F.sum(F.col("v") * F.col("w")).alias("score")))
+    rows = matrix.select("j", "column").limit(SMALL_MATRIX_CELLS + 1).collect()
+    if sum(len(r["column"]) for r in rows) > SMALL_MATRIX_CELLS:
+        raise ValueError("matrix too large for a literal")
+    columns = F.array(*[F.struct(F.lit(r["j"]).alias("j"),
+                                 F.lit([float(x) for x in r["column"]]).alias("c")) for r in rows])
+    dots = F.transform(columns, lambda m: F.struct(
+        m["j"].alias("j"), array_sum(elementwise_product(F.col(vec), m["c"])).alias("score")))
+    return vectors.select(key, F.inline(dots))
+
+
+def matmul(coords: DataFrame, matrix: DataFrame, key: str) -> DataFrame:
+    """V2 for a large B, both in coordinate form: ``(key, pos, v)`` and ``(pos, j, w)``."""
+    return (coords.join(matrix, "pos").groupBy(key, "j")
+            .agg(F.sum(F.col("v") * F.col("w")).alias("score")))
 
 
 def argmax_index(v: Column) -> Column:
@@ -86,9 +99,13 @@ def gather(v: Column, idx: Column) -> Column:
     return F.get(v, idx)
 
 
-def lookup(ids_df: DataFrame, table: DataFrame, id_col: str, table_key: str,
-           max_broadcast_rows: int = 1 << 20) -> DataFrame:
-    """token/vector id -> table row; broadcast only a table of checked size."""
-    if table.count() <= max_broadcast_rows:
-        table = F.broadcast(table)
-    return ids_df.join(table, ids_df[id_col] == table[table_key])
+def lookup(ids_df: DataFrame, table: DataFrame, id_col: str, table_key: str) -> DataFrame:
+    """token/vector id -> table row; ids without a row stay, with nulls (see ``missing_ids``)."""
+    side, _ = stored(table, "lookup")
+    return ids_df.join(side, ids_df[id_col] == side[table_key], "left")
+
+
+def missing_ids(looked_up: DataFrame, id_col: str, table_key: str) -> DataFrame:
+    """C5 report: ``(id, n)`` of the ids that the table lacks."""
+    return (looked_up.filter(F.col(table_key).isNull()).groupBy(F.col(id_col).alias("id"))
+            .agg(F.count(F.lit(1)).alias("n")))

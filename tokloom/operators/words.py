@@ -12,6 +12,7 @@ from tokloom.functions.pattern import PRETOKEN_PATTERN
 from tokloom.functions.symbols import word_to_sym
 from tokloom.operators.flatten import fold_newlines
 from tokloom.operators.scan import prefix_sum, quantile_buckets
+from tokloom.session import stored
 
 
 def pretokens(text: Column, pattern: str = PRETOKEN_PATTERN) -> Column:
@@ -85,16 +86,26 @@ def distinct_word_count(freq: DataFrame, approx: bool = False) -> DataFrame:
     return freq.agg(F.count(F.lit(1)).alias("n_words"))
 
 
-def running_bytes(lines_df: DataFrame, key: str = "conv_id", max_bytes: int | None = None
-                  ) -> DataFrame:
+def block_sizes(blocks_df: DataFrame, key: str = "conv_id", text: str = "block") -> DataFrame:
+    """``(key, _kb)``: bytes of each chat's folded text, without exploding it."""
+    return blocks_df.select(key, F.octet_length(fold_newlines(F.col(text))).cast("bigint")
+                            .alias("_kb"))
+
+
+def running_bytes(lines_df: DataFrame, key: str = "conv_id", max_bytes: int | None = None,
+                  sizes: DataFrame | None = None) -> DataFrame:
     """Bytes of all earlier lines, in (key, line_no) order.
 
     Two levels: an exclusive prefix over per-chat byte totals (two-phase, by
     quantile buckets of ``key``), plus a window inside each chat -- a chat is
     one block row already, so that window never exceeds one input row's lines.
+    ``sizes`` (see ``block_sizes``) saves summing the lines; either way the
+    totals are stored once for the prefix.
     """
     with_len = lines_df.withColumn("_b", F.octet_length("line").cast("bigint"))
-    per_key = with_len.groupBy(key).agg(F.sum("_b").alias("_kb"))
+    if sizes is None:
+        sizes = with_len.groupBy(key).agg(F.sum("_b").alias("_kb"))
+    per_key, _ = stored(sizes, "chat-bytes")
     bases = prefix_sum(quantile_buckets(per_key, key), [key], "_kb", "_kbase").drop("_kb")
     if max_bytes is not None:
         bases = bases.filter(F.col("_kbase") <= F.lit(max_bytes))
@@ -105,8 +116,8 @@ def running_bytes(lines_df: DataFrame, key: str = "conv_id", max_bytes: int | No
             .drop("_b", "_kbase"))
 
 
-def budget_lines(lines_df: DataFrame, max_bytes: int | None, key: str = "conv_id"
-                 ) -> DataFrame:
+def budget_lines(lines_df: DataFrame, max_bytes: int | None, key: str = "conv_id",
+                 sizes: DataFrame | None = None) -> DataFrame:
     """Keep a line iff the bytes of all earlier lines are <= ``max_bytes``.
 
     The test happens before a line is added, so the line that crosses the
@@ -115,7 +126,7 @@ def budget_lines(lines_df: DataFrame, max_bytes: int | None, key: str = "conv_id
     """
     if max_bytes is None:
         return lines_df
-    return running_bytes(lines_df, key, max_bytes).filter(F.col("bytes_before") <= F.lit(max_bytes))
+    return running_bytes(lines_df, key, max_bytes, sizes).filter(F.col("bytes_before") <= F.lit(max_bytes))
 
 
 def budget_blocks(blocks_df: DataFrame, max_bytes: int | None, key: str = "conv_id",
@@ -129,8 +140,7 @@ def budget_blocks(blocks_df: DataFrame, max_bytes: int | None, key: str = "conv_
     """
     if max_bytes is None:
         return blocks_df
-    sizes = blocks_df.select(key, F.octet_length(fold_newlines(F.col(text))).cast("bigint")
-                             .alias("_kb"))
+    sizes, _ = stored(block_sizes(blocks_df, key, text), "chat-bytes")
     starts = prefix_sum(quantile_buckets(sizes, key), [key], "_kb", "_kbase")
     keep = starts.filter(F.col("_kbase") <= F.lit(max_bytes)).select(key)
     return blocks_df.join(keep, key, "left_semi")

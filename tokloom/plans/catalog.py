@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokloom.operators import flatten, words as W
 from tokloom.plans import sqlparts as S
 from tokloom.sources import chats
+from tokloom.session import stored
 from tokloom.sources.tables import read_table
 
 L = 64
@@ -22,6 +23,7 @@ K = 8
 BATCH = 32
 SEED = 7
 BUDGET = 20_000
+LARGE = 300
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,10 @@ def _blocks(spark, d):
     return flatten.blocks(_turns(spark, d))
 
 
+def _stored_blocks(spark, d):
+    return stored(_blocks(spark, d), "blocks")[0]
+
+
 def _lines(spark, d):
     return W.lines(_blocks(spark, d))
 
@@ -59,7 +65,13 @@ SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1
        role, text
 FROM conversations""")
 def a1_turns_from_nested(spark, d):
-    return chats.explode_turns(chats.nest_turns(_turns(spark, d)))
+    """Nested records written as JSON, with further keys, and read back by the reader."""
+    nested = chats.nest_turns(_turns(spark, d))
+    extra = F.transform("conversations", lambda t: F.struct(
+        F.lit(0.5).alias("weight"), t["from"].alias("from"), t["value"].alias("value")))
+    out = STR.scratch_dir(spark, "chats-json")
+    nested.select(F.lit("x").alias("origin"), extra.alias("conversations"), "conv_id").write.json(out)
+    return chats.explode_turns(chats.read_chat_records(spark, out))
 
 
 @register("a2_head_subset", """
@@ -79,6 +91,16 @@ def d1_blocks(spark, d):
     return _blocks(spark, d)
 
 
+@register("a4_lines_from_text", S.with_(S.LINES_CTE, """
+SELECT line, count(*) AS n FROM lines GROUP BY line"""))
+def a4_lines_from_text(spark, d):
+    """Corpus text written, then read back a chat at a time; lines counted."""
+    out = STR.scratch_dir(spark, "corpus")
+    C.write_corpus(_blocks(spark, d), out)
+    blocks = C.read_corpus_blocks(spark, out, on_invalid="fail")
+    return W.lines(blocks, "at").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("a4_lines", S.with_(S.LINES_CTE, "SELECT conv_id, line_no, line FROM lines"))
 def a4_lines(spark, d):
     return _lines(spark, d)
@@ -90,7 +112,9 @@ SELECT conv_id, line_no,
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS bytes_before
 FROM lines"""))
 def e1_running_bytes(spark, d):
-    return W.running_bytes(_lines(spark, d)).select("conv_id", "line_no", "bytes_before")
+    blocks = _stored_blocks(spark, d)
+    return W.running_bytes(W.lines(blocks), sizes=W.block_sizes(blocks)).select(
+        "conv_id", "line_no", "bytes_before")
 
 
 @register("b3_budget_lines", S.with_(S.LINES_CTE, f"""
@@ -99,8 +123,9 @@ SELECT conv_id, line_no, line FROM (
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM lines) WHERE before <= {BUDGET}"""))
 def b3_budget_lines(spark, d):
-    kept = W.budget_blocks(_blocks(spark, d), BUDGET)      # whole chats past the budget dropped first
-    return W.budget_lines(W.lines(kept), BUDGET).select("conv_id", "line_no", "line")
+    kept = W.budget_blocks(_stored_blocks(spark, d), BUDGET)   # whole chats past the budget dropped first
+    return W.budget_lines(W.lines(kept), BUDGET, sizes=W.block_sizes(kept)).select(
+        "conv_id", "line_no", "line")
 
 
 @register("d2_word_frequency", S.with_(S.WORDS_CTE, """
@@ -121,24 +146,18 @@ from tokloom.operators import bpe, codec  # noqa: E402
 from tokloom.sources import tokenizer_io  # noqa: E402
 from tokloom.functions.symbols import ids_csv, sym_to_ids_csv  # noqa: E402
 
-_TRAINED: dict[tuple, list] = {}
-
-
 def _freq(spark, d):
-    return W.word_frequency(W.words(_lines(spark, d)))
+    return stored(W.word_frequency(W.words(_lines(spark, d))), "words")[0]
 
 
 def _merges(spark, d, k: int = K) -> list[tuple[int, int, int, int]]:
-    """Trained merges (a, b, new_id, c); memoised per session and input folder."""
-    key = (spark.sparkContext.applicationId, d, k)
-    if key not in _TRAINED:
-        _TRAINED[key] = bpe.train(bpe.training_state(_freq(spark, d)), num_merges=k).merges
-    return _TRAINED[key]
+    """Merges (a, b, new_id, c), trained from the tables by each query that needs them."""
+    return bpe.train(bpe.training_state(_freq(spark, d)), num_merges=k).merges
 
 
-def _merge_df(spark, d, k: int = K):
-    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(_merges(spark, d, k))]
-    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+def _merge_df(spark, d, k: int = K, batched: bool = True):
+    return bpe.train(bpe.training_state(_freq(spark, d)), num_merges=k,
+                     batched=batched).merge_table(spark)
 
 
 _PAIR = """CAST(('0x' || substring(p, 1, 4)) AS INTEGER) AS "left",
@@ -170,8 +189,8 @@ def h1_bpe_merges(spark, d):
 @register("h2_merged_words", S.with_(S.bpe_ctes(1), f"""
 SELECT word, {S.sym_ids_csv('sym')} AS ids FROM st1"""))
 def h2_merged_words(spark, d):
-    a, b, new, _ = _merges(spark, d)[0]
     st = bpe.training_state(_freq(spark, d))
+    a, b, new, _ = bpe.train(st, num_merges=1).merges[0]
     return st.select("word", sym_to_ids_csv(bpe.apply_merges(F.col("sym"), [(a, b, new)]))
                      .alias("ids"))
 
@@ -218,8 +237,8 @@ def a6_merges_loaded(spark, d):
 
 # ---- encode / decode (H4, H5, H8, C1, C2, B6) --------------------------------
 
-def _encoded(spark, d):
-    return codec.encode(_blocks(spark, d), "block", _merges(spark, d))
+def _encoded(spark, d, merges=None):
+    return codec.encode(_blocks(spark, d), "block", merges or _merges(spark, d))
 
 
 _ENC_CTE = S.bpe_ctes(K) + f""",
@@ -235,16 +254,33 @@ def h4_encode(spark, d):
 @register("h5_decode", S.with_(S.BLOCKS_CTE, f"""
 SELECT conv_id, {S.FOLDED_BLOCK} AS text FROM blocks"""))
 def h5_decode(spark, d):
-    vocab = bpe.vocabulary(spark, _merges(spark, d))
-    return codec.decode(_encoded(spark, d), "ids", vocab).select("conv_id", "text")
+    merges = _merges(spark, d)
+    vocab = bpe.vocabulary(spark, merges)
+    return codec.decode(_encoded(spark, d, merges), "ids", vocab).select("conv_id", "text")
 
 
 @register("h8_roundtrip_bad", S.with_(S.BLOCKS_CTE, """
 SELECT count(*) AS n_blocks, CAST(0 AS BIGINT) AS n_bad FROM blocks"""))
 def h8_roundtrip_bad(spark, d):
-    vocab = bpe.vocabulary(spark, _merges(spark, d))
-    dec = codec.decode(_encoded(spark, d), "ids", vocab)
-    back = dec.join(_blocks(spark, d), "conv_id")
+    return _roundtrip(spark, d, _merges(spark, d))
+
+
+@register("h4_encode_large", S.with_(S.BLOCKS_CTE, """
+SELECT count(*) AS n_blocks, CAST(0 AS BIGINT) AS n_bad, CAST(0 AS BIGINT) AS n_differ FROM blocks"""))
+def h4_encode_large(spark, d):
+    """A tokenizer of LARGE merges: blocks that don't decode to their text, and blocks whose
+    ids differ between the array plan and the dictionary plan."""
+    merges = _merges(spark, d, LARGE)
+    other = codec.encode_words(_blocks(spark, d), "block", merges, out="other")
+    differ = _encoded(spark, d, merges).join(other, "conv_id").agg(
+        F.count(F.when(~F.col("ids").eqNullSafe(F.col("other")), 1)).alias("n_differ"))
+    return _roundtrip(spark, d, merges).withColumn("n_differ", F.lit(differ.first()[0]))
+
+
+def _roundtrip(spark, d, merges):
+    blocks = _stored_blocks(spark, d)
+    tokens = codec.encode(blocks, "block", merges)
+    back = codec.decode(tokens, "ids", bpe.vocabulary(spark, merges)).join(blocks, "conv_id")
     return back.agg(F.count(F.lit(1)).alias("n_blocks"),
                     F.sum(F.when(F.col("text") != flatten.fold_newlines(F.col("block")), 1)
                           .otherwise(0)).cast("bigint").alias("n_bad"))
@@ -257,13 +293,14 @@ FROM (SELECT conv_id, string_split({S.sym_ids_csv('s')}, ',') AS xs FROM enc),
 WHERE CAST(t.x AS INTEGER) >= {256 + K // 2} AND CAST(t.x AS INTEGER) < 32000"""))
 def c1_unknown_ids(spark, d):
     """Corpus encoded with all K merges, checked against a stale K/2-merge vocabulary."""
-    stale = bpe.vocabulary(spark, _merges(spark, d)[:K // 2])
-    return codec.unknown_ids(_encoded(spark, d), "ids", stale)
+    merges = _merges(spark, d)
+    stale = bpe.vocabulary(spark, merges[:K // 2])
+    return codec.unknown_ids(_encoded(spark, d, merges), "ids", stale)
 
 
 @register("c2_word_dictionary", S.with_(S.bpe_ctes(K) + f""",
 dw AS (SELECT DISTINCT unnest(regexp_extract_all({S.FOLDED_BLOCK},
-                                                 '{W.PRETOKEN_PATTERN}')) AS word FROM blocks),
+                                                 '{S.PRETOKEN_PATTERN}')) AS word FROM blocks),
 dws AS (SELECT word, {S.encode_sym_expr('word', K)} AS s FROM dw)""",
 f"""
 SELECT word, {S.sym_ids_csv('s')} AS ids FROM dws"""))
@@ -319,7 +356,7 @@ def _offsets(spark, d):
 
 
 def _windows(spark, d):
-    return pack.windows(_offsets(spark, d), L)
+    return stored(pack.windows(_offsets(spark, d), L), "windows")[0]
 
 
 @register("e2_token_offsets", S.with_(_STREAM_CTE, "SELECT conv_id, n, start FROM offs"))
@@ -345,7 +382,7 @@ SELECT CAST(sum(n) AS BIGINT) AS n_tokens,
        CAST(CASE WHEN sum(n) > {L} THEN (sum(n) - 1) // {L} ELSE 0 END AS BIGINT) AS n_examples
 FROM offs"""))
 def p3_window_count(spark, d):
-    return pack.window_count(_offsets(spark, d), L)
+    return pack.window_count(_encoded(spark, d), L)
 
 
 def _rank_sql(epochs: int) -> str:
@@ -370,6 +407,18 @@ def p4_batches(spark, d):
     return pack.batches(ranked, BATCH).select("step", "slot", "example_id")
 
 
+@register("p4_batches_xy", S.with_(_STREAM_CTE, f"""
+SELECT CAST(r // {BATCH} AS BIGINT) AS step, CAST(r % {BATCH} AS INTEGER) AS slot, example_id,
+       array_to_string(xs[1:{L}], ',') AS x, array_to_string(xs[2:{L + 1}], ',') AS y
+FROM ({_rank_sql(1)}) JOIN win USING (example_id)"""))
+def p4_batches_xy(spark, d):
+    """Batches whose rows carry their input and target ids."""
+    win = _windows(spark, d)
+    rows = pack.with_xy(pack.batches(pack.shuffled(win, SEED), BATCH), win, L)
+    return rows.select("step", "slot", "example_id", ids_csv(F.col("x")).alias("x"),
+                       ids_csv(F.col("y")).alias("y"))
+
+
 @register("p5_epochs", S.with_(_STREAM_CTE, f"""
 SELECT epoch, CAST(r // {BATCH} AS BIGINT) AS step, CAST(r % {BATCH} AS INTEGER) AS slot,
        example_id
@@ -383,7 +432,8 @@ def p5_epochs(spark, d):
 @register("p6_example", S.with_(_STREAM_CTE, """
 SELECT example_id, ids FROM win WHERE example_id = 3"""))
 def p6_example(spark, d):
-    return pack.example_at(_windows(spark, d), 3).select(
+    table, _ = pack.store_windows(pack.windows(_offsets(spark, d), L))
+    return pack.example_at(table, 3).select(
         "example_id", ids_csv(F.col("ids")).alias("ids"))
 
 
@@ -392,7 +442,7 @@ SELECT count(*) AS n_examples, CAST(ceil(count(*) / {BATCH}) AS BIGINT) AS steps
        CAST(ceil(count(*) / {BATCH}) * {EPOCHS} AS BIGINT) AS total_steps
 FROM win"""))
 def d7_steps(spark, d):
-    return pack.steps(_windows(spark, d), BATCH, EPOCHS)
+    return pack.steps(pack.window_count(_encoded(spark, d), L), BATCH, EPOCHS)
 
 
 @register("a8_token_bytes", S.with_(_STREAM_CTE, """
@@ -443,8 +493,9 @@ sc AS (
 SELECT conv_id, count(*) AS n, round(avg(nll), 6) AS ce, round(exp(avg(nll)), 6) AS ppl
 FROM sc GROUP BY conv_id"""))
 def m2_perplexity(spark, d):
-    pairs = pack.next_token_pairs(_encoded(spark, d))
-    ce = M.cross_entropy(pairs, _bigrams(spark, d))
+    offsets = _offsets(spark, d)                # reads the stored token table
+    bigrams = M.bigram_counts(M.window_pairs(pack.xy(pack.windows(offsets, L), L)))
+    ce = M.cross_entropy(pack.next_token_pairs(offsets), bigrams)
     return ce.select("conv_id", "n", F.round("ce", 6).alias("ce"), F.round("ppl", 6).alias("ppl"))
 
 
@@ -475,7 +526,7 @@ def m4_sampled_item(spark, d):
 _VALID_SQL = f"""
 SELECT conv_id, turn, text FROM conversations
 WHERE role = 'user' AND lower(text) NOT IN ('quit', 'exit')
-  AND regexp_matches(text, '{checks.NON_SPACE_PATTERN}')"""
+  AND regexp_matches(text, '{S.NON_SPACE_PATTERN}')"""
 
 
 @register("b5_valid_inputs", _VALID_SQL)
@@ -510,7 +561,7 @@ def m7_completion(spark, d):
     merges = _merges(spark, d)
     segs = flatten.segments(_turns(spark, d))
     first = segs.groupBy("conv_id").agg(F.min_by("seg", "turn").alias("s0"))
-    e = _encoded(spark, d).join(
+    e = _encoded(spark, d, merges).join(
         first.select("conv_id", codec.encode_native(F.col("s0"), merges).alias("pids")), "conv_id")
     tail = e.select("conv_id", M.completion(F.col("ids"), F.col("pids")).alias("tail"))
     vocab = bpe.vocabulary(spark, merges)
@@ -564,9 +615,8 @@ def v1_product(spark, d):
 SELECT ec.vec_id, cent.label AS label, round(sum(ec.v * cent.mean), 6) AS score
 FROM ec JOIN cent ON ec.pos = cent.pos GROUP BY ec.vec_id, cent.label"""))
 def v2_matmul(spark, d):
-    coords = V.coordinates(_emb(spark, d), "vec_id", "embedding")
-    b = _centroids(spark, d).select("pos", F.col("label").alias("j"), F.col("mean").alias("w"))
-    return V.matmul_small(coords, b, "vec_id").select(
+    b = _centroid_arrays(spark, d).select(F.col("label").alias("j"), F.col("c").alias("column"))
+    return V.matmul_small(_emb(spark, d), b, "vec_id", "embedding").select(
         "vec_id", F.col("j").alias("label"), F.round("score", 6).alias("score"))
 
 
@@ -624,12 +674,24 @@ def f5_argmax(spark, d):
 
 
 @register("c5_embedding_lookup", S.with_(_STREAM_CTE, """
-SELECT o.conv_id, CAST(t.k - 1 AS INTEGER) AS pos, e.vec_id, e.label
-FROM offs o, unnest(o.xs) WITH ORDINALITY AS t(x, k) JOIN embeddings e ON e.vec_id = t.x"""))
+SELECT o.conv_id, CAST(t.k - 1 AS INTEGER) AS pos, CAST(t.x AS INTEGER) AS id, e.label,
+       CAST(len(e.embedding) AS INTEGER) AS dim, round(list_sum(e.embedding::DOUBLE[]), 6) AS total
+FROM offs o, unnest(o.xs) WITH ORDINALITY AS t(x, k) LEFT JOIN embeddings e ON e.vec_id = t.x"""))
 def c5_embedding_lookup(spark, d):
+    """Each token with its vector (shown by size and sum); ids without one stay, with nulls."""
     occ = _encoded(spark, d).select("conv_id", F.posexplode("ids").alias("pos", "id"))
-    j = V.lookup(occ, _emb(spark, d).select("vec_id", "label"), "id", "vec_id")
-    return j.select("conv_id", F.col("pos").cast("int").alias("pos"), "vec_id", "label")
+    j = V.lookup(occ, _emb(spark, d), "id", "vec_id")
+    return j.select("conv_id", F.col("pos").cast("int").alias("pos"), "id", "label",
+                    F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dim"),
+                    F.round(V.array_sum(V.as_double(F.col("embedding"))), 6).alias("total"))
+
+
+@register("c5_missing_ids", S.with_(_STREAM_CTE, """
+SELECT CAST(t.x AS INTEGER) AS id, count(*) AS n
+FROM offs o, unnest(o.xs) AS t(x) WHERE t.x NOT IN (SELECT vec_id FROM embeddings) GROUP BY t.x"""))
+def c5_missing_ids(spark, d):
+    occ = _encoded(spark, d).select(F.explode("ids").alias("id"))
+    return V.missing_ids(V.lookup(occ, _emb(spark, d).select("vec_id"), "id", "vec_id"), "id", "vec_id")
 
 
 @register("r1_fit", """
@@ -652,8 +714,7 @@ SELECT l_returnflag, round(avg(pow(slope * l_quantity + intercept - l_extendedpr
 FROM lineitem JOIN fit USING (l_returnflag) GROUP BY l_returnflag""")
 def r2_mse(spark, d):
     li = read_table(spark, d, "lineitem")
-    fit = R.linear_fit(li, "l_extendedprice", "l_quantity", ["l_returnflag"])
-    return R.mse(li, fit, "l_extendedprice", "l_quantity", ["l_returnflag"]).select(
+    return R.mse(li, "l_extendedprice", "l_quantity", ["l_returnflag"]).select(
         "l_returnflag", F.round("mse", 4).alias("mse"))
 
 
@@ -669,19 +730,9 @@ UNION ALL SELECT 'n_words', round(CAST(n AS DOUBLE), 6) FROM w2
 UNION ALL SELECT 'n_tokens', round(CAST(sum(n) AS DOUBLE), 6) FROM offs
 UNION ALL SELECT 'n_examples', round(CAST(count(*) AS DOUBLE), 6) FROM win
 UNION ALL SELECT 'n_tag_turns', round(CAST(count(*) AS DOUBLE), 6) FROM conversations
-  WHERE regexp_matches(text, '{checks.special_alternation()}')"""))
+  WHERE regexp_matches(text, '{S.TAGS}')"""))
 def d5_corpus_report(spark, d):
-    blocks = _blocks(spark, d)
-    lines = W.lines(blocks)
-    return checks.metric_rows(
-        n_chats=blocks.agg(F.count(F.lit(1))),
-        n_bytes=blocks.agg(F.sum(F.octet_length("block"))),
-        mb=blocks.agg(F.sum(F.octet_length("block")) / 1048576.0),
-        n_lines=lines.agg(F.count(F.lit(1))),
-        n_words=W.words(lines).agg(F.count(F.lit(1))),
-        n_tokens=pack.token_bytes(_encoded(spark, d)).select("n_tokens"),
-        n_examples=_windows(spark, d).agg(F.count(F.lit(1))),
-        n_tag_turns=_turns(spark, d).filter(checks.has_literal_tag()).agg(F.count(F.lit(1))))
+    return checks.corpus_report(_turns(spark, d), _merges(spark, d), L)
 
 
 # ---- sinks, caches, stages, streaming, variants (A3, A7, A9, S1-S3, H6, H7) --
@@ -706,9 +757,7 @@ def h4_encode_dictionary(spark, d):
 @register("h1_bpe_merges_strict", S.with_(S.bpe_ctes(K), """
 SELECT rank, "left", "right", new_id, c FROM merges"""))
 def h1_bpe_merges_strict(spark, d):
-    res = bpe.train(bpe.training_state(_freq(spark, d)), num_merges=K, batched=False)
-    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(res.merges)]
-    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+    return _merge_df(spark, d, batched=False)
 
 
 @register("h7_tokenizer_contract", _H4_SQL)
@@ -717,11 +766,40 @@ def h7_tokenizer_contract(spark, d):
     return _csv_ids(tok.encode_df(_blocks(spark, d), "block"))
 
 
-@register("h6_byte_level_merges", None)
+_BYTE_LEVEL_CTE = S.bpe_ctes(K, S.BYTE_LEVEL_WORDS_CTE)
+_BYTE_LEVEL_BLOCK_WORDS = f"""flatten(list_transform(
+  list_filter({S.byte_level_pieces(S.FOLDED_BLOCK)}, lambda p: p <> ''),
+  lambda p: CASE WHEN p IN ('<HUMAN>', '<GPT>', '<|endoftext|>') THEN [p]
+    ELSE {S.byte_level_words('p')} END))"""
+
+
+@register("h6_byte_level_merges", S.with_(_BYTE_LEVEL_CTE, """
+SELECT rank, CAST("left" + 3 AS INTEGER) AS "left", CAST("right" + 3 AS INTEGER) AS "right",
+  CAST(new_id + 3 AS INTEGER) AS new_id, c FROM merges"""))
 def h6_byte_level_merges(spark, d):
     ms = variant.train_byte_level(_lines(spark, d), K)
-    rows = [(r, a, b, n, c) for r, (a, b, n, c) in enumerate(ms)]
-    return spark.createDataFrame(rows, bpe.MERGE_SCHEMA)
+    return bpe.TrainResult(ms).merge_table(spark)
+
+
+@register("h6_encode", S.with_(_BYTE_LEVEL_CTE + f""",
+enc AS (SELECT conv_id, {S.encode_sym_expr('block', K, _BYTE_LEVEL_BLOCK_WORDS)} AS s FROM blocks)""", f"""
+SELECT conv_id, array_to_string(list_transform(string_split({S.sym_ids_csv('s')}, ','), lambda x:
+  CASE WHEN x::INTEGER >= 32000 THEN x::INTEGER - 32000 ELSE x::INTEGER + 3 END), ',') AS ids FROM enc"""))
+def h6_encode(spark, d):
+    """Encoded by the byte-level variant, with its merges saved as a tokenizer file and loaded."""
+    ms = variant.train_byte_level(_lines(spark, d), K)
+    path = STR.scratch_dir(spark, "tokenizer")
+    tokenizer_io.save_tokenizer(bpe.TrainResult(ms).merge_table(spark), path)
+    return _csv_ids(variant.encode_byte_level(_blocks(spark, d), "block",
+                                              tokenizer_io.load_tokenizer(spark, path)))
+
+
+@register("h6_decode", S.with_(S.BLOCKS_CTE, f"SELECT conv_id, {S.FOLDED_BLOCK} AS text FROM blocks"))
+def h6_decode(spark, d):
+    ms = variant.train_byte_level(_lines(spark, d), K)
+    tokens = variant.encode_byte_level(_blocks(spark, d), "block", ms)
+    vocab = variant.byte_level_vocabulary(spark, ms)
+    return codec.decode(tokens, "ids", vocab).select("conv_id", "text")
 
 
 @register("a3_corpus_size", S.with_(S.BLOCKS_CTE, """
@@ -730,18 +808,16 @@ FROM blocks"""))
 def a3_corpus_size(spark, d):
     out = STR.scratch_dir(spark, "corpus")
     C.write_corpus(_blocks(spark, d), out)
-    files = spark.read.text(out, wholetext=True)
-    return files.agg(F.sum(F.octet_length("value")).cast("bigint").alias("n_bytes")).select(
-        "n_bytes", F.round(F.col("n_bytes") / 1048576.0, 6).alias("mb"))
+    return C.corpus_size(C.read_corpus_blocks(spark, out))
 
 
 @register("a7_token_cache", _H4_SQL)
 def a7_token_cache(spark, d):
     root = STR.scratch_dir(spark, "token-cache")
-    blocks = _blocks(spark, d)
-    build = lambda: codec.encode(blocks, "block", _merges(spark, d))
-    C.cached_tokens(spark, root, blocks, _merges(spark, d), build, window=L)
-    return _csv_ids(C.cached_tokens(spark, root, blocks, _merges(spark, d), build, window=L))
+    turns, merges = _turns(spark, d), _merges(spark, d)
+    build = lambda: codec.encode(flatten.blocks(turns), "block", merges)
+    C.cached_tokens(spark, root, turns, merges, build, window=L)
+    return _csv_ids(C.cached_tokens(spark, root, turns, merges, build, window=L))
 
 
 @register("a9_stages", _H4_SQL)
@@ -778,7 +854,7 @@ lines AS (
   FROM parts, unnest(ps) WITH ORDINALITY AS t(p, n)
   WHERE CASE WHEN t.n < len(ps) THEN t.p || chr(10) ELSE t.p END <> '')
 SELECT word, count(*) AS n
-FROM (SELECT unnest(regexp_extract_all(line, '{W.PRETOKEN_PATTERN}')) AS word FROM lines)
+FROM (SELECT unnest(regexp_extract_all(line, '{S.PRETOKEN_PATTERN}')) AS word FROM lines)
 GROUP BY word""")
 def s2_running_word_counts(spark, d):
     src = STR.scratch_dir(spark, "landing-docs")
@@ -787,17 +863,36 @@ def s2_running_word_counts(spark, d):
     return STR.run_word_counts(spark, src, out, out + "-ckpt")
 
 
-@register("s3_progress", None)
+@register("s1_incremental_large", S.with_(S.BLOCKS_CTE, """
+SELECT count(*) AS n_chats, CAST(0 AS BIGINT) AS n_differ FROM blocks"""))
+def s1_incremental_large(spark, d):
+    """The stream's ids held against the batch encoder's, with a tokenizer of LARGE merges."""
+    merges = _merges(spark, d, LARGE)
+    out = STR.scratch_dir(spark, "s1-sink")
+    res = STR.run_incremental_encode(spark, _landing_chats(spark, d), out, out + "-ckpt", merges)
+    batch = _encoded(spark, d, merges).withColumnRenamed("ids", "batch_ids")
+    return res.join(batch, "conv_id", "full").agg(
+        F.count(F.lit(1)).alias("n_chats"),
+        F.count(F.when(~F.col("ids").eqNullSafe(F.col("batch_ids")), 1)).alias("n_differ"))
+
+
+@register("s3_progress", S.with_(_STREAM_CTE, """
+SELECT CAST(4 AS BIGINT) AS n_batches, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS n_tokens,
+  count(*) AS n_input FROM offs"""))
 def s3_progress(spark, d):
+    """Metrics of all micro-batches of a stream that takes four landed files one by one."""
     src = _landing_chats(spark, d)
     out = STR.scratch_dir(spark, "s3-sink")
     rec = STR.ProgressRecorder()
-    STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d), listener=rec)
-    return rec.to_df(spark)
+    STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d), 1, listener=rec)
+    return rec.to_df(spark).agg(
+        F.countDistinct("batch_id").alias("n_batches"), F.sum("rows").cast("bigint").alias("n_rows"),
+        F.sum("tokens").cast("bigint").alias("n_tokens"),
+        F.sum("input_rows").cast("bigint").alias("n_input"))
 
 
 @register("b2_special_tokens", S.with_(S.BLOCKS_CTE + f""",
-ew AS (SELECT unnest(regexp_extract_all({S.FOLDED_BLOCK}, '{W.PRETOKEN_PATTERN}')) AS word
+ew AS (SELECT unnest(regexp_extract_all({S.FOLDED_BLOCK}, '{S.PRETOKEN_PATTERN}')) AS word
        FROM blocks)""", """
 SELECT word, count(*) AS n FROM ew WHERE word IN ('<HUMAN>', '<GPT>', '<|endoftext|>')
 GROUP BY word"""))

@@ -5,8 +5,8 @@ Both are lazy DataFrame chains with a few deliberate materialisation points
 after a failure:
 
 * ``train_tokenizer``: chats -> blocks -> lines -> byte budget -> words ->
-  frequency table (materialised) -> BPE rounds. The default budget is the
-  reference's 50 MB, so the BPE state is bounded whatever the corpus size.
+  frequency table (materialised) -> BPE rounds. All text is learned from
+  unless a byte budget is given (``TRAIN_MAX_BYTES`` is the usual one).
 * ``corpus_to_batches``: blocks -> encode -> token table (cached by
   fingerprint) -> offsets -> windows -> (x, y) -> per-epoch shuffled batches.
 """
@@ -17,9 +17,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tokloom.functions.pattern import DEFAULT_VOCAB_SIZE, TRAIN_MAX_BYTES
+from tokloom.functions.pattern import DEFAULT_VOCAB_SIZE, PRETOKEN_PATTERN
 from tokloom.operators import bpe, codec, flatten, pack, words as W
-from tokloom.session import checkpointed
+from tokloom.session import stored
 from tokloom.sources import corpus as C
 
 
@@ -33,12 +33,12 @@ class Tokenizer:
 
 def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
                     vocab_size: int = DEFAULT_VOCAB_SIZE,
-                    max_bytes: int | None = TRAIN_MAX_BYTES, exclude_special: bool = False,
+                    max_bytes: int | None = None, exclude_special: bool = False,
                     role_map: dict | None = None, progress=None) -> Tokenizer:
     """Entry 2: learn the merge table from a flat ``(conv_id, turn, role, text)`` table."""
     blocks = W.budget_blocks(flatten.blocks(turns, role_map), max_bytes)
     lines = W.budget_lines(W.lines(blocks), max_bytes)
-    freq = checkpointed(W.word_frequency(W.words(lines)))
+    freq, _ = stored(W.word_frequency(W.words(lines)), "words")
     res = bpe.train(bpe.training_state(freq, exclude_special), num_merges=num_merges,
                     vocab_size=vocab_size, progress=progress)
     hot = codec.hot_word_ids(freq, res.merges)
@@ -49,7 +49,7 @@ def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
 class Batches:
     tokens: DataFrame        # (conv_id, ids, n, start)
     examples: DataFrame      # (example_id, x, y)
-    batches: DataFrame       # (epoch, step, slot, example_id)
+    batches: DataFrame       # (epoch, step, slot, example_id, x, y)
 
 
 def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: int = 32,
@@ -64,19 +64,19 @@ def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: i
     blocks = flatten.blocks(turns, role_map)
 
     def build() -> DataFrame:
-        # encode once (the offset scan reads its input three times), then store
-        # the offsets with the ids: the join that attaches them is paid once per
-        # cache, and re-windowing only shuffles window slices
-        encoded = checkpointed(codec.encode(blocks, "block", merges, hot=hot))
-        return pack.token_offsets(encoded)
+        # the offsets are stored with the ids: the join that attaches them is paid
+        # once per cache, and re-windowing only shuffles window slices
+        return pack.token_offsets(codec.encode(blocks, "block", merges, hot=hot))
 
     if cache_root:
-        tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build)
+        tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build,
+                                 role_map=role_map or flatten.DEFAULT_ROLE_MAP,
+                                 pattern=PRETOKEN_PATTERN)
     else:
-        tokens = checkpointed(build())
-    win = checkpointed(pack.windows(tokens, window))
+        tokens = build()
+    win, _ = stored(pack.windows(tokens, window), "windows")
     examples = pack.xy(win, window)
     ranked = pack.shuffled(win, seed, epochs=epochs)
     out = pack.batches(ranked, batch_size).select(
         F.col("epoch").cast("int").alias("epoch"), "step", "slot", "example_id")
-    return Batches(tokens, examples, out)
+    return Batches(tokens, examples, pack.with_xy(out, win, window))

@@ -3,10 +3,18 @@ each operator's meaning in plain SQL; they never call into tokloom code)."""
 
 from __future__ import annotations
 
-from tokloom.functions.pattern import PRETOKEN_PATTERN
-
 NL = "chr(10)"
 
+# Fixed values of the token format, spelled out here once more, so that a wrong
+# one in the package shows: letters and digits, white space, and the three tags
+# (32000, 32001, 32002).
+LETTERS = r"\p{L}\p{N}_"
+SPACES = (r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+          r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+TAGS = r"<HUMAN>|<GPT>|<\|endoftext\|>"
+PRETOKEN_PATTERN = f"{TAGS}|[{LETTERS}]+|[{SPACES}]+|[^{LETTERS}{SPACES}]"
+NON_SPACE_PATTERN = f"[^{SPACES}]"
+
 # Chat blocks: turn segments concatenated in turn order plus the end marker.
 BLOCKS_CTE = f"""
 seg AS (
@@ -55,9 +63,39 @@ def sym_ids_csv(sym_expr: str) -> str:
             f"AS VARCHAR)), ',')")
 
 
-def bpe_ctes(k: int) -> str:
+# Byte-level words: without a look-ahead, the last white space before other text is
+# set off by a private-use mark, which is dropped from the matches.
+_CUT, _MARK = "chr(57344)", "chr(57345)"
+BYTE_LEVEL_WORD = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+"
+                   rf"| ?[^{SPACES}\x{{E001}}\p{{L}}\p{{N}}]+|[{SPACES}]+|\x{{E001}}")
+
+
+def byte_level_pieces(text: str) -> str:
+    """The text cut before and after each tag; empty pieces stay."""
+    return f"string_split(regexp_replace({text}, '({TAGS})', {_CUT} || '\\1' || {_CUT}, 'g'), {_CUT})"
+
+
+def byte_level_words(piece: str) -> str:
+    marked = f"regexp_replace({piece}, '([{SPACES}])([^{SPACES}])', {_MARK} || '\\1\\2', 'g')"
+    return (f"list_filter(regexp_extract_all({marked}, '{BYTE_LEVEL_WORD}'), "
+            f"lambda w: w <> {_MARK})")
+
+
+BYTE_LEVEL_WORDS_CTE = LINES_CTE + f""",
+pieces AS (
+  SELECT conv_id, line_no, t.k, t.p FROM lines,
+    unnest({byte_level_pieces('line')}) WITH ORDINALITY AS t(p, k)
+  WHERE t.p NOT IN ('<HUMAN>', '<GPT>', '<|endoftext|>')),
+words AS (
+  SELECT conv_id, line_no, word, CAST(row_number() OVER (
+      PARTITION BY conv_id, line_no ORDER BY k, j) - 1 AS INTEGER) AS word_no
+  FROM (SELECT conv_id, line_no, pieces.k, w.j, w.word FROM pieces,
+    unnest({byte_level_words('p')}) WITH ORDINALITY AS w(word, j)))"""
+
+
+def bpe_ctes(k: int, words_cte: str = WORDS_CTE) -> str:
     """Strict BPE for ``k`` rounds as unrolled CTEs ``st0..stk``, ``best0..``, ``merges``."""
-    out = [WORDS_CTE, f""",
+    out = [words_cte, f""",
 freq AS (
   SELECT word, count(*) AS n, min({{'c': conv_id, 'l': line_no, 'w': word_no}}) AS fp
   FROM words GROUP BY word),
@@ -87,9 +125,9 @@ merges AS (
     return "".join(out)
 
 
-def encode_sym_expr(text_expr: str, k: int) -> str:
+def encode_sym_expr(text_expr: str, k: int, words: str | None = None) -> str:
     """Encoded symbol string of a text: words joined by '|', merges 0..k-1 replaced."""
-    words = f"regexp_extract_all({text_expr}, '{PRETOKEN_PATTERN}')"
+    words = words or f"regexp_extract_all({text_expr}, '{PRETOKEN_PATTERN}')"
     per_word = (f"list_transform({words}, lambda w: CASE w "
                 f"WHEN '<HUMAN>' THEN printf('%04X.', 32000) "
                 f"WHEN '<GPT>' THEN printf('%04X.', 32001) "

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from tokloom.operators.scan import global_row_number, quantile_buckets
+from tokloom.session import drop_stored, stored
 
 CHAT_TURN = T.StructType([
     T.StructField("from", T.StringType()),
@@ -14,20 +17,31 @@ CHAT_RECORD = T.StructType([
 ])
 
 
-def read_chat_records(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """A1: nested chat records with an explicit schema (no inference).
+def read_chat_records(spark: SparkSession, path: str, fmt: str = "json",
+                      with_id: bool = True) -> DataFrame:
+    """A1: nested chat records ``(conv_id, conversations)``; the schema is given, not inferred.
 
-    Other keys in the records are ignored; ``conv_id`` is the order key. Records
-    without one get ``monotonically_increasing_id()``, stable for a fixed file set.
+    Only the named keys are read, so further keys in a record or a turn do no
+    harm. ``with_id=False`` is for records without ``conv_id``: they are
+    numbered in file order (path, block, position) by two narrow passes, the
+    first of which counts the records of each input partition.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "json":
-        df = reader.load(path)
-        if "conv_id" not in df.columns:
-            df = df.withColumn("conv_id", F.monotonically_increasing_id())
-        return df.select(F.col("conv_id").cast("bigint"),
-                         F.col("conversations").cast(CHAT_RECORD["conversations"].dataType))
-    return reader.load(path).select("conv_id", "conversations")
+    schema = CHAT_RECORD if with_id else T.StructType(CHAT_RECORD.fields[1:])
+    df = spark.read.schema(schema).format(fmt).load(path)
+    return df if with_id else _numbered(df)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Add ``conv_id`` 0, 1, ... in (file, block, position) order."""
+    at = df.select("*", F.input_file_name().alias("_f"), F.input_file_block_start().alias("_b"),
+                   F.monotonically_increasing_id().alias("_m"))
+    counts = at.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    first = at.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"))
+    # one row for each block of each file, not for each record
+    before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return (at.join(base, ["_f", "_b"]).join(first, ["_f", "_b"])
+            .select((F.col("_base") + F.col("_m") - F.col("_m0")).alias("conv_id"), "conversations"))
 
 
 def nest_turns(turns: DataFrame) -> DataFrame:
@@ -51,10 +65,17 @@ def head_subset(turns: DataFrame, subset_size: int | None) -> DataFrame:
     """A2: turns of the first ``subset_size`` chats by ``conv_id``.
 
     ``None`` keeps everything; a size not below the chat count keeps
-    everything; 0 gives an empty result. Only ``subset_size`` ids reach the
-    top-k operator's output, so the broadcast of the id list is bounded by it.
+    everything; 0 gives an empty result. The ``subset_size``-th id is found by
+    a two-phase rank over the distinct ids and used as a plain filter bound:
+    one number reaches the driver, whatever the size, and nothing is broadcast.
     """
     if subset_size is None:
         return turns
-    ids = turns.select("conv_id").distinct().orderBy("conv_id").limit(int(subset_size))
-    return turns.join(F.broadcast(ids), "conv_id", "left_semi")
+    if subset_size <= 0:
+        return turns.limit(0)
+    ids, path = stored(turns.select("conv_id").distinct(), "chat-ids")
+    ranked = global_row_number(quantile_buckets(ids, "conv_id"), ["conv_id"], "_r")
+    last = ranked.filter(F.col("_r") == int(subset_size) - 1).agg(F.max("conv_id")).first()[0]
+    drop_stored(turns.sparkSession, path)
+    return turns.filter("conv_id is not null") if last is None else turns.filter(
+        F.col("conv_id") <= F.lit(last))

@@ -13,15 +13,23 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tokloom.functions.pattern import END_MARKER
+from tokloom.operators.bpe import merge_list
+
+
+FILE_BYTES = 128 << 20
+
 
 def write_corpus(blocks: DataFrame, path: str, key: str = "conv_id",
                  num_files: int | None = None) -> None:
-    """A3: write blocks as a UTF-8 text corpus (many ordered part files)."""
-    n = num_files or blocks.sparkSession.sparkContext.defaultParallelism
+    """A3: write blocks as a UTF-8 text corpus (ordered part files of about ``FILE_BYTES``)."""
+    n = num_files or max(1, math.ceil((corpus_size(blocks).first()["n_bytes"] or 0) / FILE_BYTES))
     body = F.expr("substring(block, 1, length(block) - 1)")
     (blocks.repartitionByRange(n, key).sortWithinPartitions(key)
      .select(body.alias("value")).write.mode("overwrite").text(path))
@@ -33,9 +41,25 @@ def corpus_size(blocks: DataFrame) -> DataFrame:
         "n_bytes", F.round(F.col("n_bytes") / 1048576.0, 6).alias("mb"))
 
 
-def read_corpus_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Read a written corpus back as rows of text (one written block per row)."""
-    return spark.read.text(path).select(F.concat(F.col("value"), F.lit("\n")).alias("block"))
+def read_corpus_blocks(spark: SparkSession, path: str, on_invalid: str = "replace") -> DataFrame:
+    """A4: ``(file, at, block)`` of a corpus text, one chat per row, split at the end marker.
+
+    ``at`` orders the blocks of a file. Files are split like any text, so a file of any size
+    is read in parallel and no row is longer than a chat. Bytes that are not
+    UTF-8: ``replace`` (U+FFFD), ``drop`` (left out) or ``fail``. Text after
+    the last marker is a block of its own, without one.
+    """
+    if on_invalid not in ("replace", "drop", "fail"):
+        raise ValueError(f"on_invalid: {on_invalid!r}")
+    raw = spark.read.option("lineSep", END_MARKER).text(path).select(
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"),
+        F.col("value"))
+    good = F.is_valid_utf8("value")
+    bad = {"replace": F.make_valid_utf8("value"),
+           "drop": F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit("")),
+           "fail": F.raise_error(F.lit("the corpus holds bytes that are not UTF-8"))}[on_invalid]
+    text = F.when(good, F.col("value")).otherwise(bad)
+    return raw.select("file", "at", F.concat(text, F.lit(END_MARKER)).alias("block"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -49,13 +73,26 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def fingerprint(inputs: DataFrame, merges, window: int | None = None) -> str:
-    """Input files (names listed by Spark) + merge table + window length."""
-    files = sorted(inputs.inputFiles())
-    ms = [list(m[:3]) for m in merges] if not isinstance(merges, DataFrame) else [
-        [r["left"], r["right"], r["new_id"]]
-        for r in merges.select("rank", "left", "right", "new_id").orderBy("rank").collect()]
-    doc = json.dumps({"files": files, "merges": ms, "window": window}, sort_keys=True)
+def fingerprint(inputs: DataFrame, merges, window: int | None = None, **settings) -> str:
+    """Input files (name, length, modification time), merge table, window length and all
+    ``settings`` that shape the tokens (role map, specials, pattern ...).
+
+    The files' names and times are folded into counts and hash sums by Spark, so their number doesn't
+    matter. An input without files has no identity to key a cache by and is refused.
+    """
+    files = (inputs.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
+                           F.col("_metadata.file_modification_time").cast("string").alias("t"))
+             .distinct())
+    key = F.sha2(F.concat_ws("|", "p", F.col("s").cast("string"), "t"), 256)
+    part = lambda k: F.sum(F.conv(F.substring(key, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)"))
+    try:
+        n, *sums = files.agg(F.count(F.lit(1)), *[part(k) for k in range(5)]).first()
+    except AnalysisException as e:
+        raise ValueError("a token cache needs an input that is read from files") from e
+    if not n:
+        raise ValueError("a token cache needs at least one input file with rows")
+    doc = json.dumps({"files": [n, *map(str, sums)], "merges": [list(m) for m in merge_list(merges)],
+                      "window": window, "settings": settings}, sort_keys=True)
     return hashlib.sha256(doc.encode("utf-8")).hexdigest()[:24]
 
 
@@ -67,8 +104,11 @@ def materialized(spark: SparkSession, path: str, build: Callable[[], DataFrame])
 
 
 def cached_tokens(spark: SparkSession, cache_root: str, inputs: DataFrame, merges,
-                  build: Callable[[], DataFrame], window: int | None = None) -> DataFrame:
-    """Token table at ``cache_root/<fingerprint>``; a retrained tokenizer or
-    new input gets a new folder instead of a stale hit."""
-    return materialized(spark, f"{cache_root.rstrip('/')}/{fingerprint(inputs, merges, window)}",
-                        build)
+                  build: Callable[[], DataFrame], window: int | None = None, **settings) -> DataFrame:
+    """Token table at ``cache_root/<fingerprint>``; a retrained tokenizer, changed
+    input or other settings get a new folder instead of a stale hit.
+
+    ``inputs`` is the file-based table that the tokens come from.
+    """
+    key = fingerprint(inputs, merges, window, **settings)
+    return materialized(spark, f"{cache_root.rstrip('/')}/{key}", build)

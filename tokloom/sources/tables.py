@@ -4,25 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_BYTES = 16 << 20
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy text work at least one partition per core.
 
-    A no-op whenever the input already has that many partitions (any large
-    table); a small table stored in few row groups gets a round-robin split
-    (deterministic on recompute: Spark sorts before round-robin repartitioning).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system's metadata."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength()
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str, text_work: bool = False
                ) -> DataFrame:
     """``<base_dir>/<name>.parquet`` (a file or a folder of part files).
 
-    ``text_work=True`` spreads a table that will feed regex/BPE work.
+    ``text_work=True`` gives a table of less than ``SPREAD_BYTES`` per core one
+    partition per core, for regex/BPE work; larger tables are read as they are.
     """
-    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if text_work else df
+    path = f"{base_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if text_work and stored_bytes(spark, path) < SPREAD_BYTES * cores:
+        return df.repartition(cores)
+    return df

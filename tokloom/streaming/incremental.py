@@ -18,7 +18,7 @@ the table S1 appends to.
 
 from __future__ import annotations
 
-import os
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,10 +35,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tokloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stream_source_path(path: str) -> str:
-    """File streams need a folder or glob; a lone local file becomes a glob."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isfile(local):
+def stream_source_path(spark: SparkSession, path: str) -> str:
+    """File streams need a folder or glob; a lone file becomes a glob (asked of its file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and fs.getFileStatus(p).isFile():
         return path[:-1] + "[" + path[-1] + "]"
     return path
 
@@ -49,7 +50,7 @@ def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(stream_source_path(path))
+    return r.parquet(stream_source_path(spark, path))
 
 
 # ---- S1 ------------------------------------------------------------------------
@@ -57,16 +58,18 @@ def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 def encode_stream(chats: DataFrame, merges, role_map: dict | None = None) -> DataFrame:
     """Streaming nested chats -> ``(conv_id, ids)``; stateless, so append mode."""
     blocks = flatten.blocks_from_nested(chats, role_map)
-    return blocks.select("conv_id", codec.encode_native(F.col("block"), merges).alias("ids"))
+    return codec.encode(blocks, "block", merges)
 
 
 def run_incremental_encode(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                           merges, max_files_per_trigger: int | None = 1,
+                           merges, max_files_per_trigger: int | None = None,
                            listener: "ProgressRecorder | None" = None) -> DataFrame:
     """Encode every not-yet-processed file of ``source`` into ``sink``.
 
     ``trigger(availableNow=True)`` processes the backlog in micro-batches and
-    stops; calling it again later picks up only new files.
+    stops; calling it again later picks up only new files. By default a trigger
+    takes the whole backlog; ``max_files_per_trigger`` cuts it. Any merge table
+    that the batch encoder takes will do.
     """
     chats = read_stream(spark, source, max_files_per_trigger)
     enc = encode_stream(chats, merges)
@@ -79,6 +82,8 @@ def run_incremental_encode(spark: SparkSession, source: str, sink: str, checkpoi
              .option("checkpointLocation", checkpoint).outputMode("append")
              .trigger(availableNow=True).start())
         q.awaitTermination()
+        if listener is not None:
+            listener.wait()
     finally:
         if listener is not None:
             spark.streams.removeListener(listener)
@@ -92,20 +97,34 @@ def word_count_stream(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return W.words(lines, key).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_word_counts(spark: SparkSession, source: str, out: str, checkpoint: str,
-                    max_files_per_trigger: int | None = 1) -> DataFrame:
-    """Running word counts; returns the current ``(word, n)`` table."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    counts = word_count_stream(read_stream(spark, source, max_files_per_trigger))
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Running word counts; returns the current ``(word, n)`` table.
+
+    The state store is chosen for this query alone (a query keeps the one it
+    was started with). Each run ends by folding its updates into one snapshot.
+    """
+    before = spark.conf.get(_STATE_STORE, None)
+    spark.conf.set(_STATE_STORE, _ROCKSDB)
+    try:
+        counts = word_count_stream(read_stream(spark, source, max_files_per_trigger))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (counts.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q = (counts.writeStream.outputMode("update").foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        if before is None:
+            spark.conf.unset(_STATE_STORE)
+        else:
+            spark.conf.set(_STATE_STORE, before)
     q.awaitTermination()
-    return current_word_counts(spark, out)
+    return compact_word_counts(spark, out)
 
 
 def current_word_counts(spark: SparkSession, out: str) -> DataFrame:
@@ -113,6 +132,24 @@ def current_word_counts(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("word").agg(F.max("n").alias("n"))
 
 
+def compact_word_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Fold all batches but the last into the last one's folder, and return the current table.
+
+    The new table is complete before a batch folder goes: the totals are written
+    as a snapshot beside them, and words that occur in both count once (the
+    larger total wins), so a reader or a restart at any point sees right totals.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("batch_id=")]
+    if len(old) > 1:
+        last = max(int(p.getName().partition("=")[2]) for p in old)
+        current_word_counts(spark, out).write.mode("overwrite").parquet(f"{out}/batch_id=-{last + 1}")
+        for p in old:
+            fs.delete(p, True)
+    return spark.read.parquet(out).groupBy("word").agg(F.max("n").alias("n"))
+
+
 # ---- S3 ------------------------------------------------------------------------
 
 class ProgressRecorder(StreamingQueryListener):
@@ -124,9 +161,15 @@ class ProgressRecorder(StreamingQueryListener):
     def __init__(self, name: str = "progress"):
         self.name = name
         self.rows: list[tuple] = []
+        self.ended = threading.Event()
+
+    def wait(self, seconds: float = 60.0) -> None:
+        """Until the query's end is told; events come in order, so all its progress is in then."""
+        if not self.ended.wait(seconds):
+            raise TimeoutError("the end of the streaming query was not told")
 
     def onQueryStarted(self, event):
-        pass
+        self.ended.clear()
 
     def onQueryProgress(self, event):
         p = event.progress
@@ -139,7 +182,7 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        self.ended.set()
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
