@@ -43,6 +43,45 @@ def test_encode_plans_match_python(spark, sf_small):
     assert {r["conv_id"]: r["text"] for r in dec.collect()} == texts
 
 
+PLANS = ("native", "dictionary", "arrow")
+
+
+def test_custom_specials_in_all_plans(spark):
+    df = spark.createDataFrame([(1, "a<X>b<GPT>")], "conv_id long, t string")
+    for plan in PLANS:
+        got = codec.encode(df, "t", [(97, 98, 256)], specials={"<X>": 40000}, plan=plan).first()["ids"]
+        assert got == [97, 40000, 98, *b"<GPT>"], plan
+
+
+def test_empty_and_null_texts_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "ab")], "conv_id long, t string")
+    for plan in PLANS:
+        got = {r["conv_id"]: r["ids"] for r in codec.encode(df, "t", [(97, 98, 256)], plan=plan).collect()}
+        assert got == {1: [], 2: None, 3: [256]}, plan
+
+
+def test_ids_beyond_the_surrogate_block(spark):
+    merges = [(97, 98, 55_295), (55_295, 99, 55_296), (55_296, 100, 70_000), (70_000, 101, 1_000_000)]
+    df = spark.createDataFrame([(1, "ab abc abcd abcde")], "conv_id long, t string")
+    for plan in PLANS:
+        got = codec.encode(df, "t", merges, plan=plan).first()["ids"]
+        assert got == [55_295, 32, 55_296, 32, 70_000, 32, 1_000_000], plan
+    dec = codec.decode(codec.encode(df, "t", merges), "ids", bpe.vocabulary(spark, merges))
+    assert dec.first()["text"] == "ab abc abcd abcde"
+
+
+def test_byte_level_round_trip(spark):
+    from tokloom.operators import variant
+    text = "a<GPT>b can't\n\n  x  <|endoftext|>\n\ny1 é…"
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "conv_id long, block string")
+    ms = variant.train_byte_level(W.lines(df.filter("conv_id = 1")), 3)
+    enc = variant.encode_byte_level(df, "block", ms)
+    ids = {r["conv_id"]: r["ids"] for r in enc.collect()}
+    assert ids[2] == [] and ids[3] is None and {1, 2} <= set(ids[1]) and 0 not in ids[1]
+    out = codec.decode(enc, "ids", variant.byte_level_vocabulary(spark, ms)).collect()
+    assert {r["conv_id"]: r["text"] for r in out} == {1: text, 2: "", 3: None}
+
+
 def test_range_violations(spark):
     df = spark.createDataFrame([(1, [1, 32000, 5]), (2, [1, 2])], "conv_id long, ids array<int>")
     bad = codec.range_violations(df, "ids", 32000).collect()

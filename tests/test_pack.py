@@ -69,8 +69,8 @@ def test_two_phase_prefix_equals_naive_window(spark):
 
 
 def test_steps_and_token_bytes(spark):
-    ex = spark.range(70).withColumnRenamed("id", "example_id")
-    r = pack.steps(ex, 32, 10).first()
+    counts = spark.createDataFrame([(4481, 70)], "n_tokens long, n_examples long")
+    r = pack.steps(counts, 32, 10).first()
     assert (r["steps_per_epoch"], r["total_steps"]) == (3, 30)
     tb = pack.token_bytes(_tokens(spark, [[1, 2, 3]])).first()
     assert tb["n_tokens"] == 3
@@ -91,10 +91,31 @@ def test_pipeline_end_to_end(spark, sf_small, tmp_path):
     expect = py_windows(stream, 32)
     got = out.examples.orderBy("example_id").collect()
     assert [r["x"] + r["y"][-1:] for r in got] == expect
+    rows = {(r["epoch"], r["example_id"]): r for r in out.batches.collect()}
+    assert all(r["x"] + r["y"][-1:] == expect[i] for (_, i), r in rows.items())
     per_epoch = out.batches.groupBy("epoch").count().collect()
     assert sorted(r["count"] for r in per_epoch) == [len(expect)] * 2
 
 
+def test_repeated_keys_keep_their_tokens(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3]), (1, [4, 5]), (2, None), (3, [6])], "conv_id long, ids array<int>")
+    off = pack.token_offsets(df).orderBy("start", "n").collect()
+    assert sum(r["n"] for r in off) == 6 and [r["start"] for r in off if r["n"]] in ([0, 3, 5], [0, 2, 5])
+
+
+def test_hash_digits_follow_the_row_count():
+    assert scan.hash_digits(10) == 2 and scan.hash_digits(10**11) == 5
+    assert scan.hash_digits(scan.ROWS_PER_BUCKET * 16**4) == 4
+
+
+def test_random_access_reads_one_row_group(spark):
+    win = pack.windows(pack.token_offsets(_tokens(spark, [list(range(400))])), 4)
+    table, _ = pack.store_windows(win, 4)
+    assert pack.example_at(table, 7).first()["ids"] == list(range(28, 33))
+    plan = pack.example_at(table, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(example_id), EqualTo(example_id,7)]" in plan
+
+
 def test_grouped_two_phase_rank_equals_naive(spark):
     df = spark.range(3000).select(
         (F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("h"),

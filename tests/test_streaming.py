@@ -29,6 +29,42 @@ def test_incremental_encode_resumes_and_equals_batch(spark, sf_small):
     assert sum(r[1] for r in rec.rows) == n1
 
 
+def test_stream_equals_batch_at_a_thousand_merges(spark, sf_small):
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    # a merge table as a real tokenizer's: any chain of pairs will do
+    base = [(a, b) for a in range(97, 123) for b in range(97, 123)]
+    merges = [(a, b, 256 + i) for i, (a, b) in enumerate(base)]
+    merges += [(256 + i, 32 + i % 90, 256 + len(base) + i) for i in range(1000 - len(base))]
+    src, sink = S.scratch_dir(spark, "t-src"), S.scratch_dir(spark, "t-sink")
+    chats.nest_turns(turns).repartition(3).write.parquet(src)
+    out = S.run_incremental_encode(spark, src, sink, sink + "-ckpt", merges)
+    batch = codec.encode(flatten.blocks(turns), "block", merges)
+    assert {r["conv_id"]: r["ids"] for r in out.collect()} == \
+        {r["conv_id"]: r["ids"] for r in batch.collect()}
+
+
+def test_progress_holds_every_batch(spark, sf_small):
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    src, sink = S.scratch_dir(spark, "t-src"), S.scratch_dir(spark, "t-sink")
+    chats.nest_turns(turns).repartitionByRange(5, "conv_id").write.parquet(src)
+    rec = S.ProgressRecorder()
+    S.run_incremental_encode(spark, src, sink, sink + "-ckpt", MERGES, 1, rec)
+    assert len(rec.rows) == 5
+    assert sum(r[1] for r in rec.rows) == turns.select("conv_id").distinct().count()
+
+
+def test_word_counts_are_compacted_and_leave_no_setting(spark):
+    src, out = S.scratch_dir(spark, "t-docs"), S.scratch_dir(spark, "t-wc")
+    before = spark.conf.get(S._STATE_STORE, None)
+    for k in range(3):
+        spark.createDataFrame([(k, "a b a")], "doc_id long, text string").coalesce(1).write.mode(
+            "append").parquet(src)
+        got = S.run_word_counts(spark, src, out, out + "-ckpt", 1)
+        assert {r["word"]: r["n"] for r in got.collect()} == {"a": 2 * (k + 1), "b": k + 1, " ": 2 * (k + 1)}
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 1
+    assert spark.conf.get(S._STATE_STORE, None) == before
+
+
 def test_running_word_counts_equal_batch(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     src = S.scratch_dir(spark, "t-docs")

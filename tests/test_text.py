@@ -120,3 +120,75 @@ def test_head_subset_sizes(spark, sf_small):
     first3 = sorted(r["conv_id"] for r in turns.select("conv_id").distinct().collect())[:3]
     got = sorted({r["conv_id"] for r in chats.head_subset(turns, 3).collect()})
     assert got == first3
+
+
+def test_chat_source_ignores_further_keys_and_numbers_records(spark, tmp_path):
+    import json
+    folder = tmp_path / "chats"
+    folder.mkdir()
+    n = 0
+    for f in range(3):
+        with open(folder / f"part-{f}.jsonl", "w", encoding="utf-8") as out:
+            for _ in range(4 + f):
+                turn = {"weight": 1.5, "value": f"text {n}", "from": "human", "more": {"a": [1]}}
+                out.write(json.dumps({"conversations": [turn], "id": "x", "n": n}) + "\n")
+                n += 1
+    got = chats.read_chat_records(spark, str(folder), with_id=False)
+    turns = chats.explode_turns(got).orderBy("conv_id").collect()
+    assert [(r["conv_id"], r["text"]) for r in turns] == [(i, f"text {i}") for i in range(n)]
+
+
+def test_null_text_keeps_the_turn(spark):
+    turns = spark.createDataFrame([(1, 0, "user", None), (1, 1, "assistant", "b"), (1, 2, None, "c")],
+                                  "conv_id long, turn long, role string, text string")
+    block = flatten.blocks(turns).first()["block"]
+    assert block == "<HUMAN>\n\n<GPT>\nb\n<>\nc\n\n<|endoftext|>\n\n"
+    assert flatten.blocks_from_nested(chats.nest_turns(turns)).first()["block"] == block
+
+
+def test_corpus_text_source(spark, tmp_path):
+    import pytest
+    from tokloom.sources import corpus
+    folder = tmp_path / "text"
+    folder.mkdir()
+    blocks = [f"<HUMAN>\nhi {i}\n\nthere\n\n<|endoftext|>\n\n".encode() for i in range(9)]
+    (folder / "part-0").write_bytes(b"".join(blocks[:5]) + b"bad \xff\xfe bytes\n\n<|endoftext|>\n\n")
+    (folder / "part-1").write_bytes(b"".join(blocks[5:]))
+    read = lambda mode: [r["block"] for r in corpus.read_corpus_blocks(spark, str(folder), mode)
+                         .orderBy("file", "at").collect()]
+    good = [b.decode() for b in blocks]
+    assert sorted(read("replace")) == sorted([*good, "bad \ufffd\ufffd bytes\n\n<|endoftext|>\n\n"])
+    assert sorted(read("drop")) == sorted([*good, "bad  bytes\n\n<|endoftext|>\n\n"])
+    with pytest.raises(Exception, match="UTF-8"):
+        read("fail")
+    with pytest.raises(ValueError):
+        corpus.read_corpus_blocks(spark, str(folder), "other")
+
+
+def test_token_cache_key(spark, tmp_path):
+    import pytest
+    from tokloom.sources import corpus
+    path = str(tmp_path / "in")
+    key = lambda **s: corpus.fingerprint(spark.read.parquet(path), [(97, 98, 256)], 64, **s)
+    spark.createDataFrame([(1, "a")], "k long, t string").write.parquet(path)
+    first = key(role_map={"user": "human"})
+    assert first == key(role_map={"user": "human"})
+    assert first != key(role_map={"user": "gpt"})
+    assert first != corpus.fingerprint(spark.read.parquet(path), [(97, 98, 257)], 64, role_map={"user": "human"})
+    spark.createDataFrame([(1, "b" * 100)], "k long, t string").write.mode("overwrite").parquet(path)
+    assert first != key(role_map={"user": "human"})
+    with pytest.raises(ValueError):
+        corpus.fingerprint(spark.createDataFrame([(1, "a")], "k long, t string"), [])
+
+
+def test_training_keeps_few_states(spark, sf_small):
+    import os
+    from tokloom.operators import bpe
+    from tokloom.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    alive = lambda: {f for f in os.listdir(root) if "bpe-state" in f}
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    state = bpe.training_state(W.word_frequency(W.words(W.lines(flatten.blocks(turns)))))
+    before = alive()
+    bpe.train(state, num_merges=40, checkpoint_every=8)
+    assert len(alive() - before) <= 2

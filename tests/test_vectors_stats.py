@@ -28,11 +28,21 @@ def test_argmax_gather_product(spark):
 
 def test_matmul(spark):
     a = spark.createDataFrame([(0, [1.0, 2.0, 3.0]), (1, [4.0, 5.0, 6.0])], "i int, v array<double>")
-    b = spark.createDataFrame([(0, 0, 7.0), (0, 1, 8.0), (1, 0, 9.0), (1, 1, 10.0), (2, 0, 11.0),
-                               (2, 1, 12.0)], "pos int, j int, w double")
-    got = {(r["i"], r["j"]): r["score"] for r in V.matmul_small(V.coordinates(a, "i", "v"), b, "i")
-           .collect()}
-    assert got == {(0, 0): 58.0, (0, 1): 64.0, (1, 0): 139.0, (1, 1): 154.0}
+    b = spark.createDataFrame([(0, [7.0, 9.0, 11.0]), (1, [8.0, 10.0, 12.0])], "j int, column array<double>")
+    wanted = {(0, 0): 58.0, (0, 1): 64.0, (1, 0): 139.0, (1, 1): 154.0}
+    got = V.matmul_small(a, b, "i", "v").collect()
+    assert {(r["i"], r["j"]): r["score"] for r in got} == wanted
+    wide = b.select("j", F.posexplode("column").alias("pos", "w"))
+    got = V.matmul(V.coordinates(a, "i", "v"), wide, "i").collect()
+    assert {(r["i"], r["j"]): r["score"] for r in got} == wanted
+
+
+def test_lookup_keeps_and_reports_unknown_ids(spark):
+    ids = spark.createDataFrame([(1,), (2,), (2,), (9,)], "id int")
+    table = spark.createDataFrame([(1, [0.5]), (3, [1.0])], "key int, v array<double>")
+    out = V.lookup(ids, table, "id", "key")
+    assert sorted((r["id"], r["v"]) for r in out.collect() if r["v"]) == [(1, [0.5])] and out.count() == 4
+    assert sorted(tuple(r) for r in V.missing_ids(out, "id", "key").collect()) == [(2, 2), (9, 1)]
 
 
 def test_crop_and_completion(spark):
@@ -64,4 +74,4 @@ def test_linear_fit_recovers_line(spark):
     r = R.linear_fit(df, "y", "x").first()
     assert math.isclose(r["slope"], 2.0, abs_tol=0.01)
     assert math.isclose(r["intercept"], 1.0, abs_tol=0.01)
-    assert R.mse(df, R.linear_fit(df, "y", "x"), "y", "x").first()["mse"] < 0.02
+    assert R.mse(df, "y", "x").first()["mse"] < 0.02

@@ -80,12 +80,12 @@ def fingerprint(inputs: DataFrame, merges, window: int | None = None, **settings
     The files' names and times are folded into counts and hash sums by Spark, so their number doesn't
     matter. An input without files has no identity to key a cache by and is refused.
     """
-    files = (inputs.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
-                           F.col("_metadata.file_modification_time").cast("string").alias("t"))
-             .distinct())
     key = F.sha2(F.concat_ws("|", "p", F.col("s").cast("string"), "t"), 256)
     part = lambda k: F.sum(F.conv(F.substring(key, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)"))
     try:
+        files = inputs.select(F.col("_metadata.file_path").alias("p"),
+                              F.col("_metadata.file_size").alias("s"),
+                              F.col("_metadata.file_modification_time").cast("string").alias("t")).distinct()
         n, *sums = files.agg(F.count(F.lit(1)), *[part(k) for k in range(5)]).first()
     except AnalysisException as e:
         raise ValueError("a token cache needs an input that is read from files") from e
