@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tokloom.operators import bpe, codec, flatten, lmstats as M, pack, words as W  # noqa: E402
-from tokloom.session import build_session, checkpointed, ensure_checkpoint_dir  # noqa: E402
+from tokloom.session import build_session, ensure_checkpoint_dir, stored  # noqa: E402
 from tokloom.sources.tables import read_table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -51,7 +51,7 @@ def main() -> None:
     force(W.word_frequency(W.words(W.lines(region))))
     region_turns = region.select("conv_id", F.lit(0).cast("bigint").alias("turn"),
                                  F.lit("user").alias("role"), F.col("block").alias("text"))
-    region_freq = checkpointed(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns)))))
+    region_freq, _ = stored(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns)))))
     bpe.train(bpe.training_state(region_freq), num_merges=4)
     force(codec.encode(region, "block", [(69, 85, 256)], plan="arrow"))
 
@@ -60,8 +60,8 @@ def main() -> None:
     blocks = flatten.blocks(turns)
 
     # the D2 stage output is materialised once and feeds training, as in the pipeline
-    freq_chat = timed("d2_word_frequency_chats", lambda: checkpointed(
-        W.word_frequency(W.words(W.lines(blocks)))))
+    freq_chat = timed("d2_word_frequency_chats", lambda: stored(
+        W.word_frequency(W.words(W.lines(blocks))))[0])
     doc_blocks = docs.select("doc_id", F.col("text").alias("block"))
     freq_docs = W.word_frequency(W.words(W.lines(doc_blocks, "doc_id"), "doc_id"), "doc_id")
     timed("d2_word_frequency_documents", lambda: force(freq_docs))
@@ -77,12 +77,10 @@ def main() -> None:
     timed("h4_encode_documents", lambda: force(enc_docs))
 
     # token table materialised once, as the pipeline's cache stage would
-    tokens = timed("a7_token_table", lambda: checkpointed(
-        enc_docs.withColumnRenamed("doc_id", "conv_id")))
-    offsets = pack.token_offsets(tokens)
-    win = pack.windows(offsets, WINDOW)
-    timed("p1_windows", lambda: force(win))
-    win_t = checkpointed(win)
+    tokens = timed("a7_token_table", lambda: stored(
+        enc_docs.withColumnRenamed("doc_id", "conv_id"))[0])
+    offsets = timed("e2_token_offsets", lambda: pack.token_offsets(tokens))
+    win_t = timed("p1_windows", lambda: stored(pack.windows(offsets, WINDOW))[0])
     timed("p4_batches_10_epochs", lambda: force(
         pack.batches(pack.shuffled(win_t, seed=7, epochs=10), BATCH)))
     pairs = pack.next_token_pairs(tokens)
