@@ -1,7 +1,7 @@
 """Session construction and the reliable-checkpoint folder.
 
-Iterative operators (BPE training) cut their lineage with ``checkpoint()``,
-which writes to ``spark.checkpoint.dir``. On a cluster that folder is shared
+Iterative operators (BPE training) and stages with several readers are written as
+tables under ``spark.checkpoint.dir``. On a cluster that folder is shared
 storage named by the cluster configuration; we only read it. A private folder
 is created solely for local-mode sessions (tests, the bench) that left it unset.
 """
@@ -13,7 +13,6 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
@@ -110,14 +109,3 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table written by ``stored`` that no plan reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor
-    loss, cuts lineage), computed once: persisted while it is written."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
