@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, stored
-from tokloom.llm.tokens import id_bytes, tokenizer_file
+from tokloom.llm.tokens import token_ids, tokenizer_file
 
 CAPACITY = 4096
 SALT_ROWS = 50_000
@@ -43,14 +43,14 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches):
         for batch in batches:
-            for part in B.slices(batch, "text"):
+            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
                 rows = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(),
-                                    id_bytes(part.column("text"), source.value)):
-                    n, view = len(ids) // 4, memoryview(ids)
-                    rows += [(doc, k, at, min(capacity, n - at),
-                              zlib.crc32(view[4 * at:4 * (at + capacity)]))
-                             for k, at in enumerate(range(0, n, capacity))]
+                ids, starts = token_ids(part.column("text"), source.value)
+                for doc, lo, hi in zip(part.column("doc_id").to_pylist(), starts[:-1].tolist(),
+                                       starts[1:].tolist()):
+                    rows += [(doc, k, at, min(capacity, hi - lo - at),
+                              zlib.crc32(ids[lo + at:min(hi, lo + at + capacity)]))
+                             for k, at in enumerate(range(0, hi - lo, capacity))]
                 columns = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, shared_folder
 from tokloom.llm.files import Folder
-from tokloom.llm.tokens import id_bytes, largest_id, tokenizer_file
+from tokloom.llm.tokens import largest_id, token_ids, tokenizer_file
 
 LENGTH = 512
 PER_SHARD = 32_768
@@ -97,10 +97,13 @@ class Shards:
         return -(-self.sequences // self.per_shard)
 
 
-def _sequences(part: pa.RecordBatch, source: str, length: int):
+def _sequences(part: pa.RecordBatch, source: str):
     """For each row: its id and its ids as uint16."""
-    for doc, ids in zip(part.column("doc_id").to_pylist(), id_bytes(part.column("text"), source)):
-        yield NO_ID if doc is None else doc, np.frombuffer(ids, "<u4").astype("<u2")
+    ids, starts = token_ids(part.column("text"), source)
+    ids = ids.astype("<u2")
+    for doc, lo, hi in zip(part.column("doc_id").to_pylist(), starts[:-1].tolist(),
+                           starts[1:].tolist()):
+        yield NO_ID if doc is None else doc, ids[lo:hi]
 
 
 def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, length: int = LENGTH,
@@ -115,8 +118,9 @@ def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, leng
     def count(batches):
         n = 0
         for batch in batches:
-            for part in B.slices(batch, "text"):
-                n += sum(-(-len(ids) // length) for _, ids in _sequences(part, source.value, length))
+            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
+                _, starts = token_ids(part.column("text"), source.value)
+                n += int((-(-np.diff(starts) // length)).sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
             ["part", "n"])
@@ -136,9 +140,9 @@ def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, leng
         here = TaskContext.get().partitionId()
         at = base[here]
         for batch in batches:
-            for part in B.slices(batch, "text"):
+            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
                 out = [(doc, k, ids[k * length:(k + 1) * length].tobytes())
-                       for doc, ids in _sequences(part, source.value, length)
+                       for doc, ids in _sequences(part, source.value)
                        for k in range(-(-len(ids) // length))]
                 slot = order.slot(np.arange(at, at + len(out)))
                 at += len(out)
