@@ -109,9 +109,11 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST_COS
     lines = files.select("path", F.posexplode(F.split("text", "\n")).alias("line", "said"))
     whole = (files.filter(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE))
              .select("path", F.lit(-1).alias("line"), F.col("text").alias("said")))
+    # rows that repeat a path are told apart by what the line says; a hash stands for long lines
     at = ["path", "line", "said"]
     counted = (lines.unionByName(whole).withColumn("w", words(F.col("said")))
-               .filter(F.arrays_overlap("w", head)).select(*at, F.explode("w").alias("term"))
+               .filter(F.arrays_overlap("w", head)).withColumn("said", F.sha2("said", 256))
+               .select(*at, F.explode("w").alias("term"))
                .groupBy(*at, "term").agg(F.count("*").alias("n")))
     known = F.broadcast(weights.select("term", "idf").distinct())
     vectors = (counted.join(known, "term", "left")
