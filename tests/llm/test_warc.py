@@ -43,7 +43,7 @@ def test_odd_rows(spark):
 
 def test_each_member_opens_alone_and_holds_the_same_record(spark):
     mono, to = shared_folder(spark, "mono"), shared_folder(spark, "norm")
-    names = W.write_archives(pages_of(spark, PAGES).coalesce(1), mono, archive_bytes=20_000)
+    names = W.write_archives(pages_of(spark, PAGES).coalesce(1), mono, archive_bytes=5_000)
     done = W.normalise(names, mono, to)
     assert sum(r["records"] for r in done.collect()) == len(PAGES)
     assert names.count() > 1  # archives are cut by size

@@ -194,7 +194,8 @@ def score_texts(text: pa.Array, model: Model) -> np.ndarray:
     keep = term >= 0
     ends = np.searchsorted(doc[keep], np.arange(len(text) + 1))
     raw = raw_scores(model.bias, model.weight, model.factors, term[keep], ends)
-    return 1 / (1 + np.exp(-np.clip(raw, -700, 700)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-raw))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
