@@ -1,16 +1,16 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride shards.
 
-Every text is tokenised and cut into sequences of at most ``length`` ids. A keyed Feistel network with
-cycle-walking permutes 0 .. N-1 without a table, so the n-th sequence of the input goes to slot(n), each
-slot once. Slots are cut into ranges of ``per_shard``; each range is shuffled to one task, sorted,
-and written as one shard of fixed-stride records, so that slot s is record s % per_shard of shard
-s // per_shard: a reader starts at any slot by arithmetic and reads on sequentially.
-
-Numbering needs no shuffle: a first pass counts the sequences of each input partition (one number for each
-is all that reaches the driver), a second one adds the partition's base. Both passes must see the same
-partitions, which holds for scans of stored tables; the second one checks its count against the first.
-A shard is written under a temporary name and then renamed, so a task that is run again, on another executor
-or in a later run, replaces it by the same bytes.
+Every text is tokenised once and cut into sequences of at most ``length`` ids. Sequences are numbered without a
+shuffle: a narrow first pass over the texts' lengths reserves for each text as many numbers as it can need at
+most, and one count for each input partition is all that reaches the driver. A keyed Feistel
+network with cycle-walking permutes the D reserved numbers without a table; a sequence's place in the order of
+its permuted number among all sequences is its global slot. Equal ranges of permuted numbers are shuffled to one task
+each, sorted, and written as one shard of fixed-stride records. The manifest of shard sizes turns a slot into a shard
+and a record by arithmetic: a reader starts at any slot and reads on sequentially.
+
+Both passes must see the same partitions, which holds for scans of stored tables; the second one checks the
+numbers that it used against those reserved. A shard is written under a temporary name and then renamed, so a
+task that is run again, on another executor or in a later run, replaces it by the same bytes.
 
 Record: doc_id (int64), sequence number within the text (uint32), ids in use (uint32), then
 ``length`` ids as uint16, padded with zeros; all little-endian.
@@ -22,6 +22,8 @@ no shard. Extra columns are never read.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import zlib
 from dataclasses import dataclass
 
@@ -36,7 +38,7 @@ from tokloom.llm.files import Folder
 from tokloom.llm.tokens import largest_id, token_ids, tokenizer_file
 
 LENGTH = 512
-PER_SHARD = 32_768
+SHARD_BYTES = 32 << 20
 KEY = 20_240_613
 ROUNDS = 6
 NO_ID = -(2**63)
@@ -78,23 +80,27 @@ class Permutation:
 
 @dataclass(frozen=True)
 class Shards:
-    """Where the shards are; all that a reader needs."""
+    """Where the shards are and how many records each has; all that a reader needs."""
 
     folder: str
-    sequences: int
-    per_shard: int
     length: int
+    sizes: tuple[int, ...]
 
     @property
     def stride(self) -> int:
         return 16 + 2 * self.length
 
-    def name(self, shard: int) -> str:
-        return f"shard-{shard:07d}.bin"
+    @property
+    def starts(self) -> list[int]:
+        """First slot of each shard, and the number of sequences."""
+        return [0, *itertools.accumulate(self.sizes)]
 
     @property
-    def count(self) -> int:
-        return -(-self.sequences // self.per_shard)
+    def sequences(self) -> int:
+        return sum(self.sizes)
+
+    def name(self, shard: int) -> str:
+        return f"shard-{shard:07d}.bin"
 
 
 def _sequences(part: pa.RecordBatch, source: str):
@@ -106,9 +112,18 @@ def _sequences(part: pa.RecordBatch, source: str):
         yield NO_ID if doc is None else doc, ids[lo:hi]
 
 
+def _reserved(text: pa.Array, length: int) -> np.ndarray:
+    """Numbers reserved for each text: a byte gives at most one id, and composing and lower-casing
+    make a text at most four times as long; the end id comes on top."""
+    return -(-(4 * B.lengths(text) + 2) // length)
+
+
 def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, length: int = LENGTH,
-                per_shard: int = PER_SHARD, key: int = KEY) -> Shards:
-    """Write the shards of a stored table into ``folder``, which all executors share."""
+                shard_bytes: int = SHARD_BYTES, key: int = KEY) -> Shards:
+    """Write the shards of a stored table into ``folder``, which all executors share.
+
+    ``shard_bytes`` is the text that goes into a shard on average.
+    """
     spark: SparkSession = docs.sparkSession
     source = tokenizer_file(spark, tokenizer)
     if largest_id(source.value) > 0xFFFF:
@@ -116,94 +131,109 @@ def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, leng
     rows = named_rows(docs, doc_id="long", text="string")
 
     def count(batches):
-        n = 0
+        n = size = 0
         for batch in batches:
-            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
-                _, starts = token_ids(part.column("text"), source.value)
-                n += int((-(-np.diff(starts) // length)).sum())
+            n += int(_reserved(batch.column("text"), length).sum())
+            size += int(B.lengths(batch.column("text")).sum())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
-            ["part", "n"])
+            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64()),
+             pa.array([size], pa.int64())], ["part", "n", "size"])
 
     # one row for each input partition
-    counts = dict(sorted(rows.mapInArrow(count, "part int, n long").toArrow().to_pandas()
-                         .itertuples(index=False, name=None)))
+    parts = rows.mapInArrow(count, "part int, n long, size long").toArrow().to_pandas().sort_values("part")
+    counts = dict(zip(parts["part"].tolist(), parts["n"].tolist()))
     base, total = {}, 0
     for part, n in counts.items():
         base[part], total = total, total + n
-    shards = Shards(folder, total, per_shard, length)
     if not total:
-        return shards
-    order = Permutation(total, key)
+        return Shards(folder, length, ())
+    order, n_shards = Permutation(total, key), max(1, -(-int(parts["size"].sum()) // shard_bytes))
 
     def number(batches):
         here = TaskContext.get().partitionId()
         at = base[here]
         for batch in batches:
             for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
-                out = [(doc, k, ids[k * length:(k + 1) * length].tobytes())
-                       for doc, ids in _sequences(part, source.value)
-                       for k in range(-(-len(ids) // length))]
-                slot = order.slot(np.arange(at, at + len(out)))
-                at += len(out)
-                columns = list(zip(*out))
+                room = _reserved(part.column("text"), length)
+                first = at + np.concatenate([[0], np.cumsum(room)])
+                at = int(first[-1])
+                out = []
+                for i, (doc, ids) in enumerate(_sequences(part, source.value)):
+                    n = -(-len(ids) // length)
+                    if n > room[i]:
+                        raise RuntimeError("a text has more ids than its bytes allow")
+                    out += [(first[i] + k, doc, k, ids[k * length:(k + 1) * length].tobytes())
+                            for k in range(n)]
+                numbers, doc, piece, ids = zip(*out)
+                place = order.slot(np.array(numbers, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot), pa.array((slot // per_shard).astype(np.int32)),
-                     pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
-                     pa.array(columns[2], pa.binary())], ["slot", "shard", "doc_id", "piece", "ids"])
+                    [pa.array(place), pa.array((place * n_shards // total).astype(np.int32)),
+                     pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(ids, pa.binary())],
+                    ["place", "shard", "doc_id", "piece", "ids"])
         if at != base[here] + counts[here]:
             raise RuntimeError("the input's partitions changed between the two passes")
 
     def write(batches):
         target, attempt = Folder(folder), TaskContext.get().taskAttemptId()
-        out, open_shard = None, None
+        out, open_shard, n = None, None, 0
         for batch in batches:
-            slots = batch.column("slot").to_numpy()
-            for slot, doc, piece, ids in zip(slots.tolist(), *(batch.column(c).to_pylist()
-                                                               for c in ("doc_id", "piece", "ids"))):
-                if slot // per_shard != open_shard:
+            for shard, doc, piece, ids in zip(*(batch.column(c).to_pylist()
+                                                for c in ("shard", "doc_id", "piece", "ids"))):
+                if shard != open_shard:
                     if out is not None:
                         out.done()
-                    open_shard = slot // per_shard
-                    out = target.write(shards.name(open_shard), attempt)
+                        yield _size(open_shard, n)
+                    open_shard, n = shard, 0
+                    out = target.write(f"shard-{shard:07d}.bin", attempt)
                 head = (doc.to_bytes(8, "little", signed=True) + piece.to_bytes(4, "little")
                         + (len(ids) // 2).to_bytes(4, "little"))
                 out.put(head + ids + bytes(2 * length - len(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array([len(slots)], pa.int64())], ["n"])
+                n += 1
         if out is not None:
             out.done()
+            yield _size(open_shard, n)
 
     Folder(folder).make()
-    (rows.mapInArrow(number, "slot long, shard int, doc_id long, piece int, ids binary")
-     .repartitionById(shards.count, F.col("shard")).sortWithinPartitions("slot")
-     .mapInArrow(write, "n long").agg(F.sum("n")).collect())
-    return shards
+    sizes = [0] * n_shards
+    # one row for each shard
+    for shard, n in (rows.mapInArrow(number, "place long, shard int, doc_id long, piece int, ids binary")
+                     .repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "place")
+                     .mapInArrow(write, "shard int, n long").collect()):
+        sizes[shard] = n
+    return Shards(folder, length, tuple(sizes))
+
+
+def _size(shard: int, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n], pa.int64())],
+                                      ["shard", "n"])
 
 
 def read(spark: SparkSession, shards: Shards, first_slot: int = 0) -> DataFrame:
     """(slot, shard, record, doc_id, piece, length, ids_crc32, ids) from ``first_slot`` on, in slot
     order within a shard; a task reads one shard after another from front to back."""
-    first = first_slot // shards.per_shard
+    starts = shards.starts
+    first = max(0, bisect.bisect_right(starts, first_slot) - 1)
 
     def run(batches):
         folder = Folder(shards.folder)
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                at = shard * shards.per_shard
+                record = max(0, first_slot - starts[shard])
+                if record >= shards.sizes[shard]:
+                    continue
                 with folder.read(shards.name(shard)) as f:
-                    skip = max(0, first_slot - at)
-                    f.seek(skip * shards.stride)
-                    at += skip
+                    f.seek(record * shards.stride)
                     while data := f.read(1024 * shards.stride):
-                        yield _decoded(data, at, shard, shards)
-                        at += len(data) // shards.stride
+                        yield _decoded(data, starts[shard], record, shard, shards)
+                        record += len(data) // shards.stride
 
-    return spark.range(first, shards.count, 1, max(1, shards.count - first)).mapInArrow(
+    end = len(shards.sizes)
+    return spark.range(min(first, end), end, 1, max(1, end - first)).mapInArrow(
         run, "slot long, shard int, record int, doc_id long, piece int, length int, ids_crc32 long, "
              "ids array<int>")
 
 
-def _decoded(data: bytes, at: int, shard: int, shards: Shards) -> pa.RecordBatch:
+def _decoded(data: bytes, start: int, record: int, shard: int, shards: Shards) -> pa.RecordBatch:
     kind = np.dtype([("doc", "<i8"), ("piece", "<u4"), ("n", "<u4"), ("ids", "<u2", shards.length)])
     rows = np.frombuffer(data, kind)
     n = rows["n"].astype(np.int64)
@@ -211,10 +241,10 @@ def _decoded(data: bytes, at: int, shard: int, shards: Shards) -> pa.RecordBatch
     ends = np.concatenate([[0], np.cumsum(n)])
     wide = used.astype("<u4")
     crc = [zlib.crc32(wide[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
-    slot = at + np.arange(len(rows))
+    record = record + np.arange(len(rows))
     return pa.RecordBatch.from_arrays(
-        [pa.array(slot), pa.array(np.full(len(rows), shard, np.int32)),
-         pa.array((slot % shards.per_shard).astype(np.int32)),
+        [pa.array(start + record), pa.array(np.full(len(rows), shard, np.int32)),
+         pa.array(record.astype(np.int32)),
          pa.array(rows["doc"], mask=rows["doc"] == NO_ID), pa.array(rows["piece"].astype(np.int32)),
          pa.array(n.astype(np.int32)), pa.array(crc, pa.int64()),
          pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(wide.astype(np.int32)))],
