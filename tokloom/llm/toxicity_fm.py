@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import crc32_of_id, named_rows
 
-SAMPLE_DOCS = 8_000
+SAMPLE_DOCS = 6_000
 BITS = 20
 PREFIXES = (5, 6, 7, 8)
 OFTEN = (2, 4)
@@ -90,7 +90,7 @@ def _term_lists(batches):
 def _chosen(doc: np.ndarray, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Term number of each hash: the terms with the highest chi-square between occurrence and label."""
     seen = np.bincount(h, minlength=1 << BITS).astype(float)
-    hit = np.bincount(h, weights=y[doc], minlength=1 << BITS)
+    hit = np.bincount(h[(y > 0)[doc]], minlength=1 << BITS)
     n, pos = len(y), y.sum()
     expected = seen * pos / n
     chi = ((hit - expected) ** 2 * n / np.maximum(expected * (1 - pos / n) * (n - seen), 1e-9))
@@ -176,14 +176,14 @@ def fit(docs: DataFrame, labels: DataFrame, learnable, sample_docs: int = SAMPLE
     if not 0 < y.sum() < len(y):
         return _constant(float(y.mean()) if len(y) else 0.0)
     lists = got.column("terms").combine_chunks()
-    h = lists.values.to_numpy().astype(np.int64)
+    h = lists.values.to_numpy()
     size = np.diff(lists.offsets.to_numpy())
     # an order of its own, so the sums don't depend on the order of arrival
     starts = lists.offsets.to_numpy()[:-1]
     order = np.lexsort((y, [zlib.crc32(h[a:a + k].tobytes()) for a, k in zip(starts, size)]))
     h = np.concatenate([h[starts[i]:starts[i] + size[i]] for i in order])
     y = y[order]
-    return train(np.repeat(np.arange(len(y)), size[order]), h, y,
+    return train(np.repeat(np.arange(len(y), dtype=np.int32), size[order]), h, y,
                  np.where(y == 1, 1 / chance[1], 1 / chance[0]))
 
 
