@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 
@@ -73,6 +74,20 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs, k):
     assert stage(spark, no_docs, SF).count() == 0
 
 
+def test_language_stage_keeps_clean_texts_of_many_languages(spark):
+    """A dozen languages in one family, beside a dozen families of one."""
+    from tokloom.llm.lang_id import FAMILIES
+
+    rnd = random.Random(4)
+    rows = []
+    for lang in [*FAMILIES["slavic"].split(), *(f"x{i}" for i in range(12))]:
+        own = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 8))) for _ in range(60)]
+        rows += [(len(rows) + i, " ".join(rnd.choices(own, k=60)), lang) for i in range(25)]
+    docs = spark.createDataFrame([*rows, (-1, "12 34", "ru")], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in C.language(spark, docs, SF).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_last_stage_on_odd_rows(spark, odd_docs, no_docs):
     assert C.STAGES[4][1](spark, odd_docs, SF).count() >= len(ROWS)
     assert C.STAGES[4][1](spark, no_docs, SF).count() == 0

@@ -9,6 +9,9 @@ Edge cases: a null text, or one without any letter, is ``und`` with score 0. Row
 repeated id are predicted like any other, row by row. Without a single learnable row, everything is
 ``und``. A language that is alone in its family gets that family's probability. Equal votes go to the
 language that sorts first. Extra columns are never read.
+
+The score is the family's probability against the rest times the mean vote for the language against each of
+its relatives. Neither shrinks with the number of families or languages, so one bound serves any corpus.
 """
 
 from __future__ import annotations
@@ -191,7 +194,7 @@ def classify(text: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     m = margins(text, model.weights) + model.bias
     p = 1 / (1 + np.exp(-np.clip(m * model.slope, -30, 30)))
     k = len(model.families) if len(model.families) > 1 else 0
-    of_family = p[:, :k] / p[:, :k].sum(1, keepdims=True) if k else np.ones((n, 1))
+    of_family = p[:, :k] if k else np.ones((n, 1))
     best = of_family.argmax(1)
     lang, score = np.full(n, UNKNOWN, object), np.zeros(n)
     for f, name in enumerate(model.families):
@@ -202,7 +205,7 @@ def classify(text: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
             if a in names and b in names:
                 vote[:, names.index(a)] += p[here, k + j]
                 vote[:, names.index(b)] += 1 - p[here, k + j]
-        share = vote / vote.sum(1, keepdims=True) if len(names) > 1 else np.ones((len(here), 1))
+        share = vote / (len(names) - 1) if len(names) > 1 else np.ones((len(here), 1))
         win = share.argmax(1)
         lang[here] = np.array(names, object)[win]
         score[here] = of_family[here, f] * share[np.arange(len(here)), win]
