@@ -15,6 +15,8 @@ from tokloom.session import ship_package
 
 #: Documents whose language is less sure than this are rejected, like those in no language at all.
 LEAST_LANGUAGE_SCORE = 0.2
+#: Least share of common five-word shingles of near-duplicates; 85 is the contract of op2 alone.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     ship_package(spark)
-    return bbit_minhash.keep_one(docs)
+    return bbit_minhash.keep_one(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

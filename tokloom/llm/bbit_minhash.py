@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. Each text gives its set of distinct word shingles, the minima of it under 384 hash functions, 48 band
-   keys of 8 minima each, and the lowest two bits of every minimum, packed as two bit planes.
+   keys of 8 minima each (lower similarities take shorter bands), and the lowest two bits of every minimum, packed as two bit planes.
 2. Texts with equal sets form one class with one representative; only representatives go on.
 3. Representatives that share a band key are candidates. In each bucket they are first paired with the
    bucket's leader only, the member that meets most others; a representative keeps the leader with the
@@ -12,7 +12,8 @@
    first; the rest only while the components stay apart.
 5. A link counts only when the full sets confirm it; components come from links alone.
 
-A pair at similarity 0.85 shares no band with probability (1 - 0.85^8)^48 = 2e-7 and is lost by the bit
+A pair at similarity 0.85 shares no band with probability (1 - 0.85^8)^48 = 2e-7 (at 0.80, with 64 bands of
+6, 4e-9) and is lost by the bit
 counts with less than 1e-6 (five standard deviations).
 
 Edge cases: texts without words (null, empty, blank) have an empty set and are linked with nothing.
@@ -54,11 +55,17 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
+def rows_of_band(percent: int) -> int:
+    """The longest bands of which a pair at the threshold misses all with less than 1e-6."""
+    return max(r for r in range(1, HASHES + 1) if HASHES % r == 0
+               and (r == 1 or (1 - (percent / 100) ** r) ** (HASHES // r) < 1e-6))
+
+
+def band_keys(least: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """64-bit key of each band of each row of minima (texts x HASHES)."""
-    parts = least.reshape(len(least), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
-    for k in range(ROWS):
+    parts = least.reshape(len(least), HASHES // rows, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, HASHES // rows + 1, dtype=np.uint64), parts.shape[:2]).copy()
+    for k in range(rows):
         key = B.mix(key ^ parts[:, :, k])
     return key
 
@@ -76,7 +83,7 @@ def _lists(rows: np.ndarray) -> pa.Array:
                                     pa.array(rows.reshape(-1)))
 
 
-def _features(batches):
+def _features(batches, rows: int):
     for batch in batches:
         for part in B.slices(batch, "text"):
             _, _, _, h, first = B.words(part.column("text"))
@@ -93,7 +100,7 @@ def _features(batches):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(size), pa.array(digest[0].view(np.int64)),
                  pa.array(digest[1].view(np.int64)), _lists(packed(least)),
-                 _lists(band_keys(least).view(np.int64))],
+                 _lists(band_keys(least, rows).view(np.int64))],
                 ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"])
 
 
@@ -245,7 +252,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Links texts with 100 * shared shingles >= percent * shingles of either.
     """
     docs = named_rows(docs, doc_id="long", text="string")
-    rows = stored(docs.mapInArrow(_features, _FEATURES), "features")
+    width = rows_of_band(percent)
+    rows = stored(docs.mapInArrow(lambda b: _features(b, width), _FEATURES), "features")
     linkable = F.col("n_shingles") > 0
     sets = rows.filter(linkable & F.col("doc_id").isNotNull())
     key = ["set_a", "set_b", "n_shingles"]
