@@ -98,6 +98,17 @@ def test_estimate_follows_the_similarity():
         assert abs((1 - off / M.HASHES - 0.25) / 0.75 - j) < 0.1
 
 
+def test_bits_of_short_texts_are_drawn_anew_by_each_function():
+    """No pair of six of seven common shingles (0.857) is lost by the bit counts."""
+    rng = np.random.default_rng(2)
+    n, limit = 30_000, M.most_mismatches(85)
+    sets = rng.integers(0, 2**63, (n, 7), dtype=np.uint64)
+    sides = [M.packed(np.stack([M.minima(s) for s in part])).view(np.uint64) for part in (sets[:, :6], sets)]
+    x = sides[0] ^ sides[1]
+    off = np.bitwise_count(x[:, :M.PLANE] | x[:, M.PLANE:]).sum(axis=1)
+    assert (off > limit).sum() == 0
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (7, 300)]
     out = dict(components(spark.createDataFrame(links, "a long, b long")).collect())

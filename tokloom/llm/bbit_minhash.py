@@ -71,8 +71,14 @@ def band_keys(least: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def packed(least: np.ndarray) -> np.ndarray:
-    """The lowest bit of all minima, then the second lowest: 2 * PLANE words of 64 bits a text."""
-    planes = [np.packbits(((least >> np.uint32(k)) & np.uint32(1)).astype(np.uint8), axis=1)
+    """The lowest bit of all minima, then the second lowest: 2 * PLANE words of 64 bits a text.
+
+    The low bits of A * x + B depend on those of x alone, so two minima would differ in them under all
+    hash functions or none; each minimum is therefore mixed with the number of its function first.
+    """
+    own = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
+    mixed = B.mix(least.astype(np.uint64) | own)
+    planes = [np.packbits(((mixed >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), axis=1)
               for k in (0, 1)]
     return np.ascontiguousarray(np.concatenate(planes, axis=1)).view(np.int64)
 
