@@ -109,6 +109,18 @@ def test_bits_of_short_texts_are_drawn_anew_by_each_function():
     assert (off > limit).sum() == 0
 
 
+def test_pairs_with_band_keys_alike_in_their_upper_bits(spark):
+    """Band 0 differs in its low bits only; the pair is taken in band 1."""
+    sig, bands = [0] * (2 * M.PLANE), [[(1 << 40) + i, 7] for i in range(2)]
+    reps = spark.createDataFrame([(i, sig, 1, bands[i]) for i in range(2)],
+                                 "rep long, sig array<long>, n_shingles long, bands array<long>")
+    rows = spark.createDataFrame([(no, bands[i][no], i, i) for i in range(2) for no in range(2)],
+                                 "no int, band long, rep long, g_rep long")
+    texts = spark.createDataFrame([(0, "a b"), (1, "a b")], "doc_id long, text string")
+    alike = M.mismatches("sig_a", "sig_b") <= 0
+    assert [r[:2] for r in got(M._apart(rows, reps, texts, alike, 85))] == [(1, 0)]
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (7, 300)]
     out = dict(components(spark.createDataFrame(links, "a long, b long")).collect())

@@ -216,7 +216,7 @@ def _apart(rows: DataFrame, reps: DataFrame, texts: DataFrame, alike, percent: i
     smaller number of other shingles. With that bound, copies that were edited beyond the threshold
     drop out before they meet the members of a large group. A bucket of n members is cut into
     n / BLOCK hash blocks and joined block by block. A pair is taken in the first of its common
-    bands only, told by 31 bits of each band key (which errs once in 4e7 pairs).
+    bands only; whole keys are compared, as in the buckets, so a chance equality is a common bucket too.
     """
     mixed = (rows.groupBy("band").agg(F.min("g_rep").alias("lo"), F.max("g_rep").alias("hi"),
                                       F.count("*").alias("size"))
@@ -227,8 +227,7 @@ def _apart(rows: DataFrame, reps: DataFrame, texts: DataFrame, alike, percent: i
               .mapInArrow(_own_shingles, "h long, rep long").groupBy("h")
               .agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
               .groupBy("rep").agg(F.count("*").alias("single")))
-    keys = F.transform("bands", lambda k: F.shiftright(k, 33).cast("int")).alias("keys")
-    sigs = reps.select("rep", "sig", F.col("n_shingles").alias("n"), keys)
+    sigs = reps.select("rep", "sig", F.col("n_shingles").alias("n"), F.col("bands").alias("keys"))
     members = stored(members.join(sigs, "rep").join(single, "rep", "left")
                      .withColumn("common", F.col("n") - F.coalesce("single", F.lit(0))), "mixed")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
