@@ -55,3 +55,16 @@ def test_sketch_is_long_enough(spark):
                                   "item_id long, text string")
     sizes = dict(D.sketches(items, 80).groupBy("item_id").count().collect())
     assert all(sizes[n] >= n - -(-n * 80 // 100) + 1 for n in range(1, 70))
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    han = "机器学习模型需要大量干净的文本数据"
+    items = [(1, "Xylophone!"), (2, "to be, or not"), (3, han), (4, "日本"), (5, "สวัสดีครับผมชื่อ"), (6, "... ?"),
+             (7, "one two three four five six")]
+    docs = [(1, "a xylophone plays"), (2, "xylophones to be or not, that"), (3, "我们知道" + han + "才能训练"),
+            (4, "日 x 本"), (5, "在日本人"), (6, "ว่าสวัสดีครับผมชื่อนาย"), (7, "to be or never"), (8, han[:9]),
+            (9, "to be"), (10, "so one two three four five six"), (11, None)]
+    out = D.matches(spark.createDataFrame(docs, "doc_id long, text string"),
+                    spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r[0], r[1]) for r in out.collect()) == [(1, 1), (2, 2), (3, 3), (5, 4), (6, 5), (10, 7)]
+    assert {r[2:] for r in out.filter("item_id in (1, 2, 4)").collect()} == {(1, 1)}

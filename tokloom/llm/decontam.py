@@ -1,18 +1,21 @@
 """Benchmark decontamination: which documents hold which test items.
 
-DataFrame functions only. Words are runs of letters and digits of the lower-cased text; sets are distinct
-five-word shingles. A document holds an item when it has at least ``percent`` of the item's shingles.
+DataFrame functions only. Words are runs of letters and digits of the lower-cased text; each character of a
+script without spaces is a word of its own. Sets are distinct five-word shingles; an item of fewer words is one
+shingle, its whole word sequence. A document holds an item when it has at least ``percent`` of the item's
+shingles.
 
 Items are short and documents long, so their Jaccard similarity says little. Items are partitioned by the
 size of their set, in powers of two; each partition has its own MinHash sketch length: so many of
 an item's smallest shingle hashes that a document which reaches the containment must hold one of
-them (u - ceil(u * percent / 100) + 1 for the partition's largest size u). Every shingle of every document
-is held against the sketches; the candidates are then verified on the shingles themselves.
+them (u - ceil(u * percent / 100) + 1 for the partition's largest size u). Every shingle of every document,
+of five words and of the smaller numbers that items have, is held against the sketches; the candidates are then
+verified on the shingles themselves.
 
 The sketches are a table of their own, joined by its measured size: broadcast when small, else by a shuffle
 on the hash. Only matches leave the first pass, never shingles.
 
-Edge cases: null and empty texts, and items of fewer than five words, have no shingle and match nothing.
+Edge cases: null and empty texts, and items without a word, have no shingle and match nothing.
 Rows that repeat a document id (or have none) count as one document whose sets are united, and rows that
 repeat an item id as one item; items without id are left out. Extra columns are never read.
 """
@@ -25,34 +28,63 @@ from tokloom.llm.common import named_rows, stored
 
 WIDTH = 5
 PERCENT = 80
+#: Scripts that put no spaces between words.
+UNSPACED = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+            r"&&[\p{L}\p{N}]]")
 
 
 def words(text) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _windows(df: DataFrame, key: str) -> DataFrame:
-    """(key, w, i): a row for each shingle, ``w`` the words of the text and ``i`` its first word."""
-    w = df.select(key, words(F.col("text")).alias("w")).filter(F.size("w") >= WIDTH)
-    return w.select(key, "w", F.explode(F.sequence(F.lit(0), F.size("w") - WIDTH)).alias("i"))
+def _words(df: DataFrame, key: str) -> DataFrame:
+    """(key, w): the words of each text that has any."""
+    apart = words(F.regexp_replace("text", UNSPACED, " $0 "))
+    return df.select(key, apart.alias("w")).filter(F.size("w") > 0)
 
 
-def _parts() -> list[Column]:
-    return [F.get("w", F.col("i") + k) for k in range(WIDTH)]
+def _shingles(df: DataFrame, key: str, widths: list[int], of) -> DataFrame:
+    """(key, s): ``of(words)`` of every run of as many words as one of ``widths``."""
+    w = _words(df, key).filter(F.size("w") >= min(widths))
+    at = w.select(key, "w", F.explode(F.sequence(F.lit(0), F.size("w") - min(widths))).alias("i"))
+    part = lambda k: of([F.get("w", F.col("i") + j) for j in range(k)])
+    if len(widths) == 1:
+        return at.select(key, part(widths[0]).alias("s"))
+    each = F.array(*[F.when(F.col("i") + k <= F.size("w"), part(k)) for k in widths])
+    return at.select(key, F.explode(each).alias("s")).filter("s is not null")
 
 
-def _hash() -> Column:
-    return F.xxhash64(*_parts())
+def _item_shingles(items: DataFrame, of) -> DataFrame:
+    """(item_id, s): five words each, or all words of an item that has fewer."""
+    w = _words(items, "item_id")
+    last = F.greatest(F.size("w") - WIDTH, F.lit(0))
+    at = w.select("item_id", "w", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    part = lambda k: of([F.get("w", F.col("i") + j) for j in range(k)])
+    own = part(WIDTH)
+    for k in range(1, WIDTH):
+        own = F.when(F.size("w") == k, part(k)).otherwise(own)
+    return at.select("item_id", own.alias("s"))
 
 
-def _shingle() -> Column:
-    return F.concat_ws(" ", *_parts())
+def _hash(parts: list[Column]) -> Column:
+    return F.xxhash64(*parts)
+
+
+def _joined(parts: list[Column]) -> Column:
+    return F.concat_ws(" ", *parts)
+
+
+def _widths(items: DataFrame) -> list[int]:
+    """The numbers of words, at most five, that the items' shingles have."""
+    found = (_words(items, "item_id").select(F.least(F.size("w"), F.lit(WIDTH)).alias("k"))
+             .distinct().collect())
+    return sorted(r["k"] for r in found) or [WIDTH]
 
 
 def sketches(items: DataFrame, percent: int) -> DataFrame:
     """(h, item_id): the sketch of each item, its smallest hashes."""
-    sets = (_windows(items, "item_id").select("item_id", _hash().alias("h"))
-            .groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hashes")))
+    sets = (_item_shingles(items, _hash).groupBy("item_id")
+            .agg(F.array_sort(F.collect_set("s")).alias("hashes")))
     n = F.size("hashes")
     largest = F.pow(F.lit(2), F.length(F.bin(n))).cast("int") - 1  # the largest of as many binary digits
     needed = lambda size: F.ceil(size * F.lit(percent) / F.lit(100))
@@ -60,20 +92,18 @@ def sketches(items: DataFrame, percent: int) -> DataFrame:
     return sets.select(F.explode(F.slice("hashes", 1, F.least(length, n))).alias("h"), "item_id")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared) of every document that holds an item."""
-    docs = named_rows(docs, doc_id="long", text="string")
-    items = named_rows(benchmark, item_id="long", text="string").filter("item_id is not null")
+def _matches(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """``matches`` of documents (doc_id of any type, text) and items (item_id, text) with an id."""
+    widths = _widths(items)
     sketch = stored(sketches(items, percent), "sketches")
     candidates = stored(
-        _windows(docs, "doc_id").select("doc_id", _hash().alias("h"))
+        _shingles(docs, "doc_id", widths, _hash).withColumnRenamed("s", "h")
         .join(sketch, "h").select("doc_id", "item_id").distinct(), "candidates")
-    shingles = stored(_windows(items, "item_id").select("item_id", _shingle().alias("s")).distinct(),
-                      "item-shingles")
+    shingles = stored(_item_shingles(items, _joined).distinct(), "item-shingles")
     sizes = shingles.groupBy("item_id").agg(F.count("*").alias("n_item"))
     suspects = candidates.select(F.col("doc_id").alias("suspect")).distinct()
-    shared = (_windows(docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi"),
-                       "doc_id").select("doc_id", _shingle().alias("s"))
+    shared = (_shingles(docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi"),
+                        "doc_id", widths, _joined)
               .join(shingles, "s").distinct()
               .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared")))
     pairs = candidates.select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item"))
@@ -83,6 +113,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Da
             .select("doc_id", "item_id", "n_item", "n_shared"))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return named_rows(benchmark, item_id="long", text="string").filter("item_id is not null")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, item_id, n_item, n_shared) of every document that holds an item."""
+    return _matches(named_rows(docs, doc_id="long", text="string"), _items(benchmark), percent)
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of documents that hold no item, with all their columns."""
     held = stored(matches(docs, benchmark, percent).select(F.col("doc_id").alias("held_id"))
