@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark table."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Rows that hold no item of the benchmark table; rows without id, or with the same, are judged apart."""
+    return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

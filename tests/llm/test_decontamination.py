@@ -68,3 +68,14 @@ def test_short_items_and_scripts_without_spaces(spark):
                     spark.createDataFrame(items, "item_id long, text string"))
     assert sorted((r[0], r[1]) for r in out.collect()) == [(1, 1), (2, 2), (3, 3), (5, 4), (6, 5), (10, 7)]
     assert {r[2:] for r in out.filter("item_id in (1, 2, 4)").collect()} == {(1, 1)}
+
+
+def test_rows_are_judged_apart(spark):
+    item = " ".join(f"q{i}" for i in range(40))
+    half = [" ".join(f"q{i}" for i in r) for r in (range(24), range(20, 40))]
+    rows = [(None, item), (None, "clean text of one row"), (None, None), (None, ""), (None, half[0]), (None, half[1]),
+            (7, "x " + item), (7, "another text"), (8, half[0]), (8, half[1])]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, held_id int")
+    kept = D.clean_rows(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert {r["held_id"] for r in kept.collect()} == set(range(10)) - {0, 6}

@@ -17,7 +17,8 @@ on the hash. Only matches leave the first pass, never shingles.
 
 Edge cases: null and empty texts, and items without a word, have no shingle and match nothing.
 Rows that repeat a document id (or have none) count as one document whose sets are united, and rows that
-repeat an item id as one item; items without id are left out. Extra columns are never read.
+repeat an item id as one item; items without id are left out. ``clean_rows`` judges row by row. Extra columns
+are never read.
 """
 
 from __future__ import annotations
@@ -127,3 +128,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     held = stored(matches(docs, benchmark, percent).select(F.col("doc_id").alias("held_id"))
                   .distinct(), "contaminated")
     return docs.join(held, docs["doc_id"].eqNullSafe(held["held_id"]), "left_anti")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows whose own text holds no item, with all their columns, whatever ids they have or lack."""
+    digest = lambda c: F.sha2(c.cast("string"), 256)
+    texts = named_rows(docs, text="string").select(digest(F.col("text")).alias("doc_id"), "text")
+    held = stored(_matches(texts, _items(benchmark), percent).select(F.col("doc_id").alias("held_id"))
+                  .distinct(), "contaminated")
+    return docs.join(held, digest(docs["text"]) == held["held_id"], "left_anti")
