@@ -30,6 +30,20 @@ def test_headers_files_and_ancestors(spark):
     assert S.scan(df.limit(0)).count() == 0
 
 
+def test_embedded_and_wrapped_notices(spark):
+    import textwrap
+
+    mit, gpl = "Released under the MIT License.", max((t for k, t in S.TEMPLATES if k == "GPL-3.0"), key=len)
+    code = " ".join(f"word{i}" for i in range(200))
+    files = [("a", "Copyright (c) 2020 Example Industries Incorporated. All rights reserved. " + mit),
+             ("b", f"{code} {mit} {code}"), ("d", code), ("e", None), ("f", ""), ("g", "Released"),
+             ("c", code + "\n" + "\n".join("# " + x for x in textwrap.wrap(gpl, 40)) + "\n" + code)]
+    out = S.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert {(r["path"], r["license"], r["cosine"]) for r in out} == {
+        ("a", "MIT", 1.0), ("b", "MIT", 1.0), ("c", "GPL-3.0", 1.0), ("d", None, None), ("e", None, None),
+        ("f", None, None), ("g", None, None)}
+
+
 def test_license_odd_rows(odd_docs):
     out = S.op3_licenses(odd_docs).collect()
     ids = {r[0] for r in ROWS}

@@ -4,11 +4,14 @@ DataFrame functions only. Terms are runs of letters and digits, lower-cased. A t
 idf ln((1 + N) / (1 + df)) + 1, counted over all N files; any other word has that of a term never seen. Each
 line of each file is a possible header and is held against every template, and so is the whole text of a file
 whose name says that it is a licence; the nearest template of a file is its own licence when the cosine is at
-least ``LEAST_COSINE``.
+least ``LEAST_COSINE``. A notice may also stand inside a line or be wrapped over many: every run of as
+many words as a template has, line ends and comment marks ignored, that begins with a term of the template is a
+possible header too.
 
-Most lines never meet a template. A template's terms are sorted by weight, and its head are the terms up to
+Most lines and runs never meet a template. A template's terms are sorted by weight, and its head are the terms up to
 where the rest alone cannot reach the least cosine (Cauchy-Schwarz); a line without a head term of any
-template cannot reach it either, so only lines with one are scored. Nothing is lost by this.
+template cannot reach it either, so only lines with one are scored, and only runs with one of their own
+template. Nothing is lost by this.
 
 A directory's licence is that of its licence files: the highest cosine, then the least path. Files without a
 licence of their own take the nearest ancestor directory's. Distinct directories, not files, are
@@ -89,14 +92,34 @@ def weighted(terms: DataFrame, files: DataFrame, total: int) -> DataFrame:
             .drop("df"))
 
 
-def head_terms(weights: DataFrame, least: float) -> list[str]:
-    """The terms of which a text must hold one to reach ``least``; no more than the templates have."""
+def head_terms(weights: DataFrame, least: float) -> dict[int, list[str]]:
+    """For each template, the terms of which a text must hold one to reach ``least``."""
     rest = Window.partitionBy("template").orderBy("w", F.desc("term"))
     left = F.sqrt(F.sum(F.col("w") ** 2).over(rest.rowsBetween(Window.unboundedPreceding, 0)))
     # a little below the bound, for the rounding of sums
-    return sorted(r["term"] for r in weights.withColumn("left", left)
-                  .filter(F.col("left") >= least * F.col("norm") * (1 - 1e-9))
-                  .select("term").distinct().collect())
+    found: dict[int, list[str]] = {}
+    for r in (weights.withColumn("left", left).filter(F.col("left") >= least * F.col("norm") * (1 - 1e-9))
+              .select("template", "term").orderBy("template", "term").collect()):
+        found.setdefault(r["template"], []).append(r["term"])
+    return found
+
+
+def runs(files: DataFrame, weights: DataFrame, heads: dict[int, list[str]]) -> DataFrame:
+    """(path, line, said): the runs of words that may be a template's notice; see the module."""
+    of = {r["template"]: r for r in weights.groupBy("template").agg(
+        F.sum("tf").cast("int").alias("words"), F.sort_array(F.collect_list("term")).alias("terms")).collect()}
+    strings = lambda v: F.array(*map(F.lit, v))
+    shapes = F.array(*[F.struct(F.lit(of[t]["words"]).alias("words"), strings(of[t]["terms"]).alias("terms"),
+                                strings(head).alias("head")) for t, head in heads.items()])
+    every = strings(sorted({term for head in heads.values() for term in head}))
+    met = (files.select("path", words(F.col("text")).alias("w")).filter(F.arrays_overlap("w", every))
+           .select("path", "w", F.inline(shapes)).filter(F.arrays_overlap("w", "head")))
+    begins = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (
+        F.array_contains(F.col("terms"), F.get(F.col("w"), i))
+        & F.arrays_overlap(F.slice("w", i + 1, F.col("words")), F.col("head"))))
+    said = F.array_distinct(F.transform(begins, lambda i: F.array_join(
+        F.slice("w", i + 1, F.col("words")), " ")))
+    return met.select("path", F.lit(-2).alias("line"), F.explode(said).alias("said"))
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
@@ -105,13 +128,14 @@ def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST_COS
     total = files.count()
     terms = stored(template_terms(spark, templates), "template-terms")
     weights = stored(weighted(terms, files, total), "template-weights")
-    head = F.array(*map(F.lit, head_terms(weights, least)))
+    heads = head_terms(weights, least)
+    head = F.array(*map(F.lit, sorted({term for terms in heads.values() for term in terms})))
     lines = files.select("path", F.posexplode(F.split("text", "\n")).alias("line", "said"))
     whole = (files.filter(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE))
              .select("path", F.lit(-1).alias("line"), F.col("text").alias("said")))
     # rows that repeat a path are told apart by what the line says; a hash stands for long lines
     at = ["path", "line", "said"]
-    counted = (lines.unionByName(whole).withColumn("w", words(F.col("said")))
+    counted = (lines.unionByName(whole).unionByName(runs(files, weights, heads)).withColumn("w", words(F.col("said")))
                .filter(F.arrays_overlap("w", head)).withColumn("said", F.sha2("said", 256))
                .select(*at, F.explode("w").alias("term"))
                .groupBy(*at, "term").agg(F.count("*").alias("n")))
