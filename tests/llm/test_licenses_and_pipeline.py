@@ -109,7 +109,7 @@ def test_near_duplicates_from_four_fifths(spark):
     text = lambda g, edits: " ".join(f"e{g}x{i}" if i in edits else f"w{g}x{i}" for i in range(54))
     rows = [(3 * g + k, text(g, e)) for g in range(100) for k, e in enumerate(([], [27], [15, 40]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r["doc_id"] for r in C.near_duplicates(spark, docs, SF).collect()}
+    kept = {r["doc_id"] for r in M.keep_one(docs, 80).collect()}
     assert kept == {i for i, _ in rows if i % 3 != 1}
     assert M.near_duplicates(docs).filter("not kept").count() == 0  # op2's contract
     assert (M.rows_of_band(85), M.rows_of_band(80)) == (8, 6)
