@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, lang_id, license_scan, pii_offsets,
-                         quality_gbt, toxicity_fm, training_order, warc_normalise)
+                         quality_gbt, rank_merge, toxicity_fm, training_order, warc_normalise)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,8 @@ SELECT doc_id, path, coalesce(own.license, dir_license) AS license, cosine,
   CASE WHEN own.license IS NULL THEN from_dir END AS from_dir
 FROM file LEFT JOIN own USING (path) LEFT JOIN near USING (dir)
 """
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_merge.count_tokens(spark, table(spark, sf_dir, "documents"))
