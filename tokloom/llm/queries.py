@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokloom.llm import (bbit_minhash, best_fit_pack, decontam, feast_whiten, lang_id, license_scan,
-                         pii_offsets, quality_gbt, rank_merge, toxicity_fm, training_order, warc_normalise)
+from tokloom.llm import (bbit_minhash, best_fit_pack, chat_repair, decontam, feast_whiten, lang_id,
+                         license_scan, pii_offsets, quality_gbt, rank_merge, toxicity_fm, training_order, warc_normalise)
 from tokloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,8 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feast_whiten.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
