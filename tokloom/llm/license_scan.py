@@ -5,13 +5,17 @@ idf ln((1 + N) / (1 + df)) + 1, counted over all N files; any other word has tha
 line of each file is a possible header and is held against every template, and so is the whole text of a file
 whose name says that it is a licence; the nearest template of a file is its own licence when the cosine is at
 least ``LEAST_COSINE``. A notice may also stand inside a line or be wrapped over many: every run of as
-many words as a template has, line ends and comment marks ignored, that begins with a term of the template is a
-possible header too.
+many words as a template has, line ends and comment marks ignored, that begins with a term of the template is held
+against that template too.
 
 Most lines and runs never meet a template. A template's terms are sorted by weight, and its head are the terms up to
 where the rest alone cannot reach the least cosine (Cauchy-Schwarz); a line without a head term of any
-template cannot reach it either, so only lines with one are scored, and only runs with one of their own
-template. Nothing is lost by this.
+template cannot reach it either, so only lines with one are scored. Of the runs only those are scored whose cosine,
+with every word counted as if it stood there once, reaches the least one; that is never below the cosine itself.
+Nothing is lost by this.
+
+A file is cut into words once and all of it is scored inside its row, from arrays of the templates' weights; only files
+with a licence leave it. The templates are few and known to the driver; what grows with the corpus is not.
 
 A directory's licence is that of its licence files: the highest cosine, then the least path. Files without a
 licence of their own take the nearest ancestor directory's. Distinct directories, not files, are
@@ -24,6 +28,8 @@ empty table gives no rows. Extra columns are never read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tokloom.llm.common import named_rows, stored
@@ -83,75 +89,130 @@ def _idf(total: int, df: Column) -> Column:
 
 def weighted(terms: DataFrame, files: DataFrame, total: int) -> DataFrame:
     """``terms`` with idf, w and the template's norm; df counts the files that hold the term."""
-    vocabulary = terms.select("term").distinct()
-    df = (files.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-          .join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count("*").alias("df")))
+    vocabulary = _strings([r["term"] for r in terms.select("term").distinct().orderBy("term").collect()])
+    df = (files.select(F.explode(F.array_intersect(words(F.col("text")), vocabulary)).alias("term"))
+          .groupBy("term").agg(F.count("*").alias("df")))
     idf = _idf(total, F.coalesce("df", F.lit(0)))
     return (terms.join(df, "term", "left").withColumn("idf", idf).withColumn("w", F.col("tf") * idf)
             .withColumn("norm", F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy("template"))))
             .drop("df"))
 
 
-def head_terms(weights: DataFrame, least: float) -> dict[int, list[str]]:
-    """For each template, the terms of which a text must hold one to reach ``least``."""
-    rest = Window.partitionBy("template").orderBy("w", F.desc("term"))
-    left = F.sqrt(F.sum(F.col("w") ** 2).over(rest.rowsBetween(Window.unboundedPreceding, 0)))
-    # a little below the bound, for the rounding of sums
-    found: dict[int, list[str]] = {}
-    for r in (weights.withColumn("left", left).filter(F.col("left") >= least * F.col("norm") * (1 - 1e-9))
-              .select("template", "term").orderBy("template", "term").collect()):
-        found.setdefault(r["template"], []).append(r["term"])
-    return found
-
-
-def runs(files: DataFrame, weights: DataFrame, heads: dict[int, list[str]]) -> DataFrame:
-    """(path, line, said): the runs of words that may be a template's notice; see the module."""
-    of = {r["template"]: r for r in weights.groupBy("template").agg(
-        F.sum("tf").cast("int").alias("words"), F.sort_array(F.collect_list("term")).alias("terms")).collect()}
-    strings = lambda v: F.array(*map(F.lit, v))
-    shapes = F.array(*[F.struct(F.lit(of[t]["words"]).alias("words"), strings(of[t]["terms"]).alias("terms"),
-                                strings(head).alias("head")) for t, head in heads.items()])
-    every = strings(sorted({term for head in heads.values() for term in head}))
-    met = (files.select("path", words(F.col("text")).alias("w")).filter(F.arrays_overlap("w", every))
-           .select("path", "w", F.inline(shapes)).filter(F.arrays_overlap("w", "head")))
-    begins = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (
-        F.array_contains(F.col("terms"), F.get(F.col("w"), i))
-        & F.arrays_overlap(F.slice("w", i + 1, F.col("words")), F.col("head"))))
-    said = F.array_distinct(F.transform(begins, lambda i: F.array_join(
-        F.slice("w", i + 1, F.col("words")), " ")))
-    return met.select("path", F.lit(-2).alias("line"), F.explode(said).alias("said"))
+def _strings(values) -> Column:
+    """An array literal of terms, which hold no space, as one small expression that Spark folds."""
+    return F.split(F.lit(" ".join(values)), " ")
+
+
+def _numbers(values) -> str:
+    """SQL of an array literal of numbers."""
+    return "cast(split('{}', ' ') as array<double>)".format(" ".join(repr(float(v)) for v in values))
+
+
+class Weights:
+    """The templates' weights as literals: term k has number k + 1, 0 is any other word."""
+
+    def __init__(self, rows, total: int, least: float):
+        self.terms = sorted({r["term"] for r in rows})
+        number = {t: k + 1 for k, t in enumerate(self.terms)}
+        unknown = math.log(1.0 + total) + 1
+        idf = [unknown] + [0.0] * len(self.terms)
+        self.templates: dict[int, dict] = {}
+        for r in rows:
+            idf[number[r["term"]]] = r["idf"]
+            t = self.templates.setdefault(r["template"], {
+                "license": r["license"], "norm": r["norm"], "words": 0, "dot": [0.0] * len(idf), "w": {}})
+            t["words"] += r["tf"]
+            t["dot"][number[r["term"]]] = r["idf"] * r["w"]
+            t["w"][r["term"]] = r["w"]
+        self.idf, self.unknown, self.least = idf, unknown, least
+        self.vocabulary = _strings(self.terms)
+        self.square = _numbers([v * v for v in idf])
+        self.least_size = least * (1 - 1e-9)  # a little below, for the rounding of sums
+        heads = {term for t in self.templates.values() for term in self._head(t)}
+        self.head = _strings(sorted(heads))
+
+    def _head(self, template: dict) -> list[str]:
+        """The terms of which a text must hold one to reach the least cosine."""
+        out, left = [], 0.0
+        for w, term in sorted((w, term) for term, w in template["w"].items()):
+            left += w * w
+            # a little below the bound, for the rounding of sums
+            if math.sqrt(left) >= self.least * template["norm"] * (1 - 1e-9):
+                out.append(term)
+        return out
+
+    def ids(self) -> Column:
+        """A number for each word of column ``all``: that of its term, or a hash below 0."""
+        return F.transform("all", lambda x: F.coalesce(
+            F.nullif(F.array_position(self.vocabulary, x), F.lit(0).cast("long")),
+            F.xxhash64(x).bitwiseOR(F.lit(-2 ** 63))))
+
+    def nearest_run(self, template: dict) -> Column:
+        """The highest cosine of the template with a run of the words that column ``ids`` numbers, null if none may
+        reach the least one."""
+        dot, norm = _numbers(template["dot"]), template["norm"]
+        run = f"slice(ids, i, {template['words']})"
+        of = lambda weights, k: f"get({weights}, cast(greatest({k}, 0L) as int))"
+        total = lambda weights: f"aggregate({run}, 0D, (a, k) -> a + {of(weights, 'k')})"
+        # the words sorted, so that equal ones meet: (n + 1)^2 - n^2 = 2 n + 1
+        size = f"""sqrt(aggregate(array_sort({run}), struct(0L as id, 0 as n, 0D as sum), (a, k) -> if(a.id = k,
+            struct(k as id, a.n + 1 as n, a.sum + (2 * a.n + 1) * {of(self.square, 'k')} as sum),
+            struct(k as id, 1 as n, a.sum + {of(self.square, 'k')} as sum)), a -> a.sum))"""
+        return F.expr(f"""array_max(transform(
+            filter(sequence(1, size(ids)), i -> {of(dot, 'get(ids, i - 1)')} > 0
+                AND {total(dot)} >= sqrt({total(self.square)}) * {self.least_size * norm!r}D),
+            i -> round({total(dot)} / ({size} * {norm!r}D), 6)))""")
+
+    def best(self) -> Column:
+        """(minus, license) of the nearest template of columns ``counts`` (k, n) and ``squares``."""
+        unknown = f"{self.unknown ** 2!r}D"
+        size = f"""sqrt({unknown} * squares
+            + aggregate(counts, 0D, (a, c) -> a + c.n * c.n * (get({self.square}, c.k) - {unknown})))"""
+        each = [f"""struct(-round(aggregate(counts, 0D, (a, c) -> a + c.n * get({_numbers(t["dot"])}, c.k))
+                / ({size} * {t["norm"]!r}D), 6) as minus, '{t["license"]}' as license)"""
+                for t in self.templates.values()]
+        return F.expr(f"array_min(array({', '.join(each)}))")
+
+
+def sum_of_squares(w: str) -> Column:
+    """The squared numbers of occurrences of each word of an array, summed; the words are sorted once for it."""
+    start = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("n"),
+                     F.lit(0).cast("long").alias("sum"))
+    # (n + 1)^2 - n^2 = 2 n + 1
+    step = lambda a, x: F.when(a["word"] == x, F.struct(
+        x.alias("word"), (a["n"] + 1).alias("n"), (a["sum"] + 2 * a["n"] + 1).alias("sum"))).otherwise(
+        F.struct(x.alias("word"), F.lit(1).cast("long").alias("n"), (a["sum"] + 1).alias("sum")))
+    return F.aggregate(F.array_sort(w), start, step, lambda a: a["sum"])
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
     """(path, license, cosine) of each file that has a licence of its own."""
-    spark = files.sparkSession
     total = files.count()
-    terms = stored(template_terms(spark, templates), "template-terms")
-    weights = stored(weighted(terms, files, total), "template-weights")
-    heads = head_terms(weights, least)
-    head = F.array(*map(F.lit, sorted({term for terms in heads.values() for term in terms})))
-    lines = files.select("path", F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    whole = (files.filter(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE))
-             .select("path", F.lit(-1).alias("line"), F.col("text").alias("said")))
-    # rows that repeat a path are told apart by what the line says; a hash stands for long lines
-    at = ["path", "line", "said"]
-    counted = (lines.unionByName(whole).unionByName(runs(files, weights, heads)).withColumn("w", words(F.col("said")))
-               .filter(F.arrays_overlap("w", head)).withColumn("said", F.sha2("said", 256))
-               .select(*at, F.explode("w").alias("term"))
-               .groupBy(*at, "term").agg(F.count("*").alias("n")))
-    known = F.broadcast(weights.select("term", "idf").distinct())
-    vectors = (counted.join(known, "term", "left")
-               .withColumn("x", F.col("n") * F.coalesce("idf", _idf(total, F.lit(0)))))
-    vectors = stored(vectors, "line-vectors")
-    norms = vectors.groupBy(*at).agg(F.sqrt(F.sum(F.col("x") ** 2)).alias("size"))
-    dots = (vectors.join(F.broadcast(weights.select("term", "template", "license", "w", "norm")), "term")
-            .groupBy(*at, "template", "license", "norm").agg(F.sum(F.col("x") * F.col("w")).alias("dot")))
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in at]
-    scored = (dots.alias("d").join(norms.alias("n"), same[0] & same[1] & same[2])
-              .select("d.path", "license", F.round(F.col("dot") / (F.col("size") * F.col("norm")), 6)
-                      .alias("cosine")))
-    best = F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("license"))).alias("best")
-    return (scored.filter(F.col("cosine") >= least).groupBy("path").agg(best)
+    weights = Weights(weighted(template_terms(files.sparkSession, templates), files, total).collect(), total, least)
+    if not weights.templates:
+        return files.select("path", F.lit("").alias("license"), F.lit(0.0).alias("cosine")).limit(0)
+    # each step is a column of its own, since an expression that is read twice would be computed twice
+    lines = files.select("path", F.transform(F.split("text", "\n"), words).alias("lines"))
+    whole = lines.select("path", "lines", F.flatten("lines").alias("all"))
+    near = whole.select("path", "lines", "all", F.arrays_overlap("all", weights.head).alias("near"))
+    numbered = near.select("path", "lines", "all", "near", F.when(F.col("near"), weights.ids()).alias("ids"))
+    is_licence = F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE)
+    said = F.concat(F.filter("lines", lambda w: F.arrays_overlap(w, weights.head)),
+                    F.when(is_licence, F.array("all")).otherwise(F.array().cast("array<array<string>>")))
+    reaches = lambda b: b["minus"] <= -least
+    found = F.array(*[F.struct((-weights.nearest_run(t)).alias("minus"), F.lit(t["license"]).alias("license"))
+                      for t in weights.templates.values()])
+    of_runs = numbered.select("path", F.inline(F.when(F.col("near"), F.filter(found, reaches))))
+    # explode and inline, not filter: a filter on a column is computed below it once more
+    each = numbered.select("path", F.explode(F.when(F.col("near"), said)).alias("w"))
+    counts = F.transform(F.array_intersect("w", weights.vocabulary), lambda t: F.struct(
+        F.array_position(weights.vocabulary, t).cast("int").alias("k"),
+        F.size(F.filter("w", lambda x: x == t)).cast("long").alias("n")))
+    of_lines = (each.select("path", counts.alias("counts"), sum_of_squares("w").alias("squares"))
+                .select("path", weights.best().alias("best"))
+                .select("path", F.inline(F.filter(F.array("best"), reaches))))
+    best = of_lines.unionByName(of_runs)
+    return (best.groupBy("path").agg(F.min(F.struct("minus", "license")).alias("best"))
             .select("path", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("cosine")))
 
 

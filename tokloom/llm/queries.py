@@ -70,13 +70,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ORACLE_SQL["op1_decontamination"] = """
-WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
-iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3),
-         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM dw WHERE len(w) >= 5),
-s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3),
-         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw WHERE len(w) >= 5),
+_SPACED = ("regexp_replace(lower(text), "
+           "'[\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Thai}\\p{Lao}\\p{Khmer}\\p{Myanmar}]', ' \\0 ', 'g')")
+ORACLE_SQL["op1_decontamination"] = f"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_SPACED}, '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all({_SPACED}, '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark),
+width AS (SELECT DISTINCT least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2),
+         lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM dw, width WHERE len(w) >= k),
+s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw WHERE len(w) > 0 AND item_id IS NOT NULL),
 n AS (SELECT item_id, count(*) AS n_item FROM s GROUP BY item_id)
 SELECT doc_id, item_id, n_item, count(*) AS n_shared
 FROM ds JOIN s USING (s) JOIN n USING (item_id)
@@ -156,9 +159,20 @@ v AS (SELECT path, line, term, count(*) AS n FROM said GROUP BY ALL),
 x AS (SELECT path, line, term, v.n * coalesce(idf, ln(1.0 + total.n) + 1) AS x
   FROM v LEFT JOIN idf USING (term), total),
 vn AS (SELECT path, line, sqrt(sum(x * x)) AS size FROM x GROUP BY ALL),
-score AS (SELECT path, license, round(sum(x * w) / (any_value(size) * any_value(norm)), 6) AS cosine
+tl AS (SELECT t, list(term) AS terms, sum(tf)::BIGINT AS n FROM tt GROUP BY t),
+place AS (SELECT path, w, unnest(range(1, len(w) + 1)) AS i FROM
+    (SELECT path, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM file)),
+run AS (SELECT path, t, i, unnest(w[i:i + n - 1]) AS term FROM place JOIN tl ON list_contains(terms, w[i])),
+rv AS (SELECT path, t, i, term, count(*) AS n FROM run GROUP BY ALL),
+rx AS (SELECT path, t, i, term, rv.n * coalesce(idf, ln(1.0 + total.n) + 1) AS x
+  FROM rv LEFT JOIN idf USING (term), total),
+score AS (
+  SELECT path, license, round(sum(x * w) / (any_value(size) * any_value(norm)), 6) AS cosine
   FROM x JOIN tw USING (term) JOIN tn USING (t) JOIN vn USING (path, line)
-  GROUP BY path, line, t, license),
+  GROUP BY path, line, t, license
+  UNION ALL
+  SELECT path, any_value(license), round(sum(x * coalesce(w, 0)) / (sqrt(sum(x * x)) * any_value(norm)), 6) AS cosine
+  FROM rx LEFT JOIN tw USING (t, term) JOIN tn USING (t) GROUP BY path, t, i),
 own AS (SELECT path, first(license ORDER BY cosine DESC, license) AS license, max(cosine) AS cosine
   FROM score WHERE cosine >= 0.6 GROUP BY path),
 granted AS (SELECT dir, first(own.license ORDER BY cosine DESC, path) AS license
