@@ -142,7 +142,7 @@ def d4_distinct_words(spark, d):
 
 # ---- BPE training and vocabulary (D3, F1, H1, H2, G1, A5, A6) ---------------
 
-from tokloom.operators import bpe, codec  # noqa: E402
+from tokloom.operators import bpe, codec, pair_index  # noqa: E402
 from tokloom.sources import tokenizer_io  # noqa: E402
 from tokloom.functions.symbols import ids_csv, sym_to_ids_csv  # noqa: E402
 
@@ -186,6 +186,17 @@ def h1_bpe_merges(spark, d):
     return _merge_df(spark, d)
 
 
+@register("h1_bpe_indexed", f"""
+WITH RECURSIVE {S.bpe_recursive(LARGE)}
+SELECT DISTINCT CAST(r - 1 AS INTEGER) AS rank, CAST(('0x' || substring(p, 1, 4)) AS INTEGER) AS "left",
+       CAST(('0x' || substring(p, 6, 4)) AS INTEGER) AS "right", CAST(255 + r AS INTEGER) AS new_id, c
+FROM st WHERE r > 0""")
+def h1_bpe_indexed(spark, d):
+    """LARGE merges by the index of pairs."""
+    state = stored(bpe.training_state(_freq(spark, d)), "bpe-state")[0]
+    return pair_index.train_indexed(state, LARGE).merge_table(spark)
+
+
 @register("h2_merged_words", S.with_(S.bpe_ctes(1), f"""
 SELECT word, {S.sym_ids_csv('sym')} AS ids FROM st1"""))
 def h2_merged_words(spark, d):
@@ -277,6 +288,26 @@ def h4_encode_large(spark, d):
     return _roundtrip(spark, d, merges).withColumn("n_differ", F.lit(differ.first()[0]))
 
 
+_BLOCK_WORDS = (f"SELECT conv_id, w.word, w.k FROM blocks, unnest(regexp_extract_all({S.FOLDED_BLOCK}, "
+                f"'{S.PRETOKEN_PATTERN}')) WITH ORDINALITY AS w(word, k)")
+
+
+@register("h4_encode_indexed", f"""
+WITH RECURSIVE {S.bpe_recursive(LARGE, f"SELECT DISTINCT word FROM ({_BLOCK_WORDS})")},
+final AS (
+  SELECT word, CASE word WHEN '<HUMAN>' THEN printf('%04X.', 32000) WHEN '<GPT>' THEN printf('%04X.', 32001)
+    WHEN '<|endoftext|>' THEN printf('%04X.', 32002) ELSE coalesce(st.sym, freq.sym) END AS sym
+  FROM freq LEFT JOIN st ON st.wr = freq.wr AND st.r = {LARGE}),
+ids AS (
+  SELECT conv_id, string_agg(sym, '' ORDER BY k) AS s FROM ({_BLOCK_WORDS}) JOIN final USING (word) GROUP BY conv_id)
+SELECT conv_id, {S.sym_ids_csv('s')} AS ids FROM ids""")
+def h4_encode_indexed(spark, d):
+    """The ids of all blocks under LARGE merges, learned by the index of pairs."""
+    state = stored(bpe.training_state(_freq(spark, d)), "bpe-state")[0]
+    merges = pair_index.train_indexed(state, LARGE).merges
+    return _encoded(spark, d, merges).select("conv_id", ids_csv(F.col("ids")).alias("ids"))
+
+
 def _roundtrip(spark, d, merges):
     blocks = _stored_blocks(spark, d)
     tokens = codec.encode(blocks, "block", merges)

@@ -39,7 +39,7 @@ def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
     blocks = W.budget_blocks(flatten.blocks(turns, role_map), max_bytes)
     lines = W.budget_lines(W.lines(blocks), max_bytes)
     freq, _ = stored(W.word_frequency(W.words(lines)), "words")
-    res = bpe.train(bpe.training_state(freq, exclude_special), num_merges=num_merges,
+    res = pair_index.train_indexed(bpe.training_state(freq, exclude_special), num_merges=num_merges,
                     vocab_size=vocab_size, progress=progress)
     hot = codec.hot_word_ids(freq, res.merges)
     return Tokenizer(res.merges, res.rounds, vocab_size, hot)

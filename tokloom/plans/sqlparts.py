@@ -125,6 +125,26 @@ merges AS (
     return "".join(out)
 
 
+def bpe_recursive(k: int, more_words: str = "") -> str:
+    """Strict BPE for many rounds as one recursive CTE ``st``: the words of round ``r`` with the pair merged to get
+    there. ``more_words`` is SQL of further words (word) that are merged along but not counted."""
+    more = f" UNION ALL SELECT word, 0, NULL FROM ({more_words})" if more_words else ""
+    return WORDS_CTE + f""",
+counted AS (
+  SELECT word, count(*) AS n, min({{'c': conv_id, 'l': line_no, 'w': word_no}}) AS fp FROM words GROUP BY word{more}),
+freq AS (
+  SELECT word, row_number() OVER (ORDER BY min(fp) NULLS LAST, word) AS wr, max(n) AS n, {sym_of('word')} AS sym
+  FROM counted GROUP BY word),
+st AS (
+  SELECT 0 AS r, wr, n, sym, NULL::VARCHAR AS p, NULL::BIGINT AS c FROM freq WHERE len(sym) > 5
+  UNION ALL
+  SELECT st.r + 1, wr, n, replace(sym, best.p, printf('%04X.', 256 + st.r)), best.p, best.c
+  FROM st, (SELECT substring(sym, 5 * i + 1, 10) AS p, CAST(sum(n) AS BIGINT) AS c
+            FROM st, unnest(range(0, len(sym) // 5 - 1)) AS t(i) GROUP BY 1
+            ORDER BY c DESC, min(CASE WHEN n > 0 THEN wr * 1000000 + i END) NULLS LAST LIMIT 1) best
+  WHERE st.r < {k})"""
+
+
 def encode_sym_expr(text_expr: str, k: int, words: str | None = None) -> str:
     """Encoded symbol string of a text: words joined by '|', merges 0..k-1 replaced."""
     words = words or f"regexp_extract_all({text_expr}, '{PRETOKEN_PATTERN}')"
