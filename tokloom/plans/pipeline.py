@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tokloom.functions.pattern import DEFAULT_VOCAB_SIZE, PRETOKEN_PATTERN
-from tokloom.operators import bpe, codec, flatten, pack, words as W
+from tokloom.operators import bpe, codec, flatten, pack, pair_index, words as W
 from tokloom.session import stored
 from tokloom.sources import corpus as C
 
@@ -39,8 +39,8 @@ def train_tokenizer(turns: DataFrame, num_merges: int | None = None,
     blocks = W.budget_blocks(flatten.blocks(turns, role_map), max_bytes)
     lines = W.budget_lines(W.lines(blocks), max_bytes)
     freq, _ = stored(W.word_frequency(W.words(lines)), "words")
-    res = pair_index.train_indexed(bpe.training_state(freq, exclude_special), num_merges=num_merges,
-                    vocab_size=vocab_size, progress=progress)
+    state, _ = stored(bpe.training_state(freq, exclude_special), "bpe-state")
+    res = pair_index.train_indexed(state, num_merges=num_merges, vocab_size=vocab_size, progress=progress)
     hot = codec.hot_word_ids(freq, res.merges)
     return Tokenizer(res.merges, res.rounds, vocab_size, hot)
 
