@@ -62,7 +62,7 @@ def test_stages_take_effect_on_all_rows(spark):
     source = table(spark, SF, "documents")
     from tokloom.llm import bbit_minhash, decontam, pii_offsets
 
-    kept = {r["doc_id"] for r in bbit_minhash.near_duplicates(source).filter("kept").collect()}
+    kept = {r["doc_id"] for r in bbit_minhash.near_duplicates(source, 80).filter("kept").collect()}
     held = {r["doc_id"] for r in decontam.matches(source, table(spark, SF, "benchmark")).collect()}
     assert ids == kept - held  # no document of these tables is without a language
     left = pii_offsets.spans(docs).filter("spans <> ''")

@@ -5,11 +5,14 @@
 2. Texts with equal sets form one class with one representative; only representatives go on.
 3. Representatives that share a band key are candidates. In each bucket they are first paired with the
    bucket's leader only, the member that meets most others; a representative keeps the leader with the
-   most equal bits. Buckets whose members then lie in one component are finished, however large they are.
-4. In the other buckets, members of different components are paired when the bit counts, corrected for
-   chance collisions, allow the similarity, and so do the numbers of shingles that no other such text
-   has; large buckets are cut into blocks. The most similar pair of two components is confirmed
-   first; the rest only while the components stay apart.
+   most equal bits. Then the leaders of the components that a bucket still has are paired with its leader. Buckets whose
+   members then lie in one component are finished, however large they are.
+4. The members of other buckets go through an inverted index. Each set is sorted by how rare its shingles are among
+   them; two sets of the similarity share a shingle of their beginnings, and the first they share stands where enough
+   are left behind it. Members of one component are never paired: of the sets that begin with a shingle, those
+   outside the component that has most are held against all. The bit counts, corrected for chance collisions,
+   thin the pairs out. The most similar pair of two components is confirmed first; the rest only while the
+   components stay apart.
 5. A link counts only when the full sets confirm it; components come from links alone.
 
 A pair at similarity 0.85 shares no band with probability (1 - 0.85^8)^48 = 2e-7 (at 0.80, with 64 bands of
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tokloom.llm import bytetext as B
-from tokloom.llm.common import named_rows, stored
+from tokloom.llm.common import named_rows, small, stored
 from tokloom.llm.graph import components
 
 WIDTH = 5
@@ -36,7 +39,9 @@ BANDS, ROWS = 48, 8
 HASHES = BANDS * ROWS
 PLANE = HASHES // 64
 SIGMAS = 5.0
-BLOCK = 256
+#: Slots of the histogram by which shingles count as rare, and parts that the sets of one shingle are dealt to.
+SLOT_BITS = 20
+SALTS = 8
 
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -154,27 +159,32 @@ def links(docs: DataFrame, reps: DataFrame, ties: DataFrame, percent: int) -> Da
     """(node, component) of the representatives that have links; ``ties`` are links known before."""
     limit = most_mismatches(percent)
     bands = reps.select(F.posexplode("bands").alias("no", "band"), F.col("rep"))
-    buckets = bands.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    live = stored(bands.join(buckets, "band"), "buckets")
-    texts = stored(docs.join(live.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"), "texts")
-    sigs = reps.select("rep", "sig", F.col("n_shingles").alias("n"))
-    side = lambda c: sigs.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"),
-                                 F.col("n").alias(f"n_{c}"))
+    buckets = stored(bands.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"), "shared-bands")
+    live = stored(bands.select("band", "rep").join(small(buckets), "band"), "buckets")
+    ids = stored(live.select(F.col("rep").alias("doc_id")).distinct(), "live")
+    texts = stored(docs.join(small(ids), "doc_id"), "texts")
+    reps = stored(reps.select("rep", "sig", "n_shingles")
+                  .join(small(ids.withColumnRenamed("doc_id", "rep")), "rep"), "signatures")
     alike = ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
              & (mismatches("sig_a", "sig_b") <= limit))
     middle = live.groupBy("rep").agg(F.sum("members").alias("met"))
-    leaders = (live.select("band", "rep").join(middle, "rep").groupBy("band")
-               .agg(F.min(F.struct(-F.col("met"), F.col("rep"))).alias("first"))
-               .select("band", F.col("first.rep").alias("b")))
-    stars = (live.select("band", F.col("rep").alias("a")).join(leaders, "band").filter("a <> b")
-             .select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").filter(alike)
-             .groupBy("a").agg(F.min_by("b", F.struct(mismatches("sig_a", "sig_b"), F.col("b")))
-                               .alias("b")))
+    leaders = stored(live.select("band", "rep").join(middle, "rep").groupBy("band")
+                     .agg(F.min(F.struct(-F.col("met"), F.col("rep"))).alias("first"))
+                     .select("band", F.col("first.rep").alias("b")), "leaders")
+    stars = (_alike(live.select("band", F.col("rep").alias("a")).join(small(leaders), "band").filter("a <> b")
+                    .select("a", "b").distinct(), reps, alike)
+             .groupBy("a").agg(F.min_by("b", F.struct("off", "b")).alias("b")))
     found = stored(confirmed(stars, texts, percent).unionByName(ties), "confirmed")
-    groups, pairs = stored(components(found), "groups"), None
+    groups = stored(components(found), "groups")
+    # one member of each component that a bucket still has, with the bucket's leader
+    parts = (_grouped(live.select("band", "rep"), groups, "rep").groupBy("band", "g_rep")
+             .agg(F.min("rep").alias("a")))
+    apart = _grouped(parts.join(small(leaders), "band").select(F.col("g_rep").alias("g_a"), "a", "b"), groups, "b")
+    more = _alike(apart.filter("g_a <> g_b").select("a", "b").distinct(), reps, alike)
+    found = stored(found.unionByName(confirmed(stored(more, "chosen"), texts, percent)), "confirmed")
+    groups = stored(components(found), "groups")
+    pairs = stored(_apart(_grouped(live, groups, "rep"), reps, texts, alike, percent), "pairs")
     for best_only in (True, False):
-        if pairs is None:
-            pairs = _apart(_grouped(live, groups, "rep"), reps, texts, alike, percent)
         apart = _grouped(_grouped(pairs, groups, "a"), groups, "b").filter("g_a <> g_b")
         chosen = stored(_nearest(apart) if best_only else apart.select("a", "b"), "chosen")
         if chosen.isEmpty():
@@ -187,6 +197,14 @@ def links(docs: DataFrame, reps: DataFrame, ties: DataFrame, percent: int) -> Da
     return groups
 
 
+def _alike(pairs: DataFrame, reps: DataFrame, alike) -> DataFrame:
+    """The pairs (a, b) that ``alike`` allows, by columns n_ and sig_ of either, with the bits that differ (off)."""
+    side = lambda c: reps.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"),
+                                 F.col("n_shingles").alias(f"n_{c}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").filter(alike)
+            .select("a", "b", mismatches("sig_a", "sig_b").alias("off")))
+
+
 def _grouped(rows: DataFrame, groups: DataFrame, node: str) -> DataFrame:
     """``rows`` with the component of column ``node`` as ``g_<node>``."""
     of = groups.select(F.col("node").alias(node), F.col("component").alias(f"g_{node}"))
@@ -199,56 +217,73 @@ def _nearest(apart: DataFrame) -> DataFrame:
             .agg(F.min(F.struct("off", "a", "b")).alias("p")).select("p.a", "p.b"))
 
 
-def _own_shingles(batches):
+def _sets(batches):
+    """(rows, set of shingle hashes of each row's text), a slice at a time."""
     for batch in batches:
         for part in B.slices(batch, "text"):
             _, _, _, h, first = B.words(part.column("text"))
             sets = [B.shingles(h[first[i]:first[i + 1]], WIDTH) for i in range(part.num_rows)]
-            node = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sets).view(np.int64)), pa.array(node)], ["h", "rep"])
+            yield part, sets
+
+
+def _slots(batches):
+    """(slot, n): how many sets of this partition have a shingle in each slot of hashes, about."""
+    seen = np.zeros(1 << SLOT_BITS, np.int64)
+    for _, sets in _sets(batches):
+        for s in sets:
+            seen += np.bincount((s >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(seen))
+    slot = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(seen[slot])], ["slot", "n"])
+
+
+def _beginnings(batches, often: np.ndarray, percent: int):
+    """(h, pos, rep, g, n): the beginning of each set in the order of rareness, as long as two sets of the
+    similarity need to share a shingle of it."""
+    for part, sets in _sets(batches):
+        out = []
+        for s in sets:
+            order = np.lexsort((s, often[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))
+            out.append(s[order[:len(s) - -(-len(s) * percent // 100) + 1]])
+        size = [len(x) for x in out]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate([np.arange(n) for n in size])),
+             pa.array(np.repeat(part.column("doc_id").to_numpy(), size)),
+             pa.array(np.repeat(part.column("g_rep").to_numpy(), size)),
+             pa.array(np.repeat([len(s) for s in sets], size))], ["h", "pos", "rep", "g", "n"])
 
 
 def _apart(rows: DataFrame, reps: DataFrame, texts: DataFrame, alike, percent: int) -> DataFrame:
-    """Pairs (a, b, off) of one bucket, in different components, that can reach the similarity.
+    """Pairs (a, b, off) of texts in buckets of several components that can reach the similarity, in different components.
 
-    A shingle that only one of these texts has is shared with nobody, so two texts share no more than the
-    smaller number of other shingles. With that bound, copies that were edited beyond the threshold
-    drop out before they meet the members of a large group. A bucket of n members is cut into
-    n / BLOCK hash blocks and joined block by block. A pair is taken in the first of its common
-    bands only; whole keys are compared, as in the buckets, so a chance equality is a common bucket too.
+    The first shingle that two sets share, in the common order, bounds what they share at all: no more than is
+    left of either from there on. The order may be any, as long as it is one for all; rareness makes it cheap,
+    and a histogram of hashed slots (2^SLOT_BITS numbers, whatever the corpus) says it well enough.
     """
-    mixed = (rows.groupBy("band").agg(F.min("g_rep").alias("lo"), F.max("g_rep").alias("hi"),
-                                      F.count("*").alias("size"))
-             .filter("lo < hi")
-             .select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    members = stored(rows.select("no", "band", "rep", "g_rep").join(mixed, "band"), "mixed")
-    single = (texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-              .mapInArrow(_own_shingles, "h long, rep long").groupBy("h")
-              .agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last")
-              .groupBy("rep").agg(F.count("*").alias("single")))
-    sigs = reps.select("rep", "sig", F.col("n_shingles").alias("n"), F.col("bands").alias("keys"))
-    members = stored(members.join(sigs, "rep").join(single, "rep", "left")
-                     .withColumn("common", F.col("n") - F.coalesce("single", F.lit(0))), "mixed")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-
-    def side(c: str, mine: str, other: str) -> DataFrame:
-        return members.select(F.col("no"), F.col("band"), own.alias(mine), every.alias(other),
-                              *[F.col(x).alias(f"{y}_{c}") for x, y in
-                                (("g_rep", "g"), ("sig", "sig"), ("n", "n"), ("common", "common"),
-                                 ("keys", "keys"))],
-                              F.col("rep").alias(c))
-
-    shared = F.least("common_a", "common_b")
-    first = F.array_position(F.zip_with("keys_a", "keys_b", lambda k, m: k == m), F.lit(True))
-    both = side("a", "i", "j").alias("x").join(
-        side("b", "j", "i").alias("y"),
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.i") == F.col("y.i"))
-        & (F.col("x.j") == F.col("y.j")) & (F.col("a") > F.col("b")) & (F.col("g_a") != F.col("g_b"))
-        & (shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * percent) & alike
-        & (first == F.col("x.no") + 1))
-    return both.select("a", "b", mismatches("sig_a", "sig_b").alias("off"))
+    mixed = stored(rows.groupBy("band").agg(F.min("g_rep").alias("lo"), F.max("g_rep").alias("hi"))
+                   .filter("lo < hi").select("band"), "mixed")
+    nodes = stored(rows.select("band", "rep", "g_rep").join(small(mixed), "band").select("rep", "g_rep").distinct(), "mixed")
+    sets = stored(texts.join(small(nodes.withColumnRenamed("rep", "doc_id")), "doc_id").select("doc_id", "g_rep", "text"),
+                  "mixed-texts")
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    counted = (sets.mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
+    often[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    rare = sets.sparkSession.sparkContext.broadcast(often)
+    index = stored(sets.mapInArrow(lambda b: _beginnings(b, rare.value, percent),
+                                   "h long, pos long, rep long, g long, n long"), "index")
+    most = (index.groupBy("h", "g").agg(F.count("*").alias("c")).groupBy("h")
+            .agg(F.max_by("g", F.struct("c", "g")).alias("most"), F.count("*").alias("parts"))
+            .filter("parts > 1").select("h", "most"))
+    shared = stored(index.join(small(stored(most, "mixed-shingles")), "h"), "index")
+    x = shared.filter("g <> most").select(
+        "h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        *[F.col(c).alias(f"{c}_x") for c in ("pos", "rep", "g", "n")])
+    y = shared.select("h", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int").alias("salt"),
+                      *[F.col(c).alias(f"{c}_y") for c in ("pos", "rep", "g", "n")])
+    left = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    fits = (F.col("g_x") != F.col("g_y")) & (left * 100 >= (F.col("n_x") + F.col("n_y") - left) * percent)
+    found = (x.join(y, ["h", "salt"]).filter(fits)
+             .select(F.greatest("rep_x", "rep_y").alias("a"), F.least("rep_x", "rep_y").alias("b")).distinct())
+    return _alike(found, reps, alike)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -286,14 +321,15 @@ def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     judged = near_duplicates(docs, percent)
     gone = stored(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(),
                   "dropped")
-    left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    left = docs.join(small(gone), docs["doc_id"] == gone["gone_id"], "left_anti")
     again = stored(docs.groupBy(F.col("doc_id").alias("again_id")).agg(F.count("*").alias("rows"))
                    .filter("rows > 1 and again_id is not null").select("again_id"), "repeated-ids")
     if again.isEmpty():
         return left
     repeated = left.join(again, left["doc_id"] == again["again_id"], "left_semi")
-    first = (repeated.withColumn("__row", F.row_number().over(
+    number = "row" + max(docs.columns, key=len)  # longer than any name that the table has
+    first = (repeated.withColumn(number, F.row_number().over(
                  Window.partitionBy("doc_id").orderBy(
                      "text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))))
-             .filter("__row = 1").drop("__row"))
+             .filter(F.col(number) == 1).drop(number))
     return left.join(again, left["doc_id"] == again["again_id"], "left_anti").unionByName(first)

@@ -46,3 +46,8 @@ def named_rows(df: DataFrame, **columns: str) -> DataFrame:
     Extra columns, whatever they are called, never reach an operator's plan.
     """
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
+
+
+def small(keys: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """A stored table of narrow rows, marked for broadcast only while it is counted to have at most ``most`` rows."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
