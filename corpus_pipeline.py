@@ -15,6 +15,8 @@ from tokloom.session import ship_package
 
 #: Documents whose language is less sure than this are rejected, like those in no language at all.
 LEAST_LANGUAGE_SCORE = 0.2
+#: Texts this similar are near-duplicates (the query of the operator alone has its own contract).
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +27,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of texts whose word shingles are alike from ``NEAR_PERCENT`` on."""
     ship_package(spark)
-    return bbit_minhash.keep_one(docs)
+    return bbit_minhash.keep_one(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
