@@ -125,3 +125,37 @@ def test_grouped_two_phase_rank_equals_naive(spark):
     naive = df.withColumn("r2", F.row_number().over(Window.partitionBy("g").orderBy("h", "k")) - 1)
     j = got.join(naive, ["g", "k"])
     assert j.count() == 3000 and j.filter(F.col("r") != F.col("r2")).count() == 0
+
+
+def test_missing_and_repeated_keys_lose_nothing(spark):
+    """Chats without key come first; window, count and offsets agree."""
+    rows = [(None, [9, 8, 7]), (2, [3, 4, 5, 6]), (1, [0, 1, 2]), (None, []), (2, [1] * 9), (1, None), (None, [5] * 6)]
+    tokens = spark.createDataFrame(rows, "conv_id long, ids array<int>").repartition(5)
+    off = pack.token_offsets(tokens)
+    got = sorted((r["start"], r["conv_id"], r["n"]) for r in off.collect() if r["n"])
+    assert [g[0] for g in got] == [sum(g[2] for g in got[:k]) for k in range(len(got))]
+    assert [g[1] for g in got] == [None, None, 1, 2, 2] and off.count() == len(rows)
+    assert pack.windows(off, 4).count() == pack.window_count(tokens, 4).first()["n_examples"] == 6
+
+
+def test_ordered_rows_are_not_shuffled_again(spark, sf_small):
+    from tokloom.operators import codec, flatten
+
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    merges = [(116, 104, 256)]
+    plain = pack.token_offsets(codec.encode(flatten.blocks(turns), "block", merges))
+    ordered = pack.token_offsets(codec.encode(flatten.blocks_in_order(turns), "block", merges), ordered=True)
+    key = lambda df: sorted((r["conv_id"], r["n"], r["start"], r["ids"]) for r in df.collect())
+    assert key(plain) == key(ordered)
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Exchange range" not in plan and "Window" not in plan
+
+
+def test_running_totals_of_hot_keys(spark):
+    df = spark.range(5000).select((F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 7)).alias("k"), "id",
+                                  (F.col("id") % 11).alias("v"))
+    got = scan.running_totals(scan.in_order(df, ["k", "id"], 6), "v", "s")
+    naive = df.withColumn("s2", F.coalesce(F.sum("v").over(Window.orderBy(F.col("k").asc_nulls_first(), "id")
+                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = got.select("id", "s").join(naive, "id")
+    assert j.count() == 5000 and j.filter("s <> s2").count() == 0

@@ -192,3 +192,12 @@ def test_training_keeps_few_states(spark, sf_small):
     before = alive()
     bpe.train(state, num_merges=40, checkpoint_every=8)
     assert len(alive() - before) <= 2
+
+
+def test_lines_without_key_are_the_first_chat(spark):
+    lines = W.lines(spark.createDataFrame([(2, "ccc\n"), (None, "a\nbb\n"), (1, "d\n")], "conv_id long, block string"))
+    got = {(r["conv_id"], r["line"]): r["bytes_before"] for r in W.running_bytes(lines).collect()}
+    assert got == {(None, "a\n"): 0, (None, "bb\n"): 2, (1, "d\n"): 5, (2, "ccc\n"): 7}
+    assert {r["line"] for r in W.budget_lines(lines, 4).collect()} == {"a\n", "bb\n"}
+    blocks = spark.createDataFrame([(2, "ccc\n"), (None, "a\nbb\n"), (1, "d\n")], "conv_id long, block string")
+    assert {r["conv_id"] for r in W.budget_blocks(blocks, 5).collect()} == {None, 1}

@@ -75,3 +75,30 @@ def test_linear_fit_recovers_line(spark):
     assert math.isclose(r["slope"], 2.0, abs_tol=0.01)
     assert math.isclose(r["intercept"], 1.0, abs_tol=0.01)
     assert R.mse(df, "y", "x").first()["mse"] < 0.02
+
+
+def test_errors_of_large_values_do_not_cancel(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=2000)
+    y = 3 * x + rng.normal(size=2000) * 0.01
+    rows = [(g, float(a) + 1e9, float(b) + 1e9) for g in (None, "g") for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    big_x, big_y = np.array([r[1] for r in rows[:2000]]) - 1e9, np.array([r[2] for r in rows[:2000]]) - 1e9
+    slope, cut = np.polyfit(big_x, big_y, 1)
+    want = ((slope * big_x + cut - big_y) ** 2).mean()
+    got = {r["g"]: r["mse"] for r in R.mse(df, "y", "x", ["g"]).collect()}
+    assert set(got) == {None, "g"} and all(abs(v / want - 1) < 1e-4 for v in got.values())
+    assert abs(R.mse(df, "y", "x").first()["mse"] / want - 1) < 1e-4
+    assert R.mse(df.withColumn("x", F.lit(1.0)), "y", "x").first()["mse"] is None
+
+
+def test_prediction(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("b", 1.0, 1.0), (None, 0.0, 1.0), (None, 1.0, 0.0)],
+                               "g string, x double, y double")
+    got = R.predict(df, R.linear_fit(df, "y", "x", ["g"]), "x", ["g"]).collect()
+    assert {(r["g"], r["x"], r["prediction"]) for r in got} == {
+        ("a", 1.0, 2.0), ("a", 2.0, 4.0), ("b", 1.0, None), (None, 0.0, 1.0), (None, 1.0, 0.0)}
+    one = df.filter("g = 'a'")
+    assert [r["prediction"] for r in R.predict(one, R.linear_fit(one, "y", "x"), "x").orderBy("x").collect()] == [2, 4]

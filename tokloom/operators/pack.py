@@ -15,26 +15,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tokloom.operators.scan import (BUCKET, global_row_number, hash_digits, hash_prefix_bucket,
-                                    prefix_sum, quantile_buckets)
+from tokloom.operators.scan import (BUCKET, global_row_number, hash_digits, hash_prefix_bucket, in_order,
+                                    running_totals)
 from tokloom.session import stored
 
 
-def token_offsets(tokens: DataFrame, key: str = "conv_id", ids: str = "ids") -> DataFrame:
-    """``(key, ids, n, start)``; ``start`` = tokens of all earlier chats.
+def token_offsets(tokens: DataFrame, key: str = "conv_id", ids: str = "ids", ordered: bool = False) -> DataFrame:
+    """``(key, ids, n, start)``; ``start`` = tokens of all earlier chats, those without key first.
 
-    The tokens are encoded once and stored with a row number of their own. The
-    two-phase exclusive prefix sum (quantile buckets of ``key``) reads only the
-    narrow columns of that table and is joined back on the row number, so id
-    arrays are never buffered in a bucket-wide window and a repeated key
-    multiplies nothing.
+    ``ordered`` says that the rows are laid out in key order already (``flatten.blocks_in_order``, then a narrow
+    encode): they are stored as they pass, with the sum so far, and id arrays never meet a shuffle. Otherwise
+    they are stored and laid out once.
     """
-    table, _ = stored(tokens.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias(ids))
-                      .select(key, ids, F.size(ids).cast("bigint").alias("n"),
-                              F.monotonically_increasing_id().alias("_row")), "tokens")
-    offs = prefix_sum(quantile_buckets(table.select(key, "_row", "n"), key), [key, "_row"], "n", "start")
-    return (table.select(key, ids, "_row").join(offs.drop(key), "_row").drop("_row")
-            .select(key, ids, "n", "start"))
+    rows = tokens.select(key, F.coalesce(ids, F.array().cast("array<int>")).alias(ids))
+    if not ordered:
+        rows, _ = stored(rows.select(key, ids, F.monotonically_increasing_id().alias("_row")), "tokens")
+        rows = in_order(rows, [key, "_row"]).drop("_row")
+    return running_totals(rows.select(key, ids, F.size(ids).cast("bigint").alias("n")), "n", "start", "tokens")
 
 
 def window_count(tokens: DataFrame, L: int, ids: str = "ids") -> DataFrame:

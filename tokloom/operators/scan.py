@@ -10,15 +10,22 @@ rows get a deterministic bucket that is monotone in the order key, then
 
 Buckets for a numeric key come from approximate quantiles, so each holds about
 ``rows / n_buckets`` rows whatever the key distribution; hash-ordered keys use a
-hash prefix as the bucket.
+hash prefix as the bucket. Rows without a key come first, in a bucket of their own.
+
+Where the rows themselves can be laid out in order (``in_order``), nothing of this is needed:
+``running_totals`` adds up inside each partition while the rows pass, and only one total per partition is
+gathered. Neither a hot key nor a missing one makes a large group there.
 """
 
 from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from tokloom.session import stored
 
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1 << 20
@@ -50,7 +57,7 @@ def quantile_buckets(df: DataFrame, key: str, n_buckets: int | None = None,
     tmp = f"{key}__d"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
     out = b.transform(df.withColumn(tmp, kd))
-    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
+    return out.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1))).drop(tmp)
 
 
 def hash_digits(n: int) -> int:
@@ -98,3 +105,45 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str,
     return (df.join(F.broadcast(bases), [*g, BUCKET])
             .withColumn(out, (F.col("_base") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_base", BUCKET))
+
+
+def in_order(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Rows laid out in order of ``keys`` over range partitions; nulls come first."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+PART, BEFORE = "_part", "_before"
+
+
+def running_totals(ordered: DataFrame, value: str, out: str, name: str = "ordered") -> DataFrame:
+    """``ordered`` (see ``in_order``) as a stored table with ``out``: the sum of ``value`` (bigint) of all rows before.
+
+    One pass writes the rows with the sum so far of their partition; the totals of the partitions, one row each, are
+    added up on the driver and joined back by the partition's number. Rows are neither shuffled nor windowed.
+    """
+    spark = ordered.sparkSession
+    fields = [*ordered.schema.fields, T.StructField(PART, T.IntegerType()), T.StructField(BEFORE, T.LongType())]
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, total = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column(batch.schema.get_field_index(value)).fill_null(0).to_numpy()
+            ends = n.cumsum() + total
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(ends - n, pa.int64())],
+                [*batch.schema.names, PART, BEFORE])
+            total = int(ends[-1]) if len(ends) else total
+
+    table, _ = stored(ordered.mapInArrow(run, T.StructType(fields)), name)
+    totals = table.groupBy(PART).agg(F.sum(value).alias("n")).orderBy(PART).collect()
+    bases, total = [], 0
+    for r in totals:
+        bases.append((r[PART], total))
+        total += r["n"] or 0
+    base = spark.createDataFrame(bases, f"{PART} int, _base long")
+    return (table.join(F.broadcast(base), PART)
+            .withColumn(out, (F.col("_base") + F.col(BEFORE)).cast("bigint")).drop(PART, BEFORE, "_base"))

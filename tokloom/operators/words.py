@@ -100,20 +100,21 @@ def running_bytes(lines_df: DataFrame, key: str = "conv_id", max_bytes: int | No
     quantile buckets of ``key``), plus a window inside each chat -- a chat is
     one block row already, so that window never exceeds one input row's lines.
     ``sizes`` (see ``block_sizes``) saves summing the lines; either way the
-    totals are stored once for the prefix.
+    totals are stored once for the prefix. Rows without key are one chat, the first.
     """
     with_len = lines_df.withColumn("_b", F.octet_length("line").cast("bigint"))
     if sizes is None:
-        sizes = with_len.groupBy(key).agg(F.sum("_b").alias("_kb"))
-    per_key, _ = stored(sizes, "chat-bytes")
-    bases = prefix_sum(quantile_buckets(per_key, key), [key], "_kb", "_kbase").drop("_kb")
+        sizes = with_len.select(key, F.col("_b").alias("_kb"))
+    per_key, _ = stored(sizes.groupBy(key).agg(F.sum("_kb").alias("_kb")), "chat-bytes")
+    bases = prefix_sum(quantile_buckets(per_key, key), [key], "_kb", "_kbase").select(
+        F.col(key).alias("_key"), "_kbase")
     if max_bytes is not None:
         bases = bases.filter(F.col("_kbase") <= F.lit(max_bytes))
     w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return (with_len.join(bases, key)
+    return (with_len.join(bases, F.col(key).eqNullSafe(F.col("_key")))
             .withColumn("bytes_before",
                         F.col("_kbase") + F.coalesce(F.sum("_b").over(w), F.lit(0)))
-            .drop("_b", "_kbase"))
+            .drop("_b", "_kbase", "_key"))
 
 
 def budget_lines(lines_df: DataFrame, max_bytes: int | None, key: str = "conv_id",
@@ -140,7 +141,7 @@ def budget_blocks(blocks_df: DataFrame, max_bytes: int | None, key: str = "conv_
     """
     if max_bytes is None:
         return blocks_df
-    sizes, _ = stored(block_sizes(blocks_df, key, text), "chat-bytes")
+    sizes, _ = stored(block_sizes(blocks_df, key, text).groupBy(key).agg(F.sum("_kb").alias("_kb")), "chat-bytes")
     starts = prefix_sum(quantile_buckets(sizes, key), [key], "_kb", "_kbase")
-    keep = starts.filter(F.col("_kbase") <= F.lit(max_bytes)).select(key)
-    return blocks_df.join(keep, key, "left_semi")
+    keep = starts.filter(F.col("_kbase") <= F.lit(max_bytes)).select(F.col(key).alias("_key"))
+    return blocks_df.join(keep, F.col(key).eqNullSafe(F.col("_key")), "left_semi")

@@ -383,7 +383,8 @@ win AS (
 
 
 def _offsets(spark, d):
-    return pack.token_offsets(_encoded(spark, d))
+    blocks = flatten.blocks_in_order(_turns(spark, d))
+    return pack.token_offsets(codec.encode(blocks, "block", _merges(spark, d)), ordered=True)
 
 
 def _windows(spark, d):

@@ -61,12 +61,11 @@ def corpus_to_batches(turns: DataFrame, merges, window: int = 256, batch_size: i
     under a fingerprint of the input files and the merge table and reused while
     that folder is complete; otherwise it is a reliable checkpoint.
     """
-    blocks = flatten.blocks(turns, role_map)
+    blocks = flatten.blocks_in_order(turns, role_map)
 
     def build() -> DataFrame:
-        # the offsets are stored with the ids: the join that attaches them is paid
-        # once per cache, and re-windowing only shuffles window slices
-        return pack.token_offsets(codec.encode(blocks, "block", merges, hot=hot))
+        # the offsets are stored with the ids, so re-windowing only shuffles window slices
+        return pack.token_offsets(codec.encode(blocks, "block", merges, hot=hot), ordered=True)
 
     if cache_root:
         tokens = C.cached_tokens(turns.sparkSession, cache_root, turns, merges, build,
