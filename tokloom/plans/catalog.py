@@ -357,7 +357,7 @@ def b6_bad_ids(spark, d):
 
 # ---- packing (E2, E3, P1-P6, F3, D7, A8) -------------------------------------
 
-from tokloom.operators import pack  # noqa: E402
+from tokloom.operators import order, pack  # noqa: E402
 
 EPOCHS = 10
 
@@ -461,6 +461,64 @@ def p5_epochs(spark, d):
                                               "step", "slot", "example_id")
 
 
+_SWAP_OR_NOT = f"""
+size AS (SELECT count(*) AS n FROM win),
+key0 AS (SELECT e.epoch, r.r, ({SEED} * 1000003 + e.epoch * 7368787 + r.r * 15485863 + 12345) % 2147483647 AS x
+  FROM range(0, {{epochs}}) e(epoch), range(0, 32) r(r)),
+key1 AS (SELECT epoch, r, (x * x + 7 * x + 1) % 2147483647 AS a FROM key0),
+key2 AS (SELECT epoch, r, a, (a * 48271) % 2147483647 AS b FROM key1),
+key3 AS (SELECT epoch, r, a, b, (b * 48271) % 2147483647 AS c FROM key2),
+keys AS (SELECT epoch, r, a, b, c, (c * 48271) % 2147483647 AS d, (a * 2147483647 + b) % n AS k FROM key3, size),
+walk AS (
+  SELECT CAST(e.epoch AS INTEGER) AS epoch, example_id, example_id AS x, 0 AS r
+  FROM win, range(0, {{epochs}}) e(epoch)
+  UNION ALL
+  SELECT epoch, example_id, CASE WHEN ((g * g + a) % 2147483647) // 65536 % 2 = 1 THEN y ELSE x END, r + 1
+  FROM (SELECT *, (h * h) % 2147483647 AS g FROM (
+    SELECT *, ((greatest(x, y) % 2147483647) * c + (greatest(x, y) // 2147483647) * d + b) % 2147483647 AS h FROM (
+      SELECT walk.epoch, example_id, x, walk.r, a, b, c, d, (k + n - x) % n AS y
+      FROM walk JOIN keys ON keys.epoch = walk.epoch AND keys.r = walk.r, size)))),
+placed AS (SELECT epoch, example_id, x AS place FROM walk WHERE r = 32)"""
+
+
+def _placed_sql(epochs: int, body: str) -> str:
+    return f"WITH RECURSIVE {_STREAM_CTE}, {_SWAP_OR_NOT.format(epochs=epochs)}\n{body}"
+
+
+def _placed(spark, d, epochs):
+    win = _windows(spark, d)
+    n = win.count()
+    return win, n, pack.batches(order.place_of(win, n, SEED, epochs), BATCH)
+
+
+@register("p5_epochs_by_permutation", _placed_sql(EPOCHS, f"""
+SELECT epoch, CAST(place // {BATCH} AS BIGINT) AS step, CAST(place % {BATCH} AS INTEGER) AS slot, example_id
+FROM placed"""))
+def p5_epochs_by_permutation(spark, d):
+    """The steps of all epochs from a keyed permutation: nothing is sorted or ranked."""
+    return _placed(spark, d, EPOCHS)[2].select("epoch", "step", "slot", "example_id")
+
+
+@register("p4_batch_ids", _placed_sql(3, f"""
+SELECT CAST(place // {BATCH} AS BIGINT) AS step, CAST(place % {BATCH} AS INTEGER) AS slot, example_id
+FROM placed WHERE epoch = 2 AND place // {BATCH} >= 5"""))
+def p4_batch_ids(spark, d):
+    """The examples of one epoch from its fifth step on, by the inverse permutation."""
+    return order.batch_ids(spark, _windows(spark, d).count(), BATCH, SEED, 2, 5)
+
+
+@register("p4_resumed_batches", _placed_sql(2, f"""
+SELECT epoch, CAST(place // {BATCH} AS BIGINT) AS step, CAST(place % {BATCH} AS INTEGER) AS slot, example_id,
+       array_to_string(xs[1:{L}], ',') AS x, array_to_string(xs[2:{L + 1}], ',') AS y
+FROM placed JOIN win USING (example_id) WHERE epoch > 0 OR place // {BATCH} >= 7"""))
+def p4_resumed_batches(spark, d):
+    """Two epochs of batches stored in training order, read again from the seventh step of the first."""
+    win, _, rows = _placed(spark, d, 2)
+    table, _ = order.store_batches(pack.with_xy(rows.select("epoch", "step", "slot", "example_id"), win, L), chunk_steps=4)
+    return order.resume(table, 0, 7, chunk_steps=4).select(
+        "epoch", "step", "slot", "example_id", ids_csv(F.col("x")).alias("x"), ids_csv(F.col("y")).alias("y"))
+
+
 @register("p6_example", S.with_(_STREAM_CTE, """
 SELECT example_id, ids FROM win WHERE example_id = 3"""))
 def p6_example(spark, d):
@@ -750,6 +808,20 @@ def r2_mse(spark, d):
         "l_returnflag", F.round("mse", 4).alias("mse"))
 
 
+@register("r2_prediction", """
+WITH fit AS (
+  SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope,
+         regr_intercept(l_extendedprice, l_quantity) AS intercept
+  FROM lineitem GROUP BY l_returnflag)
+SELECT l_orderkey, l_linenumber, round(slope * l_quantity + intercept, 4) AS prediction
+FROM lineitem JOIN fit USING (l_returnflag)""")
+def r2_prediction(spark, d):
+    li = read_table(spark, d, "lineitem")
+    fit = stored(R.linear_fit(li, "l_extendedprice", "l_quantity", ["l_returnflag"]), "fit")[0]
+    return R.predict(li, fit, "l_quantity", ["l_returnflag"]).select(
+        "l_orderkey", "l_linenumber", F.round("prediction", 4).alias("prediction"))
+
+
 # ---- corpus report (D5) ------------------------------------------------------
 
 @register("d5_corpus_report", S.with_(_STREAM_CTE + """,
