@@ -19,7 +19,7 @@ Three physical plans:
   most frequent words; the long tail is shuffle-joined, where no key can be
   larger than the cap's cut-off count.
 * plan C (any size, the default beyond a few merges): pre-tokenise in the JVM,
-  then one Arrow-batched pandas iterator function maps each word list to ids
+  then one Arrow-batched iterator function maps each word list to ids
   with a memo that lives as long as the task. Narrow like plan A, linear in the
   text whatever the merge count, without plan B's two shuffles of the token
   stream, and the same in batch and streaming plans.
@@ -30,7 +30,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Protocol
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tokloom.functions.pattern import SPECIAL_TOKENS, pretoken_pattern
@@ -38,6 +39,7 @@ from tokloom.functions.symbols import (MAX_SYMBOL_ID, WORD_SEPARATOR, char_id, i
                                        word_to_sym)
 from tokloom.operators.bpe import apply_merges, merge_list
 from tokloom.operators.flatten import fold_newlines
+from tokloom.operators.merge_arrays import MergeTable, encode_words as encode_distinct
 from tokloom.operators.words import pretokens
 
 NATIVE_MERGE_LIMIT = 256
@@ -109,40 +111,54 @@ def words_to_ids(words: Column, merges, specials: dict[str, int] | None = None,
     Narrow (no shuffle, no explode). The merge table and an optional dictionary
     of hot words (see ``hot_word_ids``) travel as one broadcast variable --
     fetched once per executor, both bounded (vocabulary size, row cap). The
-    encoder and its memo, seeded with the hot words, are built once per task;
-    a batch looks each of its distinct words up once. Cost is linear in the
-    text and independent of the number of merges, unlike plan A. ``first_byte``
-    is the id of byte 0.
+    table and the memo, seeded with the hot words, are built once per task; a batch is
+    dictionary-encoded by Arrow, its distinct new words are merged together
+    (``merge_arrays``), and the ids of all its words are gathered by offsets,
+    without a Python step per token. ``first_byte`` is the id of byte 0.
     """
     from pyspark.sql import SparkSession
 
     ms = merge_list(merges)
     sp = dict(specials or SPECIAL_TOKENS)
-    ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
-    new_ids = {(a, b): n for a, b, n in ms}
     sc = (spark or SparkSession.getActiveSession()).sparkContext
-    shared = sc.broadcast((ranks, new_ids, sp, dict(hot or {})))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        rk, nid, spc, seed = shared.value
-        enc = _bpe_word_encoder(rk, nid, first_byte)
-        memo: dict[str, list[int]] = dict(seed)
-        for word_lists in batches:
-            distinct = {w for ws in word_lists if ws is not None for w in ws}
+    packed = lambda ids: np.array(ids, "<i4").tobytes()
+    seed = {w: packed(ids) for w, ids in (hot or {}).items()} | {w: packed([i]) for w, i in sp.items()}
+    shared = sc.broadcast((ms, seed))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merges, seed = shared.value
+        table, memo = MergeTable(merges), dict(seed)
+        for lists in batches:
+            coded = lists.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
             new = [w for w in distinct if w not in memo]
             if len(memo) + len(new) > MEMO_WORDS:        # bounded cache, results unchanged
                 memo = dict(seed)
                 new = [w for w in distinct if w not in memo]
-            for w in new:
-                memo[w] = [spc[w]] if w in spc else enc(w.encode("utf-8"))
-            look = memo.__getitem__
-            yield word_lists.map(lambda ws: None if ws is None else
-                                 [i for r in map(look, ws) for i in r])
+            memo.update(zip(new, encode_distinct([w.encode("utf-8") for w in new], table, first_byte)))
+            yield _gathered(lists, coded.indices, [memo[w] for w in distinct])
 
     return _enc(words)
 
 
+def _gathered(lists: pa.Array, words: pa.Array, ids: list[bytes]) -> pa.Array:
+    """The ids of each list's words in turn; ``words`` are numbers into ``ids``, null lists stay null."""
+    word = words.to_numpy()
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), "<i4")
+    first = np.concatenate([[0], np.cumsum(size)])[:-1]
+    n = size[word]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    values = flat[np.arange(ends[-1]) + np.repeat(first[word] - ends[:-1], n)]
+    count = lists.value_lengths().fill_null(0).to_numpy()
+    bounds = ends[np.concatenate([[0], np.cumsum(count)])]
+    if bounds[-1] > np.iinfo(np.int32).max:
+        raise ValueError("too many tokens in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    mask = pa.array(np.array(lists.is_null())) if lists.null_count else None
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values), mask=mask)
+
+
 def hot_word_ids(freq: DataFrame, merges, n: int = HOT_WORDS,
                  specials: dict[str, int] | None = None) -> dict[str, list[int]]:
     """The ``n`` most frequent words of a frequency table ``(word, n)`` with
@@ -155,29 +171,6 @@ def hot_word_ids(freq: DataFrame, merges, n: int = HOT_WORDS,
 
 # ---- plan B: distinct-word dictionary ---------------------------------------
 
-def _bpe_word_encoder(ranks: dict[tuple[int, int], int], new_ids: dict[tuple[int, int], int],
-                      first_byte: int = 0):
-    """Per-word BPE on a symbol string (one character per id).
-
-    Repeatedly takes the lowest-ranked pair present and rewrites every
-    occurrence with ``str.replace`` -- greedy, left to right, non-overlapping,
-    the same rule Spark's ``replace`` applies in plan A.
-    """
-    rank_of = {chr(a) + chr(b): r for (a, b), r in ranks.items()}
-    new_of = {chr(a) + chr(b): chr(new_ids[(a, b)]) for (a, b) in ranks}
-
-    def enc(bs: bytes) -> list[int]:
-        s = bs.decode("latin-1") if not first_byte else "".join(chr(b + first_byte) for b in bs)
-        while len(s) > 1:
-            present = {s[i:i + 2] for i in range(len(s) - 1)} & rank_of.keys()
-            if not present:
-                break
-            pair = min(present, key=rank_of.__getitem__)
-            s = s.replace(pair, new_of[pair])
-        return [ord(c) for c in s]
-    return enc
-
-
 def word_dictionary(distinct_words: DataFrame, merges, specials: dict[str, int] | None = None
                     ) -> DataFrame:
     """``(word, ids)`` for each distinct word, via ``mapInPandas``.
@@ -187,14 +180,13 @@ def word_dictionary(distinct_words: DataFrame, merges, specials: dict[str, int]
     """
     ms = merge_list(merges)
     sp = dict(specials or SPECIAL_TOKENS)
-    ranks = {(a, b): r for r, (a, b, _) in enumerate(ms)}
-    new_ids = {(a, b): n for a, b, n in ms}
 
     def run(batches):
-        enc = _bpe_word_encoder(ranks, new_ids)
+        table = MergeTable(ms)
         for pdf in batches:
-            ids = [[sp[w]] if w in sp else enc(w.encode("utf-8")) for w in pdf["word"]]
-            yield pdf.assign(ids=ids)
+            ids = encode_distinct([w.encode("utf-8") for w in pdf["word"]], table)
+            yield pdf.assign(ids=[[sp[w]] if w in sp else np.frombuffer(i, "<i4").tolist()
+                                  for w, i in zip(pdf["word"], ids)])
 
     schema = T.StructType(list(distinct_words.schema.fields)
                           + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -250,15 +242,37 @@ def _vocab_dict(vocab: DataFrame) -> dict[int, bytes]:
 def decode(df: DataFrame, ids_col: str, vocab: DataFrame, out: str = "text") -> DataFrame:
     """H5: ids -> text; malformed UTF-8 becomes U+FFFD; unknown ids raise.
 
-    Narrow Arrow-batched projection with the vocabulary (bounded by the
-    vocabulary size) in the closure: no explode, no shuffle of tokens.
+    Narrow Arrow-batched projection with the vocabulary (bounded by the vocabulary size) as a broadcast variable: the
+    tokens' bytes lie in one flat buffer, and those of a whole batch are gathered by offsets. No explode, no
+    shuffle of tokens.
     """
-    table = _vocab_dict(vocab)
-
-    @F.pandas_udf(T.StringType())
-    def _dec(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda xs: None if xs is None else
-                       b"".join(table[int(i)] for i in xs).decode("utf-8", errors="replace"))
+    entries = _vocab_dict(vocab)
+    size = np.zeros(max(entries, default=-1) + 2, np.int64)
+    for i, token in entries.items():
+        size[i] = len(token)
+    known = np.zeros(len(size), bool)
+    known[list(entries)] = True
+    shared = df.sparkSession.sparkContext.broadcast((size, known, b"".join(entries[i] for i in sorted(entries))))
+
+    @F.arrow_udf(T.StringType())
+    def _dec(ids: pa.Array) -> pa.Array:
+        size, known, data = shared.value
+        data = np.frombuffer(data, np.uint8)
+        start = np.concatenate([[0], np.cumsum(size)])[:-1]
+        flat = ids.flatten()
+        if flat.null_count:
+            raise KeyError("a null id")
+        token = flat.to_numpy().astype(np.int64)
+        wrong = (token < 0) | (token >= len(size))
+        wrong |= ~known[np.where(wrong, 0, token)]
+        if wrong.any():
+            raise KeyError(int(token[wrong][0]))
+        n = size[token]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        text = data[np.arange(ends[-1]) + np.repeat(start[token] - ends[:-1], n)].tobytes()
+        bounds = ends[np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())])].tolist()
+        out = [text[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+        return pa.array([None if gone else t for t, gone in zip(out, ids.is_null().to_pylist())], pa.string())
 
     return df.withColumn(out, _dec(F.col(ids_col)))
 
