@@ -42,6 +42,8 @@ SIGMAS = 5.0
 #: Slots of the histogram by which shingles count as rare, and parts that the sets of one shingle are dealt to.
 SLOT_BITS = 20
 SALTS = 8
+#: Bytes of text and rows of minima that a task holds at a time.
+SLICE, ROWS_AT_ONCE = 1 << 20, 1024
 
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -96,23 +98,25 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 def _features(batches, rows: int):
     for batch in batches:
-        for part in B.slices(batch, "text"):
+        for part in B.slices(batch, "text", SLICE):
             _, _, _, h, first = B.words(part.column("text"))
-            n = part.num_rows
-            least = np.zeros((n, HASHES), np.uint32)
-            size, digest = np.zeros(n, np.int64), np.zeros((2, n), np.uint64)
-            for i in range(n):
-                s = B.shingles(h[first[i]:first[i + 1]], WIDTH)
-                size[i] = len(s)
-                if len(s):
-                    least[i] = minima(s)
-                    digest[0, i] = B.mix(s).sum()
-                    digest[1, i] = B.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size), pa.array(digest[0].view(np.int64)),
-                 pa.array(digest[1].view(np.int64)), _lists(packed(least)),
-                 _lists(band_keys(least, rows).view(np.int64))],
-                ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"])
+            for at in range(0, part.num_rows, ROWS_AT_ONCE):
+                some = part.slice(at, ROWS_AT_ONCE)
+                n = some.num_rows
+                least = np.zeros((n, HASHES), np.uint32)
+                size, digest = np.zeros(n, np.int64), np.zeros((2, n), np.uint64)
+                for i in range(n):
+                    s = B.shingles(h[first[at + i]:first[at + i + 1]], WIDTH)
+                    size[i] = len(s)
+                    if len(s):
+                        least[i] = minima(s)
+                        digest[0, i] = B.mix(s).sum()
+                        digest[1, i] = B.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), pa.array(size), pa.array(digest[0].view(np.int64)),
+                     pa.array(digest[1].view(np.int64)), _lists(packed(least)),
+                     _lists(band_keys(least, rows).view(np.int64))],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"])
 
 
 def mismatches(a: str, b: str):
@@ -133,7 +137,7 @@ def most_mismatches(percent: int) -> int:
 
 def _shared(batches):
     for batch in batches:
-        for part in B.slices(batch, "text_a"):
+        for part in B.slices(batch, "text_a", SLICE):
             sets = []
             for c in ("text_a", "text_b"):
                 _, _, _, h, first = B.words(part.column(c))
@@ -220,7 +224,7 @@ def _nearest(apart: DataFrame) -> DataFrame:
 def _sets(batches):
     """(rows, set of shingle hashes of each row's text), a slice at a time."""
     for batch in batches:
-        for part in B.slices(batch, "text"):
+        for part in B.slices(batch, "text", SLICE):
             _, _, _, h, first = B.words(part.column("text"))
             sets = [B.shingles(h[first[i]:first[i + 1]], WIDTH) for i in range(part.num_rows)]
             yield part, sets
@@ -230,8 +234,8 @@ def _slots(batches):
     """(slot, n): how many sets of this partition have a shingle in each slot of hashes, about."""
     seen = np.zeros(1 << SLOT_BITS, np.int64)
     for _, sets in _sets(batches):
-        for s in sets:
-            seen += np.bincount((s >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(seen))
+        all_of = np.concatenate(sets)
+        seen += np.bincount((all_of >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(seen))
     slot = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(seen[slot])], ["slot", "n"])
 

@@ -843,7 +843,7 @@ def d5_corpus_report(spark, d):
 
 from tokloom.operators import variant  # noqa: E402
 from tokloom.sources import corpus as C  # noqa: E402
-from tokloom.streaming import incremental as STR  # noqa: E402
+from tokloom.streaming import incremental as STR, windows as STRW  # noqa: E402
 
 _H4_SQL = S.with_(_ENC_CTE, f"SELECT conv_id, {S.sym_ids_csv('s')} AS ids FROM enc")
 
@@ -949,6 +949,28 @@ def s1_incremental_encode(spark, d):
     return _csv_ids(res)
 
 
+@register("s1_incremental_json", _H4_SQL)
+def s1_incremental_json(spark, d):
+    """Nested chats that land as JSON lines, with a key that no schema names."""
+    src, out = STR.scratch_dir(spark, "landing-json"), STR.scratch_dir(spark, "s1-json")
+    chats.nest_turns(_turns(spark, d)).withColumn("origin", F.lit("x")).repartitionByRange(4, "conv_id").write.json(src)
+    return _csv_ids(STR.run_incremental_encode(spark, src, out, out + "-ckpt", _merges(spark, d), fmt="json"))
+
+
+@register("p1_stream_windows", S.with_(_STREAM_CTE, "SELECT example_id, ids FROM win"))
+def p1_stream_windows(spark, d):
+    """Four files land one after the other; after each the stream goes on from its checkpoint."""
+    src, out = STR.scratch_dir(spark, "landing-chats"), STR.scratch_dir(spark, "p1-stream")
+    nested = stored(chats.nest_turns(_turns(spark, d)), "nested")[0]
+    lo, hi = nested.agg(F.min("conv_id"), F.max("conv_id")).first()
+    merges, parts = _merges(spark, d), 4
+    part = F.least(F.floor((F.col("conv_id") - lo) * parts / max(1, hi - lo)), F.lit(parts - 1))
+    for k in range(parts):
+        nested.filter(part == k).coalesce(1).write.mode("append").parquet(src)
+        win = STRW.run_window_stream(spark, src, out, out + "-ckpt", merges, L)
+    return win.select("example_id", ids_csv(F.col("ids")).alias("ids"))
+
+
 @register("s2_running_word_counts", f"""
 WITH parts AS (
   SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)),

@@ -11,9 +11,7 @@ S2  running word counts: a streaming ``groupBy(word).count()`` (state =
 S3  progress: ``DataFrame.observe`` metrics per micro-batch, captured by a
     ``StreamingQueryListener``.
 
-Windows over the token stream are not offered in streaming: their boundaries
-depend on the global offset of everything before, so they run in batch over
-the table S1 appends to.
+Windows over the token stream are in ``streaming.windows``.
 """
 
 from __future__ import annotations
@@ -26,6 +24,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from tokloom.operators import codec, flatten, words as W
 from tokloom.session import ensure_checkpoint_dir
+from tokloom.sources.chats import CHAT_RECORD
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -44,13 +43,16 @@ def stream_source_path(spark: SparkSession, path: str) -> str:
     return path
 
 
-def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
-                ) -> DataFrame:
-    schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema)
+def read_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                fmt: str = "parquet", schema=None) -> DataFrame:
+    """A file stream of ``path``. Parquet tells its own schema; JSON is read as nested chat records unless
+    ``schema`` says otherwise, and keys that it does not name do no harm."""
+    if schema is None:
+        schema = CHAT_RECORD if fmt == "json" else spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(stream_source_path(spark, path))
+    return r.load(stream_source_path(spark, path))
 
 
 # ---- S1 ------------------------------------------------------------------------
@@ -63,15 +65,15 @@ def encode_stream(chats: DataFrame, merges, role_map: dict | None = None) -> Dat
 
 def run_incremental_encode(spark: SparkSession, source: str, sink: str, checkpoint: str,
                            merges, max_files_per_trigger: int | None = None,
-                           listener: "ProgressRecorder | None" = None) -> DataFrame:
+                           listener: "ProgressRecorder | None" = None, fmt: str = "parquet") -> DataFrame:
     """Encode every not-yet-processed file of ``source`` into ``sink``.
 
     ``trigger(availableNow=True)`` processes the backlog in micro-batches and
     stops; calling it again later picks up only new files. By default a trigger
     takes the whole backlog; ``max_files_per_trigger`` cuts it. Any merge table
-    that the batch encoder takes will do.
+    that the batch encoder takes will do. ``fmt`` is parquet or json.
     """
-    chats = read_stream(spark, source, max_files_per_trigger)
+    chats = read_stream(spark, source, max_files_per_trigger, fmt)
     enc = encode_stream(chats, merges)
     enc = enc.observe("progress", F.count(F.lit(1)).alias("rows"),
                       F.sum(F.size("ids")).alias("tokens"))
