@@ -102,3 +102,20 @@ def test_prediction(spark):
         ("a", 1.0, 2.0), ("a", 2.0, 4.0), ("b", 1.0, None), (None, 0.0, 1.0), (None, 1.0, 0.0)}
     one = df.filter("g = 'a'")
     assert [r["prediction"] for r in R.predict(one, R.linear_fit(one, "y", "x"), "x").orderBy("x").collect()] == [2, 4]
+
+
+def test_tiled_product(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(23, 57)), rng.normal(size=(57, 11))
+    a[rng.random(a.shape) < 0.5] = 0
+    cells = lambda m: [(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+    left = spark.createDataFrame(cells(a), "i long, k long, v double").repartition(5)
+    right = spark.createDataFrame(cells(b), "k long, j long, v double").repartition(3)
+    for block in (1, 8, 64):
+        got = np.zeros((23, 11))
+        for r in V.matmul_tiled(left, right, block).collect():
+            got[r["i"], r["j"]] = r["score"]
+        assert np.allclose(got, a @ b)
+    assert V.matmul_tiled(left.limit(0), right).count() == 0

@@ -8,11 +8,14 @@ the small matrix, whose size is checked, as a literal.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tokloom.session import stored
 
 SMALL_MATRIX_CELLS = 1 << 20
+TILE_CELLS = 1 << 22        # cells of summed tiles that a task holds
 
 
 def as_double(v: Column) -> Column:
@@ -71,7 +74,7 @@ def matmul_small(vectors: DataFrame, matrix: DataFrame, key: str, vec: str) -> D
 
     B's columns (at most ``SMALL_MATRIX_CELLS`` numbers, else an error) come to
     the driver and go into the plan as a literal: each vector meets them in
-    place, without a shuffle or a join. For a B without such a bound use ``matmul``.
+    place, without a shuffle or a join. For a B without such a bound use ``matmul_tiled``.
     """
     rows = matrix.select("j", "column").limit(SMALL_MATRIX_CELLS + 1).collect()
     if sum(len(r["column"]) for r in rows) > SMALL_MATRIX_CELLS:
@@ -83,6 +86,68 @@ def matmul_small(vectors: DataFrame, matrix: DataFrame, key: str, vec: str) -> D
     return vectors.select(key, F.inline(dots))
 
 
+def _tiles(coords: DataFrame, row: str, col: str, value: str, block: int) -> DataFrame:
+    """``(r, c, tile)`` of a matrix in coordinate form: dense blocks of ``block`` x ``block`` doubles as bytes."""
+    at = lambda c: F.col(c).cast("long")
+    cells = coords.select(F.expr(f"cast(`{row}` as bigint) div {block}").alias("r"),
+                          F.expr(f"cast(`{col}` as bigint) div {block}").alias("c"),
+                          F.pmod(at(row), F.lit(block)).cast("int").alias("i"),
+                          F.pmod(at(col), F.lit(block)).cast("int").alias("j"), F.col(value).cast("double").alias("v"))
+    # a block holds no more cells than its size, however many rows the matrix has
+    cells = cells.groupBy("r", "c", "i", "j").agg(F.sum("v").alias("v"))
+    lists = cells.groupBy("r", "c").agg(F.collect_list("i").alias("i"), F.collect_list("j").alias("j"),
+                                        F.collect_list("v").alias("v"))
+
+    def dense(batches):
+        for batch in batches:
+            tiles = []
+            for k in range(batch.num_rows):
+                tile = np.zeros((block, block))
+                i, j, v = (batch.column(c)[k].values.to_numpy() for c in ("i", "j", "v"))
+                tile[i, j] = v
+                tiles.append(tile.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("r"), batch.column("c"), pa.array(tiles, pa.binary())],
+                                             ["r", "c", "tile"])
+
+    return lists.mapInArrow(dense, "r long, c long, tile binary")
+
+
+def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 128) -> DataFrame:
+    """V2 of two large matrices in coordinate form, ``(i, k, v)`` and ``(k, j, v)``: ``(i, j, score)`` of cells that any
+    product reaches. Numbers of rows and columns start at 0.
+
+    Both are cut into dense tiles. Tiles of one range of k meet, one row for each pair of tiles instead of one for each
+    product of two cells, are multiplied as blocks, and the products of a place are summed, first inside the
+    partition. For n x k times k x m the shuffles carry n k + k m cells, and n m for each range of k.
+    """
+    left = _tiles(a, "i", "k", "v", block).select(F.col("r").alias("r"), F.col("c").alias("k"),
+                                                  F.col("tile").alias("x"))
+    right = _tiles(b, "k", "j", "v", block).select(F.col("r").alias("k"), F.col("c").alias("c"),
+                                                   F.col("tile").alias("y"))
+
+    def multiply(batches):
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[k].as_py()).reshape(block, block) for c in ("x", "y"))
+                place = (batch.column("r")[k].as_py(), batch.column("c")[k].as_py())
+                total[place] = total.get(place, 0) + x @ y
+                if len(total) * block * block >= TILE_CELLS:
+                    yield from written(total)
+                    total = {}
+        yield from written(total)
+
+    def written(total):
+        for (r, c), tile in total.items():
+            i, j = np.nonzero(tile)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i + r * block, pa.int64()), pa.array(j + c * block, pa.int64()), pa.array(tile[i, j])],
+                ["i", "j", "score"])
+
+    cells = left.join(right, "k").select("r", "c", "x", "y").mapInArrow(multiply, "i long, j long, score double")
+    return cells.groupBy("i", "j").agg(F.sum("score").alias("score"))
+
+
 def matmul(coords: DataFrame, matrix: DataFrame, key: str) -> DataFrame:
     """V2 for a large B, both in coordinate form: ``(key, pos, v)`` and ``(pos, j, w)``."""
     return (coords.join(matrix, "pos").groupBy(key, "j")

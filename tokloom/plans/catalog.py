@@ -710,6 +710,17 @@ def v2_matmul(spark, d):
         "vec_id", F.col("j").alias("label"), F.round("score", 6).alias("score"))
 
 
+@register("v2_gram_matrix", S.with_(_EMB_CTE, """
+SELECT CAST(a.pos AS BIGINT) AS i, CAST(b.pos AS BIGINT) AS j, round(sum(a.v * b.v), 6) AS score
+FROM ec a JOIN ec b USING (vec_id) GROUP BY a.pos, b.pos"""))
+def v2_gram_matrix(spark, d):
+    """The transposed embeddings times the embeddings: two large matrices, tile by tile."""
+    cells = V.coordinates(_emb(spark, d), "vec_id", "embedding")
+    a = cells.select(F.col("pos").alias("i"), F.col("vec_id").alias("k"), "v")
+    b = cells.select(F.col("vec_id").alias("k"), F.col("pos").alias("j"), "v")
+    return V.matmul_tiled(a, b).select("i", "j", F.round("score", 6).alias("score"))
+
+
 @register("v3_column_means", S.with_(_EMB_CTE, """
 SELECT label, pos, round(mean, 6) AS mean FROM cent"""))
 def v3_column_means(spark, d):
