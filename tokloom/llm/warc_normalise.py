@@ -114,7 +114,8 @@ class Records:
     """The records of a gzip file of any number of members, as a stream."""
 
     def __init__(self, f):
-        self.chunks, self.ahead = self._inflated(f), b""
+        # what is inflated already, and how much of it is read: a record copies its own bytes only
+        self.chunks, self.ahead, self.at = self._inflated(f), b"", 0
 
     @staticmethod
     def _inflated(f):
@@ -136,28 +137,29 @@ class Records:
     def _more(self) -> bool:
         for data in self.chunks:
             if data:
-                self.ahead += data
+                self.ahead, self.at = self.ahead[self.at:] + data, 0
                 return True
         return False
 
     def head(self) -> bytes | None:
         """Version line and headers of the next record, with the empty line; None at the end."""
-        at = 0
-        while (end := self.ahead.find(b"\r\n\r\n", at)) < 0:
-            at = max(0, len(self.ahead) - 3)
+        seen = 0
+        while (end := self.ahead.find(b"\r\n\r\n", self.at + seen)) < 0:
+            seen = max(0, len(self.ahead) - self.at - 3)
             if not self._more():
-                if self.ahead.strip():
+                if self.ahead[self.at:].strip():
                     raise ValueError("the archive ends inside a record's head")
                 return None
-        out, self.ahead = self.ahead[:end + 4], self.ahead[end + 4:]
+        out, self.at = self.ahead[self.at:end + 4], end + 4
         return out
 
     def body(self, n: int):
         """The next ``n`` bytes, in chunks."""
         while n:
-            if not self.ahead and not self._more():
+            if self.at == len(self.ahead) and not self._more():
                 raise ValueError("the archive ends inside a record")
-            out, self.ahead = self.ahead[:n], self.ahead[n:]
+            out = self.ahead[self.at:self.at + n]
+            self.at += len(out)
             n -= len(out)
             yield out
 
