@@ -853,7 +853,7 @@ def d5_corpus_report(spark, d):
 # ---- sinks, caches, stages, streaming, variants (A3, A7, A9, S1-S3, H6, H7) --
 
 from tokloom.operators import variant  # noqa: E402
-from tokloom.sources import corpus as C  # noqa: E402
+from tokloom.sources import corpus as C, token_parts  # noqa: E402
 from tokloom.streaming import incremental as STR, windows as STRW  # noqa: E402
 
 _H4_SQL = S.with_(_ENC_CTE, f"SELECT conv_id, {S.sym_ids_csv('s')} AS ids FROM enc")
@@ -935,6 +935,21 @@ def a7_token_cache(spark, d):
     return _csv_ids(C.cached_tokens(spark, root, turns, merges, build, window=L))
 
 
+@register("a7_token_parts", S.with_(_STREAM_CTE, """
+SELECT conv_id, n, start, array_to_string(xs, ',') AS ids FROM offs"""))
+def a7_token_parts(spark, d):
+    """Chats land in four files, the last one after the others were cached; the stream's offsets from its parts."""
+    root = STR.scratch_dir(spark, "token-parts")
+    nested = stored(chats.nest_turns(_turns(spark, d)), "nested")[0]
+    lo, hi = nested.agg(F.min("conv_id"), F.max("conv_id")).first()
+    part = F.least(F.floor((F.col("conv_id") - lo) * 4 / max(1, hi - lo)), F.lit(3)).cast("int")
+    merges, cut = _merges(spark, d), nested.withColumn("p", part)
+    for keep in ("p < 3", "p = 3"):
+        cut.filter(keep).repartitionByRange(4, "p").write.mode("append").partitionBy("p").json(f"{root}/chats")
+        out = token_parts.cached_stream(spark, f"{root}/chats", f"{root}/cache", merges)
+    return out.select("conv_id", "n", "start", ids_csv(F.col("ids")).alias("ids"))
+
+
 @register("a9_stages", _H4_SQL)
 def a9_stages(spark, d):
     root = STR.scratch_dir(spark, "stages")
