@@ -119,3 +119,25 @@ def test_tiled_product(spark):
             got[r["i"], r["j"]] = r["score"]
         assert np.allclose(got, a @ b)
     assert V.matmul_tiled(left.limit(0), right).count() == 0
+
+
+def test_lookup_of_hot_ids(spark):
+    table = spark.createDataFrame([(k, [float(k)] * 4) for k in range(50)] + [(7, [0.5] * 4)], "vec_id int, e array<double>")
+    ids = [(p, 0 if p % 2 else p % 60) for p in range(3000)] + [(9999, None)]
+    rows = spark.createDataFrame(ids, "pos int, id int").repartition(6)
+    for hot in (1, 3, 4096):
+        got = sorted((r["pos"], r["id"], r["e"][0] if r["e"] else None) for r in
+                     V.lookup(rows, table, "id", "vec_id", hot).collect() if r["id"] is not None)
+        want = sorted((p, i, v) for p, i in ids if i is not None
+                      for v in ([7.0, 0.5] if i == 7 else [float(i)] if i < 50 else [None]))
+        assert str(got) == str(want)
+        assert V.lookup(rows, table, "id", "vec_id", hot).filter("pos = 9999 and vec_id is null").count() == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = V.lookup(rows, table, "id", "vec_id", 1)
+        sizes = [r["count"] for r in big.filter("id <> 0").groupBy(F.spark_partition_id()).count().collect()]
+        zero = big.filter("id = 0").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the hottest id is not in one partition: its rows stay where they are read (small files share a partition)
+    assert zero > 1 and sum(sizes) > 1000

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tokloom.session import stored
 
 SMALL_MATRIX_CELLS = 1 << 20
+HOT_IDS = 4096              # ids whose rows a lookup broadcasts
 TILE_CELLS = 1 << 22        # cells of summed tiles that a task holds
 
 
@@ -164,10 +165,27 @@ def gather(v: Column, idx: Column) -> Column:
     return F.get(v, idx)
 
 
-def lookup(ids_df: DataFrame, table: DataFrame, id_col: str, table_key: str) -> DataFrame:
-    """token/vector id -> table row; ids without a row stay, with nulls (see ``missing_ids``)."""
+def lookup(ids_df: DataFrame, table: DataFrame, id_col: str, table_key: str, hot: int = HOT_IDS) -> DataFrame:
+    """token/vector id -> table row; ids without a row stay, with nulls (see ``missing_ids``).
+
+    Token ids are as skewed as keys get: one of them may be half of all tokens. The rows of the ``hot`` most frequent
+    ids, a proven bound, are broadcast, and their tokens stay where they are. The other tokens meet the table by the
+    planner's choice; none of their ids is more frequent than the last of the hot ones. Rows that repeat a key of
+    the table give a row each, as in any join.
+    """
     side, _ = stored(table, "lookup")
-    return ids_df.join(side, ids_df[id_col] == side[table_key], "left")
+    rows, _ = stored(ids_df, "lookup-ids")
+    names = ids_df.columns
+    top, _ = stored(rows.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_hot"))
+                    .agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_hot").limit(hot).select("_hot"), "hot-ids")
+    marked = rows.join(F.broadcast(top), F.col(id_col) == F.col("_hot"), "left")
+    near, _ = stored(side.join(F.broadcast(top), F.col(table_key) == F.col("_hot"), "left_semi"), "hot-rows")
+    # a table that repeats its keys has no bound on the rows of an id, so its size decides
+    near = F.broadcast(near) if near.limit(hot + 1).count() <= hot else near
+    of = lambda df: df.select(*names)
+    there = of(marked.filter(F.col("_hot").isNotNull())).join(near, F.col(id_col) == F.col(table_key), "left")
+    away = of(marked.filter(F.col("_hot").isNull())).join(side, F.col(id_col) == F.col(table_key), "left")
+    return there.unionByName(away)
 
 
 def missing_ids(looked_up: DataFrame, id_col: str, table_key: str) -> DataFrame:
