@@ -62,6 +62,14 @@ def test_one_language_and_lonely_families(spark):
     assert all(r[2] == ("es" if r[0] < 100 else "ru" if r[0] < 200 else "ja") for r in out)
 
 
+def test_the_most_frequent_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGS", 2)
+    rows = [(i, "слово дом стол собака", "ru") for i in range(30)] + [(40 + i, "語 家 机 犬", "ja") for i in range(30)]
+    rows += [(90 + i, "the house and the dog", f"dirty {i}") for i in range(9)]
+    out = rows_of(L.op6_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert {r[2] for r in out} <= {"ru", "ja", "und"} and {r[2] for r in out if r[0] < 30} == {"ru"}
+
+
 # --- toxicity
 
 def test_toxicity_held_out(spark):

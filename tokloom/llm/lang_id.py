@@ -142,14 +142,13 @@ def fit(docs: DataFrame, learnable, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on about ``sample_docs`` rows (the documented bound of the sample), spread evenly over languages.
 
     ``learnable`` is the condition on (doc_id, text, lang) of rows that may be learned from. The sample
-    takes the rows with the smallest seeded hash of id and text, so it doesn't depend on partitioning.
+    takes the rows whose seeded hash of id and text is below their language's share, so it doesn't depend on
+    partitioning. Of more than ``MAX_LANGS`` values of lang the most frequent are learned (of equals the first).
     """
     rows = named_rows(docs, doc_id="long", text="string", lang="string").filter(
         learnable & F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy("lang").limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
     if not counts:
         return Model()
     each = sample_docs / len(counts)
