@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tokloom.operators import bpe, codec, flatten, lmstats as M, pack, words as W  # noqa: E402
+from tokloom.operators import (bpe, codec, flatten, lmstats as M, order, pack, pair_index,  # noqa: E402
+                               scan, words as W)
 from tokloom.session import build_session, ensure_checkpoint_dir, stored  # noqa: E402
 from tokloom.sources.tables import read_table  # noqa: E402
 
@@ -52,7 +53,7 @@ def main() -> None:
     region_turns = region.select("conv_id", F.lit(0).cast("bigint").alias("turn"),
                                  F.lit("user").alias("role"), F.col("block").alias("text"))
     region_freq, _ = stored(W.word_frequency(W.words(W.lines(flatten.blocks(region_turns)))))
-    bpe.train(bpe.training_state(region_freq), num_merges=4)
+    pair_index.train_indexed(stored(bpe.training_state(region_freq))[0], num_merges=4)
     force(codec.encode(region, "block", [(69, 85, 256)], plan="arrow"))
 
     turns = read_table(spark, SF_DIR, "conversations")
@@ -66,8 +67,8 @@ def main() -> None:
     freq_docs = W.word_frequency(W.words(W.lines(doc_blocks, "doc_id"), "doc_id"), "doc_id")
     timed("d2_word_frequency_documents", lambda: force(freq_docs))
 
-    res = timed("h1_bpe_train_64", lambda: bpe.train(bpe.training_state(freq_chat),
-                                                     num_merges=MERGES))
+    res = timed("h1_bpe_train_64", lambda: pair_index.train_indexed(
+        stored(bpe.training_state(freq_chat))[0], num_merges=MERGES))
     merges = res.merges
     hot = timed("c2_hot_word_ids", lambda: codec.hot_word_ids(freq_chat, merges))
 
@@ -76,13 +77,15 @@ def main() -> None:
     enc_docs = codec.encode(doc_blocks, "block", merges, key="doc_id", hot=hot)
     timed("h4_encode_documents", lambda: force(enc_docs))
 
-    # token table materialised once, as the pipeline's cache stage would
-    tokens = timed("a7_token_table", lambda: stored(
-        enc_docs.withColumnRenamed("doc_id", "conv_id"))[0])
-    offsets = timed("e2_token_offsets", lambda: pack.token_offsets(tokens))
+    # token table materialised once, in key order and with its running totals, as the pipeline's cache stage would
+    ordered = scan.in_order(doc_blocks.withColumnRenamed("doc_id", "conv_id"), ["conv_id"])
+    offsets = timed("a7_token_table", lambda: pack.token_offsets(
+        codec.encode(ordered, "block", merges, hot=hot), ordered=True))
+    timed("e2_token_offsets", lambda: force(offsets.select("conv_id", "n", "start")))
+    tokens = offsets.select("conv_id", "ids")
     win_t = timed("p1_windows", lambda: stored(pack.windows(offsets, WINDOW))[0])
     timed("p4_batches_10_epochs", lambda: force(
-        pack.batches(pack.shuffled(win_t, seed=7, epochs=10), BATCH)))
+        pack.batches(order.place_of(win_t, win_t.count(), seed=7, epochs=10), BATCH)))
     pairs = pack.next_token_pairs(tokens)
     bigrams = M.bigram_counts(M.window_pairs(pack.xy(win_t, WINDOW)))
     timed("m2_perplexity", lambda: force(M.cross_entropy(pairs, bigrams)))
