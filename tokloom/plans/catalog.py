@@ -852,7 +852,7 @@ def d5_corpus_report(spark, d):
 
 # ---- sinks, caches, stages, streaming, variants (A3, A7, A9, S1-S3, H6, H7) --
 
-from tokloom.operators import variant  # noqa: E402
+from tokloom.operators import sketches, variant  # noqa: E402
 from tokloom.sources import corpus as C, token_parts  # noqa: E402
 from tokloom.streaming import incremental as STR, windows as STRW  # noqa: E402
 
@@ -975,6 +975,15 @@ def s1_incremental_encode(spark, d):
     return _csv_ids(res)
 
 
+@register("d2_hot_words_merged", S.with_(S.WORDS_CTE, """
+SELECT word, count(*) AS n FROM words GROUP BY word ORDER BY n DESC LIMIT 10"""))
+def d2_hot_words_merged(spark, d):
+    """A sketch of the words of each chat's hundred, merged; the ten most frequent words."""
+    each = W.words(_lines(spark, d)).withColumn("part", F.expr("conv_id div 100"))
+    rows = stored(sketches.word_sketch(each, ["part"]), "sketches")[0]
+    return sketches.hot_words(sketches.merged(rows), 10)
+
+
 @register("s1_incremental_json", _H4_SQL)
 def s1_incremental_json(spark, d):
     """Nested chats that land as JSON lines, with a key that no schema names."""
