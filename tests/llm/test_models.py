@@ -62,6 +62,52 @@ def test_one_language_and_lonely_families(spark):
     assert all(r[2] == ("es" if r[0] < 100 else "ru" if r[0] < 200 else "ja") for r in out)
 
 
+def test_prediction_by_brute_force():
+    """Shares of byte n-grams, margins, family, votes: a step at a time, on random separators."""
+    import math
+    import random
+    import re
+
+    rng, rnd = np.random.default_rng(8), random.Random(8)
+    langs = {"germanic": ["de", "en", "nl"], "romance": ["es", "fr"], "xx": ["xx"]}
+    pairs = [(a, b) for names in langs.values() for i, a in enumerate(names) for b in names[i + 1:]]
+    rows = len(langs) + len(pairs)
+    model = L.Model(list(langs), langs, rng.normal(size=(rows, L.BUCKETS)) * 30, rng.normal(size=rows),
+                    rng.uniform(0.5, 3, rows), pairs)
+
+    def slow(text):
+        if not re.search(r"[^\W\d_]", text or ""):
+            return "und", 0.0
+        raw = [32 if x < 65 or 91 <= x < 97 or 123 <= x < 128 else x + 32 if 65 <= x < 91 else x for x in text.encode()]
+        seen = {}
+        for width in (2, 3, 4):
+            for i in range(len(raw) - width + 1):
+                code = int.from_bytes(bytes(raw[i:i + width]), "big")
+                slot = ((code + width) * 0x9E3779B1 % 2**32) >> 19
+                seen[slot] = seen.get(slot, 0) + 1
+        total = sum(seen.values())
+        sure = []
+        for w, b, s in zip(model.weights, model.bias, model.slope):
+            m = b + sum(w[k] * n for k, n in seen.items()) / max(1, total)
+            sure.append(1 / (1 + math.exp(-min(30, max(-30, m * s)))))
+        family = max(range(3), key=lambda f: (sure[f], -f))
+        names = langs[model.families[family]]
+        vote = dict.fromkeys(names, 0.0)
+        for (a, b), p in zip(pairs, sure[3:]):
+            if a in vote:
+                vote[a] += p
+                vote[b] += 1 - p
+        best = max(names, key=lambda v: (vote[v], -names.index(v)))
+        return best, sure[family] * (vote[best] / (len(names) - 1) if len(names) > 1 else 1)
+
+    texts = ["", None, "1 2 !", "a", "Straße É", "x" * 500] + [
+        "".join(rnd.choices("abc DEF éß日. 12", k=rnd.randrange(1, 80))) for _ in range(300)]
+    got, score = L.classify(pa.array(texts, pa.large_string()), model)
+    want = [slow(t) for t in texts]
+    assert got == [w for w, _ in want]
+    assert np.allclose(score, [s for _, s in want], rtol=1e-9)
+
+
 def test_the_most_frequent_languages_are_learned(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_LANGS", 2)
     rows = [(i, "слово дом стол собака", "ru") for i in range(30)] + [(40 + i, "語 家 机 犬", "ja") for i in range(30)]
