@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tokloom.operators import lmstats as M, regress as R, vectors as V
@@ -15,6 +16,21 @@ def test_means(spark):
     assert rows == [20.0, 10.0]
 
 
+def test_standardize_sums_a_vector_a_fixed_number_of_times(spark):
+    import time
+    rnd = np.random.default_rng(3)
+    rows = [[float(x) for x in rnd.normal(size=n)] for n in (1, 2, 7, 300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*rows, [], None, [1.0, None]])], "i int, v array<double>")
+    got = {r["i"]: r["z"] for r in df.select("i", V.standardize(F.col("v")).alias("z")).collect()}
+    for i, v in enumerate(rows):
+        assert np.allclose(got[i], (np.array(v) - np.mean(v)) / np.sqrt(np.var(v) + 1e-5), rtol=1e-12, atol=1e-12)
+    assert got[4] == [] and got[5] is None and got[6] == [None, None]
+    long = spark.createDataFrame([([float(x) for x in rnd.normal(size=3000)],)], "v array<double>")
+    at = time.time()                      # 3,000 sums of 3,000 squares, each with a mean of its own, take minutes
+    z, std = long.select(V.standardize(F.col("v")), V.row_std(F.col("v"))).first()
+    assert time.time() - at < 20 and abs(np.mean(z)) < 1e-9 and abs(np.std(z) - 1) < 1e-4 and abs(std - 1) < 0.1
+
+
 def test_argmax_gather_product(spark):
     df = spark.createDataFrame([([10, 0, 5, 20, 1],), ([1, 30, 3, 5, 0],)], "v array<int>")
     assert [r[0] for r in df.select(V.argmax_index(F.col("v"))).collect()] == [3, 1]

@@ -39,17 +39,24 @@ def row_mean(v: Column) -> Column:
 
 def row_std(v: Column) -> Column:
     """Per-row sample standard deviation (n - 1 denominator)."""
-    m = row_mean(v)
-    ss = F.aggregate(as_double(v), F.lit(0.0).cast("double"), lambda acc, x: acc + (x - m) * (x - m))
-    return F.sqrt(ss / (F.size(v) - 1))
+    return _with_squares(v, lambda s, ss: F.sqrt(ss / (F.size(v) - 1)))
 
 
 def standardize(v: Column, eps: float = 1e-5) -> Column:
     """V5: ``(x - mean) / sqrt(var_pop + eps)`` per row (layer norm, no scale)."""
-    m = row_mean(v)
-    var = F.aggregate(as_double(v), F.lit(0.0).cast("double"),
-                      lambda acc, x: acc + (x - m) * (x - m)) / F.size(v)
-    return F.transform(as_double(v), lambda x: (x - m) / F.sqrt(var + eps))
+    return _with_squares(v, lambda s, ss: F.transform(
+        as_double(v), lambda x: (x - s / F.size(v)) / F.sqrt(ss / F.size(v) + eps)))
+
+
+def _with_squares(v: Column, finish) -> Column:
+    """``finish`` of the sum and the sum of squared differences from the mean.
+
+    Both reach it as variables, by the last step of an aggregate, so a vector is summed twice; as plain
+    expressions they would be summed anew for every element.
+    """
+    zero = F.lit(0.0).cast("double")
+    return F.aggregate(as_double(v), zero, lambda acc, x: acc + x, lambda s: F.aggregate(
+        as_double(v), zero, lambda acc, x: acc + (x - s / F.size(v)) * (x - s / F.size(v)), lambda ss: finish(s, ss)))
 
 
 def coordinates(df: DataFrame, key: str, vec: str) -> DataFrame:
