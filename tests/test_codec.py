@@ -1,4 +1,10 @@
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
 from tests.bruteforce import encode as py_encode, train as py_train
+from tokloom.functions.arrow_lists import pieces
 from tokloom.operators import bpe, codec, flatten, words as W
 
 
@@ -95,3 +101,38 @@ def test_decode_unknown_id_fails(spark):
     df = spark.createDataFrame([(1, [104, 31998])], "conv_id long, ids array<int>")
     with pytest.raises(Exception):
         codec.decode(df, "ids", vocab).collect()
+
+
+def peak_mb(results):
+    """MB that numpy holds at most while ``results`` pass one by one, and how many there are."""
+    tracemalloc.start()
+    n = sum(1 for _ in results)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak, n
+
+
+def test_large_batches_are_handled_in_bounded_pieces():
+    rnd = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(1000)]
+    for rows, length in ((3000, 1000), (2, 1_500_000)):       # many lists, and lists longer than a piece
+        flat = pa.array(words).take(pa.array(rnd.integers(0, 1000, rows * length)))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * length), flat)
+        peak, n = peak_mb(codec.encoded(iter([lists]), [(119, 49, 256)], {}))
+        assert n > 1 and peak < 40 + (rows == 2) * 100, peak
+        ids = pa.concat_arrays(list(codec.encoded(iter([lists]), [(119, 49, 256)], {})))
+        vocab = {i: bytes([i]) for i in range(256)} | {256: b"w1"}
+        size, known = np.array([*(len(vocab[i]) for i in range(257)), 0]), np.array([True] * 257 + [False])
+        data = b"".join(vocab[i] for i in sorted(vocab))
+        peak, n = peak_mb(codec.decoded(iter([ids]), size, known, data))
+        assert n > 1 and peak < 40 + (rows == 2) * 210, peak
+        texts = pa.concat_arrays(list(codec.decoded(iter([ids]), size, known, data))).to_pylist()
+        assert texts == ["".join(x) for x in lists.to_pylist()]
+
+
+def test_pieces_keep_null_and_empty_lists():
+    lists = pa.array([None, ["ab"], [], ["ab", "c"] * 5, None, ["c"]], pa.list_(pa.string()))
+    assert [p.to_pylist() for p in pieces(lists, 4)] == [[None, ["ab"], []], [["ab", "c"] * 5], [None, ["c"]]]
+    got = pa.concat_arrays(list(codec.encoded(iter([lists[:0], lists]), [(97, 98, 256)], {})))
+    assert got.to_pylist() == [None, [256], [], [256, 99] * 5, None, [99]]
+    assert not list(codec.decoded(iter([pa.array([], pa.list_(pa.int32()))]), np.zeros(1, int), np.zeros(1, bool), b""))

@@ -8,12 +8,13 @@ a longer character, so splitting at ASCII white space is exact on bytes.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from tokloom.functions.arrow_lists import give_back
+
 SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240501)
@@ -41,18 +42,6 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
     give_back()
 
 
-def give_back() -> None:
-    """Return the memory of finished slices to the system.
-
-    Python workers outlive their tasks and serve the next stage, and what they once held counts against the
-    executor's limit for as long as they hold on to it.
-    """
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def lengths(text: pa.Array) -> np.ndarray:
     """Bytes of each text; null counts as empty."""
     import pyarrow.compute as pc
