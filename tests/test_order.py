@@ -70,3 +70,13 @@ def test_resume_opens_no_earlier_folder(spark):
     assert not any("epoch=0/" in r["f"] or "epoch=1/chunk=0/" in r["f"] or "epoch=1/chunk=1/" in r["f"] for r in read)
     plan = tail._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [((epoch" in plan or "PartitionFilters: [(" in plan
+
+
+def test_many_places_take_no_interpreted_rounds(spark):
+    n = 40_000
+    placed = O.place_of(spark.range(n).withColumnRenamed("id", "example_id"), n, 7, 10)
+    assert "aggregate(" not in placed._jdf.queryExecution().executedPlan().toString()
+    odd = O.place_of(spark.createDataFrame([(None,), (3,)], "example_id int"), 5, 7, 2)
+    rows = {(r["epoch"], r["example_id"]): r["r"] for r in odd.collect()}
+    assert rows == {(e, x): None if x is None else by_hand(x, 5, 7, e) for e in (0, 1) for x in (None, 3)}
+    assert [f.dataType.simpleString() for f in odd.schema.fields] == ["int", "int", "bigint"]

@@ -5,8 +5,8 @@ every example its place by arithmetic. It is the swap-or-not construction: in ea
 (K - x) mod n, and a hash bit of the larger of the two says whether they change places. Partners agree on the bit, so
 each round is its own inverse; the rounds backwards give the example at a place. It works for any n, without walks.
 
-Everything is a narrow expression, for any number of epochs: no hash is sorted, no rank is counted. Keys are a few
-numbers per epoch, made from the seed. n is below 2^50.
+Everything is narrow, for any number of epochs: no hash is sorted, no rank is counted. The rounds run on whole Arrow
+columns. Keys are a few numbers per epoch, made from the seed. n is below 2^50.
 
 ``store_batches`` writes batches in training order, in folders of consecutive steps; ``resume`` reads from a step on
 and opens no folder before it.
@@ -14,7 +14,9 @@ and opens no folder before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tokloom.session import stored
 
@@ -37,34 +39,40 @@ def round_keys(n: int, seed: int, epoch: int, rounds: int = ROUNDS) -> list[tupl
     return out
 
 
-def _keys(n: int, seed: int, epoch: int, backwards: bool = False) -> Column:
-    keys = round_keys(n, seed, epoch)
-    rows = ", ".join("named_struct('k', {}L, 'a', {}L, 'b', {}L, 'c', {}L, 'd', {}L)".format(*k)
-                     for k in (reversed(keys) if backwards else keys))
-    return F.expr(f"array({rows})")
+def permuted(x: np.ndarray, n: int, keys: list[tuple[int, int, int, int, int]]) -> np.ndarray:
+    """Every round on the numbers ``x``; a polynomial of the larger partner, squared twice, gives the bit."""
+    for k, a, b, c, d in keys:
+        partner = (k + n - x) % n
+        big = np.maximum(x, partner)
+        h = (big % PRIME * c + big // PRIME * d + b) % PRIME
+        g = h * h % PRIME
+        x = np.where((g * g + a) % PRIME >> 16 & 1, partner, x)
+    return x
 
 
-def _permuted(x: str, keys: str, n: int) -> Column:
-    """Every round on column ``x``; a polynomial of the larger partner, squared twice, gives the bit."""
-    partner = f"(k.k + {n}L - x) % {n}L"
-    big = f"greatest(x, {partner})"
-    h = f"(({big} % {PRIME}L) * k.c + ({big} div {PRIME}L) * k.d + k.b) % {PRIME}L"
-    g = f"transform(transform(array({h}), h -> (h * h) % {PRIME}L), h -> (h * h + k.a) % {PRIME}L)[0]"
-    return F.expr(f"aggregate({keys}, cast({x} as bigint), (x, k) -> if((({g}) div 65536L) % 2 = 1, {partner}, x))")
+def _permuted(column: Column, n: int, keys: list[list[tuple[int, int, int, int, int]]]) -> Column:
+    """For each number an array of its images, one for each list of keys; the image of null is null."""
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def run(numbers: pa.Array) -> pa.Array:
+        x = numbers.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        images = np.stack([permuted(x, n, each) for each in keys], axis=1).reshape(-1)
+        gone = np.repeat(np.array(numbers.is_null(), bool), len(keys))
+        ends = np.arange(len(x) + 1, dtype=np.int32) * len(keys)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(images, pa.int64(), mask=gone))
+
+    return run(column.cast("bigint"))
 
 
 def place_of(examples: DataFrame, n: int, seed: int, epochs: int = 1, example: str = "example_id") -> DataFrame:
     """``(epoch, example_id, r)``: the place of every example in every epoch; narrow."""
-    each = F.explode(F.array(*[F.struct(F.lit(e).alias("epoch"), _keys(n, seed, e).alias("keys"))
-                               for e in range(epochs)]))
-    return (examples.select(F.col(example).alias("example_id"), each.alias("e"))
-            .select(F.col("e.epoch").alias("epoch"), "example_id", _permuted("example_id", "e.keys", n).alias("r")))
+    places = _permuted(F.col(example), n, [round_keys(n, seed, e) for e in range(epochs)])
+    return (examples.select(F.col(example).alias("example_id"), places.alias("_places"))
+            .select("example_id", F.posexplode("_places").alias("epoch", "r")).select("epoch", "example_id", "r"))
 
 
 def example_at(places: DataFrame, n: int, seed: int, epoch: int = 0, place: str = "r") -> DataFrame:
     """``places`` with the ``example_id`` that stands there in this epoch: the inverse; narrow."""
-    return (places.withColumn("_keys", _keys(n, seed, epoch, backwards=True))
-            .withColumn("example_id", _permuted(place, "_keys", n)).drop("_keys"))
+    return places.withColumn("example_id", _permuted(F.col(place), n, [round_keys(n, seed, epoch)[::-1]])[0])
 
 
 def batch_ids(spark: SparkSession, n: int, batch_size: int, seed: int, epoch: int, from_step: int = 0) -> DataFrame:
