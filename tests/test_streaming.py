@@ -74,3 +74,18 @@ def test_running_word_counts_equal_batch(spark, sf_small):
     lines = W.lines(docs.select("doc_id", F.col("text").alias("block")), "doc_id")
     batch = W.words(lines, "doc_id").groupBy("word").count()
     assert got == {r["word"]: r["count"] for r in batch.collect()}
+
+
+def test_one_large_file_is_encoded_by_all_cores(spark):
+    src, sink = S.scratch_dir(spark, "t-src"), S.scratch_dir(spark, "t-sink")
+    spark.createDataFrame([(i, [("human", "hi")]) for i in range(200)],
+                          "conv_id long, conversations array<struct<from: string, value: string>>") \
+        .coalesce(1).write.parquet(src)
+    out = S.run_incremental_encode(spark, src, sink, sink + "-ckpt", MERGES)
+    cores = spark.sparkContext.defaultParallelism
+    assert out.select(F.input_file_name()).distinct().count() == cores > 1 and out.count() == 200
+
+
+def test_landing_files_follow_the_size_of_the_table():
+    from tokloom.sources.tables import LANDING_BYTES, landing_files
+    assert [landing_files(b) for b in (0, LANDING_BYTES, 40 * LANDING_BYTES + 1)] == [4, 4, 41]
