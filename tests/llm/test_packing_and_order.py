@@ -1,6 +1,7 @@
 """Tokens, best-fit packing and training order: exact round trips."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -51,6 +52,45 @@ def test_memo_bound_changes_nothing(tokenizer, monkeypatch):
         assert ids_of(texts, source) == [whole(tokenizer, t) for t in texts]
 
 
+def words_of(n):
+    rnd = random.Random(3)
+    return list({"".join(rnd.choices("abcdefghijklmnoé", k=9)) for _ in range(n)})
+
+
+def test_memo_takes_little_room(tokenizer):
+    source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    tokens._LOADED.clear()
+    tokens.token_ids(pa.array(["one two"]), source)
+    words = words_of(20_000)
+    text = pa.array([" ".join(words)])
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    tokens.token_ids(text, source)
+    held = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    tokens._LOADED.clear()
+    assert held < 100 * len(words)  # a Python string and bytes for each take several times this
+
+
+def test_words_of_letters_are_told_many_at_a_time(tokenizer):
+    class Counting:
+        asked = 0
+
+        def get_vocab(self, **how):
+            return tokenizer.get_vocab(**how)
+
+        def encode_batch_fast(self, texts, **how):
+            self.asked += len(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    words, counting = words_of(3_000), Counting()
+    ids, size = tokens.Memo(counting).encoded(words)
+    assert counting.asked < 10
+    each = np.split(ids, np.cumsum(size)[:-1])
+    assert [e.tolist() for e in each] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+
+
 def check_packing(rows, docs, tokenizer):
     """rows: (doc_id, piece, start, length, crc, sequence, offset)."""
     wanted = []
