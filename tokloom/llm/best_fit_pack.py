@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, stored
-from tokloom.llm.tokens import token_ids, tokenizer_file
+from tokloom.llm.tokens import SLICE_BYTES, token_ids, tokenizer_file
 
 CAPACITY = 4096
 SALT_ROWS = 50_000
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def run(batches):
         for batch in batches:
-            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
+            for part in B.slices(batch, "text", SLICE_BYTES):
                 rows = []
                 ids, starts = token_ids(part.column("text"), source.value)
                 for doc, lo, hi in zip(part.column("doc_id").to_pylist(), starts[:-1].tolist(),

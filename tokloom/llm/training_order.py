@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokloom.llm import bytetext as B
 from tokloom.llm.common import named_rows, shared_folder
 from tokloom.llm.files import Folder
-from tokloom.llm.tokens import largest_id, token_ids, tokenizer_file
+from tokloom.llm.tokens import SLICE_BYTES, largest_id, token_ids, tokenizer_file
 
 LENGTH = 512
 SHARD_BYTES = 32 << 20
@@ -153,7 +153,7 @@ def materialise(docs: DataFrame, folder: str, tokenizer: str | None = None, leng
         here = TaskContext.get().partitionId()
         at = base[here]
         for batch in batches:
-            for part in B.slices(batch, "text", 2 * B.SLICE_BYTES):
+            for part in B.slices(batch, "text", SLICE_BYTES):
                 room = _reserved(part.column("text"), length)
                 first = at + np.concatenate([[0], np.cumsum(room)])
                 at = int(first[-1])
