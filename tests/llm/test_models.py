@@ -1,6 +1,7 @@
 """Language, toxicity and quality: held-out accuracy, brute-force statistics, odd rows."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -225,3 +226,15 @@ def test_quality_rows(spark, odd_docs, no_docs, few_labels):
     assert Q.op7_quality(no_docs, few_labels).count() == 0
     rules = Q.op7_quality(odd_docs, few_labels.limit(0))
     assert rules.filter("kept = base_failed").count() == 0
+
+
+def test_rows_are_put_in_order_without_a_copy_of_the_matrix():
+    rng = np.random.default_rng(1)
+    x, order = rng.random((2000, L.BUCKETS), np.float32), rng.permutation(2000)
+    expected, sizes = x[order], (x[order] ** 2).sum(1)
+    tracemalloc.start()
+    got = L._in_order(x, order)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(x, expected) and np.array_equal(got, sizes)
+    assert most < x.nbytes / 3
