@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.bruteforce import train as py_train
@@ -57,3 +58,30 @@ def test_chain_equals_replacement():
     for a, b in (("aa", "Ā"), ("Āb", "ā"), ("bĀ", "Ă"), ("āā", "ă")):
         touched = [t.replace(a, b) for t in touched]
     assert "".join(chr(s) for s in out.symbol) == "".join(touched)
+
+
+def test_rounds_use_all_cores_and_repeat_few_merges(spark, monkeypatch):
+    """Words that come in one file are dealt to all cores; a round does not repeat all merges since the start."""
+    rnd = random.Random(3)
+    lines = ["".join(rnd.choices("abcdefgh", k=12)) for _ in range(400)]
+    seen, tried = [], P._tried
+
+    def watched(blocks, done, *more):
+        seen.append((len(blocks.inputFiles()), len(done)))
+        return tried(blocks, done, *more)
+
+    monkeypatch.setattr(P, "_tried", watched)
+    got = P.train_indexed(state_of(spark, lines).coalesce(1), 120, batch=8)
+    assert got.merges == py_train(lines, 120)
+    assert min(files for files, _ in seen) >= spark.sparkContext.defaultParallelism > 1
+    assert max(done for _, done in seen) < 32 + 8
+
+
+def test_blocks_are_read_by_bounded_parts(monkeypatch):
+    blocks = [P._block(P.Words(np.full(10, 97), np.repeat([0, 1], 5), np.tile(np.arange(5), 2), np.array([k, k + 1]),
+                               np.ones(2, np.int64))) for k in range(7)]
+    batch = pa.Table.from_batches(blocks).combine_chunks().to_batches()[0]
+    monkeypatch.setattr(P, "SYMBOLS", 25)
+    parts = list(P._reads([batch, batch.slice(0, 0), batch.slice(6)], np.ones(300, np.int64)))
+    assert [len(p.symbol) for p in parts] == [20, 20, 20, 10, 10]
+    assert [p.rank.tolist() for p in parts[-2:]] == [[6, 7], [6, 7]]

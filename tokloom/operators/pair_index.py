@@ -19,8 +19,11 @@ which other merges do not move. When the first occurrence of a pair goes, its pl
 next job finds it, and until then no decision rests on it.
 
 State: blocks of words as flat arrays, written to the checkpoint folder and rewritten every ``REWRITE`` merges. A lost
-task reads its blocks again and repeats the merges since. The differences that reach the driver grow with the number
-of symbols beside a merged pair, not with the corpus.
+task reads its blocks again and repeats the merges since. The first merges change most of the words, and every round
+repeats those since the last rewriting, so the words are rewritten earlier then: after ``REWRITE_FIRST`` merges, or a
+quarter of all. The words are dealt to as many files as there are cores, or more when these would hold more than
+``FILE_BYTES``, since a file is one task's work in every round. The differences that reach the driver grow with the
+number of symbols beside a merged pair, not with the corpus.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tokloom.functions.pattern import BASE_BYTES, DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
@@ -40,6 +44,9 @@ from tokloom.session import drop_stored, stored
 HOT = 400_000
 BATCH = 192
 REWRITE = 512
+REWRITE_FIRST = 32
+FILE_BYTES = 4 << 20            # of words in one file of blocks
+SYMBOLS = 1 << 21               # symbols that a task holds as arrays at once
 ASK = 4_000
 _PAIR = np.int64(1 << 21)      # a pair of symbols as one number: left * _PAIR + right
 _NEVER = np.iinfo(np.int64).max
@@ -173,6 +180,18 @@ def _block(words: Words) -> pa.RecordBatch:
                                       ["ranks", "counts", "sizes", "symbols"])
 
 
+def _reads(batches, lengths: np.ndarray):
+    """The blocks of all batches, some at a time: as many as hold at most ``SYMBOLS`` symbols, or one."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("symbols")).to_numpy()) // 4
+        at = 0
+        while at < batch.num_rows:
+            base = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, base + SYMBOLS, "right")))
+            yield _read(batch.slice(at, to - at), lengths)
+            at = to
+
+
 def _read(batch: pa.RecordBatch, lengths: np.ndarray) -> Words:
     """All blocks of a batch as one."""
     part = [np.frombuffer(b"".join(batch.column(k).to_pylist()), kind).astype(np.int64)
@@ -391,10 +410,7 @@ class PairIndex:
 def _all_pairs(blocks: DataFrame, merges, lengths, shift: int, hot: int) -> tuple[list[tuple], bool]:
     """The ``hot`` best (pair, n, first) after ``merges``, in order, and whether these are all."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = _read(batch, lengths)
+        for words in _reads(batches, lengths):
             touched = _touched(words, merges)
             for part in (words.kept(~touched), _advanced(words, merges, shift)):
                 at = np.flatnonzero(part.beside())
@@ -413,11 +429,8 @@ def _tried(blocks: DataFrame, done, batch, asked, lengths, shift: int) -> tuple[
     merges = [*done, *batch]
 
     def run(batches):
-        for rows in batches:
-            if not rows.num_rows:
-                continue
+        for words in _reads(batches, lengths):
             news: list[tuple] = []
-            words = _read(rows, lengths)
             if len(want):
                 # words that the merges so far touch are as they are now, the others as they are stored
                 touched = _touched(words, done)
@@ -441,12 +454,10 @@ def _tried(blocks: DataFrame, done, batch, asked, lengths, shift: int) -> tuple[
 
 def _rewritten(blocks: DataFrame, done, lengths, shift: int) -> tuple[DataFrame, str]:
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                words = _read(batch, lengths)
-                touched = _touched(words, done)
-                yield _block(words.kept(~touched))
-                yield _block(_advanced(words, done, shift))
+        for words in _reads(batches, lengths):
+            touched = _touched(words, done)
+            yield _block(words.kept(~touched))
+            yield _block(_advanced(words, done, shift))
 
     return stored(blocks.mapInArrow(run, _BLOCK), "bpe-blocks")
 
@@ -462,13 +473,15 @@ def train_indexed(state: DataFrame, num_merges: int | None = None, vocab_size: i
     limit = vocab_size - BASE_BYTES - n_special if num_merges is None else num_merges
     if BASE_BYTES + limit - 1 > min(MAX_SYMBOL_ID, int(_PAIR) - 1):
         raise ValueError("vocabulary too large for one-character symbols")
-    sizes = state.agg(F.max("wrank").alias("r"), F.max(F.octet_length("word")).alias("n")).first()
+    octets = F.octet_length("word")
+    sizes = state.agg(F.max("wrank").alias("r"), F.max(octets).alias("n"), F.sum(octets).alias("all")).first()
     shift = int(sizes["n"] or 0).bit_length()
     if (sizes["r"] or 0) >> (62 - shift):
         raise ValueError("too many or too long words for a place of 63 bits")
+    files = max(spark.sparkContext.defaultParallelism, -(-int(sizes["all"] or 0) // FILE_BYTES))
     blocks, path = stored(state.select(F.col("wrank").cast("long").alias("wrank"), F.col("n").cast("long").alias("n"),
-                                       "word").filter(F.octet_length("word") > 1).mapInArrow(_written, _BLOCK),
-                          "bpe-blocks")
+                                       "word").filter(octets > 1).repartition(files, "wrank")
+                          .mapInArrow(_written, _BLOCK), "bpe-blocks")
     res, index, done = TrainResult(), PairIndex(hot), []
     lengths = np.ones(BASE_BYTES + limit, np.int64)
     index.fill(*_all_pairs(blocks, done, lengths, shift, hot))
@@ -500,7 +513,7 @@ def train_indexed(state: DataFrame, num_merges: int | None = None, vocab_size: i
         res.rounds += 1
         forecast = Forecast(base + good, names[good:], steps[good:])
         size = min(batch, max(32, 3 * good))
-        if len(done) >= rewrite:
+        if min(rewrite, max(REWRITE_FIRST, len(res.merges) // 4)) <= len(done) and len(res.merges) < limit:
             old = path
             blocks, path = _rewritten(blocks, done, lengths, shift)
             drop_stored(spark, old)
