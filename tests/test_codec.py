@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from tests.bruteforce import encode as py_encode, train as py_train
-from tokloom.functions.arrow_lists import pieces
+from tokloom.functions.arrow_lists import gather, pieces, string_pieces
 from tokloom.operators import bpe, codec, flatten, words as W
 
 
@@ -136,3 +136,47 @@ def test_pieces_keep_null_and_empty_lists():
     got = pa.concat_arrays(list(codec.encoded(iter([lists[:0], lists]), [(97, 98, 256)], {})))
     assert got.to_pylist() == [None, [256], [], [256, 99] * 5, None, [99]]
     assert not list(codec.decoded(iter([pa.array([], pa.list_(pa.int32()))]), np.zeros(1, int), np.zeros(1, bool), b""))
+
+
+def test_long_words_are_merged_and_kept_in_bounded_parts():
+    def lists(k):
+        """1,000 words of 250 letters that no other list holds, in two lists."""
+        words = [f"{k * 1000 + i:06d}".ljust(250, "x") for i in range(1000)]
+        return pa.array([words[:500], words[500:]], pa.list_(pa.string()))
+
+    merges = [(120, 120, 256), (256, 256, 257)]
+    one = pa.concat_arrays([lists(k) for k in range(32)])            # 8 MB of words in one batch
+    peak, n = peak_mb(codec.encoded(iter([one]), merges, {}))
+    assert n > 1 and peak < 100, peak
+    ids = pa.concat_arrays(list(codec.encoded(iter([lists(6), lists(7), lists(6)]), merges, {})))
+    want = [[i for w in words for i in [*w[:6].encode(), *[257] * 61]] for k in (6, 7, 6) for words in lists(k).to_pylist()]
+    assert ids.to_pylist() == want
+
+
+def test_the_memo_of_long_words_is_bounded():
+    def batches():
+        for k in range(16):                  # 64 MB of words that don't come again, 4 MB at a time
+            words = [f"{k * 16000 + i:06d}".ljust(250, "y") for i in range(16000)]
+            yield pa.array([words[i:i + 100] for i in range(0, 16000, 100)], pa.list_(pa.string()))
+
+    peak, n = peak_mb(codec.encoded(batches(), [(120, 120, 256)], {}))
+    assert n >= 16 and peak < 140, peak
+
+
+def test_string_pieces_are_cut_by_bytes_too():
+    lists = pa.array([["aaaa", None], None, ["b"] * 3, ["c" * 20], [], ["d"]], pa.list_(pa.string()))
+    assert [p.to_pylist() for p in string_pieces(lists, 100, 7)] == [
+        [["aaaa", None], None, ["b"] * 3], [["c" * 20]], [[], ["d"]]]
+    assert [p.to_pylist() for p in string_pieces(lists.slice(2), 3, 100)] == [[["b"] * 3], [["c" * 20], [], ["d"]]]
+    assert not list(string_pieces(lists[:0]))
+
+
+def test_long_and_empty_runs_are_gathered_by_parts():
+    rnd = np.random.default_rng(2)
+    data, size = rnd.integers(0, 99, 500), np.array([0, 0, 3, 400, 1, 0, 7, 2, 0])
+    first = np.array([500, 3, 0, 100, 499, 500, 5, 498, 0])
+    want = np.concatenate([data[a:a + n] for a, n in zip(first, size)])
+    for most in (1, 4, 8, 1000):
+        got, ends = gather(data, first, size, most)
+        assert got.tolist() == want.tolist() and ends.tolist() == [0, *np.cumsum(size)]
+    assert gather(data, first[:0], size[:0])[0].tolist() == []
